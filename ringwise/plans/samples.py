@@ -1 +1,233 @@
-"""Placeholder."""
+"""Bounded samples behind the reference's network drawings (Q40-Q46).
+
+The reference pulled these to the driver and drew them; here they stay
+DataFrames. Each sample is a top-k under a total order (the limit is the
+feature), taken with ``orderBy(...).limit(k)`` so Spark keeps k rows per task
+before merging, and set filters are semi-joins rather than collected id lists.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ringwise import config as C
+from ringwise.plans import centrality as CE
+from ringwise.plans import rings as R
+from ringwise.plans import sql_base as S
+from ringwise.plans import structure as ST
+from ringwise.plans.context import Context, context
+from ringwise.plans.registry import register
+
+T = C.RiskConfig().threshold_milli
+EDGE_COLS = ("src", "dst", "relationship")
+
+
+def touching(edges: DataFrame, ids: DataFrame) -> DataFrame:
+    """Edges with src or dst in ``ids`` (F6): two semi-joins, union, distinct."""
+    by_src = edges.join(ids.select(F.col("id").alias("src")), "src", "left_semi")
+    by_dst = edges.join(ids.select(F.col("id").alias("dst")), "dst", "left_semi")
+    return by_src.unionByName(by_dst).distinct()
+
+
+def inside(edges: DataFrame, ids: DataFrame) -> DataFrame:
+    """Edges with both endpoints in ``ids`` (F7): two chained semi-joins."""
+    return edges.join(ids.select(F.col("id").alias("src")), "src", "left_semi").join(
+        ids.select(F.col("id").alias("dst")), "dst", "left_semi"
+    )
+
+
+def endpoints(edges: DataFrame) -> DataFrame:
+    return edges.select(F.col("src").alias("id")).unionByName(edges.select(F.col("dst").alias("id"))).distinct()
+
+
+def high_fraud_network(ctx: Context) -> DataFrame:
+    g = ctx.graph
+    e = g.edges.select(*EDGE_COLS)
+    hf5 = (
+        g.vertices.where((F.col("type") == "claim") & (F.col("score_milli") >= ctx.cfg.threshold_milli))
+        .select("id")
+        .orderBy("id")
+        .limit(5)
+    )
+    shared5 = e.where(F.col("relationship") == C.SHARED_CONTACT).orderBy("src", "dst").limit(5)
+    return touching(e, hf5).unionByName(shared5).distinct()
+
+
+S40 = f"""
+hf5 AS (SELECT id FROM vertices WHERE type = 'claim' AND score_milli >= {T} ORDER BY id LIMIT 5),
+s40 AS (
+  SELECT src, dst, relationship FROM edges WHERE src IN (SELECT id FROM hf5) OR dst IN (SELECT id FROM hf5)
+  UNION
+  SELECT src, dst, relationship FROM (SELECT src, dst, relationship FROM edges WHERE relationship = 'shared_contact' ORDER BY src, dst LIMIT 5)
+)"""
+
+
+@register("sample_high_fraud_network", S.with_base(S40, select="SELECT * FROM s40"))
+def sample_high_fraud_network(spark, sf_dir):
+    return high_fraud_network(context(spark, sf_dir))
+
+
+@register(
+    "sample_high_fraud_vertices",
+    S.with_base(
+        S40,
+        select="""
+SELECT id, type, fraud_score FROM vertices
+WHERE id IN (SELECT src FROM s40) OR id IN (SELECT dst FROM s40)""",
+    ),
+)
+def sample_high_fraud_vertices(spark, sf_dir):
+    ctx = context(spark, sf_dir)
+    ids = endpoints(high_fraud_network(ctx))
+    return ctx.graph.vertices.join(ids, "id", "left_semi").select("id", "type", "fraud_score")
+
+
+@register(
+    "edge_styles",
+    S.with_base(
+        S40,
+        select="""
+SELECT 'relationship' AS kind, relationship AS value, count(*) AS count FROM s40 GROUP BY relationship
+UNION ALL
+SELECT 'type', type, count(*) FROM vertices WHERE id IN (SELECT src FROM s40) OR id IN (SELECT dst FROM s40) GROUP BY type""",
+    ),
+)
+def edge_styles(spark, sf_dir):
+    ctx = context(spark, sf_dir)
+    sample = high_fraud_network(ctx)
+    rel = sample.groupBy(F.col("relationship").alias("value")).agg(F.count(F.lit(1)).alias("count"))
+    typ = (
+        ctx.graph.vertices.join(endpoints(sample), "id", "left_semi")
+        .groupBy(F.col("type").alias("value"))
+        .agg(F.count(F.lit(1)).alias("count"))
+    )
+    return rel.select(F.lit("relationship").alias("kind"), "value", "count").unionByName(
+        typ.select(F.lit("type").alias("kind"), "value", "count")
+    )
+
+
+REL_SAMPLE = ((C.FILED_BY, 8), (C.PROCESSED_BY, 8), (C.SERVICED_BY, 8), (C.SHARED_CONTACT, 6))
+
+
+@register(
+    "sample_by_relationship",
+    S.with_base(
+        select="\nUNION ALL\n".join(
+            f"SELECT * FROM (SELECT src, dst, relationship FROM edges WHERE relationship = '{r}' ORDER BY src, dst LIMIT {k})"
+            for r, k in REL_SAMPLE
+        )
+    ),
+)
+def sample_by_relationship(spark, sf_dir):
+    e = context(spark, sf_dir).graph.edges.select(*EDGE_COLS)
+    parts = [e.where(F.col("relationship") == r).orderBy("src", "dst").limit(k) for r, k in REL_SAMPLE]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# ---------------------------------------------------------------- components
+
+
+def _mid3_members(ctx: Context) -> DataFrame:
+    comps = R.components_df(ctx)
+    stats = R.component_stats_df(comps, ctx.cfg.threshold_milli)
+    mid3 = (
+        stats.where(F.col("claim_count").between(3, 100) & (F.col("avg_fraud_score") >= 0.5))
+        .orderBy(F.desc("avg_fraud_score"), "component")
+        .limit(3)
+        .select("component")
+    )
+    return comps.join(mid3, "component", "left_semi")
+
+
+MID3 = """
+mid3 AS (SELECT component FROM comp_stats WHERE claim_count BETWEEN 3 AND 100 AND avg_fraud_score >= 0.5
+         ORDER BY avg_fraud_score DESC, component LIMIT 3),
+mid3_members AS (SELECT * FROM comps WHERE component IN (SELECT component FROM mid3))"""
+
+
+@register(
+    "sample_component_members",
+    R.ring_sql("SELECT id, type, fraud_score, component FROM mid3_members", extra=(MID3,)),
+)
+def sample_component_members(spark, sf_dir):
+    return _mid3_members(context(spark, sf_dir)).select("id", "type", "fraud_score", "component")
+
+
+@register(
+    "sample_components",
+    R.ring_sql(
+        """
+SELECT src, dst, relationship FROM edges
+WHERE src IN (SELECT id FROM mid3_members) AND dst IN (SELECT id FROM mid3_members)""",
+        extra=(MID3,),
+    ),
+)
+def sample_components(spark, sf_dir):
+    ctx = context(spark, sf_dir)
+    return inside(ctx.graph.edges.select(*EDGE_COLS), _mid3_members(ctx).select("id"))
+
+
+# ---------------------------------------------------------------- pagerank / communities / triangles
+
+
+@register(
+    "sample_pagerank",
+    S.with_base(
+        *CE._pr_sql(),
+        "\ntop50 AS (SELECT id FROM pr ORDER BY pagerank DESC, id LIMIT 50)",
+        select="""
+SELECT src, dst, relationship FROM edges
+WHERE src IN (SELECT id FROM top50) OR dst IN (SELECT id FROM top50)
+ORDER BY src, dst, relationship LIMIT 200""",
+    ),
+)
+def sample_pagerank(spark, sf_dir):
+    ctx = context(spark, sf_dir)
+    top50 = CE.pagerank_df(ctx).orderBy(F.desc("pagerank"), "id").limit(50).select("id")
+    return touching(ctx.graph.edges.select(*EDGE_COLS), top50).orderBy("src", "dst", "relationship").limit(200)
+
+
+COMM5 = """
+top_comm AS (SELECT label FROM comm_stats WHERE avg_fraud_score >= 0.6 OR fraud_concentration >= 40
+             ORDER BY fraud_concentration DESC, label LIMIT 5),
+comm_members AS (SELECT id FROM comm WHERE label IN (SELECT label FROM top_comm) ORDER BY id LIMIT 150)"""
+
+
+@register(
+    "sample_communities",
+    S.with_base(
+        *CE._lp_sql(),
+        COMM5,
+        select="""
+SELECT src, dst, relationship FROM edges
+WHERE src IN (SELECT id FROM comm_members) AND dst IN (SELECT id FROM comm_members)
+ORDER BY src, dst, relationship LIMIT 200""",
+    ),
+)
+def sample_communities(spark, sf_dir):
+    ctx = context(spark, sf_dir)
+    comms = CE.communities_df(ctx)
+    top = CE.high_risk(CE.community_stats_df(comms, ctx.cfg.threshold_milli), ctx.cfg).limit(5).select("label")
+    members = comms.join(top, "label", "left_semi").select("id").orderBy("id").limit(150)
+    return inside(ctx.graph.edges.select(*EDGE_COLS), members).orderBy("src", "dst", "relationship").limit(200)
+
+
+@register(
+    "sample_triangles",
+    S.with_base(
+        *ST.TRI_SQL,
+        "\ntri100 AS (SELECT id FROM tc WHERE count > 0 ORDER BY count DESC, id LIMIT 100)",
+        select="""
+SELECT src, dst, relationship FROM edges
+WHERE src IN (SELECT id FROM tri100) AND dst IN (SELECT id FROM tri100)
+ORDER BY src, dst, relationship LIMIT 200""",
+    ),
+)
+def sample_triangles(spark, sf_dir):
+    ctx = context(spark, sf_dir)
+    top = ST.triangle_df(ctx).where(F.col("count") > 0).orderBy(F.desc("count"), "id").limit(100).select("id")
+    return inside(ctx.graph.edges.select(*EDGE_COLS), top).orderBy("src", "dst", "relationship").limit(200)

@@ -1 +1,106 @@
-"""Placeholder."""
+"""Run summary (Q36) and the numbered top rings (Q37)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ringwise import config as C
+from ringwise.functions.exact import half_up_ratio, pct_one_decimal
+from ringwise.plans import rings as R
+from ringwise.plans import sql_base as S
+from ringwise.plans import structure as ST
+from ringwise.plans.context import context
+from ringwise.plans.registry import register
+from ringwise.plans.relational import hub_pattern
+
+T = C.RiskConfig().threshold_milli
+
+
+def _metric(df: DataFrame, name: str, value) -> DataFrame:
+    return df.select(F.lit(name).alias("metric"), value.cast("double").alias("value"))
+
+
+@register(
+    "run_summary",
+    S.with_base(
+        *R.cc_sql(),
+        R.STATS_SQL,
+        R.RINGS_SQL,
+        ST.MOTIF_HF,
+        ST.MOTIF2_SQL,
+        select=f"""
+SELECT 'total_claims' AS metric, CAST(count(*) AS DOUBLE) AS value FROM claims
+UNION ALL SELECT 'high_fraud_claims', CAST(count(*) FILTER (WHERE score_milli >= {T}) AS DOUBLE) FROM claims
+UNION ALL SELECT 'high_fraud_pct', {S.pct_one_decimal(f'count(*) FILTER (WHERE score_milli >= {T})', 'count(*)')} FROM claims
+UNION ALL SELECT 'fraud_rings', CAST(count(*) AS DOUBLE) FROM rings
+UNION ALL SELECT 'claims_in_rings', CAST(coalesce(sum(claim_count), 0) AS DOUBLE) FROM rings
+UNION ALL SELECT 'policyholders_in_rings', CAST(coalesce(sum(policyholder_count), 0) AS DOUBLE) FROM rings
+UNION ALL SELECT 'avg_ring_fraud_score', {S.half_up_mean_milli('sum(CAST(round(avg_fraud_score * 1000) AS BIGINT))', 'count(*)')} FROM rings
+UNION ALL SELECT 'avg_ring_concentration',
+  CASE WHEN count(*) > 0 THEN CAST((2 * sum(CAST(round(fraud_concentration * 10) AS BIGINT)) + count(*)) // (2 * count(*)) AS DOUBLE) / 10.0 END FROM rings
+UNION ALL SELECT 'repeat_claimant_policyholders', CAST(count(*) AS DOUBLE) FROM (
+  SELECT policyholder_id FROM hf GROUP BY policyholder_id HAVING count(*) >= 2)
+UNION ALL SELECT 'connected_claim_pairs', CAST(count(*) AS DOUBLE) FROM m2
+UNION ALL SELECT 'adjuster_hubs', CAST(count(*) AS DOUBLE) FROM (
+  SELECT adjuster_id FROM claims WHERE score_milli >= {T} GROUP BY adjuster_id HAVING count(*) >= 3)
+UNION ALL SELECT 'provider_hubs', CAST(count(*) AS DOUBLE) FROM (
+  SELECT service_provider_id FROM claims WHERE score_milli >= {T} GROUP BY service_provider_id HAVING count(*) >= 3)""",
+    ),
+)
+def run_summary(spark, sf_dir):
+    """One (metric, value) row per headline figure; each part is a global aggregate."""
+    ctx = context(spark, sf_dir)
+    claims = ctx.tables.claims
+    t = ctx.cfg.threshold_milli
+    n = F.count(F.lit(1))
+    high = F.count_if(F.col("score_milli") >= t)
+    rings = R.suspected_rings_df(ctx)
+    avg_k = F.round(F.col("avg_fraud_score") * 1000).cast("long")
+    conc_k = F.round(F.col("fraud_concentration") * 10).cast("long")
+    pairs = ST.connected_pairs_df(ctx)
+    parts = [
+        _metric(claims.agg(n.alias("v")), "total_claims", F.col("v")),
+        _metric(claims.agg(high.alias("v")), "high_fraud_claims", F.col("v")),
+        _metric(claims.agg(pct_one_decimal(high, n).alias("v")), "high_fraud_pct", F.col("v")),
+        _metric(rings.agg(n.alias("v")), "fraud_rings", F.col("v")),
+        _metric(rings.agg(F.coalesce(F.sum("claim_count"), F.lit(0)).alias("v")), "claims_in_rings", F.col("v")),
+        _metric(rings.agg(F.coalesce(F.sum("policyholder_count"), F.lit(0)).alias("v")), "policyholders_in_rings", F.col("v")),
+        _metric(rings.agg((half_up_ratio(F.sum(avg_k), n, 1) / 1000.0).alias("v")), "avg_ring_fraud_score", F.col("v")),
+        _metric(rings.agg((half_up_ratio(F.sum(conc_k), n, 1) / 10.0).alias("v")), "avg_ring_concentration", F.col("v")),
+        _metric(
+            claims.where(F.col("score_milli") >= t).groupBy("policyholder_id").count().where(F.col("count") >= 2).agg(n.alias("v")),
+            "repeat_claimant_policyholders",
+            F.col("v"),
+        ),
+        _metric(pairs.agg(F.coalesce(F.sum("claim_pairs"), F.lit(0)).alias("v")), "connected_claim_pairs", F.col("v")),
+        _metric(hub_pattern(claims, "adjuster_id", t).agg(n.alias("v")), "adjuster_hubs", F.col("v")),
+        _metric(hub_pattern(claims, "service_provider_id", t).agg(n.alias("v")), "provider_hubs", F.col("v")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register(
+    "top_rings",
+    R.ring_sql(
+        """
+SELECT row_number() OVER (ORDER BY fraud_concentration DESC, avg_fraud_score DESC, component) AS rank,
+       component, claim_count, policyholder_count, avg_fraud_score, fraud_concentration
+FROM (SELECT * FROM rings ORDER BY fraud_concentration DESC, avg_fraud_score DESC, component LIMIT 3)"""
+    ),
+)
+def top_rings(spark, sf_dir):
+    top3 = R.suspected_rings_df(context(spark, sf_dir)).limit(3)
+    # the window runs after the limit: three rows in one task
+    w = Window.orderBy(F.desc("fraud_concentration"), F.desc("avg_fraud_score"), "component")
+    return top3.select(
+        F.row_number().over(w).cast("long").alias("rank"),
+        "component",
+        "claim_count",
+        "policyholder_count",
+        "avg_fraud_score",
+        "fraud_concentration",
+    )
