@@ -1,8 +1,11 @@
-"""Deterministic draws and key formatting.
+"""Deterministic draws and key formatting, as SQL expression text.
 
 Random draws are integer hashes ``(key * a + b) mod p`` so that Spark and a SQL
 oracle produce identical tables regardless of partitioning. The key is reduced
 mod ``p`` first, which gives the same value and cannot overflow a bigint.
+
+The helpers return SQL text for ``selectExpr``: a wide projection is then one
+parse on the JVM instead of thousands of Python-to-JVM calls per query.
 """
 
 from __future__ import annotations
@@ -13,16 +16,30 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def draw(key: Column, a: int, b: int, p: int) -> Column:
+def draw_sql(key: str, a: int, b: int, p: int) -> str:
     """``(key * a + b) % p`` for a non-negative bigint key."""
+    return f"((({key}) % {p}) * {a} + {b}) % {p}"
+
+
+def key_sql(prefix: str, key: str, width: int) -> str:
+    """``prefix`` + zero-padded decimal key, e.g. ``CLM0000000042``."""
+    return f"concat('{prefix}', lpad(cast({key} as string), {width}, '0'))"
+
+
+def pick_sql(values: Sequence[str], index: str) -> str:
+    """Element ``index`` (0-based) of a literal list; out of range gives NULL."""
+    items = ", ".join("'" + v.replace("'", "\\'") + "'" for v in values)
+    return f"get(array({items}), cast({index} as int))"
+
+
+def draw(key: Column, a: int, b: int, p: int) -> Column:
+    """Column form of ``draw_sql``."""
     return ((key % F.lit(p)) * F.lit(a) + F.lit(b)) % F.lit(p)
 
 
 def entity_key(prefix: str, key: Column, width: int) -> Column:
-    """``prefix`` + zero-padded decimal key, e.g. ``CLM0000000042``."""
     return F.concat(F.lit(prefix), F.lpad(key.cast("string"), width, "0"))
 
 
 def pick(values: Sequence[str], index: Column) -> Column:
-    """Element ``index`` (0-based) of a literal list; out of range gives NULL."""
     return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))

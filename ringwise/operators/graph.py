@@ -56,23 +56,24 @@ class PropertyGraph:
 
 
 def _conform(df: DataFrame, columns) -> DataFrame:
+    """Project to the fixed schema: one ``selectExpr`` (typed NULL for missing columns)."""
     present = set(df.columns)
-    return df.select(
-        *[(F.col(n) if n in present else F.lit(None)).cast(t).alias(n) for n, t in columns]
+    return df.selectExpr(
+        *[f"cast({n if n in present else 'NULL'} as {t}) AS {n}" for n, t in columns]
     )
 
 
 def claim_vertices(t: ClaimTables) -> DataFrame:
     return _conform(
-        t.claims.select(
-            F.col("claim_id").alias("id"),
-            F.lit("claim").alias("type"),
+        t.claims.selectExpr(
+            "claim_id AS id",
+            "'claim' AS type",
             "fraud_score",
             "score_milli",
-            F.col("claim_amount").alias("amount"),
-            F.col("claim_type").alias("category"),
+            "claim_amount AS amount",
+            "claim_type AS category",
             "status",
-            F.col("incident_date").alias("event_date"),
+            "incident_date AS event_date",
         ),
         VERTEX_COLUMNS,
     )
@@ -80,14 +81,14 @@ def claim_vertices(t: ClaimTables) -> DataFrame:
 
 def policyholder_vertices(t: ClaimTables) -> DataFrame:
     return _conform(
-        t.policyholders.select(
-            F.col("policyholder_id").alias("id"),
-            F.lit("policyholder").alias("type"),
+        t.policyholders.selectExpr(
+            "policyholder_id AS id",
+            "'policyholder' AS type",
             "name",
-            F.col("customer_tier").alias("category"),
+            "customer_tier AS category",
             "address",
             "phone",
-            F.col("policy_start_date").alias("event_date"),
+            "policy_start_date AS event_date",
         ),
         VERTEX_COLUMNS,
     )
@@ -95,23 +96,15 @@ def policyholder_vertices(t: ClaimTables) -> DataFrame:
 
 def adjuster_vertices(t: ClaimTables) -> DataFrame:
     return _conform(
-        t.adjusters.select(
-            F.col("adjuster_id").alias("id"),
-            F.lit("adjuster").alias("type"),
-            "name",
-            F.col("department").alias("category"),
-        ),
+        t.adjusters.selectExpr("adjuster_id AS id", "'adjuster' AS type", "name", "department AS category"),
         VERTEX_COLUMNS,
     )
 
 
 def provider_vertices(t: ClaimTables) -> DataFrame:
     return _conform(
-        t.service_providers.select(
-            F.col("service_provider_id").alias("id"),
-            F.lit("provider").alias("type"),
-            F.col("provider_name").alias("name"),
-            F.col("service_type").alias("category"),
+        t.service_providers.selectExpr(
+            "service_provider_id AS id", "'provider' AS type", "provider_name AS name", "service_type AS category"
         ),
         VERTEX_COLUMNS,
     )
@@ -128,13 +121,13 @@ def build_vertices(t: ClaimTables) -> DataFrame:
 
 def _claim_edges(t: ClaimTables, dst: str, relationship: str, date_col: str) -> DataFrame:
     return _conform(
-        t.claims.select(
-            F.col("claim_id").alias("src"),
-            F.col(dst).alias("dst"),
-            F.lit(relationship).alias("relationship"),
-            F.col(date_col).alias("edge_date"),
+        t.claims.selectExpr(
+            "claim_id AS src",
+            f"{dst} AS dst",
+            f"'{relationship}' AS relationship",
+            f"{date_col} AS edge_date",
             "fraud_score",
-            F.lit(1).cast("long").alias("claim_count"),
+            "1L AS claim_count",
         ),
         EDGE_COLUMNS,
     )
@@ -183,11 +176,8 @@ def shared_contact_star(policyholders: DataFrame) -> DataFrame:
 
 def shared_contact_edges(t: ClaimTables, as_of: str) -> DataFrame:
     return _conform(
-        shared_contact_pairs(t.policyholders).select(
-            "src",
-            "dst",
-            F.lit(C.SHARED_CONTACT).alias("relationship"),
-            F.lit(as_of).cast("date").alias("edge_date"),
+        shared_contact_pairs(t.policyholders).selectExpr(
+            "src", "dst", f"'{C.SHARED_CONTACT}' AS relationship", f"DATE'{as_of}' AS edge_date"
         ),
         EDGE_COLUMNS,
     )
@@ -216,32 +206,15 @@ def collaboration_pairs(claims: DataFrame, left: str, right: str, min_claims: in
 
 def _collab_edges(t: ClaimTables, left: str, right: str, min_claims: int, relationship: str, as_of: str):
     return _conform(
-        collaboration_pairs(t.claims, left, right, min_claims).select(
-            "src",
-            "dst",
-            F.lit(relationship).alias("relationship"),
-            F.lit(as_of).cast("date").alias("edge_date"),
-            "fraud_score",
-            "claim_count",
+        collaboration_pairs(t.claims, left, right, min_claims).selectExpr(
+            "src", "dst", f"'{relationship}' AS relationship", f"DATE'{as_of}' AS edge_date", "fraud_score", "claim_count"
         ),
         EDGE_COLUMNS,
     )
 
 
 def build_edges(t: ClaimTables, as_of: str = C.DEFAULT_AS_OF) -> DataFrame:
-    parts = [
-        _claim_edges(t, "policyholder_id", C.FILED_BY, "filing_date"),
-        _claim_edges(t, "adjuster_id", C.PROCESSED_BY, "filing_date"),
-        _claim_edges(t, "service_provider_id", C.SERVICED_BY, "incident_date"),
-        shared_contact_edges(t, as_of),
-        _collab_edges(t, "policyholder_id", "adjuster_id", 2, C.REPEAT_ADJUSTER, as_of),
-        _collab_edges(t, "policyholder_id", "service_provider_id", 2, C.REPEAT_PROVIDER, as_of),
-        _collab_edges(t, "adjuster_id", "service_provider_id", 3, C.FREQUENT_COLLABORATION, as_of),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return build_edges_without_contacts(t, as_of).unionByName(shared_contact_edges(t, as_of))
 
 
 def build_graph(t: ClaimTables, as_of: str = C.DEFAULT_AS_OF) -> PropertyGraph:
