@@ -24,6 +24,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ringwise.operators.ids import decode, encode_edges, index_ids
 from ringwise.operators.iterate import NoConvergence, materialize
 
 
@@ -34,9 +35,12 @@ def _oriented(edges: DataFrame) -> DataFrame:
     return e.select(F.greatest("a", "b").alias("c"), F.least("a", "b").alias("p")).distinct()
 
 
-def component_labels(edges: DataFrame, max_rounds: int = 200) -> tuple[DataFrame, int]:
-    """(id, component) for every vertex touched by ``edges``; also the number of rounds."""
-    state, _ = materialize(_oriented(edges), "cc-init")
+def component_labels(edges: DataFrame, max_rounds: int = 200, oriented: bool = False) -> tuple[DataFrame, int]:
+    """(id, component) for every vertex touched by ``edges``; also the number of rounds.
+
+    ``oriented=True`` means ``edges`` already has columns (c, p), c > p, distinct.
+    """
+    state, _ = materialize(edges if oriented else _oriented(edges), "cc-init")
     for rnd in range(1, max_rounds + 1):
         sym = state.select(F.col("p").alias("u"), F.col("c").alias("v")).unionByName(
             state.select(F.col("c").alias("u"), F.col("p").alias("v"))
@@ -78,6 +82,17 @@ def _labels(state: DataFrame) -> DataFrame:
 
 
 def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 200) -> DataFrame:
-    """``vertices`` plus a ``component`` column (min vertex id of the component)."""
-    labels, _ = component_labels(edges, max_rounds)
-    return vertices.join(labels, "id", "left").withColumn("component", F.coalesce(F.col("component"), F.col("id")))
+    """``vertices`` plus a ``component`` column (min vertex id of the component).
+
+    The loop runs on order-preserving bigint ids (``ids.index_ids``) and is
+    mapped back at the end; vertices without edges are their own component.
+    """
+    # the string edge list is computed once; the index and the encoding read it back
+    named_edges, _ = materialize(_oriented(edges), "cc-edges")
+    index = index_ids(named_edges.select(F.col("c").alias("id")).unionByName(named_edges.select(F.col("p").alias("id"))))
+    encoded = encode_edges(named_edges.select(F.col("c").alias("src"), F.col("p").alias("dst")), index)
+    # vids preserve id order, so the (child > parent) orientation carries over
+    labels, _ = component_labels(encoded.select(F.col("src").alias("c"), F.col("dst").alias("p")), max_rounds, oriented=True)
+    named = decode(decode(labels, index, "id", "_id"), index, "component", "_component")
+    named = named.select(F.col("_id").alias("id"), F.col("_component").alias("component"))
+    return vertices.join(named, "id", "left").withColumn("component", F.coalesce(F.col("component"), F.col("id")))

@@ -9,6 +9,9 @@ writes the round, so a round costs one job.
 
 from __future__ import annotations
 
+import os
+import sys
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -24,9 +27,13 @@ def materialize(df: DataFrame, label: str, metrics: dict[str, Column] | None = N
     if metrics:
         obs = Observation(f"{label}-{uuid.uuid4().hex[:8]}")
         df = df.observe(obs, *[c.alias(n) for n, c in metrics.items()])
+    t0 = time.perf_counter()
     df.write.mode("overwrite").parquet(path)
     values = dict(obs.get) if obs is not None else {}
-    return spark.read.parquet(path), values
+    out = spark.read.parquet(path)
+    if os.environ.get("RINGWISE_TRACE"):
+        print(f"[materialize] {label}: {time.perf_counter() - t0:.2f}s {values}", file=sys.stderr)
+    return out, values
 
 
 class NoConvergence(RuntimeError):

@@ -15,11 +15,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ringwise.operators.ids import decode, encode_edges, index_ids
 from ringwise.operators.iterate import materialize
 
 
 def label_propagation(vertices: DataFrame, edges: DataFrame, rounds: int = 5) -> DataFrame:
-    """(id, label) for every vertex."""
+    """(id, label) for every vertex.
+
+    Runs on order-preserving bigint ids, so "smallest label" ties resolve
+    exactly as they would on the string ids, with hash aggregates throughout.
+    """
+    index = index_ids(vertices)
+    labels = _propagate(index.select(F.col("vid").alias("id")), encode_edges(edges.select("src", "dst"), index), rounds)
+    return decode(decode(labels, index, "id", "_id"), index, "label", "_label").select(
+        F.col("_id").alias("id"), F.col("_label").alias("label")
+    )
+
+
+def _propagate(vertices: DataFrame, edges: DataFrame, rounds: int) -> DataFrame:
     e = edges.select("src", "dst").where(F.col("src").isNotNull() & F.col("dst").isNotNull())
     wires, _ = materialize(
         e.select(F.col("src").alias("u"), F.col("dst").alias("v")).unionByName(
