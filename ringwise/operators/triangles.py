@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringwise.operators.ids import decode, encode_edges, index_ids
+from ringwise.operators.iterate import materialize
 
 
 def undirected_simple(edges: DataFrame) -> DataFrame:
@@ -25,8 +26,14 @@ def undirected_simple(edges: DataFrame) -> DataFrame:
 
 
 def triangles(edges: DataFrame) -> DataFrame:
-    """One row (x, y, z) per triangle, x < y < z."""
-    und = undirected_simple(edges)
+    """One row (x, y, z) per triangle, x < y < z.
+
+    The canonical edge list and its degree orientation are each written once
+    (both are read several times). Each wedge is closed by a semi-join that
+    hashes the edge list (``shuffle_hash``): per partition the build side is
+    |E| / partitions, while the probe side -- the wedges, O(m^1.5) -- streams.
+    """
+    und, _ = materialize(undirected_simple(edges), "tri-edges")
     deg = (
         und.select(F.col("a").alias("id"))
         .unionByName(und.select(F.col("b").alias("id")))
@@ -38,15 +45,18 @@ def triangles(edges: DataFrame) -> DataFrame:
         .join(deg.select(F.col("id").alias("b"), F.col("deg").alias("db")), "b")
     )
     a_first = (F.col("da") < F.col("db")) | ((F.col("da") == F.col("db")) & (F.col("a") < F.col("b")))
-    oriented = ranked.select(
-        F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("u"),
-        F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("v"),
+    oriented, _ = materialize(
+        ranked.select(
+            F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("u"),
+            F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("v"),
+        ),
+        "tri-oriented",
     )
     o1, o2 = oriented.alias("o1"), oriented.alias("o2")
     wedges = o1.join(o2, (F.col("o1.u") == F.col("o2.u")) & (F.col("o1.v") < F.col("o2.v"))).select(
         F.col("o1.u").alias("u"), F.col("o1.v").alias("v"), F.col("o2.v").alias("w")
     )
-    closing = und.select(F.col("a").alias("ca"), F.col("b").alias("cb"))
+    closing = und.select(F.col("a").alias("ca"), F.col("b").alias("cb")).hint("shuffle_hash")
     closed = wedges.join(
         closing,
         (F.least("v", "w") == F.col("ca")) & (F.greatest("v", "w") == F.col("cb")),

@@ -20,7 +20,7 @@ lm AS (SELECT claim_id FROM claims WHERE score_milli >= {T} ORDER BY score_milli
 
 
 def _landmark_ids(ctx: Context) -> DataFrame:
-    return landmarks_df(ctx.tables.claims, ctx.cfg.threshold_milli, ctx.cfg.landmarks).select(F.col("claim_id").alias("id"))
+    return landmarks_df(ctx.stored.claims, ctx.cfg.threshold_milli, ctx.cfg.landmarks).select(F.col("claim_id").alias("id"))
 
 
 def distances_df(ctx: Context, direction: str) -> DataFrame:
@@ -101,7 +101,7 @@ src1 AS (SELECT claim_id AS id FROM claims WHERE score_milli >= {T} ORDER BY sco
 
 
 def _top_claim(ctx: Context) -> DataFrame:
-    return landmarks_df(ctx.tables.claims, ctx.cfg.threshold_milli, 1).select(F.col("claim_id").alias("id"))
+    return landmarks_df(ctx.stored.claims, ctx.cfg.threshold_milli, 1).select(F.col("claim_id").alias("id"))
 
 
 @register(
@@ -158,7 +158,7 @@ def bfs_paths(spark, sf_dir):
     """All shortest filed_by/shared_contact paths from the top claim to other high-fraud claims."""
     ctx = context(spark, sf_dir)
     top = _top_claim(ctx)
-    tgt = ctx.tables.claims.where(F.col("score_milli") >= ctx.cfg.threshold_milli).select(F.col("claim_id").alias("id"))
+    tgt = ctx.stored.claims.where(F.col("score_milli") >= ctx.cfg.threshold_milli).select(F.col("claim_id").alias("id"))
     g = ctx.graph
     # from/to sets as semi-joins against one-row and claim-sized frames, no driver round trip
     froms = g.vertices.join(top, "id", "left_semi").withColumn("_from", F.lit(True))

@@ -25,7 +25,7 @@ RING_RELS = C.VIEWS["ring"]
 
 def components_df(ctx: Context, relationships=RING_RELS) -> DataFrame:
     v = ctx.graph.vertices.select("id", "type", "fraud_score", "score_milli")
-    return connected_components(v, connectivity_edges(ctx.tables, relationships, ctx.cfg.as_of))
+    return connected_components(v, connectivity_edges(ctx.stored, relationships, ctx.cfg.as_of))
 
 
 def component_stats_df(comps: DataFrame, threshold_milli: int) -> DataFrame:
@@ -192,7 +192,7 @@ def top_ring_claims_q(spark, sf_dir):
     ctx = context(spark, sf_dir)
     ids = top_ring_members(ctx).where(F.col("type") == "claim").select(F.col("id").alias("claim_id"))
     return (
-        ctx.tables.claims.join(ids, "claim_id", "left_semi")
+        ctx.stored.claims.join(ids, "claim_id", "left_semi")
         .select("claim_id", "policyholder_id", "claim_amount", "fraud_score", "claim_type", "incident_date")
         .orderBy(F.desc("fraud_score"), "claim_id")
     )
@@ -200,7 +200,7 @@ def top_ring_claims_q(spark, sf_dir):
 
 def _ring_policyholders(ctx: Context) -> DataFrame:
     ids = top_ring_members(ctx).where(F.col("type") == "policyholder").select(F.col("id").alias("policyholder_id"))
-    return ctx.tables.policyholders.join(ids, "policyholder_id", "left_semi").select(
+    return ctx.stored.policyholders.join(ids, "policyholder_id", "left_semi").select(
         "policyholder_id", "name", "address", "phone", "city", "state"
     )
 

@@ -51,7 +51,7 @@ UNION ALL SELECT 'provider_hubs', CAST(count(*) AS DOUBLE) FROM (
 def run_summary(spark, sf_dir):
     """One (metric, value) row per headline figure; each part is a global aggregate."""
     ctx = context(spark, sf_dir)
-    claims = ctx.tables.claims
+    claims = ctx.stored.claims
     t = ctx.cfg.threshold_milli
     n = F.count(F.lit(1))
     high = F.count_if(F.col("score_milli") >= t)
