@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ringwise.operators.ids import decode, encode_edges, index_ids
-from ringwise.operators.iterate import NoConvergence, materialize
+from ringwise.operators.iterate import NoConvergence, materialize, observed
 
 
 def _oriented(edges: DataFrame) -> DataFrame:
@@ -68,7 +68,7 @@ def component_labels(edges: DataFrame, max_rounds: int = 200, oriented: bool = F
             .distinct()
         )
         state, _ = materialize(small, f"cc-{rnd}")
-        if (check.get.get("bad") or 0) == 0:
+        if (observed(check).get("bad") or 0) == 0:
             return _labels(state), rnd
     raise NoConvergence(f"connected components did not converge in {max_rounds} rounds")
 

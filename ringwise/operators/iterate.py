@@ -29,12 +29,25 @@ def materialize(df: DataFrame, label: str, metrics: dict[str, Column] | None = N
         df = df.observe(obs, *[c.alias(n) for n, c in metrics.items()])
     t0 = time.perf_counter()
     df.write.mode("overwrite").parquet(path)
-    values = dict(obs.get) if obs is not None else {}
+    values = observed(obs) if obs is not None else {}
     out = spark.read.parquet(path)
     if os.environ.get("RINGWISE_TRACE"):
         print(f"[materialize] {label}: {time.perf_counter() - t0:.2f}s {values}", file=sys.stderr)
     return out, values
 
 
+def observed(obs: Observation) -> dict:
+    """Metrics of an observation; {} when Spark pruned the observed subtree.
+
+    Adaptive execution replaces a subtree that turned out empty by an empty
+    relation, and its metrics node goes with it: no rows means every count is 0.
+    """
+    try:
+        row = obs.get
+    except Exception:  # noqa: BLE001 - pruned subtree reports no metrics row
+        return {}
+    return dict(row) if row else {}
+
+
 class NoConvergence(RuntimeError):
     pass

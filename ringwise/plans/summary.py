@@ -104,3 +104,34 @@ def top_rings(spark, sf_dir):
         "avg_fraud_score",
         "fraud_concentration",
     )
+
+
+ALERT_SQL = f"""
+watch AS (
+  SELECT c.id AS entity_id, 'ring' AS reason, c.component AS ring FROM comps c
+  WHERE c.type = 'policyholder' AND c.component IN (SELECT component FROM rings)
+  UNION ALL
+  SELECT adjuster_id, 'adjuster_hub', NULL FROM claims WHERE score_milli >= {T} GROUP BY adjuster_id HAVING count(*) >= 3
+  UNION ALL
+  SELECT service_provider_id, 'provider_hub', NULL FROM claims WHERE score_milli >= {T} GROUP BY service_provider_id HAVING count(*) >= 3
+),
+fanned AS (
+  SELECT claim_id, fraud_score, 'policyholder' AS role, policyholder_id AS entity_id FROM claims
+  UNION ALL SELECT claim_id, fraud_score, 'adjuster', adjuster_id FROM claims
+  UNION ALL SELECT claim_id, fraud_score, 'provider', service_provider_id FROM claims
+)"""
+
+
+@register(
+    "claim_alerts",
+    R.ring_sql(
+        "SELECT f.claim_id, f.fraud_score, f.role, f.entity_id, w.reason, w.ring FROM fanned f JOIN watch w USING (entity_id)",
+        extra=(ALERT_SQL,),
+    ),
+)
+def claim_alerts(spark, sf_dir):
+    """Batch form of the stream monitor: every claim touching a watched entity."""
+    from ringwise.streaming.monitor import alerts_for, watchlist
+
+    ctx = context(spark, sf_dir)
+    return alerts_for(ctx.stored.claims, watchlist(ctx))
