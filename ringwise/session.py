@@ -13,7 +13,19 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ringwise") -> SparkSession:
+def local_session(
+    cores: int | str = "*",
+    shuffle_partitions: int = 8,
+    app: str = "ringwise",
+    advisory_partition_bytes: str | None = None,
+    min_partition_bytes: str | None = None,
+) -> SparkSession:
+    """Local session for tests, benchmarks and the command line.
+
+    ``advisory_partition_bytes`` / ``min_partition_bytes`` tune how far AQE
+    merges small shuffle partitions (Spark defaults: 64m / 1m). Small data sets
+    merge into one task per stage by default; smaller targets keep the cores busy.
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -27,6 +39,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", os.environ.get("RINGWISE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if advisory_partition_bytes:
+        builder = builder.config("spark.sql.adaptive.advisoryPartitionSizeInBytes", advisory_partition_bytes)
+    if min_partition_bytes:
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", min_partition_bytes)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
