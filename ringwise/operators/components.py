@@ -84,15 +84,13 @@ def _labels(state: DataFrame) -> DataFrame:
 def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     """``vertices`` plus a ``component`` column (min vertex id of the component).
 
-    The loop runs on order-preserving bigint ids (``ids.index_ids``) and is
-    mapped back at the end; vertices without edges are their own component.
+    The loop runs on order-preserving bigint ids indexed from ``vertices``
+    (``ids.index_ids``); edges whose ends are not vertices are ignored. Vertices
+    without edges are their own component.
     """
-    # the string edge list is computed once; the index and the encoding read it back
-    named_edges, _ = materialize(_oriented(edges), "cc-edges")
-    index = index_ids(named_edges.select(F.col("c").alias("id")).unionByName(named_edges.select(F.col("p").alias("id"))))
-    encoded = encode_edges(named_edges.select(F.col("c").alias("src"), F.col("p").alias("dst")), index)
-    # vids preserve id order, so the (child > parent) orientation carries over
-    labels, _ = component_labels(encoded.select(F.col("src").alias("c"), F.col("dst").alias("p")), max_rounds, oriented=True)
+    index = index_ids(vertices.select("id"))
+    encoded = encode_edges(edges.select("src", "dst"), index)
+    labels, _ = component_labels(encoded, max_rounds)
     named = decode(decode(labels, index, "id", "_id"), index, "component", "_component")
     named = named.select(F.col("_id").alias("id"), F.col("_component").alias("component"))
     return vertices.join(named, "id", "left").withColumn("component", F.coalesce(F.col("component"), F.col("id")))
