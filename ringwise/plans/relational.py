@@ -261,3 +261,70 @@ ORDER BY score_milli DESC, claim_id LIMIT {C.LANDMARK_COUNT}"""
 def landmarks(spark, sf_dir):
     ctx = context(spark, sf_dir)
     return landmarks_df(ctx.tables.claims, ctx.cfg.threshold_milli, ctx.cfg.landmarks).select("claim_id", "fraud_score")
+
+
+@register(
+    "table_counts",
+    S.with_base(
+        select="""
+SELECT 'policyholders' AS table_name, count(*) AS row_count FROM policyholders
+UNION ALL SELECT 'adjusters', count(*) FROM adjusters
+UNION ALL SELECT 'service_providers', count(*) FROM service_providers
+UNION ALL SELECT 'claims', count(*) FROM claims"""
+    ),
+)
+def table_counts(spark, sf_dir):
+    """Row counts of the derived tables as one query (one job, not one per table)."""
+    t = context(spark, sf_dir).tables
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        for name, df in (
+            ("policyholders", t.policyholders),
+            ("adjusters", t.adjusters),
+            ("service_providers", t.service_providers),
+            ("claims", t.claims),
+        )
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("claims_preview", S.with_base(select="SELECT * FROM claims ORDER BY claim_id LIMIT 10"))
+def claims_preview(spark, sf_dir):
+    """First ten claims under a total order (a preview is a top-k, not an arbitrary limit)."""
+    return context(spark, sf_dir).tables.claims.orderBy("claim_id").limit(10)
+
+
+@register(
+    "degrees",
+    S.with_base(
+        select="""
+SELECT v.id, v.type,
+       CAST(coalesce(o.n, 0) AS BIGINT) AS out_degree,
+       CAST(coalesce(i.n, 0) AS BIGINT) AS in_degree,
+       CAST(coalesce(o.n, 0) + coalesce(i.n, 0) AS BIGINT) AS degree
+FROM vertices v
+LEFT JOIN (SELECT src AS id, count(*) AS n FROM edges GROUP BY src) o USING (id)
+LEFT JOIN (SELECT dst AS id, count(*) AS n FROM edges GROUP BY dst) i USING (id)"""
+    ),
+)
+def degrees(spark, sf_dir):
+    """Out-, in- and total degree of every vertex (partial aggregation per endpoint)."""
+    g = context(spark, sf_dir).graph
+    out_d = g.edges.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("out_degree"))
+    in_d = g.edges.groupBy(F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("in_degree"))
+    zero = F.lit(0).cast("long")
+    return (
+        g.vertices.select("id", "type")
+        .join(out_d, "id", "left")
+        .join(in_d, "id", "left")
+        .select(
+            "id",
+            "type",
+            F.coalesce("out_degree", zero).alias("out_degree"),
+            F.coalesce("in_degree", zero).alias("in_degree"),
+            (F.coalesce("out_degree", zero) + F.coalesce("in_degree", zero)).alias("degree"),
+        )
+    )

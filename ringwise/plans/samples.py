@@ -73,14 +73,24 @@ def sample_high_fraud_network(spark, sf_dir):
     S.with_base(
         S40,
         select="""
-SELECT id, type, fraud_score FROM vertices
+SELECT id, type, fraud_score,
+       coalesce(fraud_score, 0.0) AS display_score,
+       CASE WHEN length(id) > 8 THEN substr(id, 1, 8) || '...' ELSE id END AS label
+FROM vertices
 WHERE id IN (SELECT src FROM s40) OR id IN (SELECT dst FROM s40)""",
     ),
 )
 def sample_high_fraud_vertices(spark, sf_dir):
+    """Endpoints of the sample with the drawing attributes: score (NULL shown as 0) and short label."""
     ctx = context(spark, sf_dir)
     ids = endpoints(high_fraud_network(ctx))
-    return ctx.graph.vertices.join(ids, "id", "left_semi").select("id", "type", "fraud_score")
+    return ctx.graph.vertices.join(ids, "id", "left_semi").selectExpr(
+        "id",
+        "type",
+        "fraud_score",
+        "coalesce(fraud_score, 0.0D) AS display_score",
+        "CASE WHEN length(id) > 8 THEN concat(substring(id, 1, 8), '...') ELSE id END AS label",
+    )
 
 
 @register(
