@@ -170,15 +170,33 @@ def sample_component_members(spark, sf_dir):
 @register(
     "sample_components",
     R.ring_sql(
-        """
+        f"""
 SELECT src, dst, relationship FROM edges
-WHERE src IN (SELECT id FROM mid3_members) AND dst IN (SELECT id FROM mid3_members)""",
-        extra=(MID3,),
+WHERE src IN (SELECT id FROM mid3_members) AND dst IN (SELECT id FROM mid3_members)
+UNION ALL
+SELECT * FROM (
+  SELECT src, dst, relationship FROM edges
+  WHERE (src IN (SELECT id FROM hf10) OR dst IN (SELECT id FROM hf10)) AND NOT EXISTS (SELECT 1 FROM mid3)
+  ORDER BY src, dst, relationship LIMIT 40)""",
+        extra=(MID3, f"\nhf10 AS (SELECT id FROM comps WHERE type = 'claim' AND score_milli >= {T} ORDER BY id LIMIT 10)"),
     ),
 )
 def sample_components(spark, sf_dir):
+    """Inner edges of the three mid-size suspicious components; without any, the
+    edges (at most 40) touching ten high-fraud claims."""
     ctx = context(spark, sf_dir)
-    return inside(ctx.graph.edges.select(*EDGE_COLS), _mid3_members(ctx).select("id"))
+    members = _mid3_members(ctx)
+    edges = ctx.graph.edges.select(*EDGE_COLS)
+    # a bounded scalar decides the branch (at most three components qualify)
+    if members.select("component").distinct().count() > 0:
+        return inside(edges, members.select("id"))
+    hf10 = (
+        ctx.graph.vertices.where((F.col("type") == "claim") & (F.col("score_milli") >= ctx.cfg.threshold_milli))
+        .select("id")
+        .orderBy("id")
+        .limit(10)
+    )
+    return touching(edges, hf10).orderBy("src", "dst", "relationship").limit(40)
 
 
 # ---------------------------------------------------------------- pagerank / communities / triangles
