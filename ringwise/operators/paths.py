@@ -16,18 +16,24 @@ from pyspark.sql import functions as F
 from ringwise.operators.iterate import materialize
 
 
-def adjacency(edges: DataFrame, direction: str) -> DataFrame:
-    """(frm, nb): one step of the search starts at ``frm`` and reaches ``nb``."""
+def adjacency(edges: DataFrame, direction: str, dedupe: bool = True) -> DataFrame:
+    """(frm, nb): one step of the search starts at ``frm`` and reaches ``nb``.
+
+    ``dedupe=False`` keeps parallel edges: harmless (and a shuffle cheaper) when
+    every level is de-duplicated after the join, as distances are.
+    """
     e = edges.select("src", "dst").where(F.col("src").isNotNull() & F.col("dst").isNotNull())
     fwd = e.select(F.col("src").alias("frm"), F.col("dst").alias("nb"))
     rev = e.select(F.col("dst").alias("frm"), F.col("src").alias("nb"))
     if direction == "out":  # walk backwards from the landmark
-        return rev.distinct()
-    if direction == "in":
-        return fwd.distinct()
-    if direction == "both":
-        return fwd.unionByName(rev).distinct()
-    raise ValueError(f"direction must be out, in or both, not {direction!r}")
+        adj = rev
+    elif direction == "in":
+        adj = fwd
+    elif direction == "both":
+        adj = fwd.unionByName(rev)
+    else:
+        raise ValueError(f"direction must be out, in or both, not {direction!r}")
+    return adj.distinct() if dedupe else adj
 
 
 def shortest_paths(edges: DataFrame, landmarks: DataFrame, direction: str = "out", max_depth: int | None = None) -> DataFrame:
@@ -36,7 +42,7 @@ def shortest_paths(edges: DataFrame, landmarks: DataFrame, direction: str = "out
     ``landmarks`` has an ``id`` column. Multi-source: all landmarks advance in
     the same rounds, keyed by (id, landmark).
     """
-    adj, _ = materialize(adjacency(edges, direction), "sp-adj")
+    adj, _ = materialize(adjacency(edges, direction, dedupe=False), "sp-adj")
     level, _ = materialize(
         landmarks.select("id", F.col("id").alias("landmark"), F.lit(0).alias("distance")).distinct(), "sp-0"
     )
