@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ringwise.operators.ids import decode, encode_edges, index_ids
 from ringwise.operators.iterate import materialize
 
 
@@ -26,8 +27,17 @@ def pagerank(
     rounds: int = 10,
     tol: float | None = None,
 ) -> DataFrame:
-    """(id, pagerank) for every vertex."""
-    ids = vertices.select("id")
+    """(id, pagerank) for every vertex.
+
+    The rounds join and aggregate on bigint vertex ids (``ids.index_ids``);
+    edges whose ends are not vertices are ignored.
+    """
+    index = index_ids(vertices.select("id"))
+    ranks = _pagerank(index.select(F.col("vid").alias("id")), encode_edges(edges.select("src", "dst"), index), reset, rounds, tol)
+    return decode(ranks.withColumnRenamed("id", "vid"), index, "vid", "id").select("id", "pagerank")
+
+
+def _pagerank(ids: DataFrame, edges: DataFrame, reset: float, rounds: int, tol: float | None) -> DataFrame:
     e = edges.select("src", "dst").where(F.col("src").isNotNull() & F.col("dst").isNotNull())
     outdeg = e.groupBy("src").agg(F.count(F.lit(1)).alias("outdeg"))
     weighted, _ = materialize(
