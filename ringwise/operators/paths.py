@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ringwise.operators.ids import decode, encode_edges, index_ids
 from ringwise.operators.iterate import materialize
 
 
@@ -36,12 +37,26 @@ def adjacency(edges: DataFrame, direction: str, dedupe: bool = True) -> DataFram
     return adj.distinct() if dedupe else adj
 
 
-def shortest_paths(edges: DataFrame, landmarks: DataFrame, direction: str = "out", max_depth: int | None = None) -> DataFrame:
+def shortest_paths(
+    edges: DataFrame,
+    landmarks: DataFrame,
+    direction: str = "out",
+    max_depth: int | None = None,
+    vertices: DataFrame | None = None,
+) -> DataFrame:
     """(id, landmark, distance) for every vertex that can reach a landmark.
 
     ``landmarks`` has an ``id`` column. Multi-source: all landmarks advance in
-    the same rounds, keyed by (id, landmark).
+    the same rounds, keyed by (id, landmark). With ``vertices`` the levels are
+    computed on bigint vertex ids (narrower join and distinct keys) and decoded
+    at the end; edges whose ends are not vertices are then ignored.
     """
+    if vertices is not None:
+        index = index_ids(vertices.select("id"))
+        enc_lm = landmarks.select("id").join(index, "id").select(F.col("vid").alias("id"))
+        found = shortest_paths(encode_edges(edges.select("src", "dst"), index), enc_lm, direction, max_depth)
+        named = decode(decode(found, index, "id", "_id"), index, "landmark", "_landmark")
+        return named.select(F.col("_id").alias("id"), F.col("_landmark").alias("landmark"), "distance")
     adj, _ = materialize(adjacency(edges, direction, dedupe=False), "sp-adj")
     level, _ = materialize(
         landmarks.select("id", F.col("id").alias("landmark"), F.lit(0).alias("distance")).distinct(), "sp-0"

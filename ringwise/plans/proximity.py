@@ -24,7 +24,7 @@ def _landmark_ids(ctx: Context) -> DataFrame:
 
 
 def distances_df(ctx: Context, direction: str) -> DataFrame:
-    return shortest_paths(ctx.graph.edges, _landmark_ids(ctx), direction)
+    return shortest_paths(ctx.graph.edges, _landmark_ids(ctx), direction, vertices=ctx.graph.vertices)
 
 
 def _adj_sql(name: str, direction: str, where: str = "") -> str:

@@ -74,6 +74,11 @@ def test_shortest_paths_directions(spark):
     assert out == {("a", "a"): 0, ("c", "a"): 1, ("b", "a"): 2}
     both = {r["id"]: r["distance"] for r in shortest_paths(e, lm, "both").collect()}
     assert both == {"a": 0, "b": 1, "c": 1, "d": 2}
+    # same answers on bigint ids (vertices given)
+    out_v = {(r["id"], r["landmark"]): r["distance"] for r in shortest_paths(e, lm, "out", vertices=v).collect()}
+    assert out_v == out
+    both_v = {r["id"]: r["distance"] for r in shortest_paths(e, lm, "both", vertices=v).collect()}
+    assert both_v == both
 
 
 def test_pagerank_parallel_edges_and_sum(spark):
