@@ -7,7 +7,8 @@ the smallest label, and a vertex that receives nothing keeps its label.
 
 The mode is found with two aggregates instead of a window, so a hub receiving a
 third of all messages is pre-aggregated on the map side: count per (vertex,
-label), max count per vertex, then the smallest label at that count.
+label), then one max per vertex over (votes, inverted label) packed into a
+decimal -- more votes win, ties go to the smallest label.
 """
 
 from __future__ import annotations
@@ -19,6 +20,12 @@ from ringwise.operators.ids import decode, encode_edges, index_ids
 from ringwise.operators.iterate import materialize
 
 
+# Packing of (votes, label) into one hash-aggregatable decimal (labels are non-negative longs).
+_PACK = "decimal(38,0)"
+_SHIFT = 2**63
+_LAST = 2**63 - 1
+
+
 def label_propagation(vertices: DataFrame, edges: DataFrame, rounds: int = 5) -> DataFrame:
     """(id, label) for every vertex.
 
@@ -47,12 +54,11 @@ def _propagate(vertices: DataFrame, edges: DataFrame, rounds: int) -> DataFrame:
             .groupBy("v", "label")
             .agg(F.count(F.lit(1)).alias("votes"))
         )
-        top = votes.groupBy("v").agg(F.max("votes").alias("top"))
-        winner = (
-            votes.join(top, "v")
-            .where(F.col("votes") == F.col("top"))
-            .groupBy(F.col("v").alias("id"))
-            .agg(F.min("label").alias("new_label"))
+        # most votes first, then the smallest label: one max over votes * 2^63 + (2^63 - 1 - label)
+        shift = F.lit(str(_SHIFT)).cast(_PACK)
+        packed = F.col("votes").cast(_PACK) * shift + (F.lit(_LAST) - F.col("label")).cast(_PACK)
+        winner = votes.groupBy(F.col("v").alias("id")).agg(F.max(packed).alias("best")).select(
+            "id", (F.lit(_LAST) - (F.col("best") % shift).cast("long")).alias("new_label")
         )
         nxt = labels.join(winner, "id", "left").select("id", F.coalesce("new_label", "label").alias("label"))
         labels, _ = materialize(nxt, f"lp-{rnd}")
