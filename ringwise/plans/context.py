@@ -40,6 +40,12 @@ class Context:
     def graph(self) -> PropertyGraph:
         return build_graph(self.stored, self.cfg.as_of)
 
+    @cached_property
+    def direct_graph(self) -> PropertyGraph:
+        """The graph over the derived tables without storing them first: for
+        queries that read every part exactly once (a store would only add a write)."""
+        return build_graph(self.tables, self.cfg.as_of)
+
 
 def context(spark: SparkSession, sf_dir: str, cfg: RiskConfig | None = None) -> Context:
     return Context(spark, sf_dir, cfg or RiskConfig())

@@ -146,12 +146,12 @@ def top_claim_types(spark, sf_dir):
 
 @register("vertices", S.with_base(select="SELECT * EXCLUDE (score_milli) FROM vertices"))
 def vertices(spark, sf_dir):
-    return context(spark, sf_dir).graph.vertices.drop("score_milli")
+    return context(spark, sf_dir).direct_graph.vertices.drop("score_milli")
 
 
 @register("vertex_type_counts", S.with_base(select="SELECT type, count(*) AS count FROM vertices GROUP BY type"))
 def vertex_type_counts(spark, sf_dir):
-    g = context(spark, sf_dir).graph
+    g = context(spark, sf_dir).direct_graph
     return g.vertices.groupBy("type").agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), "type")
 
 
