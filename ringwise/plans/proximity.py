@@ -94,8 +94,7 @@ def close_to_fraud_directed_q(spark, sf_dir):
 
 # ---------------------------------------------------------------- BFS
 
-TOP1_SQL = "\nsrc1 AS (SELECT claim_id AS id FROM lm ORDER BY claim_id LIMIT 1)"
-# the first landmark: highest score, then lowest id -- lm is ordered that way, so take its minimum by that order
+# the first landmark: highest score, then lowest id
 TOP1_SQL = f"""
 src1 AS (SELECT claim_id AS id FROM claims WHERE score_milli >= {T} ORDER BY score_milli DESC, claim_id LIMIT 1)"""
 
