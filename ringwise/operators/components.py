@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ringwise.operators.ids import decode, encode_edges, index_ids
-from ringwise.operators.iterate import NoConvergence, materialize, observed
+from ringwise.operators.iterate import NoConvergence, Rounds, observed
 
 
 def _oriented(edges: DataFrame) -> DataFrame:
@@ -40,7 +40,8 @@ def component_labels(edges: DataFrame, max_rounds: int = 200, oriented: bool = F
 
     ``oriented=True`` means ``edges`` already has columns (c, p), c > p, distinct.
     """
-    state, _ = materialize(edges if oriented else _oriented(edges), "cc-init")
+    rounds = Rounds(edges.sparkSession, "cc")
+    state, _ = rounds.write(edges if oriented else _oriented(edges), 0)
     for rnd in range(1, max_rounds + 1):
         sym = state.select(F.col("p").alias("u"), F.col("c").alias("v")).unionByName(
             state.select(F.col("c").alias("u"), F.col("p").alias("v"))
@@ -67,7 +68,7 @@ def component_labels(edges: DataFrame, max_rounds: int = 200, oriented: bool = F
             .unionByName(best.select("c", F.col("m2").alias("p")))
             .distinct()
         )
-        state, _ = materialize(small, f"cc-{rnd}")
+        state, _ = rounds.write(small, rnd)
         if (observed(check).get("bad") or 0) == 0:
             return _labels(state), rnd
     raise NoConvergence(f"connected components did not converge in {max_rounds} rounds")

@@ -19,10 +19,16 @@ from pyspark.sql import Column, DataFrame, Observation
 from ringwise.session import scratch_path
 
 
-def materialize(df: DataFrame, label: str, metrics: dict[str, Column] | None = None) -> tuple[DataFrame, dict]:
-    """Write ``df`` to the checkpoint folder, return (re-read frame, observed metrics)."""
+def materialize(
+    df: DataFrame, label: str, metrics: dict[str, Column] | None = None, path: str | None = None
+) -> tuple[DataFrame, dict]:
+    """Write ``df`` to the checkpoint folder, return (re-read frame, observed metrics).
+
+    ``path`` overrides the fresh sub-folder (see ``Rounds``); the write replaces
+    whatever that folder held.
+    """
     spark = df.sparkSession
-    path = scratch_path(spark, label)
+    path = path or scratch_path(spark, label)
     obs = None
     if metrics:
         obs = Observation(f"{label}-{uuid.uuid4().hex[:8]}")
@@ -36,6 +42,22 @@ def materialize(df: DataFrame, label: str, metrics: dict[str, Column] | None = N
     return out, values
 
 
+class Rounds:
+    """Two alternating folders for a loop whose round r only reads round r - 1.
+
+    Round r overwrites slot r % 2, i.e. round r - 2, which no plan reads any
+    more: a loop keeps at most two rounds on disk however long it runs, and a
+    task lost in round r is recomputed from round r - 1, which is intact.
+    """
+
+    def __init__(self, spark, label: str):
+        self.label = label
+        self.base = scratch_path(spark, label)
+
+    def write(self, df: DataFrame, rnd: int, metrics: dict[str, Column] | None = None) -> tuple[DataFrame, dict]:
+        return materialize(df, f"{self.label}-{rnd}", metrics, path=f"{self.base}/slot-{rnd % 2}")
+
+
 def observed(obs: Observation) -> dict:
     """Metrics of an observation; {} when Spark pruned the observed subtree.
 

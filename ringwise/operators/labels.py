@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringwise.operators.ids import decode, encode_edges, index_ids
-from ringwise.operators.iterate import materialize
+from ringwise.operators.iterate import Rounds, materialize
 
 
 # Packing of (votes, label) into one hash-aggregatable decimal (labels are non-negative longs).
@@ -47,7 +47,8 @@ def _propagate(vertices: DataFrame, edges: DataFrame, rounds: int) -> DataFrame:
         ),
         "lp-wires",
     )
-    labels, _ = materialize(vertices.select("id", F.col("id").alias("label")), "lp-0")
+    store = Rounds(vertices.sparkSession, "lp")
+    labels, _ = store.write(vertices.select("id", F.col("id").alias("label")), 0)
     for rnd in range(1, rounds + 1):
         votes = (
             wires.join(labels.withColumnRenamed("id", "u"), "u")
@@ -61,5 +62,5 @@ def _propagate(vertices: DataFrame, edges: DataFrame, rounds: int) -> DataFrame:
             "id", (F.lit(_LAST) - (F.col("best") % shift).cast("long")).alias("new_label")
         )
         nxt = labels.join(winner, "id", "left").select("id", F.coalesce("new_label", "label").alias("label"))
-        labels, _ = materialize(nxt, f"lp-{rnd}")
+        labels, _ = store.write(nxt, rnd)
     return labels

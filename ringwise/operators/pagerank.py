@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringwise.operators.ids import decode, encode_edges, index_ids
-from ringwise.operators.iterate import materialize
+from ringwise.operators.iterate import Rounds, materialize
 
 
 def pagerank(
@@ -43,7 +43,8 @@ def _pagerank(ids: DataFrame, edges: DataFrame, reset: float, rounds: int, tol:
     weighted, _ = materialize(
         e.join(outdeg, "src").select("src", "dst", (F.lit(1.0) / F.col("outdeg")).alias("w")), "pr-weights"
     )
-    ranks, _ = materialize(ids.select("id", F.lit(1.0).alias("rank")), "pr-0")
+    store = Rounds(ids.sparkSession, "pr")
+    ranks, _ = store.write(ids.select("id", F.lit(1.0).alias("rank")), 0)
     for rnd in range(1, rounds + 1):
         contrib = (
             weighted.join(ranks.withColumnRenamed("id", "src"), "src")
@@ -61,7 +62,7 @@ def _pagerank(ids: DataFrame, edges: DataFrame, reset: float, rounds: int, tol:
         metrics = {"total": F.sum("rank"), "n": F.count(F.lit(1))}
         if tol is not None:
             metrics["delta"] = F.max("delta")
-        ranks, m = materialize(nxt, f"pr-{rnd}", metrics)
+        ranks, m = store.write(nxt, rnd, metrics)
         ranks = ranks.drop("delta")
         if tol is not None and (m.get("delta") or 0.0) < tol:
             break
