@@ -35,28 +35,36 @@ def _oriented(edges: DataFrame) -> DataFrame:
     return e.select(F.greatest("a", "b").alias("c"), F.least("a", "b").alias("p")).distinct()
 
 
+def _stats(state: DataFrame) -> DataFrame:
+    """Per node u: smallest neighbour m(u) and whether u breaks the star-forest rule
+    (it has a parent and a child, or two different parents)."""
+    sym = state.select(F.col("p").alias("u"), F.col("c").alias("v")).unionByName(
+        state.select(F.col("c").alias("u"), F.col("p").alias("v"))
+    )
+    agg = sym.groupBy("u").agg(
+        F.min("v").alias("mn"),
+        F.max("v").alias("mx"),
+        F.max(F.when(F.col("v") < F.col("u"), F.col("v"))).alias("pmax"),
+    )
+    violation = (F.col("mn") < F.col("u")) & ((F.col("mx") > F.col("u")) | (F.col("pmax") != F.col("mn")))
+    return agg.select("u", F.least("mn", "u").alias("m"), violation.alias("bad"))
+
+
 def component_labels(edges: DataFrame, max_rounds: int = 200, oriented: bool = False) -> tuple[DataFrame, int]:
     """(id, component) for every vertex touched by ``edges``; also the number of rounds.
 
     ``oriented=True`` means ``edges`` already has columns (c, p), c > p, distinct.
+    A round's own job reports whether its *input* was already a star forest.
+    When a round leaves the edge count unchanged (observed while writing), a
+    small aggregate checks its *output* directly, which usually saves the
+    confirming round.
     """
     rounds = Rounds(edges.sparkSession, "cc")
-    state, _ = rounds.write(edges if oriented else _oriented(edges), 0)
+    state, m0 = rounds.write(edges if oriented else _oriented(edges), 0, {"rows": F.count(F.lit(1))})
+    size = m0.get("rows") or 0
     for rnd in range(1, max_rounds + 1):
-        sym = state.select(F.col("p").alias("u"), F.col("c").alias("v")).unionByName(
-            state.select(F.col("c").alias("u"), F.col("p").alias("v"))
-        )
-        stats = sym.groupBy("u").agg(
-            F.min("v").alias("mn"),
-            F.max("v").alias("mx"),
-            F.max(F.when(F.col("v") < F.col("u"), F.col("v"))).alias("pmax"),
-        )
-        violation = (F.col("mn") < F.col("u")) & ((F.col("mx") > F.col("u")) | (F.col("pmax") != F.col("mn")))
-        # counts, during the round's own job, how far this round's input is from a star forest
         check = Observation(f"cc-{rnd}-{uuid.uuid4().hex[:8]}")
-        stats = stats.select("u", F.least("mn", "u").alias("m"), violation.alias("bad")).observe(
-            check, F.count_if(F.col("bad")).alias("bad")
-        )
+        stats = _stats(state).observe(check, F.count_if(F.col("bad")).alias("bad"))
         # large-star: children of u move to m(u)
         large = state.join(stats, state.p == stats.u).select(state.c.alias("c"), stats.m.alias("m"))
         # small-star: parents of c (and c) move to the smallest parent
@@ -68,9 +76,13 @@ def component_labels(edges: DataFrame, max_rounds: int = 200, oriented: bool = F
             .unionByName(best.select("c", F.col("m2").alias("p")))
             .distinct()
         )
-        state, _ = rounds.write(small, rnd)
+        state, m = rounds.write(small, rnd, {"rows": F.count(F.lit(1))})
         if (observed(check).get("bad") or 0) == 0:
             return _labels(state), rnd
+        rows = m.get("rows") or 0
+        if rows == size and _stats(state).where("bad").limit(1).count() == 0:
+            return _labels(state), rnd
+        size = rows
     raise NoConvergence(f"connected components did not converge in {max_rounds} rounds")
 
 
