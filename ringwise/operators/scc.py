@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ringwise.operators.iterate import NoConvergence, materialize
+from ringwise.operators.iterate import NoConvergence, Rounds, materialize
 
 
 def _trim(active: DataFrame, live: DataFrame, phase: int, max_rounds: int):
@@ -53,7 +53,8 @@ def strongly_connected_components(vertices: DataFrame, edges: DataFrame, max_pha
         active, live, trimmed = _trim(active, live, phase, max_rounds)
         if trimmed is not None:
             found = trimmed if found is None else found.unionByName(trimmed)
-        colour, m = materialize(active.select("id", F.col("id").alias("colour")), f"scc-{phase}-c0", {"n": F.count(F.lit(1))})
+        slots = Rounds(active.sparkSession, f"scc-{phase}-colour")
+        colour, m = slots.write(active.select("id", F.col("id").alias("colour")), 0, {"n": F.count(F.lit(1))})
         if not m.get("n"):
             break
         for rnd in range(1, max_rounds + 1):
@@ -67,7 +68,7 @@ def strongly_connected_components(vertices: DataFrame, edges: DataFrame, max_pha
                 F.least("colour", F.coalesce("cand", "colour")).alias("colour"),
                 (F.coalesce(F.col("cand"), F.col("colour")) < F.col("colour")).alias("moved"),
             )
-            colour, mc = materialize(nxt, f"scc-{phase}-c{rnd}", {"moved": F.count_if(F.col("moved"))})
+            colour, mc = slots.write(nxt, rnd, {"moved": F.count_if(F.col("moved"))})
             colour = colour.drop("moved")
             if not mc.get("moved"):
                 break
