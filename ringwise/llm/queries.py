@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringwise.llm import language, mixing, packing, sharding
+from ringwise.llm import fingerprints, language, mixing, packing, quality, sharding
 from ringwise.llm.common import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,11 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(docs).select("doc_id", *sharding.ADDED)
 
 
+@query
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -41,6 +46,12 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs.select("doc_id", "text"), filters).select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return quality.judge(docs).select("doc_id", *quality.BASE, "kept", "distance")
+
+
 @query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
