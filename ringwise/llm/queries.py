@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringwise.llm import fingerprints, language, mixing, packing, quality, sharding
+from ringwise.llm import fingerprints, language, mixing, packing, quality, sharding, suffix_dedup
 from ringwise.llm.common import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,12 @@ def query(build: Build) -> Build:
     return build
 
 
+@query
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.dedup(docs)
+
+
 @query
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
