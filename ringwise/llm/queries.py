@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringwise.llm import fingerprints, language, mixing, packing, quality, sharding, suffix_dedup
+from ringwise.llm import fingerprints, jaccard_join, language, mixing, packing, quality, sharding, suffix_dedup
 from ringwise.llm.common import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs).select("doc_id", *quality.BASE, "kept", "distance")
 
 
+@query
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
