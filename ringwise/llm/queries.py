@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringwise.llm import fingerprints, jaccard_join, language, mixing, packing, quality, sharding, suffix_dedup
+from ringwise.llm import fingerprints, html_text, jaccard_join, language, mixing, packing, quality, sharding, suffix_dedup
 from ringwise.llm.common import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
+@query
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages, html_text.learn(pages))
+
+
 @query
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
