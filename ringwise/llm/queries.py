@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringwise.llm import fingerprints, html_text, jaccard_join, language, mixing, packing, quality, sharding, suffix_dedup
+from ringwise.llm import chat, fingerprints, html_text, jaccard_join, language, mixing, packing, quality, sharding, suffix_dedup
 from ringwise.llm.common import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,14 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(docs).select("doc_id", *sharding.ADDED)
 
 
+@query
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = chat.raw_lines(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    turns = chat.parse(lines, chat.learn(lines))
+    sha = F.sha2("rendered", 256).alias("rendered_sha256")
+    return turns.select(F.col("conv").alias("conv_id"), "turn", "role", "n_lines", F.char_length("body").cast("long").alias("n_chars"), "rendered", sha)
+
+
 @query
 def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare(table(spark, sf_dir, "documents").select("doc_id", "text"))
