@@ -1,22 +1,40 @@
-"""Corpus pipeline: the stages applied to ``documents`` one after the other."""
+"""Corpus pipeline: five stages applied to ``documents`` one after the other.
+
+Each stage takes the Parquet files that its predecessor wrote, all of them, and all but the last
+return the columns of documents. Columns of other names are left behind at the start.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import public_tokenizers
-from ringwise.llm import language, mixing, packing
+from ringwise.llm import jaccard_join, language, mixing, packing, suffix_dedup
 from ringwise.llm.common import Scratch, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language; those without text or letters go."""
+    """Documents in a language that was learned; those without text or letters go."""
     return language.identify(docs).where(F.col("lang_pred") != "und").select(*COLUMNS)
 
 
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, that of the least id."""
+    return jaccard_join.representatives(docs).select(*COLUMNS)
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that are found elsewhere too; a document may end up empty, and stays.
+
+    What is left of a character whose bytes were cut in part is dropped with them.
+    """
+    cut = suffix_dedup.dedup(docs, keep_text=True)
+    return cut.withColumns({"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("long")}).select(*COLUMNS)
+
+
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix by target weights: a row for each copy taken."""
     return mixing.materialised(mixing.mix(docs), list(COLUMNS))
@@ -29,11 +47,13 @@ def packing_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 STAGES = [
     ("language_id", language_id),
+    ("ngram_jaccard_join", ngram_jaccard_join),
+    ("suffix_array_dedup", suffix_array_dedup),
     ("mixing_sources", mixing_sources),
     ("packing", packing_sequences),
 ]
 
-#: Language ID and tokens can't be said in SQL; tests hold the run against a brute-force version.
+#: Language ID and tokens can't be said in SQL; tests hold the run against brute-force versions.
 ORACLE_SQL = None
 
 

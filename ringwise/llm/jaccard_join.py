@@ -445,8 +445,11 @@ def _in_blocks(members: DataFrame, block: int) -> DataFrame:
     return members.withColumn("block", F.floor((F.row_number().over(order) - 1) / block))
 
 
-def join(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
-    """Input columns but the text, n_shingles and component_id: the least key among all linked documents."""
+def join(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int = BLOCK, classes: bool = False) -> DataFrame:
+    """Input columns but the text, n_shingles and component_id: the least key among all linked documents.
+
+    ``classes`` adds ``class``, a name of the component that no two share, null without words.
+    """
     scratch = Scratch(docs.sparkSession, "jaccard")
     context = docs.sparkSession.sparkContext
     kept = others(docs, *ADDED, text)
@@ -488,16 +491,27 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int =
     least = scratch.save(placed.where("n > 0").groupBy("class").agg(F.min("doc").alias("least")), "least")
     result = placed.withColumn("class", F.when(F.col("n") > 0, F.col("class"))).join(least, "class", "left")
     component = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc"))
-    return result.select(*[F.col("row")[c].alias(c) for c in kept], F.col("n").alias("n_shingles"), component.alias("component_id"))
+    out = [F.col("row")[c].alias(c) for c in kept] + [F.col("n").alias("n_shingles"), component.alias("component_id")]
+    return result.select(*out, *(["class"] if classes else []))
 
 
 def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents of ``docs`` that stay: of each group of linked ones the one with the least key.
 
-    Rows that repeat a key are told apart by their texts; equal rows stay once.
+    Where a key is repeated, the least hash of the text decides; equal rows stay once. Documents
+    without words all stay.
     """
-    joined = join(docs.select(key, text), key, text).where(F.col("component_id").eqNullSafe(F.col(key)))
-    once = Window.partitionBy(key).orderBy(F.xxhash64(text))
-    keys = joined.select(key).distinct()
-    same = docs.join(keys.withColumnRenamed(key, "__key"), F.col(key).eqNullSafe(F.col("__key")), "left_semi")
-    return same.withColumn("__at", F.row_number().over(once)).where("__at = 1").drop("__at")
+    scratch = Scratch(docs.sparkSession, "representatives")
+    hashed = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("hash"))
+    light = join(hashed, "key", "text", classes=True).where("class is not null").select("key", "hash", "class")
+    light = scratch.save(light, "light")
+    rank = F.struct(F.col("key").isNull().alias("last"), "key", "hash")
+    best = scratch.save(light.groupBy("class").agg(F.min(rank).alias("best")), "best")
+    away = light.join(best, "class").where(rank != F.col("best")).select(F.col("key").alias("__key"), F.col("hash").alias("__hash"))
+    away = scratch.save(away.distinct(), "away")
+    again = light.groupBy("key", "hash").agg(F.count("*").alias("n")).where("n > 1")
+    again = scratch.save(again.select(F.col("key").alias("__key"), F.col("hash").alias("__hash")), "again")
+    same = F.col(key).eqNullSafe(F.col("__key")) & F.xxhash64(text).eqNullSafe(F.col("__hash"))
+    left = docs.join(away, same, "left_anti")
+    once = left.join(again, same, "left_semi").withColumn("__hash", F.xxhash64(text)).dropDuplicates([key, "__hash"]).drop("__hash")
+    return left.join(again, same, "left_anti").unionByName(once)
