@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # Thresholds and round counts used by the analyses.
 DEFAULT_AS_OF = "2001-09-01"
@@ -60,7 +60,7 @@ class RiskConfig:
     pagerank_rounds: int = PAGERANK_ROUNDS
     label_rounds: int = LABEL_ROUNDS
     landmarks: int = LANDMARK_COUNT
-    ring_view: tuple = field(default=VIEWS["ring"])
+    max_path_length: int = 10
 
     @property
     def threshold(self) -> float:

@@ -12,9 +12,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 
 def draw_sql(key: str, a: int, b: int, p: int) -> str:
     """``(key * a + b) % p`` for a non-negative bigint key."""
@@ -22,24 +19,12 @@ def draw_sql(key: str, a: int, b: int, p: int) -> str:
 
 
 def key_sql(prefix: str, key: str, width: int) -> str:
-    """``prefix`` + zero-padded decimal key, e.g. ``CLM0000000042``."""
-    return f"concat('{prefix}', lpad(cast({key} as string), {width}, '0'))"
+    """``prefix`` + decimal key with zeros up to ``width``, e.g. ``CLM0000000042``; longer keys stay whole."""
+    digits = f"cast({key} as string)"
+    return f"concat('{prefix}', lpad({digits}, greatest({width}, length({digits})), '0'))"
 
 
 def pick_sql(values: Sequence[str], index: str) -> str:
     """Element ``index`` (0-based) of a literal list; out of range gives NULL."""
     items = ", ".join("'" + v.replace("'", "\\'") + "'" for v in values)
     return f"get(array({items}), cast({index} as int))"
-
-
-def draw(key: Column, a: int, b: int, p: int) -> Column:
-    """Column form of ``draw_sql``."""
-    return ((key % F.lit(p)) * F.lit(a) + F.lit(b)) % F.lit(p)
-
-
-def entity_key(prefix: str, key: Column, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(key.cast("string"), width, "0"))
-
-
-def pick(values: Sequence[str], index: Column) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))

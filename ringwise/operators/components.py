@@ -9,23 +9,21 @@ State: edges (c, p) oriented child > parent. Each round:
   attached to m'.
 
 Both steps are group-by aggregates (partial aggregation before the shuffle, so a
-hub holding a third of all edges costs one row per map task) joined back to the
-edge list (AQE splits a skewed join partition). The input of a round is a star
+hub holding a third of all edges costs one row per map task), written, and joined
+back to the edge list (AQE splits a skewed join partition). The input of a round is a star
 forest -- every node has at most one parent and no node is both parent and child
--- exactly when the algorithm has converged; the round counts violations of that
-rule while it runs, and stops once there are none. The component id of a vertex
+-- exactly when the algorithm has converged; the written minima count violations
+of that rule, and the loop stops once there are none. The component id of a vertex
 is the smallest vertex id in its component; isolated vertices keep their own id.
 """
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringwise.operators.ids import decode, encode_edges, index_ids
-from ringwise.operators.iterate import NoConvergence, Rounds, observed
+from ringwise.operators.iterate import NoConvergence, Rounds
 
 
 def _oriented(edges: DataFrame) -> DataFrame:
@@ -54,21 +52,23 @@ def component_labels(edges: DataFrame, max_rounds: int = 200, oriented: bool = F
     """(id, component) for every vertex touched by ``edges``; also the number of rounds.
 
     ``oriented=True`` means ``edges`` already has columns (c, p), c > p, distinct.
-    A round's own job reports whether its *input* was already a star forest.
-    When a round leaves the edge count unchanged (observed while writing), a
-    small aggregate checks its *output* directly, which usually saves the
-    confirming round.
+    Each step's per-node minima are written before they are joined to the edges,
+    so that the join is one of two written tables, of which adaptive execution
+    splits a hot key's edges. The written minima also say whether the round's
+    input was a star forest already.
     """
-    rounds = Rounds(edges.sparkSession, "cc")
-    state, m0 = rounds.write(edges if oriented else _oriented(edges), 0, {"rows": F.count(F.lit(1))})
-    size = m0.get("rows") or 0
+    spark = edges.sparkSession
+    rounds, minima, stars, parents = (Rounds(spark, f"cc-{name}") for name in ("state", "minima", "large", "parents"))
+    state, _ = rounds.write(edges if oriented else _oriented(edges), 0)
     for rnd in range(1, max_rounds + 1):
-        check = Observation(f"cc-{rnd}-{uuid.uuid4().hex[:8]}")
-        stats = _stats(state).observe(check, F.count_if(F.col("bad")).alias("bad"))
+        stats, m = minima.write(_stats(state), rnd, {"bad": F.count_if(F.col("bad"))})
+        if not m["bad"]:
+            return _labels(state), rnd
         # large-star: children of u move to m(u)
         large = state.join(stats, state.p == stats.u).select(state.c.alias("c"), stats.m.alias("m"))
+        large, _ = stars.write(large, rnd)
         # small-star: parents of c (and c) move to the smallest parent
-        best = large.groupBy("c").agg(F.min("m").alias("m2"))
+        best, _ = parents.write(large.groupBy("c").agg(F.min("m").alias("m2")), rnd)
         small = (
             large.join(best, "c")
             .where(F.col("m") != F.col("m2"))
@@ -76,13 +76,7 @@ def component_labels(edges: DataFrame, max_rounds: int = 200, oriented: bool = F
             .unionByName(best.select("c", F.col("m2").alias("p")))
             .distinct()
         )
-        state, m = rounds.write(small, rnd, {"rows": F.count(F.lit(1))})
-        if (observed(check).get("bad") or 0) == 0:
-            return _labels(state), rnd
-        rows = m.get("rows") or 0
-        if rows == size and _stats(state).where("bad").limit(1).count() == 0:
-            return _labels(state), rnd
-        size = rows
+        state, _ = rounds.write(small, rnd)
     raise NoConvergence(f"connected components did not converge in {max_rounds} rounds")
 
 

@@ -10,11 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringwise import config as C
+from ringwise.operators.iterate import materialize
+from ringwise.operators.ranking import later_in_group
 from ringwise.sources.fixtures import ClaimTables
 
 VERTEX_COLUMNS = (
@@ -119,20 +122,6 @@ def build_vertices(t: ClaimTables) -> DataFrame:
     )
 
 
-def _claim_edges(t: ClaimTables, dst: str, relationship: str, date_col: str) -> DataFrame:
-    return _conform(
-        t.claims.selectExpr(
-            "claim_id AS src",
-            f"{dst} AS dst",
-            f"'{relationship}' AS relationship",
-            f"{date_col} AS edge_date",
-            "fraud_score",
-            "1L AS claim_count",
-        ),
-        EDGE_COLUMNS,
-    )
-
-
 def shared_contact_pairs(policyholders: DataFrame) -> DataFrame:
     """(src, dst) with src < dst for every two policyholders sharing an address or phone.
 
@@ -159,14 +148,14 @@ def shared_contact_star(policyholders: DataFrame) -> DataFrame:
 
     Each policyholder is linked to the smallest id sharing its address (and its
     phone). A contact value held by a third of all rows costs one partial
-    aggregate, not a quadratic pair list.
+    aggregate, written so that its members' join can be split.
     """
     out = None
     for attr in ("address", "phone"):
         side = policyholders.select(F.col("policyholder_id").alias("pid"), F.col(attr).alias("v")).where(
             F.col("v").isNotNull()
         )
-        root = side.groupBy("v").agg(F.min("pid").alias("root"))
+        root, _ = materialize(side.groupBy("v").agg(F.min("pid").alias("root")), f"contact-{attr}")
         star = side.join(root, "v").where(F.col("pid") != F.col("root")).select(
             F.col("root").alias("src"), F.col("pid").alias("dst")
         )
@@ -204,70 +193,119 @@ def collaboration_pairs(claims: DataFrame, left: str, right: str, min_claims: in
     )
 
 
-def _collab_edges(t: ClaimTables, left: str, right: str, min_claims: int, relationship: str, as_of: str):
-    return _conform(
-        collaboration_pairs(t.claims, left, right, min_claims).selectExpr(
-            "src", "dst", f"'{relationship}' AS relationship", f"DATE'{as_of}' AS edge_date", "fraud_score", "claim_count"
-        ),
-        EDGE_COLUMNS,
-    )
-
+def build_edges(t: ClaimTables, as_of: str = C.DEFAULT_AS_OF, relationships: Iterable[str] | None = None) -> DataFrame:
+    """Edges of the wanted relationships (all by default); what isn't wanted is not built."""
+    wanted = set(C.ALL_RELATIONSHIPS if relationships is None else relationships)
+    rest = sorted(wanted - {C.SHARED_CONTACT})
+    parts = [build_edges_without_contacts(t, as_of, rest)] if rest else []
+    if C.SHARED_CONTACT in wanted:
+        parts.append(shared_contact_edges(t, as_of))
+    return reduce(DataFrame.unionByName, parts)
 
-def build_edges(t: ClaimTables, as_of: str = C.DEFAULT_AS_OF) -> DataFrame:
-    return build_edges_without_contacts(t, as_of).unionByName(shared_contact_edges(t, as_of))
 
-
-def build_graph(t: ClaimTables, as_of: str = C.DEFAULT_AS_OF) -> PropertyGraph:
-    return PropertyGraph(build_vertices(t), build_edges(t, as_of))
+def build_graph(t: ClaimTables, as_of: str = C.DEFAULT_AS_OF, relationships: Iterable[str] | None = None) -> PropertyGraph:
+    return PropertyGraph(build_vertices(t), build_edges(t, as_of, relationships))
 
 
 def connectivity_edges(t: ClaimTables, relationships: Iterable[str], as_of: str = C.DEFAULT_AS_OF) -> DataFrame:
     """Edges of a view for connectivity-only operators (components).
 
-    Identical to ``build_edges`` filtered to the view, except that shared
-    contacts use the linear star form (same components, no pair explosion).
+    Like ``build_edges`` of the view, except that shared contacts use the linear
+    star form (same components, no pair explosion).
     """
-    rels = set(relationships)
-    full = build_edges_without_contacts(t, as_of).where(F.col("relationship").isin(sorted(rels)))
-    if C.SHARED_CONTACT in rels:
-        star = shared_contact_star(t.policyholders).select("src", "dst")
-        return full.select("src", "dst").unionByName(star)
-    return full.select("src", "dst")
+    rest = sorted(set(relationships) - {C.SHARED_CONTACT})
+    parts = [build_edges_without_contacts(t, as_of, rest).select("src", "dst")] if rest else []
+    if C.SHARED_CONTACT in relationships:
+        parts.append(shared_contact_star(t.policyholders).select("src", "dst"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def contact_members(policyholders: DataFrame) -> DataFrame:
+    """(id, value): the contact values of each holder; who shares one is an edge apart."""
+    parts = [
+        policyholders.select(F.col("policyholder_id").alias("id"), F.concat(F.lit(f"{kind}:"), F.col(kind)).alias("value"))
+        for kind in ("address", "phone")
+    ]
+    return parts[0].unionByName(parts[1]).where(F.col("value").isNotNull())
 
 
-def build_edges_without_contacts(t: ClaimTables, as_of: str = C.DEFAULT_AS_OF) -> DataFrame:
-    """All relationships except shared contacts, from two passes over the claims.
+def contact_degrees(policyholders: DataFrame) -> DataFrame:
+    """(id, out_degree, in_degree) in the shared-contact edges (smaller to larger id), from group sizes.
 
-    The three claim edges come from one scan (each claim row fans out to three
-    edges with ``inline``); the three collaboration pair sets share one scan and
-    one shuffle, grouped by (relationship, src, dst).
+    Who shares the address or the phone is who shares the one, plus the other,
+    less both. No pair is listed.
     """
-    claim_edges = t.claims.selectExpr(
-        "claim_id AS src",
-        "fraud_score",
-        f"""inline(array(
-              struct(policyholder_id AS dst, '{C.FILED_BY}' AS relationship, filing_date AS edge_date),
-              struct(adjuster_id AS dst, '{C.PROCESSED_BY}' AS relationship, filing_date AS edge_date),
-              struct(service_provider_id AS dst, '{C.SERVICED_BY}' AS relationship, incident_date AS edge_date)))""",
-    ).selectExpr("src", "dst", "relationship", "edge_date", "fraud_score", "1L AS claim_count")
-    collab = (
-        t.claims.selectExpr(
-            "score_milli",
-            f"""inline(array(
-                  struct('{C.REPEAT_ADJUSTER}' AS relationship, policyholder_id AS src, adjuster_id AS dst, 2 AS min_claims),
-                  struct('{C.REPEAT_PROVIDER}' AS relationship, policyholder_id AS src, service_provider_id AS dst, 2 AS min_claims),
-                  struct('{C.FREQUENT_COLLABORATION}' AS relationship, adjuster_id AS src, service_provider_id AS dst, 3 AS min_claims)))""",
-        )
-        .groupBy("relationship", "src", "dst", "min_claims")
-        .agg(F.count(F.lit(1)).alias("claim_count"), F.sum("score_milli").alias("sum_milli"))
-        .where(F.col("claim_count") >= F.col("min_claims"))
-        .selectExpr(
-            "src",
-            "dst",
-            "relationship",
-            f"DATE'{as_of}' AS edge_date",
-            "cast(sum_milli as double) / cast(claim_count * 1000 as double) AS fraud_score",
-            "claim_count",
+    out = policyholders.select(F.col("policyholder_id").alias("id"), "address", "phone")
+    parts = []
+    for group, sign in ((["address"], 1), (["phone"], 1), (["address", "phone"], -1)):
+        members = out.dropna(subset=group).select("id", *group)
+        size, _ = materialize(members.groupBy(*group).agg(F.count(F.lit(1)).alias("size")), "contact-sizes")
+        ranked = later_in_group(members, group, "id").join(size, group)
+        parts.append(ranked.select("id", (sign * F.col("later")).alias("o"), (sign * (F.col("size") - 1 - F.col("later"))).alias("i")))
+    return reduce(DataFrame.unionByName, parts).groupBy("id").agg(F.sum("o").alias("out_degree"), F.sum("i").alias("in_degree"))
+
+
+def contact_pair_count(policyholders: DataFrame) -> DataFrame:
+    """One row: how many shared-contact edges there are (column ``count``), from group sizes."""
+    parts = []
+    for group, sign in ((["address"], 1), (["phone"], 1), (["address", "phone"], -1)):
+        sizes = policyholders.dropna(subset=group).groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+        parts.append(sizes.agg(F.coalesce(F.sum(F.expr("n * (n - 1) div 2")), F.lit(0)).alias("pairs")).select((sign * F.col("pairs")).alias("pairs")))
+    return reduce(DataFrame.unionByName, parts).agg(F.sum("pairs").alias("count"))
+
+
+# how each relationship comes from a claim: struct fields for claim edges, and grouped pairs with their least claims
+_CLAIM_EDGES = {
+    C.FILED_BY: ("policyholder_id", "filing_date"),
+    C.PROCESSED_BY: ("adjuster_id", "filing_date"),
+    C.SERVICED_BY: ("service_provider_id", "incident_date"),
+}
+_PAIR_EDGES = {
+    C.REPEAT_ADJUSTER: ("policyholder_id", "adjuster_id", 2),
+    C.REPEAT_PROVIDER: ("policyholder_id", "service_provider_id", 2),
+    C.FREQUENT_COLLABORATION: ("adjuster_id", "service_provider_id", 3),
+}
+
+
+def _fanned(claims: DataFrame, keep: list[str], structs: list[str]) -> DataFrame:
+    """Each claim once for each struct; a single struct needs no generator."""
+    if len(structs) == 1:
+        return claims.selectExpr(*keep, f"{structs[0]} AS s").selectExpr(*[k.split(" AS ")[-1] for k in keep], "s.*")
+    return claims.selectExpr(*keep, f"inline(array({', '.join(structs)}))")
+
+
+def build_edges_without_contacts(
+    t: ClaimTables, as_of: str = C.DEFAULT_AS_OF, relationships: Iterable[str] | None = None
+) -> DataFrame:
+    """The wanted relationships except shared contacts, from at most two passes over the claims.
+
+    Claim edges come from one scan (a claim fans out to the wanted ones); the
+    collaboration pair sets share one scan and one shuffle, grouped by
+    (relationship, src, dst).
+    """
+    wanted = [r for r in C.ALL_RELATIONSHIPS if r != C.SHARED_CONTACT and (relationships is None or r in relationships)]
+    parts = []
+    direct = [r for r in wanted if r in _CLAIM_EDGES]
+    if direct:
+        structs = [f"struct({_CLAIM_EDGES[r][0]} AS dst, '{r}' AS relationship, {_CLAIM_EDGES[r][1]} AS edge_date)" for r in direct]
+        fanned = _fanned(t.claims, ["claim_id AS src", "fraud_score"], structs)
+        parts.append(_conform(fanned.selectExpr("src", "dst", "relationship", "edge_date", "fraud_score", "1L AS claim_count"), EDGE_COLUMNS))
+    pairs = [r for r in wanted if r in _PAIR_EDGES]
+    if pairs:
+        structs = ["struct('{}' AS relationship, {} AS src, {} AS dst, {} AS min_claims)".format(r, *_PAIR_EDGES[r]) for r in pairs]
+        collab = (
+            _fanned(t.claims, ["score_milli"], structs)
+            .groupBy("relationship", "src", "dst", "min_claims")
+            .agg(F.count(F.lit(1)).alias("claim_count"), F.sum("score_milli").alias("sum_milli"))
+            .where(F.col("claim_count") >= F.col("min_claims"))
+            .selectExpr(
+                "src",
+                "dst",
+                "relationship",
+                f"DATE'{as_of}' AS edge_date",
+                "cast(sum_milli as double) / cast(claim_count * 1000 as double) AS fraud_score",
+                "claim_count",
+            )
         )
-    )
-    return _conform(claim_edges, EDGE_COLUMNS).unionByName(_conform(collab, EDGE_COLUMNS))
+        parts.append(_conform(collab, EDGE_COLUMNS))
+    return reduce(DataFrame.unionByName, parts)

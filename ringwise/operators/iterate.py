@@ -3,8 +3,7 @@
 Each round's result is written as parquet under the session's checkpoint folder
 (``spark.checkpoint.dir``) and read back, so a lost executor recomputes at most
 one round and every round starts from a short plan with exact file statistics.
-Convergence metrics are gathered with ``DataFrame.observe`` in the same job that
-writes the round, so a round costs one job.
+Convergence is decided on what was written, by a small aggregate over the files.
 """
 
 from __future__ import annotations
@@ -12,9 +11,8 @@ from __future__ import annotations
 import os
 import sys
 import time
-import uuid
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 
 from ringwise.session import scratch_path
 
@@ -22,21 +20,22 @@ from ringwise.session import scratch_path
 def materialize(
     df: DataFrame, label: str, metrics: dict[str, Column] | None = None, path: str | None = None
 ) -> tuple[DataFrame, dict]:
-    """Write ``df`` to the checkpoint folder, return (re-read frame, observed metrics).
+    """Write ``df`` to the checkpoint folder, return (re-read frame, metrics of what was written).
 
-    ``path`` overrides the fresh sub-folder (see ``Rounds``); the write replaces
-    whatever that folder held.
+    Metrics are aggregates over the written files, so none can be lost: a count
+    reads the files' footers, others the columns that they name. ``path``
+    overrides the fresh sub-folder (see ``Rounds``); the write replaces whatever
+    that folder held.
     """
     spark = df.sparkSession
     path = path or scratch_path(spark, label)
-    obs = None
-    if metrics:
-        obs = Observation(f"{label}-{uuid.uuid4().hex[:8]}")
-        df = df.observe(obs, *[c.alias(n) for n, c in metrics.items()])
     t0 = time.perf_counter()
+    schema = df.schema
     df.write.mode("overwrite").parquet(path)
-    values = observed(obs) if obs is not None else {}
-    out = spark.read.parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    values = {}
+    if metrics:
+        values = out.agg(*[c.alias(n) for n, c in metrics.items()]).first().asDict()
     if os.environ.get("RINGWISE_TRACE"):
         print(f"[materialize] {label}: {time.perf_counter() - t0:.2f}s {values}", file=sys.stderr)
     return out, values
@@ -58,18 +57,5 @@ class Rounds:
         return materialize(df, f"{self.label}-{rnd}", metrics, path=f"{self.base}/slot-{rnd % 2}")
 
 
-def observed(obs: Observation) -> dict:
-    """Metrics of an observation; {} when Spark pruned the observed subtree.
-
-    Adaptive execution replaces a subtree that turned out empty by an empty
-    relation, and its metrics node goes with it: no rows means every count is 0.
-    """
-    try:
-        row = obs.get
-    except Exception:  # noqa: BLE001 - pruned subtree reports no metrics row
-        return {}
-    return dict(row) if row else {}
-
-
 class NoConvergence(RuntimeError):
     pass

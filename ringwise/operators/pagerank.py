@@ -39,7 +39,9 @@ def pagerank(
 
 def _pagerank(ids: DataFrame, edges: DataFrame, reset: float, rounds: int, tol: float | None) -> DataFrame:
     e = edges.select("src", "dst").where(F.col("src").isNotNull() & F.col("dst").isNotNull())
-    outdeg = e.groupBy("src").agg(F.count(F.lit(1)).alias("outdeg"))
+    # written first: a join with an aggregate on its own key can't be split where a key is hot
+    e, _ = materialize(e, "pr-edges")
+    outdeg, _ = materialize(e.groupBy("src").agg(F.count(F.lit(1)).alias("outdeg")), "pr-degrees")
     weighted, _ = materialize(
         e.join(outdeg, "src").select("src", "dst", (F.lit(1.0) / F.col("outdeg")).alias("w")), "pr-weights"
     )
@@ -64,11 +66,11 @@ def _pagerank(ids: DataFrame, edges: DataFrame, reset: float, rounds: int, tol:
             metrics["delta"] = F.max("delta")
         ranks, m = store.write(nxt, rnd, metrics)
         ranks = ranks.drop("delta")
-        if tol is not None and (m.get("delta") or 0.0) < tol:
+        if tol is not None and m["n"] and m["delta"] <= tol:
             break
     if rounds < 1:
         ranks, m = materialize(ranks, "pr-final", {"total": F.sum("rank"), "n": F.count(F.lit(1))})
-    if not m.get("n"):
+    if not m["n"]:
         return ranks.select("id", F.col("rank").alias("pagerank"))
-    # scale so ranks sum to |V|; total and n were observed while writing the last round
+    # scale so ranks sum to |V|
     return ranks.select("id", (F.col("rank") * F.lit(float(m["n"])) / F.lit(float(m["total"]))).alias("pagerank"))

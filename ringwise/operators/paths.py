@@ -37,12 +37,28 @@ def adjacency(edges: DataFrame, direction: str, dedupe: bool = True) -> DataFram
     return adj.distinct() if dedupe else adj
 
 
+def encode_members(groups: DataFrame, index: DataFrame) -> DataFrame:
+    """(id, value) with ids replaced by their vids."""
+    return groups.join(index, "id").select(F.col("vid").alias("id"), "value")
+
+
+def _through_groups(level: DataFrame, members: DataFrame, seen: DataFrame | None, keys: list[str], label: str):
+    """Ids that share a group value with the level, by way of the values not walked before; and all values walked."""
+    values = level.join(members, "id").select("value", *keys).distinct()
+    if seen is not None:
+        values = values.join(seen, ["value", *keys], "left_anti")
+    fresh, _ = materialize(values, f"{label}-values")
+    reached = fresh.join(members, "value").select("id", *keys)
+    return reached, fresh if seen is None else seen.unionByName(fresh)
+
+
 def shortest_paths(
     edges: DataFrame,
     landmarks: DataFrame,
     direction: str = "out",
     max_depth: int | None = None,
     vertices: DataFrame | None = None,
+    groups: DataFrame | None = None,
 ) -> DataFrame:
     """(id, landmark, distance) for every vertex that can reach a landmark.
 
@@ -50,38 +66,55 @@ def shortest_paths(
     the same rounds, keyed by (id, landmark). With ``vertices`` the levels are
     computed on bigint vertex ids (narrower join and distinct keys) and decoded
     at the end; edges whose ends are not vertices are then ignored.
+
+    ``groups`` (id, value) stands for edges between all ids of one value, for
+    direction "both": a value is walked once a landmark, from whom reaches it
+    first to all its ids, so that no pair of a group is listed.
     """
+    if groups is not None and direction != "both":
+        raise ValueError("groups are undirected: use direction both")
     if vertices is not None:
         index = index_ids(vertices.select("id"))
         enc_lm = landmarks.select("id").join(index, "id").select(F.col("vid").alias("id"))
-        found = shortest_paths(encode_edges(edges.select("src", "dst"), index), enc_lm, direction, max_depth)
+        enc_groups = None if groups is None else encode_members(groups, index)
+        found = shortest_paths(encode_edges(edges.select("src", "dst"), index), enc_lm, direction, max_depth, groups=enc_groups)
         named = decode(decode(found, index, "id", "_id"), index, "landmark", "_landmark")
         return named.select(F.col("_id").alias("id"), F.col("_landmark").alias("landmark"), "distance")
     adj, _ = materialize(adjacency(edges, direction, dedupe=False), "sp-adj")
+    members = None if groups is None else materialize(groups, "sp-members")[0]
     level, _ = materialize(
         landmarks.select("id", F.col("id").alias("landmark"), F.lit(0).alias("distance")).distinct(), "sp-0"
     )
-    visited = level
+    visited, seen = level, None
     depth = 0
     while max_depth is None or depth < max_depth:
         depth += 1
+        step = level.join(adj, level.id == adj.frm).select(adj.nb.alias("id"), "landmark")
+        if members is not None:
+            reached, seen = _through_groups(level, members, seen, ["landmark"], f"sp-{depth}")
+            step = step.unionByName(reached)
         nxt = (
-            level.join(adj, level.id == adj.frm)
-            .select(adj.nb.alias("id"), "landmark")
-            .distinct()
+            step.distinct()
             .join(visited.select("id", "landmark"), ["id", "landmark"], "left_anti")
             .select("id", "landmark", F.lit(depth).alias("distance"))
         )
         level, m = materialize(nxt, f"sp-{depth}", {"rows": F.count(F.lit(1))})
-        if not m.get("rows"):
+        if not m["rows"]:
             break
         visited = visited.unionByName(level)
     return visited
 
 
-def bfs_levels(edges: DataFrame, sources: DataFrame, direction: str = "in", max_depth: int | None = None) -> DataFrame:
+def bfs_levels(
+    edges: DataFrame,
+    sources: DataFrame,
+    direction: str = "in",
+    max_depth: int | None = None,
+    vertices: DataFrame | None = None,
+    groups: DataFrame | None = None,
+) -> DataFrame:
     """(id, depth): hop count from the nearest source (``direction`` "in" follows edges)."""
-    sp = shortest_paths(edges, sources, direction, max_depth)
+    sp = shortest_paths(edges, sources, direction, max_depth, vertices, groups)
     return sp.groupBy("id").agg(F.min("distance").alias("depth"))
 
 
@@ -93,61 +126,96 @@ def bfs(
     edge_filter: Column | str | None = None,
     max_path_length: int = 10,
     direction: str = "in",
+    groups: DataFrame | None = None,
 ) -> DataFrame:
     """All shortest paths from a ``from`` vertex to a ``to`` vertex.
 
     Expands levels from the ``from`` set (default: along edge direction) until
     a level contains a ``to`` vertex, then walks the level graph back from the
-    hits. Returns (from_id, to_id, length, path) with ``path`` the ids joined by
-    '>' (length 0 when a vertex matches both expressions). Empty when nothing is
-    reached within ``max_path_length``.
+    hits. Levels are bigint vertex ids and say which of them are hits. Returns
+    (from_id, to_id, length, path) with ``path`` the ids joined by '>' (length 0
+    when a vertex matches both expressions), and ``steps``, an array with one
+    struct (position, id) a vertex. Empty when nothing is reached within
+    ``max_path_length``. ``groups`` as in ``shortest_paths``.
     """
 
     def cond(x):
         return F.expr(x) if isinstance(x, str) else x
 
-    src_ids = vertices.where(cond(from_expr)).select("id")
-    dst_ids = vertices.where(cond(to_expr)).select("id")
+    if groups is not None and direction != "both":
+        raise ValueError("groups are undirected: use direction both")
+    spark = vertices.sparkSession
+    index = index_ids(vertices.select("id"))
+    ends = vertices.select("id", cond(from_expr).alias("is_from"), cond(to_expr).alias("is_to")).where("is_from or is_to")
+    ends, _ = materialize(ends.join(index, "id").select(F.col("vid").alias("id"), "is_from", "is_to"), "bfs-ends")
+    targets = ends.where("is_to").select("id", F.lit(True).alias("hit")).distinct()
     if edge_filter is not None:
         edges = edges.where(cond(edge_filter))
-    # search direction "in" follows edges forward, i.e. adjacency(frm=src, nb=dst)
-    adj, _ = materialize(adjacency(edges, {"in": "in", "out": "out", "both": "both"}[direction]), "bfs-adj")
-    level, _ = materialize(src_ids.distinct().select("id", F.lit(0).alias("depth")), "bfs-0")
-    levels = [level]
-    visited = level
-    hit_depth = None
-    hits, m = materialize(level.join(dst_ids, "id", "left_semi"), "bfs-hit-0", {"rows": F.count(F.lit(1))})
-    if m.get("rows"):
-        hit_depth = 0
-    depth = 0
-    while hit_depth is None and depth < max_path_length:
+    adj, _ = materialize(adjacency(encode_edges(edges.select("src", "dst"), index), direction), "bfs-adj")
+    members = None if groups is None else materialize(encode_members(groups, index), "bfs-members")[0]
+    metrics = {"rows": F.count(F.lit(1)), "hits": F.count_if(F.col("hit"))}
+
+    def written(ids: DataFrame, depth: int):
+        marked = ids.join(targets, "id", "left").select("id", F.coalesce("hit", F.lit(False)).alias("hit"))
+        return materialize(marked, f"bfs-{depth}", metrics)
+
+    level, m = written(ends.where("is_from").select("id").distinct(), 0)
+    levels, visited, seen, depth = [level], level, None, 0
+    while not m["hits"] and m["rows"] and depth < max_path_length:
         depth += 1
-        nxt = (
-            level.join(adj, level.id == adj.frm)
-            .select(adj.nb.alias("id"))
-            .distinct()
-            .join(visited.select("id"), "id", "left_anti")
-            .select("id", F.lit(depth).alias("depth"))
-        )
-        level, m = materialize(nxt, f"bfs-{depth}", {"rows": F.count(F.lit(1))})
-        if not m.get("rows"):
-            break
+        step = level.join(adj, level.id == adj.frm).select(adj.nb.alias("id"))
+        if members is not None:
+            reached, seen = _through_groups(level.select("id"), members, seen, [], f"bfs-{depth}")
+            step = step.unionByName(reached)
+        level, m = written(step.distinct().join(visited.select("id"), "id", "left_anti"), depth)
         levels.append(level)
         visited = visited.unionByName(level)
-        hits, mh = materialize(level.join(dst_ids, "id", "left_semi"), f"bfs-hit-{depth}", {"rows": F.count(F.lit(1))})
-        if mh.get("rows"):
-            hit_depth = depth
-    if hit_depth is None:
-        return vertices.sparkSession.createDataFrame(
-            [], "from_id string, to_id string, length int, path string"
-        )
-    # walk back: paths (hd, to_id, path) with hd at depth d, extended to d-1
-    paths = hits.select(F.col("id").alias("hd"), F.col("id").alias("to_id"), F.col("id").alias("path"))
-    for d in range(hit_depth, 0, -1):
-        prev = levels[d - 1]
-        step = adj.join(prev, adj.frm == prev.id).select(adj.frm.alias("p"), adj.nb.alias("c"))
-        paths = paths.join(step, F.col("hd") == F.col("c")).select(
-            F.col("p").alias("hd"), "to_id", F.concat_ws(">", F.col("p"), F.col("path")).alias("path")
+    if not m["hits"]:
+        return spark.createDataFrame(
+            [], "from_id string, to_id string, length int, path string, steps array<struct<position: int, id: string>>"
         )
+    # walk back: columns v<d> .. v<depth>, extended to v<d-1>
+    paths = level.where("hit").select(F.col("id").alias(f"v{depth}"))
+    for d in range(depth, 0, -1):
+        prev = levels[d - 1].select("id")
+        heads = paths.select(F.col(f"v{d}").alias("c")).distinct()
+        step = adj.join(prev, adj.frm == prev.id, "left_semi").join(heads, F.col("nb") == F.col("c")).select(F.col("frm").alias("p"), "c")
+        if members is not None:
+            ours = prev.join(members, "id").select(F.col("id").alias("p"), "value")
+            theirs = heads.join(members, heads.c == members.id).select("c", "value")
+            step = step.unionByName(ours.join(theirs, "value").select("p", "c")).distinct()
+        paths = paths.join(step, F.col(f"v{d}") == F.col("c")).drop("c").withColumnRenamed("p", f"v{d - 1}")
         paths, _ = materialize(paths, f"bfs-back-{d}")
-    return paths.select(F.col("hd").alias("from_id"), "to_id", F.lit(hit_depth).alias("length"), "path")
+    for d in range(depth + 1):
+        paths = decode(paths, index, f"v{d}", f"s{d}")
+    names = [F.col(f"s{d}") for d in range(depth + 1)]
+    steps = F.array(*[F.struct(F.lit(d).alias("position"), n.alias("id")) for d, n in enumerate(names)])
+    return paths.select(
+        F.col("s0").alias("from_id"),
+        F.col(f"s{depth}").alias("to_id"),
+        F.lit(depth).alias("length"),
+        F.concat_ws(">", *names).alias("path"),
+        steps.alias("steps"),
+    )
+
+
+def bfs_structs(vertices: DataFrame, edges: DataFrame, paths: DataFrame, length: int) -> DataFrame:
+    """Paths of one length as columns from, e0, v1, e1, .. , to: one struct of vertex or edge attributes each.
+
+    An edge struct is any edge between the two vertices, whichever way it runs;
+    parallel edges give a row each.
+    """
+    out = paths.where(F.col("length") == length).select(*[F.col("steps")[d]["id"].alias(f"_{d}") for d in range(length + 1)])
+    names = ["from", *[f"v{d}" for d in range(1, length)], "to"] if length else ["from"]
+    for d, name in enumerate(names):
+        attributes = vertices.select(F.col("id").alias("_id"), F.struct(*vertices.columns).alias(name))
+        out = out.join(attributes, F.col(f"_{d}") == F.col("_id")).drop("_id")
+    whole = F.struct(*edges.columns)
+    both = edges.select(F.col("src").alias("_a"), F.col("dst").alias("_b"), whole.alias("_e")).unionByName(
+        edges.where("src <> dst").select(F.col("dst").alias("_a"), F.col("src").alias("_b"), whole.alias("_e"))
+    )
+    for d in range(length):
+        step = both.withColumnRenamed("_e", f"e{d}")
+        out = out.join(step, (F.col(f"_{d}") == F.col("_a")) & (F.col(f"_{d + 1}") == F.col("_b"))).drop("_a", "_b")
+    order = [c for d, n in enumerate(names) for c in ([n] if d == length else [n, f"e{d}"])]
+    return out.select(*order)

@@ -16,37 +16,13 @@ from pyspark.sql import functions as F
 from ringwise.operators.iterate import materialize
 
 
-# Largest group a single task may rank with a plain window (rows).
-WINDOW_GROUP_LIMIT = 2_000_000
-
-
-def later_in_group(
-    df: DataFrame,
-    group: list[str],
-    order: str,
-    weight: str | None = None,
-    largest_group: int | None = None,
-    strategy: str = "auto",
-) -> DataFrame:
+def later_in_group(df: DataFrame, group: list[str], order: str, weight: str | None = None) -> DataFrame:
     """``df`` plus ``later``: rows of the same group with a larger ``order`` value
     (or, with ``weight``, the sum of that column over those rows).
 
-    ``order`` must be unique within a group. ``strategy="auto"`` measures the
-    largest group (one partially aggregated count, or ``largest_group`` when the
-    caller knows a bound) and uses a group window only below
-    ``WINDOW_GROUP_LIMIT`` rows; above it, or with ``strategy="sort"``, the
-    global-sort path runs, whose windows never exceed one partition.
+    ``order`` must be unique within a group. No window exceeds one partition.
     """
     w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
-    if strategy == "auto":
-        if largest_group is None:
-            largest_group = df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
-        strategy = "window" if largest_group <= WINDOW_GROUP_LIMIT else "sort"
-    if strategy == "window":
-        after = Window.partitionBy(*group).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumn("later", F.coalesce(F.sum(w).over(after), F.lit(0)).cast("long"))
-    if strategy != "sort":
-        raise ValueError(f"strategy must be auto, window or sort, not {strategy!r}")
     tagged, _ = materialize(
         df.orderBy(*group, order).select(
             "*",

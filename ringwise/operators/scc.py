@@ -30,7 +30,7 @@ def _trim(active: DataFrame, live: DataFrame, phase: int, max_rounds: int):
             f"scc-{phase}-t{rnd}",
             {"n": F.count(F.lit(1))},
         )
-        if not m.get("n"):
+        if not m["n"]:
             return active, live, peeled
         peeled = gone if peeled is None else peeled.unionByName(gone)
         active, _ = materialize(active.join(gone.select("id"), "id", "left_anti"), f"scc-{phase}-ta{rnd}")
@@ -55,7 +55,7 @@ def strongly_connected_components(vertices: DataFrame, edges: DataFrame, max_pha
             found = trimmed if found is None else found.unionByName(trimmed)
         slots = Rounds(active.sparkSession, f"scc-{phase}-colour")
         colour, m = slots.write(active.select("id", F.col("id").alias("colour")), 0, {"n": F.count(F.lit(1))})
-        if not m.get("n"):
+        if not m["n"]:
             break
         for rnd in range(1, max_rounds + 1):
             incoming = (
@@ -70,7 +70,7 @@ def strongly_connected_components(vertices: DataFrame, edges: DataFrame, max_pha
             )
             colour, mc = slots.write(nxt, rnd, {"moved": F.count_if(F.col("moved"))})
             colour = colour.drop("moved")
-            if not mc.get("moved"):
+            if not mc["moved"]:
                 break
         else:
             raise NoConvergence("scc colouring did not converge")
@@ -88,13 +88,13 @@ def strongly_connected_components(vertices: DataFrame, edges: DataFrame, max_pha
                 .join(members.select("id"), "id", "left_anti")
             )
             level, ml = materialize(nxt, f"scc-{phase}-r{rnd}", {"n": F.count(F.lit(1))})
-            if not ml.get("n"):
+            if not ml["n"]:
                 break
             members = members.unionByName(level)
         members, _ = materialize(members, f"scc-{phase}-members")
         found = members if found is None else found.unionByName(members)
         active, ma = materialize(active.join(members.select("id"), "id", "left_anti"), f"scc-{phase}-active", {"n": F.count(F.lit(1))})
-        if not ma.get("n"):
+        if not ma["n"]:
             break
         live, _ = materialize(
             live.join(members.select(F.col("id").alias("src")), "src", "left_anti").join(

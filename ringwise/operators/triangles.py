@@ -29,9 +29,8 @@ def triangles(edges: DataFrame) -> DataFrame:
     """One row (x, y, z) per triangle, x < y < z.
 
     The canonical edge list and its degree orientation are each written once
-    (both are read several times). Each wedge is closed by a semi-join that
-    hashes the edge list (``shuffle_hash``): per partition the build side is
-    |E| / partitions, while the probe side -- the wedges, O(m^1.5) -- streams.
+    (both are read several times). Each wedge is closed by a semi-join with the
+    edge list, of a kind that the planner chooses by size.
     """
     und, _ = materialize(undirected_simple(edges), "tri-edges")
     deg = (
@@ -40,6 +39,7 @@ def triangles(edges: DataFrame) -> DataFrame:
         .groupBy("id")
         .agg(F.count(F.lit(1)).alias("deg"))
     )
+    deg, _ = materialize(deg, "tri-degrees")  # written, so that a hot vertex's edges can be split
     ranked = (
         und.join(deg.select(F.col("id").alias("a"), F.col("deg").alias("da")), "a")
         .join(deg.select(F.col("id").alias("b"), F.col("deg").alias("db")), "b")
@@ -56,7 +56,7 @@ def triangles(edges: DataFrame) -> DataFrame:
     wedges = o1.join(o2, (F.col("o1.u") == F.col("o2.u")) & (F.col("o1.v") < F.col("o2.v"))).select(
         F.col("o1.u").alias("u"), F.col("o1.v").alias("v"), F.col("o2.v").alias("w")
     )
-    closing = und.select(F.col("a").alias("ca"), F.col("b").alias("cb")).hint("shuffle_hash")
+    closing = und.select(F.col("a").alias("ca"), F.col("b").alias("cb"))
     closed = wedges.join(
         closing,
         (F.least("v", "w") == F.col("ca")) & (F.greatest("v", "w") == F.col("cb")),

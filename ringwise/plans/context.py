@@ -40,6 +40,10 @@ class Context:
     def graph(self) -> PropertyGraph:
         return build_graph(self.stored, self.cfg.as_of)
 
+    def view(self, relationships) -> PropertyGraph:
+        """The graph with these relationships only; the others are not built."""
+        return build_graph(self.stored, self.cfg.as_of, relationships)
+
     @cached_property
     def direct_graph(self) -> PropertyGraph:
         """The graph over the derived tables without storing them first: for

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringwise import config as C
+from ringwise.operators.graph import contact_members
 from ringwise.operators.paths import bfs, bfs_levels, shortest_paths
 from ringwise.operators.scc import strongly_connected_components
 from ringwise.plans import sql_base as S
@@ -23,7 +24,14 @@ def _landmark_ids(ctx: Context) -> DataFrame:
     return landmarks_df(ctx.stored.claims, ctx.cfg.threshold_milli, ctx.cfg.landmarks).select(F.col("claim_id").alias("id"))
 
 
+NOT_CONTACT = tuple(r for r in C.ALL_RELATIONSHIPS if r != C.SHARED_CONTACT)
+
+
 def distances_df(ctx: Context, direction: str) -> DataFrame:
+    """Undirected distances walk contact groups by their values, directed ones the edges themselves."""
+    if direction == "both":
+        g = ctx.view(NOT_CONTACT)
+        return shortest_paths(g.edges, _landmark_ids(ctx), "both", vertices=g.vertices, groups=contact_members(ctx.stored.policyholders))
     return shortest_paths(ctx.graph.edges, _landmark_ids(ctx), direction, vertices=ctx.graph.vertices)
 
 
@@ -115,17 +123,15 @@ lv(id, depth) USING KEY (id) AS (
   SELECT s.b, min(w.depth) + 1 FROM lv w JOIN bfs_adj s ON s.a = w.id
   LEFT JOIN recurring.lv r ON r.id = s.b WHERE r.id IS NULL GROUP BY s.b
 )""",
-        select="SELECT v.id, v.type, lv.depth FROM lv JOIN vertices v USING (id) WHERE lv.depth <= 3",
+        select="SELECT v.id, v.type, lv.depth FROM lv JOIN vertices v USING (id)",
     ),
 )
 def bfs_from_claim(spark, sf_dir):
-    """Everything within three hops (edges in either direction) of the top high-fraud claim."""
+    """Everything that the top high-fraud claim reaches (edges in either direction), with its hops."""
     ctx = context(spark, sf_dir)
-    levels = bfs_levels(ctx.graph.edges, _top_claim(ctx), "both", max_depth=3)
-    return ctx.graph.vertices.select("id", "type").join(levels, "id").orderBy("depth", "id")
-
-
-BFS_RELS = (C.FILED_BY, C.SHARED_CONTACT)
+    g = ctx.view(NOT_CONTACT)
+    levels = bfs_levels(g.edges, _top_claim(ctx), "both", vertices=g.vertices, groups=contact_members(ctx.stored.policyholders))
+    return g.vertices.select("id", "type").join(levels, "id").orderBy("depth", "id")
 
 
 @register(
@@ -158,7 +164,7 @@ def bfs_paths(spark, sf_dir):
     ctx = context(spark, sf_dir)
     top = _top_claim(ctx)
     tgt = ctx.stored.claims.where(F.col("score_milli") >= ctx.cfg.threshold_milli).select(F.col("claim_id").alias("id"))
-    g = ctx.graph
+    g = ctx.view([C.FILED_BY])
     # from/to sets as semi-joins against one-row and claim-sized frames, no driver round trip
     froms = g.vertices.join(top, "id", "left_semi").withColumn("_from", F.lit(True))
     marked = (
@@ -171,10 +177,10 @@ def bfs_paths(spark, sf_dir):
         g.edges,
         from_expr=F.col("_from"),
         to_expr=F.col("_to") & ~F.col("_from"),
-        edge_filter=F.col("relationship").isin(*BFS_RELS),
-        max_path_length=10,
+        max_path_length=ctx.cfg.max_path_length,
         direction="both",
-    )
+        groups=contact_members(ctx.stored.policyholders),
+    ).drop("steps")
 
 
 # ---------------------------------------------------------------- SCC

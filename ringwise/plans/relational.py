@@ -5,11 +5,21 @@ Everything here is a projection or a single (partially pre-aggregated) group-by.
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringwise import config as C
 from ringwise.functions.exact import half_up_mean_milli, pct_one_decimal, risk_bucket
-from ringwise.operators.graph import collaboration_pairs, shared_contact_pairs
+from ringwise.operators.graph import (
+    build_edges_without_contacts,
+    build_vertices,
+    collaboration_pairs,
+    contact_degrees,
+    contact_pair_count,
+    shared_contact_pairs,
+)
 from ringwise.plans import sql_base as S
 from ringwise.plans.context import context
 from ringwise.plans.registry import register
@@ -165,12 +175,11 @@ def edges(spark, sf_dir):
     S.with_base(select="SELECT relationship, count(*) AS count FROM edges GROUP BY relationship"),
 )
 def edge_relationship_counts(spark, sf_dir):
-    g = context(spark, sf_dir).graph
-    return (
-        g.edges.groupBy("relationship")
-        .agg(F.count(F.lit(1)).alias("count"))
-        .orderBy(F.desc("count"), "relationship")
-    )
+    """Edges per relationship; shared contacts are counted from group sizes, without their pairs."""
+    ctx = context(spark, sf_dir)
+    rest = build_edges_without_contacts(ctx.stored, ctx.cfg.as_of).groupBy("relationship").agg(F.count(F.lit(1)).alias("count"))
+    shared = contact_pair_count(ctx.stored.policyholders).select(F.lit(C.SHARED_CONTACT).alias("relationship"), "count")
+    return rest.unionByName(shared.where("count > 0")).orderBy(F.desc("count"), "relationship")
 
 
 @register("shared_contact_pairs", S.with_base(select="SELECT src, dst FROM shared_pairs"))
@@ -312,19 +321,18 @@ LEFT JOIN (SELECT dst AS id, count(*) AS n FROM edges GROUP BY dst) i USING (id)
 )
 def degrees(spark, sf_dir):
     """Out-, in- and total degree of every vertex (partial aggregation per endpoint)."""
-    g = context(spark, sf_dir).graph
-    out_d = g.edges.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("out_degree"))
-    in_d = g.edges.groupBy(F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("in_degree"))
-    zero = F.lit(0).cast("long")
-    return (
-        g.vertices.select("id", "type")
-        .join(out_d, "id", "left")
-        .join(in_d, "id", "left")
-        .select(
-            "id",
-            "type",
-            F.coalesce("out_degree", zero).alias("out_degree"),
-            F.coalesce("in_degree", zero).alias("in_degree"),
-            (F.coalesce("out_degree", zero) + F.coalesce("in_degree", zero)).alias("degree"),
-        )
+    ctx = context(spark, sf_dir)
+    edges = build_edges_without_contacts(ctx.stored, ctx.cfg.as_of)
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    parts = [
+        build_vertices(ctx.stored).select("id", "type", zero.alias("o"), zero.alias("i")),
+        edges.select(F.col("src").alias("id"), F.lit(None).cast("string").alias("type"), one.alias("o"), zero.alias("i")),
+        edges.select(F.col("dst").alias("id"), F.lit(None).cast("string").alias("type"), zero.alias("o"), one.alias("i")),
+        contact_degrees(ctx.stored.policyholders).select(
+            "id", F.lit(None).cast("string").alias("type"), F.col("out_degree").alias("o"), F.col("in_degree").alias("i")
+        ),
+    ]
+    summed = reduce(DataFrame.unionByName, parts).groupBy("id").agg(
+        F.max("type").alias("type"), F.sum("o").alias("out_degree"), F.sum("i").alias("in_degree")
     )
+    return summed.where(F.col("type").isNotNull()).withColumn("degree", F.col("out_degree") + F.col("in_degree"))

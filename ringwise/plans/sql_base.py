@@ -22,7 +22,8 @@ def _list(values) -> str:
 
 
 def _key(prefix: str, x: str, width: int) -> str:
-    return f"('{prefix}' || lpad(CAST({x} AS VARCHAR), {width}, '0'))"
+    digits = f"CAST({x} AS VARCHAR)"
+    return f"('{prefix}' || repeat('0', greatest(0, {width} - length({digits}))) || {digits})"
 
 
 def _milli_to_double(x: str) -> str:

@@ -62,7 +62,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(root)
         return root.rstrip("/")
-    if not sc.master.startswith("local"):
+    if not (sc.master == "local" or sc.master.startswith("local[")):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder before running iterative operators")
     root = tempfile.mkdtemp(prefix="ringwise-ckpt-")
     sc.setCheckpointDir(root)

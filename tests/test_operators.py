@@ -131,15 +131,14 @@ def test_motif_pairs_and_negation(spark):
         find(g, [("a", None, "b"), ("x", None, "y")])
 
 
-@pytest.mark.parametrize("strategy", ["sort", "window", "auto"])
-def test_later_in_group_splits_a_hot_group(spark, strategy):
+def test_later_in_group_splits_a_hot_group(spark):
     from ringwise.operators.ranking import later_in_group
 
     rows = [("hot", f"k{i:04d}", i % 2) for i in range(600)] + [("cold", f"k{i:04d}", 1) for i in range(5)]
     df = spark.createDataFrame(rows, "g string, k string, w int").repartition(4)
-    got = {(r["g"], r["k"]): r["later"] for r in later_in_group(df, ["g"], "k", strategy=strategy).collect()}
+    got = {(r["g"], r["k"]): r["later"] for r in later_in_group(df, ["g"], "k").collect()}
     assert got[("hot", "k0000")] == 599 and got[("hot", "k0599")] == 0 and got[("cold", "k0000")] == 4
     assert all(got[("hot", f"k{i:04d}")] == 599 - i for i in range(600))
-    weighted = {(r["g"], r["k"]): r["later"] for r in later_in_group(df, ["g"], "k", weight="w", strategy=strategy).collect()}
+    weighted = {(r["g"], r["k"]): r["later"] for r in later_in_group(df, ["g"], "k", weight="w").collect()}
     # odd keys carry weight 1: later odd keys after k0000 are k0001, k0003, ..., k0599 -> 300
     assert weighted[("hot", "k0000")] == 300 and weighted[("hot", "k0599")] == 0
