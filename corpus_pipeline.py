@@ -11,18 +11,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringwise.llm import jaccard_join, language, mixing, packing, suffix_dedup
-from ringwise.llm.common import Scratch, table
+from ringwise.llm.common import Scratch, ship, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that was learned; those without text or letters go."""
+    ship(spark)
     return language.identify(docs).where(F.col("lang_pred") != "und").select(*COLUMNS)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that of the least id."""
+    ship(spark)
     return jaccard_join.representatives(docs).select(*COLUMNS)
 
 
@@ -31,6 +33,7 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     What is left of a character whose bytes were cut in part is dropped with them.
     """
+    ship(spark)
     cut = suffix_dedup.dedup(docs, keep_text=True)
     return cut.withColumns({"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("long")}).select(*COLUMNS)
 
@@ -42,6 +45,7 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def packing_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 1024 tokens."""
+    ship(spark)
     return packing.digest(packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 

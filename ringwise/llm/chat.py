@@ -5,7 +5,7 @@ continues one. What is seen of a line: the class of a speaker marker at its star
 a name that is none of them), whether it is blank, whether the line before was, its length, how it
 ends, and what it starts with (list, code, heading, digit). Features are independent given the
 state. Start, transition and emission counts are gathered in Spark over all labelled transcripts
-and smoothed by one; Viterbi finds the likeliest states. A turn's lines lose their markers, blank
+and smoothed by a tenth and by what roles have in common; Viterbi finds the likeliest states. A turn's lines lose their markers, blank
 lines around them go, and the turn is rendered in one canonical form.
 
 Lines are sorted within their transcript and decoded as a stream. Back pointers are dropped as soon
@@ -26,11 +26,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROLES = ("system", "user", "assistant")
 STATES = [(r, opens) for r in range(len(ROLES)) for opens in (True, False)]
+#: How many lines the habits that roles share are worth in a role's own counts.
+POOLED = 8.0
+#: What a count that never occurred is worth.
+UNSEEN = 0.1
 #: Words that mark a speaker.
 MARKERS = {
     "system": 1, "sys": 1, "instruction": 1, "instructions": 1, "context": 1,
@@ -61,8 +65,8 @@ class Model:
 
     def __init__(self, counts: dict[tuple[int, int, int], int]):
         n = len(STATES)
-        start, move = np.ones(n), np.ones((n, n))
-        emit = [np.ones((n, values)) for values in FEATURES]
+        start, move = np.full(n, UNSEEN), np.full((n, n), UNSEEN)
+        emit = [np.full((n, values), UNSEEN) for values in FEATURES]
         for (kind, a, b), c in counts.items():
             if kind == -2:
                 start[b] += c
@@ -70,6 +74,7 @@ class Model:
                 move[a, b] += c
             else:
                 emit[kind][a, b] += c
+        self._pool(move, emit)
         for i, (role, opens) in enumerate(STATES):
             if not opens:
                 start[i] = 0  # a transcript opens with a turn
@@ -82,6 +87,22 @@ class Model:
             self.emit = [np.log(e / e.sum(axis=1, keepdims=True)) for e in emit]
         self._memory: dict[tuple[int, ...], np.ndarray] = {}
 
+    @staticmethod
+    def _pool(move: np.ndarray, emit: list[np.ndarray]) -> None:
+        """Adds what all roles have in common, worth ``POOLED`` lines: a role seldom seen goes on like others."""
+        for opens in (True, False):
+            alike = [i for i, s in enumerate(STATES) if s[1] == opens]
+            going = [(i, j) for i in alike for j, s in enumerate(STATES) if s == (STATES[i][0], False)]
+            total = move[alike].sum()
+            stay = sum(move[i, j] for i, j in going) / total
+            for f, counts in enumerate(emit):
+                if f or not opens:  # markers of opening lines are a role's own
+                    shared = counts[alike].sum(axis=0)
+                    counts[alike] += POOLED * shared / shared.sum()
+            for i, j in going:
+                move[i] += POOLED * (1 - stay) * np.array([s[1] for s in STATES]) / len(ROLES)
+                move[i, j] += POOLED * stay
+
     def odds(self, features: tuple[int, ...]) -> np.ndarray:
         found = self._memory.get(features)
         if found is None:
@@ -262,8 +283,8 @@ def raw_lines(conversations: DataFrame) -> DataFrame:
 
 
 def agreement(turns: DataFrame, conversations: DataFrame) -> DataFrame:
-    """Turns of ``parse`` with the true role of the turn of that number, null where there is none."""
-    order = Window.partitionBy("conv_id").orderBy("turn", F.xxhash64("role", "text"))
-    truth = conversations.where("trim(text) <> ''").select("conv_id", "role", (F.row_number().over(order) - 1).alias("turn"))
-    truth = truth.select(F.col("conv_id").alias("conv"), F.col("turn").cast("long").alias("turn"), F.col("role").alias("true_role"))
-    return turns.join(truth, ["conv", "turn"], "left")
+    """Each true turn with text: true_role, and the role of a recovered turn of the same text (null: none)."""
+    body = F.trim(F.col("text"), F.lit("\n"))
+    truth = conversations.where("trim(text) <> ''").select(F.col("conv_id").alias("conv"), body.alias("body"), F.col("role").alias("true_role"))
+    found = turns.groupBy("conv", "body").agg(F.min("role").alias("role"))
+    return truth.join(found, ["conv", "body"], "left")

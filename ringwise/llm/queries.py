@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringwise.llm import chat, fingerprints, html_text, jaccard_join, language, mixing, packing, quality, sharding, suffix_dedup
-from ringwise.llm.common import table
+from ringwise.llm.common import ship, table
 
 Build = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Build] = {}
@@ -17,8 +18,13 @@ ORACLES: dict[str, str] = {}
 
 
 def query(build: Build) -> Build:
-    QUERIES[build.__name__] = build
-    return build
+    @functools.wraps(build)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return build(spark, sf_dir)
+
+    QUERIES[build.__name__] = run
+    return run
 
 
 @query
