@@ -15,9 +15,11 @@ from ringwise import config as C
 from ringwise.functions.exact import half_up_mean_milli, pct_one_decimal
 from ringwise.operators.components import connected_components
 from ringwise.operators.graph import connectivity_edges
+from ringwise.operators.iterate import materialize
 from ringwise.plans import sql_base as S
 from ringwise.plans.context import Context, context
 from ringwise.plans.registry import register
+from ringwise.sources.sinks import write_table
 
 T = C.RiskConfig().threshold_milli
 RING_RELS = C.VIEWS["ring"]
@@ -218,6 +220,60 @@ def top_ring_policyholders_q(spark, sf_dir):
     return _ring_policyholders(context(spark, sf_dir)).orderBy("policyholder_id")
 
 
+def save_rings(ctx: Context, path: str) -> tuple[DataFrame, DataFrame]:
+    """Writes the suspected rings and which vertex is in which ring; returns both as re-read.
+
+    Components are computed once; drill-down and the monitor read the two tables.
+    """
+    comps, _ = materialize(components_df(ctx), "ring-components")
+    rings = ring_rule(component_stats_df(comps, ctx.cfg.threshold_milli), ctx.cfg)
+    write_table(rings, path=f"{path}/rings")
+    rings = ctx.spark.read.parquet(f"{path}/rings")
+    write_table(comps.join(rings.select("component"), "component", "left_semi").select("id", "type", "component"), path=f"{path}/members")
+    return read_rings(ctx.spark, path)
+
+
+def read_rings(spark, path: str) -> tuple[DataFrame, DataFrame]:
+    """(rings, members) as ``save_rings`` wrote them."""
+    return spark.read.parquet(f"{path}/rings"), spark.read.parquet(f"{path}/members")
+
+
+def ring_detail(members: DataFrame, claims: DataFrame, component) -> DataFrame:
+    """Claims of one saved ring, most suspicious first."""
+    ids = members.where((F.col("component") == component) & (F.col("type") == "claim")).select(F.col("id").alias("claim_id"))
+    return claims.join(ids, "claim_id", "left_semi").orderBy(F.desc("fraud_score"), "claim_id")
+
+
+@register(
+    "rings_shared_contacts",
+    ring_sql(
+        """
+SELECT m.component, k.kind, k.value, count(*) AS count
+FROM comps m JOIN rings USING (component)
+JOIN (SELECT policyholder_id, 'address' AS kind, address AS value FROM policyholders
+      UNION ALL SELECT policyholder_id, 'phone', phone FROM policyholders) k ON k.policyholder_id = m.id
+WHERE m.type = 'policyholder' AND k.value IS NOT NULL
+GROUP BY m.component, k.kind, k.value HAVING count(*) > 1"""
+    ),
+)
+def rings_shared_contacts_q(spark, sf_dir):
+    """Contact values that members of one suspected ring share, over all rings."""
+    ctx = context(spark, sf_dir)
+    comps, _ = materialize(components_df(ctx), "ring-components")
+    rings = ring_rule(component_stats_df(comps, ctx.cfg.threshold_milli), ctx.cfg).select("component")
+    members = comps.where(F.col("type") == "policyholder").join(rings, "component", "left_semi")
+    contacts = ctx.stored.policyholders.selectExpr(
+        "policyholder_id AS id", "inline(array(struct('address' AS kind, address AS value), struct('phone' AS kind, phone AS value)))"
+    ).where(F.col("value").isNotNull())
+    return (
+        members.select("id", "component")
+        .join(contacts, "id")
+        .groupBy("component", "kind", "value")
+        .agg(F.count(F.lit(1)).alias("count"))
+        .where(F.col("count") > 1)
+    )
+
+
 @register(
     "ring_shared_contacts",
     ring_sql(

@@ -259,3 +259,38 @@ def sample_triangles(spark, sf_dir):
     ctx = context(spark, sf_dir)
     top = ST.triangle_df(ctx).where(F.col("count") > 0).orderBy(F.desc("count"), "id").limit(100).select("id")
     return inside(ctx.graph.edges.select(*EDGE_COLS), top).orderBy("src", "dst", "relationship").limit(200)
+
+
+@register(
+    "sample_pagerank_vertices",
+    S.with_base(*CE._pr_sql(), select="SELECT id, pagerank FROM pr ORDER BY pagerank DESC, id LIMIT 50"),
+)
+def sample_pagerank_vertices(spark, sf_dir):
+    """Vertices of the PageRank drawing with their rank."""
+    return CE.pagerank_df(context(spark, sf_dir)).select("id", "pagerank").orderBy(F.desc("pagerank"), "id").limit(50)
+
+
+@register(
+    "sample_communities_members",
+    S.with_base(
+        *CE._lp_sql(),
+        COMM5,
+        select="SELECT id, type, label FROM comm WHERE id IN (SELECT id FROM comm_members)",
+    ),
+)
+def sample_communities_members(spark, sf_dir):
+    """Members of the community drawing with their label."""
+    ctx = context(spark, sf_dir)
+    comms = CE.communities_df(ctx)
+    top = CE.high_risk(CE.community_stats_df(comms, ctx.cfg.threshold_milli), ctx.cfg).limit(5).select("label")
+    return comms.join(top, "label", "left_semi").select("id", "type", "label").orderBy("id").limit(150)
+
+
+@register(
+    "sample_triangles_vertices",
+    S.with_base(*ST.TRI_SQL, select="SELECT id, type, count FROM tc WHERE count > 0 ORDER BY count DESC, id LIMIT 100"),
+)
+def sample_triangles_vertices(spark, sf_dir):
+    """Vertices of the triangle drawing with their count."""
+    tc = ST.triangle_df(context(spark, sf_dir))
+    return tc.where(F.col("count") > 0).select("id", "type", "count").orderBy(F.desc("count"), "id").limit(100)

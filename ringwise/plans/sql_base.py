@@ -8,8 +8,8 @@ their own CTEs and a final SELECT.
 from __future__ import annotations
 
 from ringwise import config as C
-from ringwise.sources.fixtures import CITIES, STATES, TIERS
 
+TIERS = ["Standard", "Silver", "Gold", "Platinum"]
 AS_OF = f"DATE '{C.DEFAULT_AS_OF}'"
 
 
@@ -51,8 +51,8 @@ policyholders AS (
          CASE WHEN {c} < 20 THEN 'RING-ADDR-' || CAST({c} // 5 AS VARCHAR)
               WHEN {_d(c, 7919, 13, 10007)} < 7005 THEN 'ADDR-' || CAST({c} AS VARCHAR)
               ELSE 'SHARED-' || CAST({_d(c, 104729, 7, 10009)} % 100 AS VARCHAR) END AS address,
-         {_list(CITIES)}[CAST({_d(c, 7919, 13, 10007)} % 10 AS INTEGER) + 1] AS city,
-         {_list(STATES)}[CAST({_d(c, 104729, 7, 10009)} % 10 AS INTEGER) + 1] AS state,
+         'CITY-' || CAST({_d(c, 7919, 13, 10007)} % 10 AS VARCHAR) AS city,
+         'STATE-' || CAST({_d(c, 104729, 7, 10009)} % 10 AS VARCHAR) AS state,
          CASE WHEN {c} < 20 THEN 'RING-TEL-' || CAST({c} // 5 AS VARCHAR)
               WHEN {_d(c, 15485863, 11, 10037)} < 8030 THEN 'TEL-' || CAST({c} AS VARCHAR)
               ELSE 'SHARED-' || CAST({_d(c, 32452843, 5, 10039)} % 50 AS VARCHAR) END AS phone,
@@ -82,7 +82,7 @@ service_providers AS (
          'TYPE-' || CAST(s_suppkey % 6 AS VARCHAR) AS service_type,
          CAST(10 + {_d('s_suppkey', 104729, 7, 10009)} % 41 AS DOUBLE) / 10.0 AS rating,
          CAST(1 + {_d('s_suppkey', 15485863, 11, 10037)} % 30 AS INTEGER) AS years_in_business,
-         {_list(CITIES)}[CAST({_d('s_suppkey', 7919, 13, 10007)} % 10 AS INTEGER) + 1] AS city
+         'CITY-' || CAST({_d('s_suppkey', 7919, 13, 10007)} % 10 AS VARCHAR) AS city
   FROM supplier
 )"""
 

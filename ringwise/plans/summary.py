@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ringwise import config as C
@@ -12,15 +12,10 @@ from ringwise.plans import sql_base as S
 from ringwise.plans import structure as ST
 from ringwise.plans.context import context
 from ringwise.plans.registry import register
-from ringwise.plans.relational import hub_pattern
 
 T = C.RiskConfig().threshold_milli
 
 
-def _metric(df: DataFrame, name: str, value) -> DataFrame:
-    return df.select(F.lit(name).alias("metric"), value.cast("double").alias("value"))
-
-
 @register(
     "run_summary",
     S.with_base(
@@ -49,38 +44,42 @@ UNION ALL SELECT 'provider_hubs', CAST(count(*) AS DOUBLE) FROM (
     ),
 )
 def run_summary(spark, sf_dir):
-    """One (metric, value) row per headline figure; each part is a global aggregate."""
+    """One (metric, value) row per headline figure, from three aggregates: claims, rings, connected pairs."""
     ctx = context(spark, sf_dir)
     claims = ctx.stored.claims
     t = ctx.cfg.threshold_milli
     n = F.count(F.lit(1))
-    high = F.count_if(F.col("score_milli") >= t)
-    rings = R.suspected_rings_df(ctx)
+    # claims once: fanned out to who holds, processes and serves them, counted per entity, then per kind of entity
+    fanned = claims.selectExpr(
+        f"score_milli >= {t} AS high",
+        "inline(array(struct('p' AS kind, policyholder_id AS id), struct('a' AS kind, adjuster_id AS id), struct('s' AS kind, service_provider_id AS id)))",
+    )
+    per = fanned.groupBy("kind", "id").agg(n.alias("n"), F.count_if("high").alias("h"))
+    kind = lambda k: F.col("kind") == k
+    all_claims, high = F.sum(F.when(kind("p"), F.col("n"))), F.sum(F.when(kind("p"), F.col("h")))
+    of_claims = per.agg(
+        F.coalesce(all_claims, F.lit(0)).cast("double").alias("total_claims"),
+        F.coalesce(high, F.lit(0)).cast("double").alias("high_fraud_claims"),
+        F.coalesce(pct_one_decimal(high, all_claims), F.lit(0.0)).alias("high_fraud_pct"),
+        F.count_if(kind("p") & (F.col("h") >= 2)).cast("double").alias("repeat_claimant_policyholders"),
+        F.count_if(kind("a") & (F.col("h") >= 3)).cast("double").alias("adjuster_hubs"),
+        F.count_if(kind("s") & (F.col("h") >= 3)).cast("double").alias("provider_hubs"),
+    )
     avg_k = F.round(F.col("avg_fraud_score") * 1000).cast("long")
     conc_k = F.round(F.col("fraud_concentration") * 10).cast("long")
-    pairs = ST.connected_pairs_df(ctx)
-    parts = [
-        _metric(claims.agg(n.alias("v")), "total_claims", F.col("v")),
-        _metric(claims.agg(high.alias("v")), "high_fraud_claims", F.col("v")),
-        _metric(claims.agg(pct_one_decimal(high, n).alias("v")), "high_fraud_pct", F.col("v")),
-        _metric(rings.agg(n.alias("v")), "fraud_rings", F.col("v")),
-        _metric(rings.agg(F.coalesce(F.sum("claim_count"), F.lit(0)).alias("v")), "claims_in_rings", F.col("v")),
-        _metric(rings.agg(F.coalesce(F.sum("policyholder_count"), F.lit(0)).alias("v")), "policyholders_in_rings", F.col("v")),
-        _metric(rings.agg((half_up_ratio(F.sum(avg_k), n, 1) / 1000.0).alias("v")), "avg_ring_fraud_score", F.col("v")),
-        _metric(rings.agg((half_up_ratio(F.sum(conc_k), n, 1) / 10.0).alias("v")), "avg_ring_concentration", F.col("v")),
-        _metric(
-            claims.where(F.col("score_milli") >= t).groupBy("policyholder_id").count().where(F.col("count") >= 2).agg(n.alias("v")),
-            "repeat_claimant_policyholders",
-            F.col("v"),
-        ),
-        _metric(pairs.agg(F.coalesce(F.sum("claim_pairs"), F.lit(0)).alias("v")), "connected_claim_pairs", F.col("v")),
-        _metric(hub_pattern(claims, "adjuster_id", t).agg(n.alias("v")), "adjuster_hubs", F.col("v")),
-        _metric(hub_pattern(claims, "service_provider_id", t).agg(n.alias("v")), "provider_hubs", F.col("v")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    of_rings = R.suspected_rings_df(ctx).agg(
+        n.cast("double").alias("fraud_rings"),
+        F.coalesce(F.sum("claim_count"), F.lit(0)).cast("double").alias("claims_in_rings"),
+        F.coalesce(F.sum("policyholder_count"), F.lit(0)).cast("double").alias("policyholders_in_rings"),
+        (half_up_ratio(F.sum(avg_k), n, 1) / 1000.0).alias("avg_ring_fraud_score"),
+        (half_up_ratio(F.sum(conc_k), n, 1) / 10.0).alias("avg_ring_concentration"),
+    )
+    of_pairs = ST.connected_pairs_df(ctx).agg(F.coalesce(F.sum("claim_pairs"), F.lit(0)).cast("double").alias("connected_claim_pairs"))
+    parts = []
+    for df in (of_claims, of_rings, of_pairs):
+        pairs = [F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in df.columns]
+        parts.append(df.select(F.inline(F.array(*pairs))))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @register(

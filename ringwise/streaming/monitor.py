@@ -14,17 +14,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ringwise.plans.context import Context
+from ringwise.operators.iterate import materialize
 from ringwise.plans.relational import hub_pattern
 from ringwise.plans.rings import components_df, component_stats_df, ring_rule
 
 
-def watchlist(ctx: Context) -> DataFrame:
-    comps = components_df(ctx)
-    rings = ring_rule(component_stats_df(comps, ctx.cfg.threshold_milli), ctx.cfg).select("component")
-    ring_ph = (
-        comps.where(F.col("type") == "policyholder")
-        .join(rings, "component", "left_semi")
-        .select(F.col("id").alias("entity_id"), F.lit("ring").alias("reason"), F.col("component").alias("ring"))
+def watchlist(ctx: Context, members: DataFrame | None = None) -> DataFrame:
+    """Watched entities, written once: a stream reads them in every micro-batch.
+
+    ``members`` are saved ring members (``rings.read_rings``); without them the
+    rings are computed.
+    """
+    if members is None:
+        comps, _ = materialize(components_df(ctx), "watch-components")
+        rings = ring_rule(component_stats_df(comps, ctx.cfg.threshold_milli), ctx.cfg).select("component")
+        members = comps.join(rings, "component", "left_semi")
+    ring_ph = members.where(F.col("type") == "policyholder").select(
+        F.col("id").alias("entity_id"), F.lit("ring").alias("reason"), F.col("component").alias("ring")
     )
     claims = ctx.stored.claims
     adj = hub_pattern(claims, "adjuster_id", ctx.cfg.threshold_milli).select(
@@ -33,7 +39,7 @@ def watchlist(ctx: Context) -> DataFrame:
     prov = hub_pattern(claims, "service_provider_id", ctx.cfg.threshold_milli).select(
         F.col("service_provider_id").alias("entity_id"), F.lit("provider_hub").alias("reason"), F.lit(None).cast("string").alias("ring")
     )
-    return ring_ph.unionByName(adj).unionByName(prov)
+    return materialize(ring_ph.unionByName(adj).unionByName(prov), "watch-list")[0]
 
 
 def alerts_for(claims: DataFrame, watch: DataFrame) -> DataFrame:

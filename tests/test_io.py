@@ -28,13 +28,18 @@ def test_write_modes_drop_and_namespace(spark, scratch_dir):
 
 def test_generator_presets(spark):
     t = generate_tables(spark, "small")
-    n_ph, n_claims, n_sp = PRESETS["small"]
+    n_ph, n_claims, n_sp, n_adj = PRESETS["small"]
     assert t.policyholders.count() == n_ph
     assert t.claims.count() == n_claims
     assert t.service_providers.count() == n_sp
-    assert t.adjusters.count() == 25
+    assert t.adjusters.count() == n_adj == 50
     stats = t.claims.agg(F.min("score_milli"), F.max("score_milli")).first()
     assert 0 <= stats[0] <= stats[1] <= 1000
+    usual, high, low, top = t.claims.agg(
+        F.avg((F.col("claim_amount") <= 20_000).cast("int")), F.max("claim_amount"), F.min("claim_amount"), F.countDistinct("claim_amount")
+    ).first()
+    assert 0.82 < usual < 0.88 and 95_000 < high <= 100_000 and 1_000 <= low < 1_100 and top > 4_500
+    assert t.claims.join(t.adjusters, "adjuster_id", "left_anti").count() == 0
     # claim keys point at existing entities
     assert t.claims.join(t.policyholders, "policyholder_id", "left_anti").count() == 0
     assert t.claims.join(t.service_providers, "service_provider_id", "left_anti").count() == 0
@@ -55,3 +60,19 @@ def test_stream_monitor_equals_batch_alerts(spark, scratch_dir):
     batch = alerts_for(claims, watch)
     assert streamed.count() == batch.count() > 0
     assert streamed.exceptAll(batch.select(*streamed.columns)).count() == 0
+
+
+def test_saved_rings_serve_drill_down_and_monitor(spark, scratch_dir):
+    from ringwise.plans.registry import load_all
+    from ringwise.plans.rings import read_rings, ring_detail, save_rings
+
+    ctx = context(spark, SF0001)
+    path = os.path.join(scratch_dir, "saved")
+    save_rings(ctx, path)
+    rings, members = read_rings(spark, path)
+    want = load_all()["suspected_rings"].build(spark, SF0001)
+    assert rings.count() == want.count() > 0 and rings.select(*want.columns).exceptAll(want).count() == 0
+    first = rings.orderBy(F.desc("claim_count"), "component").first()
+    assert ring_detail(members, ctx.stored.claims, first["component"]).count() == first["claim_count"]
+    saved, computed = watchlist(ctx, members), watchlist(ctx)
+    assert saved.count() == computed.count() and saved.exceptAll(computed).count() == 0

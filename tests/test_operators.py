@@ -142,3 +142,116 @@ def test_later_in_group_splits_a_hot_group(spark):
     weighted = {(r["g"], r["k"]): r["later"] for r in later_in_group(df, ["g"], "k", weight="w").collect()}
     # odd keys carry weight 1: later odd keys after k0000 are k0001, k0003, ..., k0599 -> 300
     assert weighted[("hot", "k0000")] == 300 and weighted[("hot", "k0599")] == 0
+
+
+def test_ids_keep_all_digits(spark):
+    from ringwise.functions.keys import key_sql
+
+    rows = {"SP": (6, [100_000, 1_000_000, 7]), "PH": (8, [15_000_000, 150_000_000, 7]), "CLM": (10, [1_234_567_890, 12_345_678_901, 7])}
+    for prefix, (width, keys) in rows.items():
+        df = spark.createDataFrame([(k,) for k in keys], "k long").selectExpr(f"{key_sql(prefix, 'k', width)} AS id")
+        assert [r["id"] for r in df.collect()] == [prefix + str(k).zfill(width) for k in keys]
+
+
+def test_anonymous_vertices_leave_no_column(spark):
+    verts = spark.createDataFrame([("a",), ("b",), ("c",)], "id string")
+    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("a", "x")], "src string, dst string")
+    g = PropertyGraph(verts, edges)
+    out = find(g, [("a", "e", None)])
+    assert out.columns == ["a", "e"] and sorted(r["e"]["dst"] for r in out.collect()) == ["b", "c"]
+    assert [r["m"]["id"] for r in find(g, [(None, None, "m"), ("m", None, None)]).collect()] == ["b"]
+    # no edge out of c at all
+    assert [r["n"]["id"] for r in find(g, [(None, None, "n")], negate=[("n", None)]).collect()] == ["c"]
+
+
+def test_bfs_steps_and_structs(spark):
+    from ringwise.operators.paths import bfs, bfs_structs
+
+    verts = spark.createDataFrame([(x, x.upper()) for x in "abcd"], "id string, name string")
+    edges = spark.createDataFrame([("a", "b", "r1"), ("a", "c", "r2"), ("b", "d", "r3"), ("c", "d", "r4")], "src string, dst string, rel string")
+    paths = bfs(verts, edges, "id = 'a'", "id = 'd'")
+    assert sorted(r["path"] for r in paths.collect()) == ["a>b>d", "a>c>d"]
+    assert {tuple((s["position"], s["id"]) for s in r["steps"]) for r in paths.collect()} == {((0, "a"), (1, "b"), (2, "d")), ((0, "a"), (1, "c"), (2, "d"))}
+    out = bfs_structs(verts, edges, paths, 2)
+    assert out.columns == ["from", "e0", "v1", "e1", "to"]
+    assert sorted((r["from"]["name"], r["e0"]["rel"], r["v1"]["id"], r["e1"]["rel"], r["to"]["id"]) for r in out.collect()) == [
+        ("A", "r1", "b", "r3", "d"),
+        ("A", "r2", "c", "r4", "d"),
+    ]
+    assert [r["path"] for r in bfs(verts, edges, "id = 'a'", "id in ('a', 'd')").collect()] == ["a"]
+    assert bfs(verts, edges, "id = 'd'", "id = 'a'").collect() == []
+
+
+def test_groups_stand_for_their_pairs(spark):
+    """Distances and paths through contact values equal those over the listed pairs."""
+    from itertools import combinations
+
+    from ringwise.operators.paths import bfs, shortest_paths
+
+    groups = {"g1": "abcde", "g2": "ef", "g3": "fgh", "g4": "z"}
+    verts = spark.createDataFrame([(x,) for x in "abcdefghxyz"], "id string")
+    plain = [("x", "a"), ("h", "y")]
+    pairs = spark.createDataFrame(plain + [p for m in groups.values() for p in combinations(m, 2)], "src string, dst string")
+    members = spark.createDataFrame([(x, g) for g, m in groups.items() for x in m], "id string, value string")
+    edges = spark.createDataFrame(plain, "src string, dst string")
+    marks = spark.createDataFrame([("x",), ("c",)], "id string")
+    listed = {tuple(r) for r in shortest_paths(pairs, marks, "both", vertices=verts).collect()}
+    assert listed == {tuple(r) for r in shortest_paths(edges, marks, "both", vertices=verts, groups=members).collect()}
+    over_pairs = sorted(r["path"] for r in bfs(verts, pairs, "id = 'x'", "id = 'y'", direction="both").collect())
+    assert over_pairs == sorted(r["path"] for r in bfs(verts, edges, "id = 'x'", "id = 'y'", direction="both", groups=members).collect()) != []
+
+
+def test_contact_degrees_and_counts_without_pairs(spark):
+    from ringwise.operators.graph import contact_degrees, contact_pair_count, shared_contact_pairs
+
+    rows = [(f"p{i:02d}", None if i % 7 == 0 else f"a{i % 4}", None if i % 5 == 0 else f"t{i % 3}") for i in range(40)]
+    df = spark.createDataFrame(rows, "policyholder_id string, address string, phone string")
+    pairs = [tuple(r) for r in shared_contact_pairs(df).collect()]
+    assert contact_pair_count(df).first()["count"] == len(pairs)
+    for r in contact_degrees(df).collect():
+        assert r["out_degree"] == sum(p[0] == r["id"] for p in pairs) and r["in_degree"] == sum(p[1] == r["id"] for p in pairs)
+
+
+def test_pagerank_stops_at_the_tolerance(spark):
+    from ringwise.operators.pagerank import pagerank
+
+    verts = spark.createDataFrame([(x,) for x in "abc"], "id string")
+    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a")], "src string, dst string")
+    ring = {r["id"]: r["pagerank"] for r in pagerank(verts, edges, rounds=50, tol=1e-9).collect()}
+    assert all(abs(v - 1) < 1e-9 for v in ring.values())
+    chain = spark.createDataFrame([("a", "b"), ("b", "c")], "src string, dst string")
+    exact = {r["id"]: r["pagerank"] for r in pagerank(verts, chain, rounds=40).collect()}
+    early = {r["id"]: r["pagerank"] for r in pagerank(verts, chain, rounds=40, tol=1e-6).collect()}
+    assert all(abs(exact[k] - early[k]) < 1e-5 for k in exact)
+
+
+def test_a_hub_is_split_where_minima_join(spark):
+    """The joins of components with a hub that holds half of all edges: adaptive execution reads it in pieces."""
+    from ringwise.operators.components import _stats
+    from ringwise.operators.iterate import materialize
+
+    conf = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        edges = spark.range(60_000).selectExpr("id + 10 as c", "case when id % 2 = 0 then 1 else id div 7 + 2 end as p").repartition(8)
+        state, _ = materialize(edges, "t-state")
+        stats, _ = materialize(_stats(state), "t-minima")
+        joined = state.join(stats, state.p == stats.u).select("c", "m")
+        assert joined.count() == 60_000
+        joined.write.format("noop").mode("overwrite").save()
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
