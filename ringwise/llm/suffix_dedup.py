@@ -9,13 +9,15 @@ A distributed difference-cover algorithm on suffixes cut at ``width`` bytes:
 2. Cover. Of the ``STEP`` positions that follow each position, the one with the least nine-byte
    name is sampled. This depends on these bytes alone, so two equal strings of ``width`` bytes have
    a sampled position at the same distance from their starts: that is what a difference cover
-   is for. About one position in 32 is sampled.
+   is for. About one position in 64 is sampled.
 3. Sampled suffixes are sorted by the name of their first ``width`` - ``STEP`` + 1 bytes, and
    neighbours are compared. Those whose prefix is found once only can't lie in a repeated string.
-4. The remaining suffixes, those that follow a surviving sampled one, are merged in: sorted by the
-   name of all their ``width`` bytes, and neighbours compared. For a sampled position the first and
-   the last suffix that it stands for go first. If both are repeated, all between them are covered
-   whether repeated or not. Else all suffixes of all positions of that name are sorted.
+4. The remaining suffixes, those that a surviving sampled one stands for, are merged in. The first and
+   the last of them are sorted by the name of all their ``width`` bytes, and neighbours compared. If
+   both are repeated, all between them are covered whether repeated or not. Else the positions of
+   that name meet with the bytes around their equal prefix: these tell all suffixes that they stand
+   for apart, which are sorted and compared in the task. A name of more than ``TOGETHER`` positions is
+   dealt over several tasks; the suffixes that these leave open are sorted once more for all.
 
 Rows with equal names within one batch are known to be repeated; they are sorted under a random
 key, but for one that meets the other batches' rows. So a passage in a third of all documents
@@ -43,10 +45,12 @@ from ringwise.llm.common import Scratch, others, utf8
 
 ADDED = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")
 WIDTH = 400
-STEP = 64
+STEP = 128
 SPAN = 243
 #: Positions of a text, or of texts one after the other, that are worked on at once.
 SEGMENT = 1 << 18
+#: Positions of one name whose suffixes one task compares.
+TOGETHER = 20_000
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
@@ -214,41 +218,132 @@ def _sample(width: int):
     return run
 
 
-def _windows(width: int, ends_only: bool):
-    """Rows of the windows of each text's listed positions: the first and last ones, or all."""
+def _listed(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """(bytes, offsets, listed values, text of each) of rows (key, text, list)."""
+    raw, offsets = utf8(part.column(1))
+    lists = part.column(2)
+    text = np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+    return raw[offsets[0] : offsets[-1]], offsets - offsets[0], lists.flatten(), text
+
+
+def _ends(width: int):
+    """Rows of the first and last windows of each text's listed positions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for from_row in range(0, batch.num_rows, 500):
-                part = batch.slice(from_row, 500)
-                raw, offsets = utf8(part.column(1))
-                raw, offsets = raw[offsets[0] : offsets[-1]], offsets - offsets[0]
-                lists = part.column(2)
-                packed = np.asarray(lists.flatten().to_numpy(zero_copy_only=False), np.int64)
-                text = np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+            for from_row in range(0, batch.num_rows, 1_000):
+                part = batch.slice(from_row, 1_000)
+                raw, offsets, listed, text = _listed(part)
+                packed = np.asarray(listed.to_numpy(zero_copy_only=False), np.int64)
                 lo, hi = _unpack(packed)
-                if ends_only:
-                    one = lo == hi
-                    start = np.concatenate([lo, hi[~one]])
-                    owner = np.concatenate([np.arange(len(lo)), np.flatnonzero(~one)])
-                    sides = np.concatenate([np.where(one, 2, 1), np.ones((~one).sum(), np.int64)])
-                else:
-                    count = hi - lo + 1
-                    owner = np.repeat(np.arange(len(lo)), count)
-                    start = lo[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-                    sides = np.ones(len(owner), np.int64)
+                one = lo == hi
+                start = np.concatenate([lo, hi[~one]])
+                owner = np.concatenate([np.arange(len(lo)), np.flatnonzero(~one)])
+                sides = np.concatenate([np.where(one, 2, 1), np.ones((~one).sum(), np.int64)])
                 place = start + offsets[text[owner]]
                 order = np.argsort(place, kind="stable")
-                place, owner, start, sides = place[order], owner[order], start[order], sides[order]
+                place, owner, sides = place[order], owner[order], sides[order]
                 first, second = window_names(raw, place, width)
                 spot, sure = _spread(first, second, np.zeros(len(place), bool))
-                what = packed[owner] if ends_only else start
-                columns = [spot.view(np.int64), first.view(np.int64), second.view(np.int64), sure, part.column(0).to_numpy()[text[owner]], what, sides]
+                key = part.column(0).to_numpy()[text[owner]]
+                columns = [spot.view(np.int64), first.view(np.int64), second.view(np.int64), sure, key, packed[owner], sides]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["spot", "first", "second", "sure", "key", "at", "sides"])
 
     return run
 
 
+def _around(width: int):
+    """The listed positions (at, name, parts, wanted) with the ``STEP`` - 1 bytes on either side of their prefix.
+
+    Of positions that only serve to be compared with, one of a kind in a batch is enough.
+    """
+    n, core = STEP - 1, width - STEP + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for from_row in range(0, batch.num_rows, 2_000):
+                part = batch.slice(from_row, 2_000)
+                raw, offsets, listed, text = _listed(part)
+                packed, name, parts, wanted = (listed.field(f).to_numpy(zero_copy_only=False) for f in ("at", "name", "parts", "wanted"))
+                if not len(packed):
+                    continue
+                place = (packed >> 16) + offsets[text]
+                padded = np.concatenate([np.zeros(n, np.uint8), raw, np.zeros(n, np.uint8)])
+                near, wanted = np.arange(n), wanted.astype(bool)
+                # bytes of other texts don't matter: no window reaches them
+                left = padded[place[:, None] + n - 1 - near]
+                right = padded[place[:, None] + n + core + near]
+                kind = prefix_names(left)[:, -1] * _K[1] ^ prefix_names(right)[:, -1] * _K[2] ^ name.view(np.uint64) * _K[0] ^ (packed & 0xFFFF).astype(np.uint64)
+                _, once, inverse, count = np.unique(kind, return_index=True, return_inverse=True, return_counts=True)
+                head = np.zeros(len(packed), bool)
+                head[once] = True
+                keep = np.flatnonzero(wanted | head)
+                # where a kind occurs twice here, all its windows are repeated
+                twice = (count[inverse] > 1)[keep]
+                sides = pa.array([left[i].tobytes() + right[i].tobytes() for i in keep], pa.binary())
+                columns = [name[keep], parts[keep], part.column(0).to_numpy()[text[keep]], packed[keep], wanted[keep], twice]
+                yield pa.RecordBatch.from_arrays([*[pa.array(c) for c in columns], sides], ["name", "parts", "key", "at", "wanted", "twice", "around"])
+
+    return run
+
+
+def prefix_names(context: np.ndarray) -> np.ndarray:
+    """Names of the first 0, 1, .. bytes of each row."""
+    out = np.zeros((len(context), context.shape[1] + 1), np.uint64)
+    for i in range(context.shape[1]):
+        x = (out[:, i] + context[:, i].astype(np.uint64) + np.uint64(1)) * _K[0]
+        out[:, i + 1] = x ^ (x >> np.uint64(29))
+    return out
+
+
+def _compare(rows: pa.RecordBatch) -> pa.RecordBatch:
+    """Windows of positions of whole names: those wanted and repeated, and those that other tasks must see."""
+    name, packed = rows["name"].to_numpy().view(np.uint64), rows["at"].to_numpy()
+    around = np.frombuffer(b"".join(rows["around"].to_pylist()), np.uint8).reshape(len(name), 2 * (STEP - 1))
+    left, right = prefix_names(around[:, : STEP - 1]), prefix_names(around[:, STEP - 1 :])
+    back, least = (packed >> 8) & 255, packed & 255
+    count = back - least + 1
+    owner = np.repeat(np.arange(len(name)), count)
+    delta = least[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+    before, after = left[owner, delta], right[owner, STEP - 1 - delta]
+    first = (name[owner] + before * _K[1]) * _K[2] ^ delta.astype(np.uint64)
+    second = (after ^ (before >> np.uint64(7))) * _K[0] + name[owner]
+    order = np.lexsort((second, first))
+    like = (first[order][1:] == first[order][:-1]) & (second[order][1:] == second[order][:-1])
+    again = rows["twice"].to_numpy(zero_copy_only=False).astype(bool)[owner]
+    again[order[1:][like]] = True
+    again[order[:-1][like]] = True
+    wanted = rows["wanted"].to_numpy(zero_copy_only=False).astype(bool)[owner]
+    many = rows["parts"].to_numpy()[owner] > 1
+    # of windows that other tasks must see, one row each is enough where nothing is wanted
+    head = np.ones(len(owner), bool)
+    head[order[1:]] = ~like
+    keep = np.flatnonzero((wanted & (again | many)) | (many & head))
+    start = (packed >> 16)[owner] - delta
+    columns = [first.view(np.int64), first.view(np.int64), second.view(np.int64), again, rows["key"].to_numpy()[owner], start, wanted, many]
+    return pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], ["spot", "first", "second", "sure", "key", "at", "wanted", "open"])
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``_compare`` over a stream of positions sorted by name and part."""
+    held: pa.RecordBatch | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if held is not None:
+            batch = pa.concat_batches([held, batch])
+        name, piece = batch["name"].to_numpy(), batch["part"].to_numpy()
+        new = np.flatnonzero((name[1:] != name[:-1]) | (piece[1:] != piece[:-1])) + 1
+        end, at = int(new[-1]) if len(new) else 0, 0
+        while at < end:  # whole names, some thousand positions at a time
+            upto = int(new[min(np.searchsorted(new, at + 5_000), len(new) - 1)])
+            yield _compare(batch.slice(at, upto - at))
+            at = upto
+        held = batch.slice(end)
+    if held is not None and held.num_rows:
+        yield _compare(held)
+
+
 def covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Mask of the n bytes that lie in any of the intervals."""
     depth = np.zeros(n + 1, np.int64)
@@ -280,6 +375,23 @@ def _cut(keep_text: bool):
     return run
 
 
+def _merged(shared: DataFrame, status: DataFrame, scratch: Scratch, width: int) -> DataFrame:
+    """(key, start, end) of the repeated windows of positions whose first and last ones aren't both repeated."""
+    names = status.groupBy("name").agg(F.count("*").alias("n"), F.max(~F.col("whole")).alias("open")).where("open")
+    names = scratch.save(names.select("name", F.ceil(F.col("n") / TOGETHER).cast("long").alias("parts")), "open")
+    mates = status.join(names, "name").select("key", F.struct("at", "name", "parts", (~F.col("whole")).alias("wanted")).alias("one"))
+    mates = mates.groupBy("key").agg(F.collect_list("one").alias("at"))
+    rows = shared.drop("at").join(mates, "key").select("key", "text", "at")
+    schema = "name long, parts long, key long, at long, wanted boolean, twice boolean, around binary"
+    rows = rows.mapInArrow(_around(width), schema).withColumn("part", F.pmod(F.xxhash64("key", "at"), F.col("parts")))
+    rows = rows.repartition("name", "part").sortWithinPartitions("name", "part")
+    schema = "spot long, first long, second long, sure boolean, key long, at long, wanted boolean, open boolean"
+    compared = scratch.save(rows.mapInArrow(_compared, schema), "compared")
+    done = compared.where("wanted and sure").select("key", "at")
+    seen = _repeated(compared.where("open").drop("open"), ["key", "at", "wanted"]).where("wanted").select("key", "at")
+    return done.unionByName(seen).select("key", F.col("at").alias("start"), (F.col("at") + width).alias("end"))
+
+
 def dedup(docs: DataFrame, text: str = "text", width: int = WIDTH, keep_text: bool = False) -> DataFrame:
     """Input columns but the text, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept_text."""
     if not SPAN + STEP <= width <= 2 * SPAN:
@@ -299,20 +411,17 @@ def dedup(docs: DataFrame, text: str = "text", width: int = WIDTH, keep_text: bo
     shared = scratch.save(long_texts.dropDuplicates(["key"]).join(listed, "key"), "texts")
     scratch.drop()
 
-    ends = _repeated(shared.mapInArrow(_windows(width, True), suffix + ", sides long"), ["key", "at", "sides"])
+    ends = _repeated(shared.mapInArrow(_ends(width), suffix + ", sides long"), ["key", "at", "sides"])
     sides = ends.groupBy("key", "at").agg(F.sum("sides").alias("sides"))
     status = alive.join(sides, ["key", "at"], "left").select("name", "key", "at", (F.coalesce("sides", F.lit(0)) >= 2).alias("whole"))
     status = scratch.save(status, "status")
     scratch.drop("alive_once")
-    open_names = scratch.save(status.where(~F.col("whole")).select("name").distinct(), "open")
-    mates = status.join(open_names, "name", "left_semi").groupBy("key").agg(F.collect_list("at").alias("at"))
-    every = shared.drop("at").join(mates, "key").select("key", "text", "at").mapInArrow(_windows(width, False), suffix + ", sides long")
-    single = _repeated(every, ["key", "at"]).select("key", F.col("at").alias("start"), (F.col("at") + width).alias("end"))
+    single = _merged(shared, status, scratch, width)
     lo = F.shiftright("at", 16) - F.shiftright("at", 8).bitwiseAND(255)
     hi = F.shiftright("at", 16) - F.col("at").bitwiseAND(255)
     runs = status.where("whole").select("key", lo.alias("start"), (hi + width).alias("end"))
     spans = scratch.save(single.unionByName(runs), "spans")
-    scratch.drop("open")
+    scratch.drop("open", "compared")
 
     grouped = spans.groupBy("key").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
     cut = shared.drop("at").join(grouped, "key").select("key", "text", "starts", "ends")
