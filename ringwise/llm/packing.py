@@ -17,6 +17,7 @@ before they are packed. Input columns other than key and text are not read.
 from __future__ import annotations
 
 import heapq
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,47 +27,52 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CAPACITY = 1024
-#: Distinct stretches between spaces that a worker remembers the ids of; beyond, it starts anew.
-REMEMBERED = 1_000_000
+#: Fixed value: how the byte-level BPE splits texts before it merges.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_NOT_LATIN = re.compile("[^\x00-\u024f]").search
 
 _memory: dict = {}
 
 
 class Encoder:
-    """Ids of whole texts by a byte-level BPE, two bytes an id.
+    """Ids of whole texts by a byte-level BPE given as a file of ``tokenizers``, two bytes an id.
 
-    The tokenizer's pattern always splits where a single space follows a character that is no
-    white space, so stretches between single spaces are encoded by themselves and remembered.
-    Texts in which white space meets white space are encoded whole.
+    Texts of Latin characters go through ``tiktoken`` with the vocabulary read from that file,
+    which gives the same ids in a third of the time, as tests hold; all others, for which the two
+    libraries' tables of Unicode may differ, through ``tokenizers`` itself.
     """
 
     def __init__(self, path: str):
-        import regex
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
-        self.doubled = regex.compile(r"\s\s|^\s|\s$").search
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint16).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if self.doubled(text):
-            return self._ids([text])[0]
-        parts = (" " + text).split(" ")[1:]
-        first, rest = parts[0], parts[1:]
-        known = self.known
-        missing = list(dict.fromkeys(p for p in rest if p not in known))
-        if missing:
-            if len(known) + len(missing) > REMEMBERED:
-                known.clear()
-                missing = list(dict.fromkeys(rest))
-            known.update(zip(missing, self._ids([" " + p for p in missing]), strict=True))
-        return self._ids([first])[0] + b"".join([known[p] for p in rest])
+        special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        byte = {c: b for b, c in enumerate(_byte_characters())}
+        # merges have ids in their order, so that an id is its token's rank
+        ranks = {bytes(byte[c] for c in token): i for token, i in self.tokenizer.get_vocab().items() if token not in special}
+        self.fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        out = [b""] * len(texts)
+        other = []
+        for i, text in enumerate(texts):
+            if _NOT_LATIN(text):
+                other.append(i)
+            elif text:
+                out[i] = self.fast.encode_to_numpy(text, disallowed_special=()).astype(np.uint16).tobytes()
+        found = self.tokenizer.encode_batch([texts[i] for i in other], add_special_tokens=False)
+        for i, ids in zip(other, found, strict=True):
+            out[i] = np.array(ids.ids, np.uint16).tobytes()
+        return out
+
+
+def _byte_characters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if printable, else one from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
 def encoder(path: str) -> Encoder:
@@ -88,7 +94,7 @@ def tokenised(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                ids = [enc.encode(t or "") + b"\0\0" for t in part.column(1).to_pylist()]
+                ids = [e + b"\0\0" for e in enc.encode([t or "" for t in part.column(1).to_pylist()])]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), part.column(2)], ["doc_id", "ids", "place"])
 
     return rows.mapInArrow(encode, "doc_id long, ids binary, place long")
