@@ -5,14 +5,17 @@
 2. Order. A fixed table of ``CELLS`` counters, filled by all documents, tells frequent shingles
    from rare ones; the global order is by counter, then hash. Any order gives right results.
 3. Candidates. Two sets that are 0.8 alike share one of the first n - ceil(0.8 n) + 1 shingles of
-   each. Sets that share such a shingle are chained in order of size while neighbours' sizes are
-   within 0.8; sets of one batch are chained before they are shuffled, and a chain goes on as
-   one row. Components of the chains are clusters: no two alike sets lie in different ones.
+   each, their prefixes. Where up to ``FEW`` sets share such a shingle, those of matching sizes are
+   paired, and pairs stay whose prefixes have enough in common: all other common shingles lie
+   outside one of the prefixes. Where more sets share it, they are chained in order of size while
+   neighbours' sizes match, so no more links come up than sets; those of one batch are chained before they are
+   shuffled, and a chain goes on as one row. Components of pairs and chains are clusters: no
+   two alike sets lie in different ones.
 4. Trees. A cluster's sets are put in a prefix tree, ordered from frequent to rare so that
    overlaps are shared. Each set walks the tree built so far, adding up the overlap along the
    way, and leaves subtrees whose sizes and remaining lengths can't reach the overlap needed, or
    whose sets all belong to its own component already.
-5. Clusters of over ``BLOCK`` sets are cut in blocks by size. Each block is joined in itself; then
+5. Clusters of over ``BLOCK`` sets (longer ones count more) are cut in blocks by size. Each block is joined in itself; then
    one set of each component goes on to the next round, until they fit in a block. At last the
    sets outside their cluster's largest component meet all blocks of matching sizes, block by
    block, so no link between components is lost. Sets within one component need no links.
@@ -31,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,8 +47,11 @@ CELLS = 1 << 20
 PART = 1 << 12
 #: Bytes of text that are worked on at once.
 TEXTS = 1 << 19
-#: Sets of a cluster that one task joins.
-BLOCK = 4_000
+#: Sets of a cluster that one task joins, of ``USUAL`` shingles each; longer ones count as more.
+BLOCK = 2_000
+USUAL = 600
+#: Sets sharing a prefix shingle that are paired; a fixed number, so that pairs grow with the input.
+FEW = 16
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 #: An odd number and its inverse modulo 2^64: hashes of words are differences of prefix sums.
 _BASE = 0x5851F42D4C957F2D
@@ -157,8 +163,8 @@ def _prefixes(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = shared.value
         for batch in batches:
-            out: list[list] = [[], [], []]
             for a, b, shingle, counts in _sets(batch.column(2)):
+                out: list[list] = [[], [], []]
                 ends = np.cumsum(counts)
                 frequency = often[_cell(shingle)]
                 for i in range(b - a):
@@ -173,17 +179,21 @@ def _prefixes(shared):
                         out[2].append(b"")
                     out[0].append(int(name.view(np.int64)[0]))
                     out[1].append(n)
-            columns = [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["row", "key", "node", "n", "prefix"])
+                columns = [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())]
+                part = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], ["row", "key", "node", "n", "prefix"])
 
     return run
 
 
 def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From prefixes: links within the batch (v set), and one row a shingle and chain with its range of sizes."""
+    """From prefixes: a row a shingle and set, or, where over ``FEW`` sets of a batch share it, the batch's links and chains.
+
+    Rows are (spot, least, most, u, v, kind): kind 0 is a set, 1 a chain with its range of sizes, 2 a link from u to v.
+    """
     for batch in batches:
-        for from_row in range(0, batch.num_rows, 20_000):
-            part = batch.slice(from_row, 20_000)
+        for from_row in range(0, batch.num_rows, 2_000):
+            part = batch.slice(from_row, 2_000)
             prefixes = [np.frombuffer(p, np.uint64) for p in part["prefix"].to_pylist()]
             lengths = np.array([len(p) for p in prefixes], np.int64)
             if not lengths.sum():
@@ -193,53 +203,119 @@ def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size = np.repeat(part["n"].to_numpy(), lengths)
             order = np.lexsort((node, size, shingle))
             shingle, node, size = shingle[order], node[order], size[order]
+            new = np.ones(len(shingle), bool)
+            new[1:] = shingle[1:] != shingle[:-1]
+            group = np.cumsum(new) - 1
+            many = np.bincount(group)[group] > FEW
             linked = np.zeros(len(node), bool)
-            linked[1:] = (shingle[1:] == shingle[:-1]) & (5 * size[:-1] >= 4 * size[1:])
+            linked[1:] = many[1:] & ~new[1:] & (5 * size[:-1] >= 4 * size[1:])
             at = np.flatnonzero(linked)
             first = np.flatnonzero(~linked)
             last = np.append(first[1:], len(node)) - 1
             links = np.unique(np.stack([node[at - 1], node[at]]), axis=1)
-            n_links = links.shape[1]
-            spot = np.concatenate([_mix(links[1].view(np.uint64) + _K[0]), shingle[first]])
-            zero = np.zeros(n_links, np.int64)
+            zero = np.zeros(links.shape[1], np.int64)
             columns = [
-                spot.view(np.int64),
+                np.concatenate([_mix(links[1].view(np.uint64) + _K[0]), shingle[first]]).view(np.int64),
                 np.concatenate([zero, size[first]]),
                 np.concatenate([zero, size[last]]),
                 np.concatenate([links[0], node[first]]),
+                np.concatenate([links[1], np.zeros(len(first), np.int64)]),
+                np.concatenate([zero + 2, many[first].astype(np.int64)]).astype(np.int8),
             ]
-            v = pa.array(np.concatenate([links[1], np.zeros(len(first), np.int64)]), mask=np.arange(n_links + len(first)) >= n_links)
-            yield pa.RecordBatch.from_arrays([*[pa.array(c) for c in columns], v], ["spot", "least", "most", "u", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["spot", "least", "most", "u", "v", "kind"])
+
+
+def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (u, v, pair) from a stream sorted by shingle and least size; ``pair`` says that prefixes decide on it."""
+    spot, rows, chained, most, node = None, [], False, 0, 0
+    out: tuple[list, list, list] = ([], [], [])
+
+    def put(u: int, v: int, pair: bool) -> None:
+        if u != v:
+            for column, value in zip(out, (min(u, v), max(u, v), pair), strict=True):
+                column.append(value)
+
+    def follow(least: int, upto: int, u: int) -> None:
+        nonlocal most, node
+        if 5 * most >= 4 * least:
+            put(node, u, False)
+        most, node = max(most, upto) if 5 * most >= 4 * least else upto, u
+
+    def end() -> None:
+        if not chained:
+            for i, (_, n, u) in enumerate(rows):
+                for _, m, v in rows[:i]:
+                    if 5 * m >= 4 * n:
+                        put(v, u, True)
+        rows.clear()
+
+    def flush() -> pa.RecordBatch:
+        types = (pa.int64(), pa.int64(), pa.bool_())
+        ready = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["u", "v", "pair"])
+        for column in out:
+            column.clear()
+        return ready
 
-
-def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links from a stream sorted by shingle and least size: a chain joins the one before if their sizes may match."""
-    spot, most, node = None, 0, 0
     for batch in batches:
-        ready = batch.filter(batch["v"].is_valid())
-        if ready.num_rows:
-            yield ready.select(["u", "v"])
-        rows = batch.filter(batch["v"].is_null())
-        if not rows.num_rows:
-            continue
-        spots, least, upto, nodes = (rows[c].to_numpy() for c in ("spot", "least", "most", "u"))
-        # rows whose shingle occurs once can be left out of the loop but for the ends of the batch
-        near = np.zeros(len(spots), bool)
-        near[[0, -1]] = True
-        near[1:] |= spots[1:] == spots[:-1]
-        near[:-1] |= spots[1:] == spots[:-1]
-        out: tuple[list, list] = ([], [])
-        for i in np.flatnonzero(near):
-            if spots[i] == spot and 5 * most >= 4 * least[i]:
-                if nodes[i] != node:
-                    out[0].append(int(node))
-                    out[1].append(int(nodes[i]))
-                most = max(most, upto[i])
-            else:
-                most = upto[i]
-            spot, node = spots[i], nodes[i]
+        kinds = batch["kind"].to_numpy()
+        for u, v in zip(batch["u"].to_numpy()[kinds == 2].tolist(), batch["v"].to_numpy()[kinds == 2].tolist(), strict=True):
+            put(u, v, False)
+        keep = kinds != 2
+        spots = batch["spot"].to_numpy()[keep]
+        if len(spots):
+            # shingles that occur once are left out of the loop, but for the ends of the batch
+            near = np.zeros(len(spots), bool)
+            near[[0, -1]] = True
+            near[1:] |= spots[1:] == spots[:-1]
+            near[:-1] |= spots[1:] == spots[:-1]
+            columns = [spots, *(batch[c].to_numpy()[keep] for c in ("least", "most", "u")), kinds[keep]]
+            for key, least, upto, u, kind in zip(*(c[near].tolist() for c in columns), strict=True):
+                if key != spot:
+                    end()
+                    spot, chained = key, False
+                if chained:
+                    follow(least, upto, u)
+                    continue
+                rows.append((least, upto, u))
+                if kind == 1 or len(rows) > FEW:
+                    chained, (_, most, node) = True, rows[0]
+                    for row in rows[1:]:
+                        follow(*row)
+                    rows.clear()
         if out[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64())], ["u", "v"])
+            yield flush()
+    end()
+    if out[0]:
+        yield flush()
+
+
+def _common(pairs: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """The pairs whose prefixes leave room for 0.8: common shingles outside them lie outside one of them at most.
+
+    Prefixes travel as 32 bits a shingle, which can only make them seem more alike.
+    """
+
+    def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cut = [np.unique(np.frombuffer(p, np.uint64).astype(np.uint32)).tobytes() for p in batch["prefix"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["node"], batch["n"], pa.array(cut, pa.binary())], ["node", "n", "low"])
+
+    low = scratch.save(nodes.mapInArrow(short, "node long, n long, low binary"), "low")
+    side = lambda name: low.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("low").alias(f"low_{name}"))
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            sizes = zip(batch["n_u"].to_pylist(), batch["n_v"].to_pylist(), strict=True)
+            for (n, m), a, b in zip(sizes, batch["low_u"].to_pylist(), batch["low_v"].to_pylist(), strict=True):
+                common = len(np.intersect1d(np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32), assume_unique=True))
+                # two shingles of a set may share their 32 bits
+                lost = int(prefix_length(np.int64(n))) - len(a) // 4 + int(prefix_length(np.int64(m))) - len(b) // 4
+                rest = max(n - int(prefix_length(np.int64(n))), m - int(prefix_length(np.int64(m))))
+                keep.append(9 * (common + lost + rest) >= 4 * (n + m))
+            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "n_u", "n_v", "low_u", "low_v").mapInArrow(decide, "u long, v long")
 
 
 class _Branch:
@@ -258,7 +334,7 @@ class Tree:
 
     def __init__(self, n_ranks: int):
         self.root = _Branch(np.zeros(0, np.int64))
-        self.n_ranks = n_ranks
+        self.stamp = np.zeros(n_ranks, np.int64)
         self.sets: list[np.ndarray] = []
         self.sizes: list[int] = []
         self.parent: list[int] = []
@@ -316,9 +392,8 @@ class Tree:
     def alike(self, x: int, link) -> None:
         """Calls link(x, y) for inserted sets y alike to x, one at least in each component that has any."""
         ranks, size = self.sets[x], self.sizes[x]
-        has = np.zeros(self.n_ranks + 1, np.int64)
-        has[ranks] = 1
-        left = len(ranks) - np.cumsum(has)  # of x after each rank
+        has, mark = self.stamp, x + 1  # a rank that x has bears its mark
+        has[ranks] = mark
         stack = [(self.root, 0)]
         while stack:
             branch, overlap = stack.pop()
@@ -327,8 +402,8 @@ class Tree:
             own = branch.ranks
             rest = len(ranks)
             if len(own):
-                overlap += int(has[own].sum())
-                rest = int(left[own[-1]])
+                overlap += int(np.count_nonzero(has[own] == mark))
+                rest = len(ranks) - int(np.searchsorted(ranks, own[-1], side="right"))
             if 9 * (overlap + min(rest, branch.longest)) < 4 * (size + branch.least):
                 continue
             for y in branch.ending:
@@ -336,8 +411,8 @@ class Tree:
                     self.union(x, y)
                     link(x, y)
             # the likeliest child comes off the stack first
-            stack.extend((c, overlap) for r, c in branch.children.items() if not has[r])
-            stack.extend((c, overlap) for r, c in branch.children.items() if has[r])
+            stack.extend((c, overlap) for r, c in branch.children.items() if has[r] != mark)
+            stack.extend((c, overlap) for r, c in branch.children.items() if has[r] == mark)
 
 
 def join_sets(nodes: np.ndarray, sizes: np.ndarray, sets: list[np.ndarray], side: np.ndarray, known: np.ndarray) -> list[tuple[int, int]]:
@@ -390,9 +465,9 @@ def _joined(rows: DataFrame) -> DataFrame:
 def _links(sets: DataFrame, scratch: Scratch, block: int) -> DataFrame:
     """Links (u, v) among sets (cluster, node, n, shingles) that give the components of all links."""
     light = sets.select("cluster", "node", "n")
-    counts = scratch.save(light.groupBy("cluster").agg(F.count("*").alias("members")), "counts")
+    counts = scratch.save(light.groupBy("cluster").agg(F.ceil(F.sum(_weight())).alias("members")), "counts")
     n_sets, largest = counts.agg(F.coalesce(F.sum("members"), F.lit(0)), F.coalesce(F.max("members"), F.lit(0))).first()
-    tasks = max(1, 2 * n_sets // block)
+    tasks = max(1, 4 * n_sets // block)
     small = sets.join(counts.where(F.col("members") <= block).select("cluster"), "cluster", "left_semi")
     small = small.select(F.pmod(F.xxhash64("cluster"), F.lit(tasks)).alias("task"), "cluster", F.lit(0).alias("side"), F.col("node").alias("known"), "node", "n", "shingles")
     links = scratch.save(_joined(small), "links-small")
@@ -441,8 +516,12 @@ def _links(sets: DataFrame, scratch: Scratch, block: int) -> DataFrame:
 
 def _in_blocks(members: DataFrame, block: int) -> DataFrame:
     """Numbers the blocks of each cluster's sets in order of size; rows are light, and the sort spills."""
-    order = Window.partitionBy("cluster").orderBy("n", "node")
-    return members.withColumn("block", F.floor((F.row_number().over(order) - 1) / block))
+    before = Window.partitionBy("cluster").orderBy("n", "node").rowsBetween(Window.unboundedPreceding, -1)
+    return members.withColumn("block", F.floor(F.coalesce(F.sum(_weight()).over(before), F.lit(0.0)) / block))
+
+
+def _weight() -> Column:
+    return F.greatest(F.lit(1.0), F.col("n") / USUAL)
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int = BLOCK, classes: bool = False) -> DataFrame:
@@ -462,10 +541,14 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int =
     scratch.drop("cells")
 
     nodes = rows.where("n > 0").select("node", "n", "prefix").dropDuplicates(["node"])
-    chains = nodes.mapInArrow(_chain, "spot long, least long, most long, u long, v long")
-    linked = chains.repartition("spot").sortWithinPartitions("spot", "least", "u").mapInArrow(_chained, "u long, v long")
-    near = scratch.save(linked.distinct(), "near")
+    rows_of = nodes.mapInArrow(_chain, "spot long, least long, most long, u long, v long, kind byte")
+    matched = rows_of.repartition("spot").sortWithinPartitions("spot", "least", "u").mapInArrow(_matched, "u long, v long, pair boolean")
+    # a link of a chain stays, whatever the prefixes say
+    matched = scratch.save(matched.groupBy("u", "v").agg(F.min("pair").alias("pair")), "matched")
     scratch.drop()
+    near = matched.where(~F.col("pair")).select("u", "v").unionByName(_common(matched.where("pair"), nodes, scratch))
+    near = scratch.save(near, "near")
+    scratch.drop("low")
     clusters = scratch.save(components(near, scratch, "cluster").withColumnRenamed("root", "cluster"), "clusters")
 
     wanted = rows.where("n > 0").groupBy("node").agg(F.min("key").alias("key")).join(clusters, "node")
@@ -473,12 +556,10 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int =
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets, counts = [], []
             for a, b, shingle, n in _sets(batch.column(2)):
-                ends = np.cumsum(n)
-                sets += [shingle[ends[i] - n[i] : ends[i]].tobytes() for i in range(b - a)]
-                counts += n.tolist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(sets, pa.binary())], ["cluster", "node", "n", "shingles"])
+                ends, part = np.cumsum(n), batch.slice(a, b - a)
+                sets = [shingle[ends[i] - n[i] : ends[i]].tobytes() for i in range(b - a)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(n), pa.array(sets, pa.binary())], ["cluster", "node", "n", "shingles"])
 
     sets = scratch.save(texts.mapInArrow(whole, "cluster long, node long, n long, shingles binary"), "sets")
     scratch.drop()
