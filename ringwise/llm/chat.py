@@ -5,7 +5,7 @@ continues one. What is seen of a line: the class of a speaker marker at its star
 a name that is none of them), whether it is blank, whether the line before was, its length, how it
 ends, and what it starts with (list, code, heading, digit). Features are independent given the
 state. Start, transition and emission counts are gathered in Spark over all labelled transcripts
-and smoothed by a tenth and by what roles have in common; Viterbi finds the likeliest states. A turn's lines lose their markers, blank
+and mixed with what all roles have in common; Viterbi finds the likeliest states. A turn's lines lose their markers, blank
 lines around them go, and the turn is rendered in one canonical form.
 
 Lines are sorted within their transcript and decoded as a stream. Back pointers are dropped as soon
@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 ROLES = ("system", "user", "assistant")
 STATES = [(r, opens) for r in range(len(ROLES)) for opens in (True, False)]
-#: How many lines the habits that roles share are worth in a role's own counts.
-POOLED = 8.0
+#: The part of a role's odds that all roles share.
+SHARED = 0.1
 #: What a count that never occurred is worth.
 UNSEEN = 0.1
 #: Words that mark a speaker.
@@ -65,8 +65,8 @@ class Model:
 
     def __init__(self, counts: dict[tuple[int, int, int], int]):
         n = len(STATES)
-        start, move = np.full(n, UNSEEN), np.full((n, n), UNSEEN)
-        emit = [np.full((n, values), UNSEEN) for values in FEATURES]
+        start, move = np.full(n, UNSEEN), np.zeros((n, n))
+        emit = [np.zeros((n, values)) for values in FEATURES]
         for (kind, a, b), c in counts.items():
             if kind == -2:
                 start[b] += c
@@ -89,19 +89,24 @@ class Model:
 
     @staticmethod
     def _pool(move: np.ndarray, emit: list[np.ndarray]) -> None:
-        """Adds what all roles have in common, worth ``POOLED`` lines: a role seldom seen goes on like others."""
+        """Makes counts odds of which ``SHARED`` comes from all roles, so that what none has shown is as odd for each."""
+
+        def mixed(counts: np.ndarray, common: np.ndarray) -> np.ndarray:
+            total = counts.sum(axis=1, keepdims=True)
+            own = np.where(total > 0, counts / np.maximum(total, 1), common)
+            return (1 - SHARED) * own + SHARED * common
+
         for opens in (True, False):
             alike = [i for i, s in enumerate(STATES) if s[1] == opens]
-            going = [(i, j) for i in alike for j, s in enumerate(STATES) if s == (STATES[i][0], False)]
-            total = move[alike].sum()
-            stay = sum(move[i, j] for i, j in going) / total
             for f, counts in enumerate(emit):
-                if f or not opens:  # markers of opening lines are a role's own
-                    shared = counts[alike].sum(axis=0)
-                    counts[alike] += POOLED * shared / shared.sum()
-            for i, j in going:
-                move[i] += POOLED * (1 - stay) * np.array([s[1] for s in STATES]) / len(ROLES)
-                move[i, j] += POOLED * stay
+                common = counts[alike].sum(axis=0) + UNSEEN
+                if f == 0 and opens:
+                    common = np.ones(len(common))  # markers of opening lines are a role's own
+                counts[alike] = mixed(counts[alike], common / common.sum())
+            going = [STATES.index((STATES[i][0], False)) for i in alike]
+            stay = (move[alike, going].sum() + UNSEEN) / (move[alike].sum() + 2 * UNSEEN)
+            common = np.array([[stay if j == g else (1 - stay) * s[1] / len(ROLES) for j, s in enumerate(STATES)] for g in going])
+            move[alike] = mixed(move[alike], common)
 
     def odds(self, features: tuple[int, ...]) -> np.ndarray:
         found = self._memory.get(features)
