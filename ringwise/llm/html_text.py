@@ -340,7 +340,10 @@ def train(pages: list[str], rounds: int = 18, rate: float = 0.01, seed: int = 3)
 def learn(pages: DataFrame, html: str = "html", sample_pages: int = 200, sample_bytes: int = 32_768) -> Network | None:
     """Trains on the pages of least hash among those that are not too long."""
     short = pages.select(F.col(html).alias("html")).where(F.octet_length("html") <= sample_bytes)
-    sample = short.orderBy(F.xxhash64("html")).limit(sample_pages)
+    # pages of low hash only, about four times the sample: else every task would send as many as the sample
+    part = min(1 << 20, -(-4 * sample_pages * (1 << 20) // max(1, short.count())))
+    low = short.where(F.pmod(F.xxhash64("html"), F.lit(1 << 20)) < part)
+    sample = low.orderBy(F.pmod(F.xxhash64("html"), F.lit(1 << 20)), F.xxhash64("html")).limit(sample_pages)
     return train([r["html"] for r in sample.collect()])
 
 
