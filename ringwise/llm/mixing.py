@@ -102,7 +102,9 @@ def mix(
         return df.withColumn("__q", q).withColumn("__interval", F.floor(F.col("__q") * INTERVALS))
 
     same = F.col("source").eqNullSafe(F.col("plan_source"))
-    by_interval = ranked(light.join(plan, same), F.col("key"), F.col("text")).groupBy("plan_source", "rest", "__interval").agg(
+    # sources whose whole copies meet the target take no sample
+    sampled = light.join(plan.where("rest > 0.5"), same)
+    by_interval = ranked(sampled, F.col("key"), F.col("text")).groupBy("plan_source", "rest", "__interval").agg(
         F.sum("size").alias("words")
     )
     upto = Window.partitionBy("plan_source").orderBy("__interval")
@@ -116,20 +118,21 @@ def mix(
     plan = plan.join(cut, F.col("plan_source").eqNullSafe(F.col("cut_source")), "left").drop("cut_source")
     plan = scratch.save(plan, "plan_with_cut")
 
-    full = docs.select(F.struct(*kept).alias("__row"), F.col(source).alias("source"), n_words.alias("size"), F.col(key).alias("key"), F.xxhash64(text).alias("hashed"))
+    # columns by number, so that those that the caller leaves out are not carried along
+    full = docs.select(*[F.col(c).alias(f"__in{i}") for i, c in enumerate(kept)], F.col(source).alias("source"), n_words.alias("size"), F.col(key).alias("key"), F.xxhash64(text).alias("hashed"))
     joined = ranked(full.join(plan, same), F.col("key"), F.col("hashed"))
     at_cut = F.col("cut").isNotNull() & (F.col("__interval") == F.col("cut"))
     ordered = Window.partitionBy("plan_source").orderBy("__q", "key", "hashed")
     running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # a document is in while its middle lies before the end; intervals past the cut are out, those before it are in
-    clear = joined.where(~at_cut).withColumn("__extra", F.coalesce(F.col("__interval") < F.col("cut"), F.col("rest") > 0))
+    clear = joined.where(~at_cut).withColumn("__extra", F.coalesce(F.col("__interval") < F.col("cut"), F.col("rest") > 0.5))
     edge = joined.where(at_cut).withColumn(
         "__extra", F.col("before") + F.sum("size").over(running) - F.col("size") / 2.0 <= F.col("rest")
     )
     copies = (F.col("whole") + F.col("__extra").cast("int")).cast("int")
     both = clear.unionByName(edge).withColumn("copies", F.least(copies, F.lit(int(most))))
     return both.select(
-        *[F.col("__row")[c].alias(c) for c in kept],
+        *[F.col(f"__in{i}").alias(c) for i, c in enumerate(kept)],
         "size",
         "source_size",
         "target",
