@@ -6,22 +6,25 @@ hashed words, and a few figures (length, share of link text, place). A bidirecti
 reads the whole page's sequence in both directions and labels every block as main text or not.
 Main blocks are joined in page order by a line feed.
 
-The network is trained where it is used, on a sample of ``sample_pages`` pages of at most
-``sample_bytes`` bytes each (parameters), labelled by the names of their containers: inside an
-article or main part and outside of what ``ASIDE`` names. As sites name things differently, sample
+The network is trained where it is used, on a sample of ``sample_pages`` distinct pages with blocks
+(parameters), labelled by the names of their containers: inside an article or main part and outside
+of what ``ASIDE`` names. Of a page whose blocks hold more than ``sample_bytes`` bytes, or are more
+than ``SAMPLE_BLOCKS``, the sample has the first and last ones. As sites name things differently, sample
 pages are also seen with other containers for the main part and with blocks of other kinds put in,
 whose text is drawn from the sample. Training is seeded, and runs in some seconds on the driver.
 
 Defined cases: a null page is empty and gives an empty text; scripts, styles and comments of the
 markup are never blocks; unclosed or crossing tags close with their parents; character references
 are decoded; white space (Unicode) becomes one space, also at ``br``; equal pages give equal texts;
-an empty table gives no rows, and nothing is learned from one; input columns named like those that
-the operator adds are replaced.
+an empty table gives no rows, and nothing is learned from one, nor where no page has a block; input
+columns named like those that the operator adds are replaced.
 """
 
 from __future__ import annotations
 
+import heapq
 import html as html_lib
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -38,6 +41,8 @@ ADDED = ("text", "n_chars")
 PATH, WORDS, FIGURES = 96, 16, 6
 INPUTS = PATH + WORDS + FIGURES
 HIDDEN = 16
+#: Blocks of a sample page: with those put in, a page stays within the 200 that a round takes.
+SAMPLE_BLOCKS = 180
 # Fixed values of HTML: elements without content, without text for readers, and inside lines.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style".split())
@@ -307,11 +312,11 @@ def _varied(page: list[Block], pool: list[str], rng: np.random.Generator) -> tup
     return changed, labels
 
 
-def train(pages: list[str], rounds: int = 18, rate: float = 0.01, seed: int = 3) -> Network | None:
-    """A network fitted to the sample by Adam."""
-    found = [b for b in map(blocks, pages) if b]
+def train(found: list[list[Block]], rounds: int = 18, rate: float = 0.01, seed: int = 3) -> Network | None:
+    """A network fitted to the blocks of the sample's pages by Adam."""
     if not found:
         return None
+    found = found * max(1, 200 // len(found))  # few pages are seen in more forms, so that a round has as many steps
     rng = np.random.default_rng(seed)
     pool = [b.text for page in found for b in page]
     net = Network.fresh(rng)
@@ -337,14 +342,79 @@ def train(pages: list[str], rounds: int = 18, rate: float = 0.01, seed: int = 3)
     return net
 
 
-def learn(pages: DataFrame, html: str = "html", sample_pages: int = 200, sample_bytes: int = 32_768) -> Network | None:
-    """Trains on the pages of least hash among those that are not too long."""
-    short = pages.select(F.col(html).alias("html")).where(F.octet_length("html") <= sample_bytes)
+def excerpt(page: list[Block], most_bytes: int) -> list[Block]:
+    """The page if it keeps to the bounds, else its first and last blocks, half a bound each.
+
+    Blocks are whole, but for one that alone is over half the bound in bytes, of which that half's characters count.
+    """
+    size = [len(b.text.encode("utf-8", "surrogatepass")) for b in page]
+    if sum(size) <= most_bytes and len(page) <= SAMPLE_BLOCKS:
+        return page
+    half = max(1, most_bytes // 2)
+
+    def run(order: range, most: int) -> list[int]:
+        taken, total = [], 0
+        for i in order[:most]:
+            total += min(size[i], half)
+            if taken and total > half:
+                break
+            taken.append(i)
+        return taken
+
+    first = run(range(len(page)), SAMPLE_BLOCKS // 2)
+    last = run(range(len(page) - 1, first[-1], -1), SAMPLE_BLOCKS // 2)
+    out = []
+    for i in first + last[::-1]:
+        b = page[i]
+        text = b.text if size[i] <= half else b.text.encode("utf-8", "surrogatepass")[:half].decode("utf-8", "ignore")
+        out.append(Block(b.path, text, min(b.linked, len(text)) if text is not b.text else b.linked))
+    return out
+
+
+def _lowest(sample_pages: int, sample_bytes: int):
+    """A task's distinct pages with blocks of least (place, hash), as many as the sample has; memory is bounded by that."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heap: list[tuple[int, int]] = []  # negated, so that the highest comes first
+        held: dict[tuple[int, int], str] = {}
+        for batch in batches:
+            places, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for i, key in enumerate(zip(places, hashes, strict=True)):
+                if key in held or len(heap) == sample_pages and (-key[0], -key[1]) < heap[0]:
+                    continue
+                found = blocks(batch.column(2)[i].as_py())
+                if not found:
+                    continue
+                held[key] = json.dumps([[b.path, b.text, b.linked] for b in excerpt(found, sample_bytes)])
+                heapq.heappush(heap, (-key[0], -key[1]))
+                if len(heap) > sample_pages:
+                    place, h = heapq.heappop(heap)
+                    del held[-place, -h]
+        for (place, h), body in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([place], pa.int64()), pa.array([h], pa.int64()), pa.array([body], pa.string())], ["place", "hash", "blocks"])
+
+    return run
+
+
+def sample(pages: DataFrame, html: str = "html", sample_pages: int = 200, sample_bytes: int = 32_768) -> list[list[Block]]:
+    """Blocks of the distinct pages of least hash among those that have any."""
+    rows = pages.select(F.xxhash64(html).alias("hash"), F.col(html).alias("html")).where("html is not null")
+    rows = rows.select(F.pmod("hash", F.lit(1 << 20)).alias("place"), "hash", "html")
+    distinct = rows.agg(F.approx_count_distinct("hash")).first()[0]
     # pages of low hash only, about four times the sample: else every task would send as many as the sample
-    part = min(1 << 20, -(-4 * sample_pages * (1 << 20) // max(1, short.count())))
-    low = short.where(F.pmod(F.xxhash64("html"), F.lit(1 << 20)) < part)
-    sample = low.orderBy(F.pmod(F.xxhash64("html"), F.lit(1 << 20)), F.xxhash64("html")).limit(sample_pages)
-    return train([r["html"] for r in sample.collect()])
+    part = min(1 << 20, -(-4 * sample_pages * (1 << 20) // max(1, distinct)))
+    # all pages if too few of these have blocks
+    for below in dict.fromkeys((part, 1 << 20)):
+        low = rows.where(F.col("place") < below).mapInArrow(_lowest(sample_pages, sample_bytes), "place long, hash long, blocks string")
+        found = low.dropDuplicates(["hash"]).orderBy("place", "hash").limit(sample_pages).collect()
+        if len(found) == sample_pages:
+            break
+    return [[Block(tuple(path), text, linked) for path, text, linked in json.loads(r["blocks"])] for r in found]
+
+
+def learn(pages: DataFrame, html: str = "html", sample_pages: int = 200, sample_bytes: int = 32_768) -> Network | None:
+    """Trains on the sample; None only if no page has a block, so that all texts are empty."""
+    return train(sample(pages, html, sample_pages, sample_bytes))
 
 
 def extract(pages: DataFrame, net: Network | None, html: str = "html") -> DataFrame:

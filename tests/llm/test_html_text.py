@@ -80,3 +80,25 @@ def test_odd_rows(spark, net):
     assert [t for i, _, t, _ in out if i in (1, 2)] == [""] * 4
     empty = df.limit(0)
     assert H.learn(empty) is None and H.extract(empty, None).collect() == [] and H.extract(df, None).where("n_chars > 0").count() == 0
+
+
+def test_sample_is_of_distinct_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").orderBy("page_id").limit(5).select("html")
+    copies = pages.crossJoin(spark.range(400)).select("html")
+    once, found = H.sample(pages, sample_pages=5), H.sample(copies, sample_pages=5)
+    assert len(found) == 5 and [[b.text for b in p] for p in found] == [[b.text for b in p] for p in once]
+    assert H.learn(copies, sample_pages=5) is not None
+
+
+def test_long_and_blank_pages_in_the_sample(spark):
+    paragraphs = "".join(f"<p>Paragraph {i} of a long page, with words enough. {'word ' * 200}</p>" for i in range(60))
+    long = [f"<html><body><nav><a href=x>Home {k}</a></nav><article>{paragraphs}</article><footer>Legal {k}</footer></body></html>" for k in range(8)]
+    assert all(len(p) > 32_768 for p in long)
+    df = spark.createDataFrame([(p,) for p in [*long, *(f"<div id={i}></div>" for i in range(2_000)), None, ""]], "html string")
+    found = H.sample(df, sample_pages=4)
+    assert len(found) == 4 and all(p[0].text.startswith("Home") and p[-1].text.startswith("Legal") for p in found)
+    assert all(sum(len(b.text) for b in p) <= 32_768 and len(p) <= H.SAMPLE_BLOCKS and all(b.text in paragraphs for b in p[1:-1]) for p in [[H.Block(b.path, b.text.strip(), 0) for b in p] for p in found])
+    texts = [r["text"] for r in H.extract(df, H.learn(df)).collect()]
+    assert sum("Paragraph 59" in t and "Home" not in t and "Legal" not in t for t in texts) == 8
+    huge = H.excerpt([H.Block(("p",), "é" * 100_000, 100_000)], 1_000)
+    assert len(huge) == 1 and len(huge[0].text.encode()) <= 1_000 and huge[0].linked == len(huge[0].text)
