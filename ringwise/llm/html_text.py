@@ -4,7 +4,7 @@ A page becomes the sequence of its leaf blocks: stretches of text between block-
 the path of open elements (names, classes, ids, roles). Each block is a vector: hashed path parts,
 hashed words, and a few figures (length, share of link text, place). A bidirectional LSTM in numpy
 reads the whole page's sequence in both directions and labels every block as main text or not.
-Main blocks are joined in page order by a line feed.
+Main blocks are joined in page order by ``separator``: a line feed, and two in the registered query.
 
 The network is trained where it is used, on a sample of ``sample_pages`` distinct pages with blocks
 (parameters), labelled by the names of their containers: inside an article or main part and outside
@@ -417,7 +417,7 @@ def learn(pages: DataFrame, html: str = "html", sample_pages: int = 200, sample_
     return train(sample(pages, html, sample_pages, sample_bytes))
 
 
-def extract(pages: DataFrame, net: Network | None, html: str = "html") -> DataFrame:
+def extract(pages: DataFrame, net: Network | None, html: str = "html", separator: str = "\n") -> DataFrame:
     """Input columns but the html, ``text`` and ``n_chars``."""
     kept = others(pages, *ADDED, html)
     shared = pages.sparkSession.sparkContext.broadcast(net)
@@ -429,7 +429,7 @@ def extract(pages: DataFrame, net: Network | None, html: str = "html") -> DataFr
                 part = batch.slice(at, 512)
                 found = [blocks(p or "") for p in part.column(part.num_columns - 1).to_pylist()]
                 main = network.label(found) if network else [np.zeros(len(b), bool) for b in found]
-                texts = ["\n".join(b.text for b, m in zip(page, marks, strict=True) if m) for page, marks in zip(found, main, strict=True)]
+                texts = [separator.join(b.text for b, m in zip(page, marks, strict=True) if m) for page, marks in zip(found, main, strict=True)]
                 columns = [part.column(i) for i in range(part.num_columns - 1)]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], [*kept, *ADDED])
 

@@ -61,7 +61,7 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    return html_text.extract(pages, html_text.learn(pages))
+    return html_text.extract(pages, html_text.learn(pages), separator="\n\n")
 
 
 @query

@@ -102,3 +102,13 @@ def test_long_and_blank_pages_in_the_sample(spark):
     assert sum("Paragraph 59" in t and "Home" not in t and "Legal" not in t for t in texts) == 8
     huge = H.excerpt([H.Block(("p",), "é" * 100_000, 100_000)], 1_000)
     assert len(huge) == 1 and len(huge[0].text.encode()) <= 1_000 and huge[0].linked == len(huge[0].text)
+
+
+def test_query_joins_blocks_by_two_line_feeds(spark):
+    from ringwise.llm.queries import QUERIES
+
+    html = {r["page_id"]: r["html"] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()}
+    rows = QUERIES["op6_html_extraction"](spark, "/root/testdata/sf0.01").collect()
+    assert len(rows) == len(html) and any("\n\n" in r["text"] for r in rows)
+    for r in rows:
+        assert r["text"] == article(html[r["page_id"]]).replace("\n", "\n\n") and r["n_chars"] == len(r["text"])
