@@ -5,8 +5,8 @@ continues one. What is seen of a line: the class of a speaker marker at its star
 a name that is none of them), whether it is blank, whether the line before was, its length, how it
 ends, and what it starts with (list, code, heading, digit). Features are independent given the
 state. Start, transition and emission counts are gathered in Spark over all labelled transcripts
-and mixed with what all roles have in common; Viterbi finds the likeliest states. A turn's lines lose their markers, blank
-lines around them go, and the turn is rendered in one canonical form.
+and mixed with what all roles have in common; Viterbi finds the likeliest states. A turn's first line with text loses
+a marker of the turn's role, other lines stay whole, blank lines around them go, and the turn is rendered in one canonical form.
 
 Lines are sorted within their transcript and decoded as a stream. Back pointers are dropped as soon
 as all surviving paths agree on them, so a transcript of any length is decoded exactly in memory
@@ -204,28 +204,30 @@ def parse(lines: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(model)
-        waiting: list[str] = []  # bodies of lines whose states are open
+        waiting: list[tuple[str, int, int]] = []  # lines whose states are open, length of their marker and its role
         turn: list[str] = []
-        conv, fresh, before, number, role = None, True, None, 0, -1
+        conv, fresh, before, number, role, bare = None, True, None, 0, -1, True  # bare: no line of the turn has text
         out: list[list] = [[], [], [], [], []]
 
         def close() -> None:
-            nonlocal number
+            nonlocal number, bare
             body = "\n".join(turn).strip("\n")
             if body.strip():
                 for column, value in zip(out, (conv, number, ROLES[role], body.count("\n") + 1, body), strict=True):
                     column.append(value)
                 number += 1
             turn.clear()
+            bare = True
 
         def settle(states: list[int]) -> None:
-            nonlocal role
-            for state, body in zip(states, waiting, strict=False):
+            nonlocal role, bare
+            for state, (line, marker, marked) in zip(states, waiting, strict=False):
                 r, opens = STATES[state]
                 if opens or r != role:
                     close()
                 role = r
-                turn.append(body)
+                turn.append(line[marker:] if bare and r == marked else line)
+                bare = bare and not line.strip()
             del waiting[: len(states)]
 
         def flush() -> pa.RecordBatch:
@@ -245,7 +247,7 @@ def parse(lines: DataFrame, model: Model) -> DataFrame:
                     conv, fresh, before, number, role = c, False, None, 0, -1
                 line = line or ""
                 features, marker = seen(line, before)
-                waiting.append(line[marker:])
+                waiting.append((line, marker, features[0] - 1))
                 settle(decoder.step(features))
                 before = line
                 if len(out[0]) >= 1_000:

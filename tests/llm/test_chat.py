@@ -66,3 +66,21 @@ def test_odd_rows(spark, rows):
     conversations = spark.createDataFrame(rows, SCHEMA).withColumn("line", F.lit("clash"))
     bodies = [r["body"] for r in turns_of(conversations).collect()]
     assert all(b.strip() for b in bodies) and len(bodies) == (3 if rows else 0)
+
+
+def test_only_opening_lines_lose_their_markers(spark):
+    answer = ["fine.", "Model: T-800", "Answer: 42", "a: int = 3", "## Context", "that is all"]
+    text = [("User: hello there", "user", True), ("how are you?", "user", False), ("Assistant: " + answer[0], "assistant", True), *((x, "assistant", False) for x in answer[1:])]
+    rows = [(c, i, t, r, o) for c in range(40) for i, (t, r, o) in enumerate(text)]
+    lines = spark.createDataFrame(rows, "conv long, place int, line string, role string, opens boolean")
+    turns = chat.parse(lines, chat.learn(lines)).where("conv = 7").orderBy("turn").collect()
+    assert [(r["role"], r["body"]) for r in turns] == [("user", "hello there\nhow are you?"), ("assistant", "\n".join(answer))]
+    assert turns[1]["n_lines"] == len(answer)
+
+
+def test_a_marker_of_another_role_stays(spark):
+    text = [("Context: my robot", "user", True), ("Assistant: fine.", "assistant", True)]
+    rows = [(c, i, t, r, o) for c in range(40) for i, (t, r, o) in enumerate(text)]
+    lines = spark.createDataFrame(rows, "conv long, place int, line string, role string, opens boolean")
+    turns = chat.parse(lines, chat.learn(lines)).where("conv = 7").orderBy("turn").collect()
+    assert [(r["role"], r["body"]) for r in turns] == [("user", "Context: my robot"), ("assistant", "fine.")]
