@@ -59,7 +59,8 @@ ASIDE = set(
 )
 MAIN = set("article main content post entry story body-text articlebody post-content entry-content article-body main-content".split())
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+#: Quotes open a value only after "="; one that is never closed is an ordinary character. Nothing is tried twice.
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]*+)|[^>=])*+)>|<[!?][^>]*>", re.S)
 _NAMED = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[^\W_]+")
 

@@ -112,3 +112,12 @@ def test_query_joins_blocks_by_two_line_feeds(spark):
     assert len(rows) == len(html) and any("\n\n" in r["text"] for r in rows)
     for r in rows:
         assert r["text"] == article(html[r["page_id"]]).replace("\n", "\n\n") and r["n_chars"] == len(r["text"])
+
+
+def test_quotes_in_attributes():
+    texts = lambda page: [b.text for b in H.blocks(page)]
+    assert texts("<p title=it's>First part.</p><p>Second.</p><p>They don't know.</p>") == ["First part.", "Second.", "They don't know."]
+    assert texts("<p title=it's>First.</p><p it's \"odd>Second.</p>") == ["First.", "Second."]
+    assert texts("<p title='a>b' id = \"c>d\"e='f>g'>One</p><p title=a=\"b>Two</p><p class=\"open>Three</p>") == ["One", "Two", "Three"]
+    assert texts("<p title=>One</p><p><a href=x/>Two</a></p><p title= 'a>b'>Three</p>") == ["One", "Two", "Three"]
+    assert texts("<p>a</p>" + "<p " + "a=\"b\" " * 20_000)[0] == "a"
