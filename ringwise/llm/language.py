@@ -1,6 +1,6 @@
 """Language ID by bit-sliced Bloom filters over byte n-grams.
 
-The filter is one table of ``slots`` cells; cell c holds a word with a bit for each language, so
+The filter is one table of ``slots`` cells; cell c holds words of up to 64 bits, a bit for each language, so
 the bits of one language over all cells are that language's own Bloom filter. An n-gram sets its
 languages' bits in ``hashes`` cells; the AND of these cells gives all languages that contain it
 at one look. A text's n-grams give one such mask each, the masks' bits are counted per language,
@@ -16,8 +16,8 @@ Only these bounded lists reach the driver.
 
 Defined cases: a null text, or one without a letter (Unicode category L), is ``und`` with score 0,
 as is everything if nothing could be learned; a text none of whose n-grams is known gets the
-first learned language with score 0; short texts are padded by spaces; labels beyond 64 languages
-raise an error; null labels aren't learned from; repeated rows count each; an empty table gives
+first learned language with score 0; short texts are padded by spaces; 64 languages share a word, and
+each further 64 take one more a cell (8 MB); null labels aren't learned from; repeated rows count each; an empty table gives
 no rows; input columns named like those that the operator adds are replaced.
 """
 
@@ -78,27 +78,27 @@ class Filters:
     @staticmethod
     def build(contained: dict[str, np.ndarray], slots: int, hashes: int) -> Filters:
         names = sorted(contained)
-        if len(names) > 64:
-            raise ValueError(f"{len(names)} languages; a mask holds 64")
-        kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if np.iinfo(k).bits >= len(names))
-        sliced = np.zeros(slots, kind)
+        kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if np.iinfo(k).bits >= min(64, len(names)))
+        sliced = [np.zeros(slots, kind) for _ in range(0, len(names), 64)]  # a word a cell for each 64 languages
         for bit, name in enumerate(names):
             for at in cells(contained[name], slots, hashes):
-                np.bitwise_or.at(sliced, at, kind(1 << bit))
-        filled = [float(((sliced >> kind(b)) & kind(1)).mean()) for b in range(len(names))]
-        return Filters(names, sliced, np.array(filled) ** hashes, hashes)
+                np.bitwise_or.at(sliced[bit // 64], at, kind(1 << bit % 64))
+        filled = [float(((sliced[b // 64] >> kind(b % 64)) & kind(1)).mean()) for b in range(len(names))]
+        table = sliced[0] if len(sliced) == 1 else np.stack(sliced).T  # cells x words, the cells of a word side by side
+        return Filters(names, table, np.array(filled) ** hashes, hashes)
 
     def hits(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(texts x languages) corrected numbers of n-grams that a language contains, and of all n-grams."""
         codes, counts = grams(raw, offsets)
-        mask = None
-        for at in cells(codes, len(self.table), self.hashes):
-            found = self.table[at]
-            mask = found if mask is None else mask & found
+        places = list(cells(codes, len(self.table), self.hashes))
         edges = np.concatenate([[0], np.cumsum(counts)])
         out = np.zeros((len(counts), len(self.names)))
         for bit in range(len(self.names)):
-            ones = np.concatenate([[0], np.cumsum((mask >> mask.dtype.type(bit)) & mask.dtype.type(1), dtype=np.int64)])
+            if bit % 64 == 0:
+                words, mask = self.table if self.table.ndim == 1 else self.table[:, bit // 64], None
+                for at in places:
+                    mask = words[at] if mask is None else mask & words[at]
+            ones = np.concatenate([[0], np.cumsum((mask >> mask.dtype.type(bit % 64)) & mask.dtype.type(1), dtype=np.int64)])
             raw_hits = ones[edges[1:]] - ones[edges[:-1]]
             out[:, bit] = (raw_hits - counts * self.false_rate[bit]) / (1 - self.false_rate[bit])
         return np.maximum(out, 0), counts
@@ -121,14 +121,14 @@ def learn(
     rows = labelled.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(label).alias("label")).where(
         "label is not null and text is not null"
     )
-    n_docs = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).orderBy("label").limit(65).collect()}
+    n_docs = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).orderBy("label").collect()}
     if not n_docs:
         return None
-    if len(n_docs) > 64:
-        raise ValueError("more than 64 languages; a mask holds 64")
-    part = F.create_map(*[x for k, n in n_docs.items() for x in (F.lit(k), F.lit(min(1.0, sample_docs / n)))])
+    # a row a language
+    figures = [(k, min(1.0, sample_docs / n), float(min(sample_docs, n))) for k, n in n_docs.items()]
+    sizes = F.broadcast(labelled.sparkSession.createDataFrame(figures, "label string, part double, sampled double"))
     draw = F.pmod(F.xxhash64(F.lit(seed), "key"), F.lit(1 << 20)) / float(1 << 20)
-    sample = rows.where(draw < F.element_at(part, F.col("label"))).select("label", "text")
+    sample = rows.join(sizes, "label").where(draw < F.col("part")).select("label", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,15 +150,15 @@ def learn(
                     )
 
     counted = sample.mapInArrow(count, "label string, gram long, n long").groupBy("label", "gram").agg(F.sum("n").alias("n"))
-    sampled = F.create_map(*[x for k, n in n_docs.items() for x in (F.lit(k), F.lit(float(min(sample_docs, n))))])
-    rate = F.col("n") / F.element_at(sampled, F.col("label"))
-    rated = counted.withColumn("rate", rate).withColumn("top", F.max("rate").over(Window.partitionBy("gram")))
-    chosen = rated.where((F.col("rate") >= F.col("top") * share) & (F.col("n") >= F.least(F.lit(least), F.element_at(sampled, F.col("label")))))
+    rated = counted.join(sizes, "label").withColumn("rate", F.col("n") / F.col("sampled")).withColumn("top", F.max("rate").over(Window.partitionBy("gram")))
+    chosen = rated.where((F.col("rate") >= F.col("top") * share) & (F.col("n") >= F.least(F.lit(least), F.col("sampled"))))
     order = Window.partitionBy("label").orderBy(F.desc("n"), "gram")
     chosen = chosen.withColumn("at", F.row_number().over(order)).where(F.col("at") <= most_grams).select("label", "gram")
-    found = chosen.toArrow()  # at most 64 x most_grams rows
+    found = chosen.toArrow()  # at most most_grams rows a language
     names, codes = np.array(found["label"].to_pylist(), object), found["gram"].to_numpy().view(np.uint64)
-    contained = {name: codes[names == name] for name in n_docs}
+    order = np.argsort(names, kind="stable")
+    names, codes = names[order], codes[order]
+    contained = {name: codes[np.searchsorted(names, name) : np.searchsorted(names, name, side="right")] for name in n_docs}
     return Filters.build(contained, slots, hashes)
 
 
@@ -168,20 +168,19 @@ def predict(docs: DataFrame, filters: Filters | None, text: str = "text") -> Dat
     lettered = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     if filters is None:
         return docs.select(*kept, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
-    shared = docs.sparkSession.sparkContext.broadcast(filters)  # slots cells of at most 8 bytes
+    shared = docs.sparkSession.sparkContext.broadcast(filters)  # slots cells of at most 8 bytes for each 64 languages
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f: Filters = shared.value
         names = np.array([*f.names, "und"], object)
         for batch in batches:
             raw, offsets = utf8(batch.column(batch.num_columns - 2))
-            found = [np.zeros((0, len(f.names)))]
+            best, score = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
             for a, b in chunks(offsets, BLOCK):
                 part = offsets[a : b + 1]
-                found.append(f.hits(raw[part[0] : part[-1]], part - part[0])[0])
-            hits = np.concatenate(found)
-            best, total = hits.argmax(axis=1), hits.sum(axis=1)
-            score = np.where(total > 0, hits[np.arange(len(hits)), best] / np.maximum(total, 1e-12), 0.0)
+                hits = f.hits(raw[part[0] : part[-1]], part - part[0])[0]
+                best[a:b], total = hits.argmax(axis=1), hits.sum(axis=1)
+                score[a:b] = np.where(total > 0, hits[np.arange(len(hits)), best[a:b]] / np.maximum(total, 1e-12), 0.0)
             known = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).astype(bool)
             columns = [batch.column(i) for i in range(batch.num_columns - 2)]
             columns += [pa.array(names[np.where(known, best, len(f.names))], pa.string()), pa.array(np.where(known, score, 0.0))]

@@ -54,3 +54,12 @@ def test_odd_rows(odd, none):
     assert language.identify(none).collect() == []
     unlabelled = odd.withColumn("lang", F.lit(None).cast("string"))
     assert {r["lang_pred"] for r in language.identify(unlabelled).collect()} == {"und"}
+
+
+def test_more_than_64_languages(spark):
+    rng = np.random.default_rng(5)
+    own = {f"l{k:03}": ["".join(chr(97 + c) for c in rng.integers(0, 26, 8)) for _ in range(30)] for k in range(130)}
+    rows = [(k * 10 + i, " ".join(rng.choice(words, 20)), name) for k, (name, words) in enumerate(own.items()) for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = language.predict(df, language.learn(df)).collect()
+    assert len(out) == len(rows) and all(r["lang_pred"] == r["lang"] and 0 < r["score"] <= 1 for r in out)
