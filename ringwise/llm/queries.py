@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringwise.llm import chat, fingerprints, html_text, jaccard_join, language, mixing, packing, quality, sharding, suffix_dedup
+from ringwise.llm import chat, fingerprints, html_text, jaccard_join, language, mixing, oracles, packing, quality, secrets, sharding, suffix_dedup
 from ringwise.llm.common import ship, table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -87,3 +87,11 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@query
+def op11_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
+ORACLES["op11_secret_scans"] = oracles.secret_scan()
