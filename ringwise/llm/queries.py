@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringwise.llm import chat, fingerprints, html_text, jaccard_join, language, mixing, oracles, packing, quality, secrets, sharding, suffix_dedup
+from ringwise.llm import ball_tree, chat, fingerprints, hard_negatives, html_text, jaccard_join, language, mixing, oracles, packing, quality, secrets, sharding, suffix_dedup
 from ringwise.llm.common import ship, table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -30,7 +30,7 @@ def query(build: Build) -> Build:
 @query
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return suffix_dedup.dedup(docs)
+    return suffix_dedup.dedup(docs, keep_text=True)
 
 
 @query
@@ -95,3 +95,22 @@ def op11_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op11_secret_scans"] = oracles.secret_scan()
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op12_hard_negatives"] = oracles.HARD_NEGATIVES
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ball_tree.search(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+ORACLES["op13_ranked_search"] = oracles.RANKED_SEARCH
