@@ -33,6 +33,7 @@ input columns named like those that the operator adds are replaced. Memory of a
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,14 +42,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ringwise.llm.common import Scratch, others, utf8
+from ringwise.llm.common import Scratch, others, utf8, words
 
-ADDED = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")
+ADDED = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "removed")
 WIDTH = 400
 STEP = 128
 SPAN = 243
 #: Positions of a text, or of texts one after the other, that are worked on at once.
 SEGMENT = 1 << 18
+#: Characters of a word's code, see ``without_passages``.
+CODE = 8
 #: Positions of one name whose suffixes one task compares.
 TOGETHER = 20_000
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -344,6 +347,10 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _compare(held)
 
 
+_RUNS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+_RUNS_DDL = "array<struct<start: bigint, end: bigint>>"
+
+
 def covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Mask of the n bytes that lie in any of the intervals."""
     depth = np.zeros(n + 1, np.int64)
@@ -352,24 +359,27 @@ def covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.cumsum(depth[:-1]) > 0
 
 
-def _cut(keep_text: bool):
+def _cut(keep_text: bool, keep_spans: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = utf8(batch.column(1))
             starts, ends = batch.column(2), batch.column(3)
-            out: list[list] = [[], [], [], []]
+            out: list[list] = [[], [], [], [], []]
             for i in range(batch.num_rows):
                 body = raw[offsets[i] : offsets[i + 1]]
                 gone = covered(len(body), np.array(starts[i].as_py(), np.int64), np.array(ends[i].as_py(), np.int64))
                 kept = body[~gone].tobytes()
+                edge = np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8))
                 out[0].append(int(gone.sum()))
-                out[1].append(int((gone & ~np.concatenate([[False], gone[:-1]])).sum()))
+                out[1].append(int((edge == 1).sum()))
                 out[2].append(hashlib.sha256(kept).hexdigest())
                 # bytes may be cut inside a character; what is left of it can't be read as text
                 out[3].append(kept.decode("utf-8", "ignore") if keep_text else None)
-            types = (pa.int64(), pa.int64(), pa.string(), pa.string())
+                runs = zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True)
+                out[4].append([{"start": a, "end": b} for a, b in runs] if keep_spans else None)
+            types = (pa.int64(), pa.int64(), pa.string(), pa.string(), _RUNS)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(c, t) for c, t in zip(out, types, strict=True)]], ["key", "n_removed", "n_spans", "kept_sha256", "kept_text"]
+                [batch.column(0), *[pa.array(c, t) for c, t in zip(out, types, strict=True)]], ["key", "n_removed", "n_spans", "kept_sha256", "kept_text", "removed"]
             )
 
     return run
@@ -392,8 +402,8 @@ def _merged(shared: DataFrame, status: DataFrame, scratch: Scratch, width: int)
     return done.unionByName(seen).select("key", F.col("at").alias("start"), (F.col("at") + width).alias("end"))
 
 
-def dedup(docs: DataFrame, text: str = "text", width: int = WIDTH, keep_text: bool = False) -> DataFrame:
-    """Input columns but the text, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept_text."""
+def dedup(docs: DataFrame, text: str = "text", width: int = WIDTH, keep_text: bool = False, keep_spans: bool = False) -> DataFrame:
+    """Input columns but the text, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept_text and the runs of bytes removed."""
     if not SPAN + STEP <= width <= 2 * SPAN:
         raise ValueError(f"width must lie between {SPAN + STEP} and {2 * SPAN}")
     scratch = Scratch(docs.sparkSession, "suffix")
@@ -425,7 +435,7 @@ def dedup(docs: DataFrame, text: str = "text", width: int = WIDTH, keep_text: bo
 
     grouped = spans.groupBy("key").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
     cut = shared.drop("at").join(grouped, "key").select("key", "text", "starts", "ends")
-    cut = scratch.save(cut.mapInArrow(_cut(keep_text), "key long, n_removed long, n_spans long, kept_sha256 string, kept_text string"), "cut")
+    cut = scratch.save(cut.mapInArrow(_cut(keep_text, keep_spans), f"key long, n_removed long, n_spans long, kept_sha256 string, kept_text string, removed {_RUNS_DDL}"), "cut")
     scratch.drop()
     copies = texts.where(F.octet_length("text") >= width).groupBy("key").agg((F.count("*") > 1).alias("copied")).where("copied")
     found = scratch.save(cut.join(copies, "key", "full"), "found")
@@ -436,6 +446,7 @@ def dedup(docs: DataFrame, text: str = "text", width: int = WIDTH, keep_text: bo
     n_gone = F.when(F.col("copied"), F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0)))
     n_spans = F.when(F.col("copied"), F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0)))
     rest = F.when(F.col("copied"), F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", "sha256"))
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))
     result = rows.join(found, "key", "left").select(
         *[F.col("__row")[c].alias(c) for c in kept],
         "n_bytes",
@@ -443,5 +454,46 @@ def dedup(docs: DataFrame, text: str = "text", width: int = WIDTH, keep_text: bo
         n_spans.cast("long").alias("n_spans"),
         rest.alias("kept_sha256"),
         *([F.when(F.col("copied"), F.lit("")).otherwise(F.coalesce("kept_text", "text")).alias("kept_text")] if keep_text else []),
+        *([F.when(F.col("copied"), whole).otherwise(F.coalesce("removed", F.array().cast(_RUNS_DDL))).alias("removed")] if keep_spans else []),
     )
     return result
+
+
+_PIECE = re.compile(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
+
+
+def _without_words(at_text: int, at_runs: int):
+    """Rows with the words of the runs, in codes of ``CODE`` characters a word, cut out of the text together with the blanks after them."""
+
+    def cut(text: str, runs: list[dict]) -> str:
+        pieces = _PIECE.findall(text)
+        gone = covered(CODE * len(pieces), np.array([r["start"] for r in runs], np.int64), np.array([r["end"] for r in runs], np.int64))
+        kept = ~gone.reshape(-1, CODE).all(axis=1)
+        lead = text[: len(text) - sum(map(len, pieces))]
+        return lead + "".join(p for p, k in zip(pieces, kept, strict=True) if k)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            runs = batch.column(at_runs)
+            texts = batch.column(at_text).to_pylist()
+            for i in np.flatnonzero(runs.value_lengths().fill_null(0).to_numpy()).tolist():
+                texts[i] = cut(texts[i], runs[i].as_py())
+            columns = [pa.array(texts, pa.string()) if c == at_text else batch.column(c) for c in range(batch.num_columns) if c != at_runs]
+            yield pa.RecordBatch.from_arrays(columns, [n for c, n in enumerate(batch.schema.names) if c != at_runs])
+
+    return run
+
+
+def without_passages(docs: DataFrame, text: str = "text", n_words: int = 51) -> DataFrame:
+    """The documents without passages of ``n_words`` words or more that are found elsewhere too, whatever blanks part the words.
+
+    Texts are written as codes of one length, eight hexadecimal digits of a word's hash, so that a passage of so many
+    words is a string of 8 bytes each; what ``dedup`` removes of the codes is removed of the words. All copies go. Null texts
+    stay null; a text that is a copy as a whole ends up empty.
+    """
+    width = CODE * n_words
+    code = F.transform(words(F.col(text)), lambda w: F.lpad(F.hex(F.xxhash64(w).bitwiseAND(0xFFFFFFFF)), CODE, "0"))
+    columns = docs.columns
+    coded = docs.select(F.struct(*columns).alias("row"), F.array_join(code, "").alias("code"))
+    cut = dedup(coded, "code", width, keep_spans=True).select("row.*", "removed")
+    return cut.mapInArrow(_without_words(columns.index(text), len(columns)), docs.schema)

@@ -27,6 +27,22 @@ def suffix_dedup(texts, width=400):
     return out
 
 
+def without_passages(texts, n_words=51):
+    """Texts without the words (and the blanks after them) of any run of ``n_words`` words that is found elsewhere too."""
+    pieces = [re.findall(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*", t or "") for t in texts]
+    plain = [[p.strip("\t\n\x0b\x0c\r ") for p in ps] for ps in pieces]
+    seen = Counter(tuple(w[i : i + n_words]) for w in plain for i in range(len(w) - n_words + 1))
+    out = []
+    for t, ps, w in zip(texts, pieces, plain, strict=True):
+        gone = set()
+        for i in range(len(w) - n_words + 1):
+            if seen[tuple(w[i : i + n_words])] > 1:
+                gone.update(range(i, i + n_words))
+        lead = (t or "")[: len(t or "") - sum(map(len, ps))]
+        out.append(None if t is None else lead + "".join(p for i, p in enumerate(ps) if i not in gone))
+    return out
+
+
 def shingle_set(text):
     w = words((text or "").translate({c: c + 32 for c in range(65, 91)}))
     return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])

@@ -2,7 +2,7 @@ import re
 from collections import Counter
 
 import corpus_pipeline as P
-from ringwise.llm import mixing
+from ringwise.llm import language, mixing
 from ringwise.llm.common import Scratch
 from tests.llm import brute
 from tests.llm.test_packing import check
@@ -17,20 +17,20 @@ def test_stages_against_brute_force(spark, small):
     for name, stage in P.STAGES:
         docs = scratch.save(stage(spark, docs, "/root/testdata/sf0.001"), name)
         steps[name] = [r.asDict() for r in docs.collect()]
-    # language ID: only texts without letters go
+    # language ID: only texts without letters go, and the language found is carried on
     left = {r["doc_id"] for r in steps["language_id"]}
     assert left == {k for k, t, _, _ in rows if re.search(r"[^\W\d_]", t or "")}
+    found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.identify(df).collect()}
+    assert all(r["lang"] == found[r["doc_id"]][0] and found[r["doc_id"]][1] > 0.25 for r in steps["language_id"])
     # near copies: the least id of each component stays
     first = [(r["doc_id"], r["text"]) for r in steps["language_id"]]
     component = brute.components(*zip(*first, strict=True))
     assert {r["doc_id"] for r in steps["ngram_jaccard_join"]} == {k for (k, _), (_, c) in zip(first, component, strict=True) if k == c}
-    # passages: what is left has the lengths that brute force gives
+    # passages of over 50 words: what is left is what brute force leaves
     second = {r["doc_id"]: r["text"] for r in steps["ngram_jaccard_join"]}
-    found = dict(zip(second, brute.suffix_dedup(list(second.values())), strict=True))
-    for r in steps["suffix_array_dedup"]:
-        n_bytes, n_removed, _, _ = found[r["doc_id"]]
-        assert n_bytes - n_removed - 6 <= len(r["text"].encode()) <= n_bytes - n_removed and r["n_chars"] == len(r["text"])
-    assert len(steps["suffix_array_dedup"]) == len(second)
+    left = dict(zip(second, brute.without_passages(list(second.values())), strict=True))
+    assert {r["doc_id"]: r["text"] for r in steps["suffix_array_dedup"]} == left
+    assert all(r["n_chars"] == len(r["text"]) for r in steps["suffix_array_dedup"]) and left != second
     # the mix: each document as often as the operator says, each source near its target
     third = spark.read.parquet(f"{scratch.base}/suffix_array_dedup")
     copies = {r["doc_id"]: r["copies"] for r in mixing.mix(third).collect()}
@@ -45,6 +45,18 @@ def test_run_and_registration(spark):
 
     assert entry.queries()["pipeline"] is P.run and [n for n, _ in P.STAGES][-1] == "packing"
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14))
     rows = P.run(spark, "/root/testdata/sf0.001").collect()
     assert rows and set(rows[0].asDict()) == {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"}
+
+
+def test_language_decides(spark):
+    """A corpus of two languages: labels that are wrong or missing are put right, texts in neither go."""
+    english = "the quick brown fox jumps over the lazy dog while they were waiting for the weather of tomorrow "
+    german = "der schnelle braune fuchs springt ueber den faulen hund und sie warteten auf das wetter von morgen "
+    rows = [(i, (german if i % 2 else english) * (1 + i % 5), "de" if i % 2 else "en", "s", 9) for i in range(120)]
+    rows += [(1_000, english, "de", "s", 9), (1_001, german, None, "s", 9), (1_002, "0123 4567 ...", "en", "s", 9), (1_003, "\u65e5\u672c\u8a9e " * 20, "en", "s", 9)]
+    out = P.language_id(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), "")
+    got = {r["doc_id"]: r["lang"] for r in out.collect()}
+    assert got[1_000] == "en" and got[1_001] == "de" and 1_002 not in got and 1_003 not in got
+    assert all(got[i] == ("de" if i % 2 else "en") for i in range(120))

@@ -86,3 +86,24 @@ def test_names_dealt_over_several_tasks(spark, monkeypatch, together):
             t[p : p + 1] = r.choice(["", "XY", "é"])
         rows.append((i, "".join(t), None, None, None))
     assert rows_of(S.dedup(spark.createDataFrame(rows, SCHEMA).repartition(3))) == expected(rows)
+
+
+def test_runs_and_passages_of_words(spark, odd, small):
+    r = random.Random(6)
+    words = [f"w{i}" for i in range(900)]
+    passage = [r.choice(words) for _ in range(120)]
+    rows = [(i, " ".join([r.choice(words) for _ in range(r.randint(0, 80))] + passage[a : a + n] + [r.choice(words) for _ in range(30)]), None, None, None)
+            for i in range(40) for a, n in [(r.randint(0, 40), r.choice((30, 49, 50, 51, 52, 80)))]]
+    rows += [(100, "\n\t" + "\r\n ".join(passage) + " \n", None, None, None), (101, " ".join(passage[:50]), None, None, None), (102, None, "en", None, 3), (103, "", None, None, 0)]
+    rows += [(104, " ".join(passage), None, None, None), (104, " ".join(passage), None, None, None)]
+    got = S.without_passages(spark.createDataFrame(rows, SCHEMA).repartition(3))
+    want = brute.without_passages([x[1] for x in rows])
+    assert sorted(str((x["doc_id"], x["text"], x["lang"])) for x in got.collect()) == sorted(str((x[0], t, x[2])) for x, t in zip(rows, want, strict=True))
+    assert [x["text"] for x in S.without_passages(odd.where("doc_id is null")).collect()] == ["a row without an id but with words in it"]
+    df, given = small
+    got = {x["doc_id"]: x for x in S.dedup(df, keep_spans=True).collect()}
+    for k, t, _, _ in given:
+        gone = set()
+        for run in got[k]["removed"]:
+            gone.update(range(run["start"], run["end"]))
+        assert len(gone) == got[k]["n_removed"] and len(got[k]["removed"]) == got[k]["n_spans"]
