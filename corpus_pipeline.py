@@ -14,12 +14,18 @@ from ringwise.llm import jaccard_join, language, mixing, packing, suffix_dedup
 from ringwise.llm.common import Scratch, ship, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: A language must have more than this share of a document's hits: an even share among four says nothing.
+LEAST_SCORE = 0.25
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that was learned; those without text or letters go."""
+    """Documents with the language that was found as their ``lang``.
+
+    Those without text or letters go, and those whose best language has no more than ``LEAST_SCORE`` of the hits.
+    """
     ship(spark)
-    return language.identify(docs).where(F.col("lang_pred") != "und").select(*COLUMNS)
+    found = language.identify(docs).where((F.col("lang_pred") != "und") & (F.col("score") > LEAST_SCORE))
+    return found.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,13 +35,10 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that are found elsewhere too; a document may end up empty, and stays.
-
-    What is left of a character whose bytes were cut in part is dropped with them.
-    """
+    """Texts without the passages of over 50 words that are found elsewhere too; a document may end up empty, and stays."""
     ship(spark)
-    cut = suffix_dedup.dedup(docs, keep_text=True)
-    return cut.withColumns({"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("long")}).select(*COLUMNS)
+    cut = suffix_dedup.without_passages(docs, n_words=51)
+    return cut.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
