@@ -34,6 +34,8 @@ ALL_RELATIONSHIPS = (
     FREQUENT_COLLABORATION,
 )
 
+NOT_CONTACT = tuple(r for r in ALL_RELATIONSHIPS if r != SHARED_CONTACT)
+
 # Named relationship views (edge subsets) of the claims graph.
 VIEWS = {
     "full": ALL_RELATIONSHIPS,

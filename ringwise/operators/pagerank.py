@@ -5,10 +5,14 @@ edges u -> v of rank_t(u) / outdeg(u) (parallel edges count, dangling mass is
 dropped); after the last round ranks are scaled so they sum to |V|. With
 ``tol`` the loop also stops once no rank moves by more than ``tol``.
 
-Per round: edge weights are joined to ranks on src, contributions summed by dst
+Per round: ranks over out-degrees are joined to the edges on src, contributions summed by dst
 (partial aggregation first, so a hub with a third of all in-edges receives one
 row per map task), and the vertex list is joined back so vertices without
 in-edges keep the reset value. The rank table is written each round.
+
+``groups`` (``groups.signed_contacts``) stand for edges from each member of a group to the members of larger
+id. Their inflow is a prefix sum over the group in order of ids, so a round's work is linear in the members,
+however large a group is, and no pair is listed.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ringwise.operators.groups import SortedMembers, encode_groups, shared_only, sorted_members, sums_before
 from ringwise.operators.ids import decode, encode_edges, index_ids
 from ringwise.operators.iterate import Rounds, materialize
 
@@ -26,51 +31,46 @@ def pagerank(
     reset: float = 0.15,
     rounds: int = 10,
     tol: float | None = None,
+    groups: DataFrame | None = None,
 ) -> DataFrame:
     """(id, pagerank) for every vertex.
 
     The rounds join and aggregate on bigint vertex ids (``ids.index_ids``);
-    edges whose ends are not vertices are ignored.
+    edges whose ends are not vertices are ignored, and so are members that aren't.
     """
     index = index_ids(vertices.select("id"))
-    ranks = _pagerank(index.select(F.col("vid").alias("id")), encode_edges(edges.select("src", "dst"), index), reset, rounds, tol)
+    members = None
+    if groups is not None:
+        members = sorted_members(shared_only(encode_groups(groups, index)))
+    encoded = encode_edges(edges.select("src", "dst"), index)
+    ranks = _pagerank(index.select(F.col("vid").alias("id")), encoded, reset, rounds, tol, members)
     return decode(ranks.withColumnRenamed("id", "vid"), index, "vid", "id").select("id", "pagerank")
 
 
-def _pagerank(ids: DataFrame, edges: DataFrame, reset: float, rounds: int, tol: float | None) -> DataFrame:
-    e = edges.select("src", "dst").where(F.col("src").isNotNull() & F.col("dst").isNotNull())
-    # written first: a join with an aggregate on its own key can't be split where a key is hot
-    e, _ = materialize(e, "pr-edges")
-    outdeg, _ = materialize(e.groupBy("src").agg(F.count(F.lit(1)).alias("outdeg")), "pr-degrees")
-    weighted, _ = materialize(
-        e.join(outdeg, "src").select("src", "dst", (F.lit(1.0) / F.col("outdeg")).alias("w")), "pr-weights"
-    )
+def _pagerank(ids: DataFrame, edges: DataFrame, reset: float, rounds: int, tol: float | None, members: SortedMembers | None) -> DataFrame:
+    e, _ = materialize(edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull()).select("src", "dst"), "pr-edges")
+    degrees = e.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    if members is not None:
+        degrees = degrees.unionByName(sums_before(members, None, later=True).select(F.col("vid").alias("id"), F.col("s").alias("n")))
+        degrees = degrees.groupBy("id").agg(F.sum("n").alias("n"))
+    # written with the ranks: a join with an aggregate on its own key can't be split where a key is hot
     store = Rounds(ids.sparkSession, "pr")
-    ranks, _ = store.write(ids.select("id", F.lit(1.0).alias("rank")), 0)
+    start = ids.join(degrees, "id", "left").select("id", F.lit(1.0).alias("rank"), F.when(F.col("n") > 0, F.lit(1.0) / F.col("n")).alias("share"))
+    ranks, _ = store.write(start, 0)
     for rnd in range(1, rounds + 1):
-        contrib = (
-            weighted.join(ranks.withColumnRenamed("id", "src"), "src")
-            .groupBy(F.col("dst").alias("id"))
-            .agg(F.sum(F.col("rank") * F.col("w")).alias("s"))
-        )
-        nxt = (
-            ranks.join(contrib, "id", "left")
-            .select(
-                "id",
-                (F.lit(reset) + F.lit(1.0 - reset) * F.coalesce(F.col("s"), F.lit(0.0))).alias("rank"),
-                F.abs(F.lit(reset) + F.lit(1.0 - reset) * F.coalesce(F.col("s"), F.lit(0.0)) - F.col("rank")).alias("delta"),
-            )
-        )
-        metrics = {"total": F.sum("rank"), "n": F.count(F.lit(1))}
-        if tol is not None:
-            metrics["delta"] = F.max("delta")
+        sent = ranks.where("share IS NOT NULL").select(F.col("id").alias("vid"), (F.col("rank") * F.col("share")).alias("x"))
+        inflow = e.join(sent, e.src == sent.vid).select(F.col("dst").alias("id"), "x")
+        if members is not None:
+            inflow = inflow.unionByName(sums_before(members, sent).select(F.col("vid").alias("id"), F.col("s").alias("x")))
+        contrib = inflow.groupBy("id").agg(F.sum("x").alias("s"))
+        new = F.lit(reset) + F.lit(1.0 - reset) * F.coalesce(F.col("s"), F.lit(0.0))
+        nxt = ranks.join(contrib, "id", "left").select("id", new.alias("rank"), "share", F.abs(new - F.col("rank")).alias("delta"))
+        metrics = {"delta": F.max("delta"), "n": F.count(F.lit(1))} if tol is not None else None
         ranks, m = store.write(nxt, rnd, metrics)
-        ranks = ranks.drop("delta")
         if tol is not None and m["n"] and m["delta"] <= tol:
             break
-    if rounds < 1:
-        ranks, m = materialize(ranks, "pr-final", {"total": F.sum("rank"), "n": F.count(F.lit(1))})
-    if not m["n"]:
-        return ranks.select("id", F.col("rank").alias("pagerank"))
     # scale so ranks sum to |V|
-    return ranks.select("id", (F.col("rank") * F.lit(float(m["n"])) / F.lit(float(m["total"]))).alias("pagerank"))
+    total = ranks.agg(F.sum("rank").alias("total"), F.count(F.lit(1)).alias("n")).first()
+    if not total["n"]:
+        return ranks.select("id", F.col("rank").alias("pagerank"))
+    return ranks.select("id", (F.col("rank") * F.lit(float(total["n"])) / F.lit(float(total["total"]))).alias("pagerank"))

@@ -1,21 +1,29 @@
 """Frontier searches: hop distances to landmarks and breadth-first search.
 
-Both expand one level per round: frontier ⋈ adjacency, minus what was already
-visited (left anti join), written to the checkpoint folder. The visited set is
-the union of the written levels, so no round recomputes an earlier one.
+Both expand one level per round. The frontier has a row a vertex, with a bit for each landmark that reached it: all
+landmarks walk together. What a level's edges lead to is grouped with the levels before it, and the bits that are new to a
+vertex are written as the next level, in one step.
 
 ``direction``: "out" follows edges (distance from v *to* a landmark, as the
 reference library defines it), "in" goes against them, "both" ignores them.
+
+Groups (id, value) stand for edges between all ids of a value, the smaller one first, and no pair is listed. A level
+goes to its values, summed up there, and on to their members: ignoring direction, a value has the bits of all its
+members in the level; following it, a member is reached by a bit if the greatest (or least) id of the level with that bit
+lies beyond its own. A value's members lie at most a hop apart, so it is walked in two levels at most.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ringwise.operators.ids import decode, encode_edges, index_ids
 from ringwise.operators.iterate import materialize
 
+#: Landmarks that walk together, one bit of a long each.
+BITS = 62
+
 
 def adjacency(edges: DataFrame, direction: str, dedupe: bool = True) -> DataFrame:
     """(frm, nb): one step of the search starts at ``frm`` and reaches ``nb``.
@@ -42,14 +50,47 @@ def encode_members(groups: DataFrame, index: DataFrame) -> DataFrame:
     return groups.join(index, "id").select(F.col("vid").alias("id"), "value")
 
 
-def _through_groups(level: DataFrame, members: DataFrame, seen: DataFrame | None, keys: list[str], label: str):
-    """Ids that share a group value with the level, by way of the values not walked before; and all values walked."""
-    values = level.join(members, "id").select("value", *keys).distinct()
-    if seen is not None:
-        values = values.join(seen, ["value", *keys], "left_anti")
-    fresh, _ = materialize(values, f"{label}-values")
-    reached = fresh.join(members, "value").select("id", *keys)
-    return reached, fresh if seen is None else seen.unionByName(fresh)
+def _through_groups(level: DataFrame, members: DataFrame, direction: str, n_bits: int) -> DataFrame:
+    """(id, bits) of who shares a value with the level (id, bits), on the side that the direction asks for."""
+    at = level.join(members, "id")
+    if direction == "both":
+        walked = at.groupBy("value").agg(F.bit_or("bits").alias("bits"))
+        return walked.join(members, "value").select("id", "bits")
+    # against the edges the smaller ids of a group are reached, along them the larger ones
+    utmost, beyond = (F.max, lambda i, m: i < m) if direction == "out" else (F.min, lambda i, m: i > m)
+    has = [F.col("bits").bitwiseAND(F.lit(1 << b).cast("long")) != 0 for b in range(n_bits)]
+    walked = at.groupBy("value").agg(*[utmost(F.when(has[b], F.col("id"))).alias(f"m{b}") for b in range(n_bits)])
+    bits = [F.when(beyond(F.col("id"), F.col(f"m{b}")), F.lit(1 << b).cast("long")).otherwise(F.lit(0).cast("long")) for b in range(n_bits)]
+    reached = bits[0]
+    for more in bits[1:]:
+        reached = reached.bitwiseOR(more)
+    return walked.join(members, "value").select("id", reached.alias("bits")).where("bits <> 0")
+
+
+def _levels(adj: DataFrame, start: DataFrame, members: DataFrame | None, direction: str, n_bits: int, max_depth: int | None, label: str) -> DataFrame:
+    """(id, bits, distance): the bits that reach a vertex first at that distance from the start (id, bits)."""
+    level, _ = materialize(start.groupBy("id").agg(F.bit_or("bits").alias("bits")), f"{label}-0")
+    walked = level.withColumn("distance", F.lit(0))
+    depth = 0
+    while max_depth is None or depth < max_depth:
+        depth += 1
+        step = level.join(adj, level.id == adj.frm).select(adj.nb.alias("id"), "bits")
+        if members is not None:
+            step = step.unionByName(_through_groups(level, members, direction, n_bits))
+        none = F.lit(0).cast("long")
+        both = step.select("id", "bits", none.alias("old")).unionByName(walked.select("id", none.alias("bits"), F.col("bits").alias("old")))
+        merged = both.groupBy("id").agg(F.bit_or("bits").alias("new"), F.bit_or("old").alias("old"))
+        fresh = merged.select("id", F.col("new").bitwiseAND(F.bitwise_not("old")).alias("bits")).where("bits <> 0")
+        level, m = materialize(fresh, f"{label}-{depth}", {"rows": F.count(F.lit(1))})
+        if not m["rows"]:
+            break
+        walked = walked.unionByName(level.withColumn("distance", F.lit(depth)))
+    return walked
+
+
+def _prepared(edges: DataFrame, direction: str, groups: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
+    adj, _ = materialize(adjacency(edges, direction, dedupe=False), "sp-adj")
+    return adj, None if groups is None else materialize(groups, "sp-members")[0]
 
 
 def shortest_paths(
@@ -62,17 +103,13 @@ def shortest_paths(
 ) -> DataFrame:
     """(id, landmark, distance) for every vertex that can reach a landmark.
 
-    ``landmarks`` has an ``id`` column. Multi-source: all landmarks advance in
-    the same rounds, keyed by (id, landmark). With ``vertices`` the levels are
+    ``landmarks`` has an ``id`` column; they are few, as the result has a row for each of them and each vertex. ``BITS`` of
+    them advance together. With ``vertices`` the levels are
     computed on bigint vertex ids (narrower join and distinct keys) and decoded
     at the end; edges whose ends are not vertices are then ignored.
 
-    ``groups`` (id, value) stands for edges between all ids of one value, for
-    direction "both": a value is walked once a landmark, from whom reaches it
-    first to all its ids, so that no pair of a group is listed.
+    ``groups`` (id, value) stands for edges from each id of a value to its larger ones, see the module.
     """
-    if groups is not None and direction != "both":
-        raise ValueError("groups are undirected: use direction both")
     if vertices is not None:
         index = index_ids(vertices.select("id"))
         enc_lm = landmarks.select("id").join(index, "id").select(F.col("vid").alias("id"))
@@ -80,29 +117,21 @@ def shortest_paths(
         found = shortest_paths(encode_edges(edges.select("src", "dst"), index), enc_lm, direction, max_depth, groups=enc_groups)
         named = decode(decode(found, index, "id", "_id"), index, "landmark", "_landmark")
         return named.select(F.col("_id").alias("id"), F.col("_landmark").alias("landmark"), "distance")
-    adj, _ = materialize(adjacency(edges, direction, dedupe=False), "sp-adj")
-    members = None if groups is None else materialize(groups, "sp-members")[0]
-    level, _ = materialize(
-        landmarks.select("id", F.col("id").alias("landmark"), F.lit(0).alias("distance")).distinct(), "sp-0"
-    )
-    visited, seen = level, None
-    depth = 0
-    while max_depth is None or depth < max_depth:
-        depth += 1
-        step = level.join(adj, level.id == adj.frm).select(adj.nb.alias("id"), "landmark")
-        if members is not None:
-            reached, seen = _through_groups(level, members, seen, ["landmark"], f"sp-{depth}")
-            step = step.unionByName(reached)
-        nxt = (
-            step.distinct()
-            .join(visited.select("id", "landmark"), ["id", "landmark"], "left_anti")
-            .select("id", "landmark", F.lit(depth).alias("distance"))
-        )
-        level, m = materialize(nxt, f"sp-{depth}", {"rows": F.count(F.lit(1))})
-        if not m["rows"]:
-            break
-        visited = visited.unionByName(level)
-    return visited
+    adj, members = _prepared(edges, direction, groups)
+    # a row a landmark
+    numbered = landmarks.select(F.col("id").alias("landmark")).distinct().withColumn("nth", F.row_number().over(Window.orderBy("landmark")) - 1)
+    numbered, m = materialize(numbered, "sp-landmarks", {"n": F.count(F.lit(1))})
+    found = None
+    for at in range(0, max(m["n"], 1), BITS):
+        n_bits = max(1, min(BITS, m["n"] - at))
+        ours = numbered.where((F.col("nth") >= at) & (F.col("nth") < at + BITS)).withColumn("bit", F.expr(f"shiftleft(1L, nth - {at})"))
+        start = ours.select(F.col("landmark").alias("id"), F.col("bit").alias("bits"))
+        walked = _levels(adj, start, members, direction, n_bits, max_depth, f"sp-{at}")
+        # a row a bit; at most BITS landmarks to join
+        nth = F.expr(f"explode(filter(sequence({at}, {at + n_bits - 1}), n -> shiftright(bits, n - {at}) & 1 = 1))")
+        each = walked.select("id", "distance", nth.alias("nth")).join(F.broadcast(ours.select("nth", "landmark")), "nth").select("id", "landmark", "distance")
+        found = each if found is None else found.unionByName(each)
+    return found
 
 
 def bfs_levels(
@@ -113,9 +142,16 @@ def bfs_levels(
     vertices: DataFrame | None = None,
     groups: DataFrame | None = None,
 ) -> DataFrame:
-    """(id, depth): hop count from the nearest source (``direction`` "in" follows edges)."""
-    sp = shortest_paths(edges, sources, direction, max_depth, vertices, groups)
-    return sp.groupBy("id").agg(F.min("distance").alias("depth"))
+    """(id, depth): hop count from the nearest source (``direction`` "in" follows edges); all sources walk as one."""
+    if vertices is not None:
+        index = index_ids(vertices.select("id"))
+        enc_sources = sources.select("id").join(index, "id").select(F.col("vid").alias("id"))
+        enc_groups = None if groups is None else encode_members(groups, index)
+        found = bfs_levels(encode_edges(edges.select("src", "dst"), index), enc_sources, direction, max_depth, groups=enc_groups)
+        return decode(found, index, "id", "_id").select(F.col("_id").alias("id"), "depth")
+    adj, members = _prepared(edges, direction, groups)
+    start = sources.select("id", F.lit(1).cast("long").alias("bits"))
+    return _levels(adj, start, members, direction, 1, max_depth, "bfs").select("id", F.col("distance").alias("depth"))
 
 
 def bfs(
@@ -160,13 +196,13 @@ def bfs(
         return materialize(marked, f"bfs-{depth}", metrics)
 
     level, m = written(ends.where("is_from").select("id").distinct(), 0)
-    levels, visited, seen, depth = [level], level, None, 0
+    levels, visited, depth = [level], level, 0
     while not m["hits"] and m["rows"] and depth < max_path_length:
         depth += 1
         step = level.join(adj, level.id == adj.frm).select(adj.nb.alias("id"))
         if members is not None:
-            reached, seen = _through_groups(level.select("id"), members, seen, [], f"bfs-{depth}")
-            step = step.unionByName(reached)
+            ones = level.select("id", F.lit(1).cast("long").alias("bits"))
+            step = step.unionByName(_through_groups(ones, members, direction, 1).select("id"))
         level, m = written(step.distinct().join(visited.select("id"), "id", "left_anti"), depth)
         levels.append(level)
         visited = visited.unionByName(level)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ringwise import config as C
 from ringwise.functions.exact import half_up_mean_milli, pct_one_decimal
+from ringwise.operators.groups import signed_contacts
 from ringwise.operators.labels import label_propagation
 from ringwise.operators.pagerank import pagerank
 from ringwise.plans import rings as R
@@ -18,8 +19,10 @@ T = C.RiskConfig().threshold_milli
 
 
 def pagerank_df(ctx: Context) -> DataFrame:
-    g = ctx.graph
-    pr = pagerank(g.vertices, g.edges, ctx.cfg.pagerank_reset, ctx.cfg.pagerank_rounds)
+    """PageRank of the whole graph; shared contacts go in as groups."""
+    g = ctx.view(C.NOT_CONTACT)
+    groups = signed_contacts(ctx.stored.policyholders)
+    pr = pagerank(g.vertices, g.edges, ctx.cfg.pagerank_reset, ctx.cfg.pagerank_rounds, groups=groups)
     return g.vertices.select("id", "type", "fraud_score").join(pr, "id").withColumn(
         "pagerank", F.round("pagerank", 4)
     )
@@ -88,8 +91,9 @@ def ring_leaders(spark, sf_dir):
 # ---------------------------------------------------------------- communities
 
 
-def communities_df(ctx: Context, relationships=None) -> DataFrame:
-    g = ctx.graph.view(relationships)
+def communities_df(ctx: Context, view: str = "full") -> DataFrame:
+    """Communities of a named view of the graph, of which no other part is built."""
+    g = ctx.view(C.VIEWS[view])
     lp = label_propagation(g.vertices, g.edges, ctx.cfg.label_rounds)
     return g.vertices.select("id", "type", "fraud_score", "score_milli").join(lp, "id")
 

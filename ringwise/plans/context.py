@@ -5,10 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from ringwise.config import RiskConfig
-from ringwise.operators.graph import PropertyGraph, build_graph
+from ringwise.operators.graph import PropertyGraph, build_graph, build_vertices
 from ringwise.operators.iterate import materialize
 from ringwise.sources.fixtures import ClaimTables, derive_tables
 
@@ -36,6 +36,11 @@ class Context:
         policyholders, _ = materialize(t.policyholders, "policyholders")
         return ClaimTables(policyholders, t.adjusters, t.service_providers, claims)
 
+    @cached_property
+    def vertices(self) -> DataFrame:
+        """All vertices, for queries that need no edges."""
+        return build_vertices(self.stored)
+
     @cached_property
     def graph(self) -> PropertyGraph:
         return build_graph(self.stored, self.cfg.as_of)

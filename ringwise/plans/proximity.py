@@ -24,15 +24,10 @@ def _landmark_ids(ctx: Context) -> DataFrame:
     return landmarks_df(ctx.stored.claims, ctx.cfg.threshold_milli, ctx.cfg.landmarks).select(F.col("claim_id").alias("id"))
 
 
-NOT_CONTACT = tuple(r for r in C.ALL_RELATIONSHIPS if r != C.SHARED_CONTACT)
-
-
 def distances_df(ctx: Context, direction: str) -> DataFrame:
-    """Undirected distances walk contact groups by their values, directed ones the edges themselves."""
-    if direction == "both":
-        g = ctx.view(NOT_CONTACT)
-        return shortest_paths(g.edges, _landmark_ids(ctx), "both", vertices=g.vertices, groups=contact_members(ctx.stored.policyholders))
-    return shortest_paths(ctx.graph.edges, _landmark_ids(ctx), direction, vertices=ctx.graph.vertices)
+    """Distances walk contact groups by their values, in either direction or in both."""
+    g = ctx.view(C.NOT_CONTACT)
+    return shortest_paths(g.edges, _landmark_ids(ctx), direction, vertices=g.vertices, groups=contact_members(ctx.stored.policyholders))
 
 
 def _adj_sql(name: str, direction: str, where: str = "") -> str:
@@ -74,7 +69,7 @@ def close_to_fraud_df(ctx: Context, direction: str) -> DataFrame:
     d = distances_df(ctx, direction)
     per = d.groupBy("id").agg(F.count(F.lit(1)).alias("num_connections"), F.min("distance").alias("min_distance"))
     return (
-        ctx.graph.vertices.select("id", "type", "fraud_score")
+        ctx.vertices.select("id", "type", "fraud_score")
         .join(per.where((F.col("num_connections") >= 2) & (F.col("min_distance") <= 3)), "id")
         .orderBy(F.desc("num_connections"), "min_distance", "id")
     )
@@ -129,7 +124,7 @@ lv(id, depth) USING KEY (id) AS (
 def bfs_from_claim(spark, sf_dir):
     """Everything that the top high-fraud claim reaches (edges in either direction), with its hops."""
     ctx = context(spark, sf_dir)
-    g = ctx.view(NOT_CONTACT)
+    g = ctx.view(C.NOT_CONTACT)
     levels = bfs_levels(g.edges, _top_claim(ctx), "both", vertices=g.vertices, groups=contact_members(ctx.stored.policyholders))
     return g.vertices.select("id", "type").join(levels, "id").orderBy("depth", "id")
 

@@ -26,7 +26,7 @@ RING_RELS = C.VIEWS["ring"]
 
 
 def components_df(ctx: Context, relationships=RING_RELS) -> DataFrame:
-    v = ctx.graph.vertices.select("id", "type", "fraud_score", "score_milli")
+    v = ctx.vertices.select("id", "type", "fraud_score", "score_milli")
     return connected_components(v, connectivity_edges(ctx.stored, relationships, ctx.cfg.as_of))
 
 

@@ -84,7 +84,7 @@ def sample_high_fraud_vertices(spark, sf_dir):
     """Endpoints of the sample with the drawing attributes: score (NULL shown as 0) and short label."""
     ctx = context(spark, sf_dir)
     ids = endpoints(high_fraud_network(ctx))
-    return ctx.graph.vertices.join(ids, "id", "left_semi").selectExpr(
+    return ctx.vertices.join(ids, "id", "left_semi").selectExpr(
         "id",
         "type",
         "fraud_score",
@@ -108,7 +108,7 @@ def edge_styles(spark, sf_dir):
     sample = high_fraud_network(ctx)
     rel = sample.groupBy(F.col("relationship").alias("value")).agg(F.count(F.lit(1)).alias("count"))
     typ = (
-        ctx.graph.vertices.join(endpoints(sample), "id", "left_semi")
+        ctx.vertices.join(endpoints(sample), "id", "left_semi")
         .groupBy(F.col("type").alias("value"))
         .agg(F.count(F.lit(1)).alias("count"))
     )
@@ -191,7 +191,7 @@ def sample_components(spark, sf_dir):
     if members.select("component").distinct().count() > 0:
         return inside(edges, members.select("id"))
     hf10 = (
-        ctx.graph.vertices.where((F.col("type") == "claim") & (F.col("score_milli") >= ctx.cfg.threshold_milli))
+        ctx.vertices.where((F.col("type") == "claim") & (F.col("score_milli") >= ctx.cfg.threshold_milli))
         .select("id")
         .orderBy("id")
         .limit(10)

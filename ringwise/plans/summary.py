@@ -74,7 +74,7 @@ def run_summary(spark, sf_dir):
         (half_up_ratio(F.sum(avg_k), n, 1) / 1000.0).alias("avg_ring_fraud_score"),
         (half_up_ratio(F.sum(conc_k), n, 1) / 10.0).alias("avg_ring_concentration"),
     )
-    of_pairs = ST.connected_pairs_df(ctx).agg(F.coalesce(F.sum("claim_pairs"), F.lit(0)).cast("double").alias("connected_claim_pairs"))
+    of_pairs = ST.connected_pairs_total(ctx).select(F.col("claim_pairs").cast("double").alias("connected_claim_pairs"))
     parts = []
     for df in (of_claims, of_rings, of_pairs):
         pairs = [F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in df.columns]
