@@ -92,9 +92,11 @@ def ring_leaders(spark, sf_dir):
 
 
 def communities_df(ctx: Context, view: str = "full") -> DataFrame:
-    """Communities of a named view of the graph, of which no other part is built."""
-    g = ctx.view(C.VIEWS[view])
-    lp = label_propagation(g.vertices, g.edges, ctx.cfg.label_rounds)
+    """Communities of a named view of the graph; shared contacts go in as groups."""
+    wanted = set(C.VIEWS[view])
+    g = ctx.view(sorted(wanted - {C.SHARED_CONTACT}))
+    groups = signed_contacts(ctx.stored.policyholders) if C.SHARED_CONTACT in wanted else None
+    lp = label_propagation(g.vertices, g.edges, ctx.cfg.label_rounds, groups)
     return g.vertices.select("id", "type", "fraud_score", "score_milli").join(lp, "id")
 
 

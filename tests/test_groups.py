@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ringwise.operators.dominance import ascending_pairs
 from ringwise.operators.graph import shared_contact_pairs
 from ringwise.operators.groups import shared_only, signed_contacts, sorted_members, sums_before
+from ringwise.operators.labels import label_propagation
 from ringwise.operators.pagerank import pagerank
 from ringwise.operators.paths import bfs_levels, shortest_paths
 from ringwise.operators.triangles import triangle_count
@@ -81,6 +82,21 @@ def test_pagerank_equals_that_of_listed_pairs(spark, case):
     assert grouped.keys() == listed.keys() and all(grouped[k] == pytest.approx(listed[k], rel=1e-9) for k in listed)
 
 
+@pytest.mark.parametrize("seed", [1, 5])
+@pytest.mark.parametrize("rounds", [1, 2, 5])
+def test_labels_equal_those_of_listed_pairs(spark, seed, rounds):
+    df, rows = holders(spark, n=70, seed=seed, hot=25)
+    outside, plain = others(rows, seed)
+    plain += plain[:7]  # parallel edges count twice
+    verts = spark.createDataFrame([(x[0],) for x in rows] + [(x,) for x in outside], "id string")
+    pairs = [tuple(r) for r in shared_contact_pairs(df).collect()]
+    listed = {r["id"]: r["label"] for r in label_propagation(verts, frame(spark, plain + pairs), rounds).collect()}
+    assert {r["id"]: r["label"] for r in label_propagation(verts, frame(spark, plain), rounds, signed_contacts(df)).collect()} == listed
+    only = {r["id"]: r["label"] for r in label_propagation(verts, frame(spark, pairs), rounds).collect()}
+    none = spark.createDataFrame([], "src string, dst string")
+    assert {r["id"]: r["label"] for r in label_propagation(verts, none, rounds, signed_contacts(df)).collect()} == only
+
+
 def test_triangles_equal_brute_force(spark, case):
     df, rows, verts, ids, plain, pairs = case
     got = {r["id"]: r["count"] for r in triangle_count(verts, frame(spark, plain), signed_contacts(df)).collect()}
@@ -134,6 +150,6 @@ def test_no_query_of_these_lists_pairs(spark, monkeypatch):
 
     monkeypatch.setattr(graph, "shared_contact_pairs", listed)
     queries = load_all()
-    names = ("pagerank_top", "triangle_top", "triangles_by_type", "shortest_paths", "close_to_fraud", "close_to_fraud_directed", "bfs_from_claim", "bfs_paths", "run_summary")
+    names = ("pagerank_top", "communities", "community_stats_ring", "triangle_top", "triangles_by_type", "shortest_paths", "close_to_fraud", "close_to_fraud_directed", "bfs_from_claim", "bfs_paths", "run_summary")
     for name in names:
         queries[name].build(spark, "/root/testdata/sf0.001").count()
