@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringwise.operators.ids import decode, encode_edges, index_ids
-from ringwise.operators.iterate import NoConvergence, Rounds
+from ringwise.operators.iterate import NoConvergence, Rounds, materialize
 
 
 def _oriented(edges: DataFrame) -> DataFrame:
@@ -101,3 +101,34 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     named = decode(decode(labels, index, "id", "_id"), index, "component", "_component")
     named = named.select(F.col("_id").alias("id"), F.col("_component").alias("component"))
     return vertices.join(named, "id", "left").withColumn("component", F.coalesce(F.col("component"), F.col("id")))
+
+
+def merge_components(labels: DataFrame, new_edges: DataFrame, max_rounds: int = 200) -> tuple[DataFrame, DataFrame]:
+    """What new edges change in saved labels (id, component): (moved, fresh).
+
+    ``moved`` (component, merged) names the old components that join others, ``fresh`` (id, component) the vertices
+    that had no label. Each new edge is contracted to the old components of its ends, and the components of
+    these few edges are found: beside one look-up of the ends in the labels, the work is that of the new
+    edges alone. A component is still named by its smallest vertex, as the old names are.
+    """
+    e = new_edges.select("src", "dst").where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    ends = e.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    known, _ = materialize(ends.join(labels.select("id", F.col("component").alias("old")), "id", "left"), "merge-ends")
+    place = known.select("id", F.coalesce("old", "id").alias("node"))
+    contracted = e.join(place.select(F.col("id").alias("src"), F.col("node").alias("a")), "src").join(
+        place.select(F.col("id").alias("dst"), F.col("node").alias("b")), "dst"
+    )
+    nodes = place.select(F.col("node").alias("id")).distinct()
+    found = connected_components(nodes, contracted.select(F.col("a").alias("src"), F.col("b").alias("dst")), max_rounds)
+    found, _ = materialize(found, "merge-found")
+    moved = found.where(F.col("id") != F.col("component")).select(F.col("id").alias("component"), F.col("component").alias("merged"))
+    moved = moved.join(known.where("old IS NOT NULL").select(F.col("old").alias("component")).distinct(), "component", "left_semi")
+    fresh = known.where("old IS NULL").select("id").join(found, "id")
+    # a new vertex may be smaller than all old ones: its component is named by it then, and the old ones move
+    return moved, fresh
+
+
+def apply_merge(labels: DataFrame, moved: DataFrame, fresh: DataFrame) -> DataFrame:
+    """The labels after ``merge_components``: members of moved components get the new name, new vertices are added."""
+    renamed = labels.join(moved, "component", "left").select("id", F.coalesce("merged", "component").alias("component"))
+    return renamed.unionByName(fresh.select("id", "component"))

@@ -5,6 +5,11 @@ suspected rings and for adjuster / provider hubs. ``alerts_for`` fans each claim
 out to its three entities (one ``inline``) and inner-joins the watchlist -- the
 same transformation serves a batch table and a stream (stream-static join,
 append mode, no state, so no watermark is needed).
+
+``monitor_new_claims`` keeps the watch list that it started with. ``monitor_with_versions`` reads the newest
+version of a saved one (``sources.versions``) for each micro-batch, so a ring that is saved while the stream
+runs is watched from the next batch on. Each batch's alerts are a folder named by the batch, overwritten when
+a batch is run again after a failure, so alerts come once.
 """
 
 from __future__ import annotations
@@ -17,6 +22,9 @@ from ringwise.plans.context import Context
 from ringwise.operators.iterate import materialize
 from ringwise.plans.relational import hub_pattern
 from ringwise.plans.rings import components_df, component_stats_df, ring_rule
+from ringwise.sources.versions import read_version, versions
+
+WATCH_SCHEMA = "entity_id string, reason string, ring string"
 
 
 def watchlist(ctx: Context, members: DataFrame | None = None) -> DataFrame:
@@ -75,3 +83,33 @@ def monitor_new_claims(
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()
+
+
+def monitor_with_versions(
+    spark: SparkSession,
+    source_dir: str,
+    schema,
+    watch_path: str,
+    sink_path: str,
+    checkpoint: str,
+    available_now: bool = True,
+    files_a_batch: int | None = None,
+) -> StreamingQuery:
+    """Like ``monitor_new_claims``, with the watch list of ``watch_path`` as it is when a batch begins.
+
+    Alerts carry the ``version`` of the list. Which version a batch took is settled by its first alert files: a batch that is run
+    again reads the newest list anew and replaces what the failed run left.
+    """
+
+    def alert(claims: DataFrame, batch: int) -> None:
+        newest = next(reversed(versions(claims.sparkSession, watch_path)), None)
+        watch = read_version(claims.sparkSession, watch_path, WATCH_SCHEMA, newest)
+        found = alerts_for(claims, watch).withColumn("version", F.lit(newest).cast("int"))
+        found.write.mode("overwrite").parquet(f"{sink_path}/batch={batch}")
+
+    stream = spark.readStream.schema(schema)
+    if files_a_batch is not None:
+        stream = stream.option("maxFilesPerTrigger", files_a_batch)
+    writer = stream.parquet(source_dir).writeStream.foreachBatch(alert).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
+    return writer.start()

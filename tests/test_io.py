@@ -76,3 +76,44 @@ def test_saved_rings_serve_drill_down_and_monitor(spark, scratch_dir):
     assert ring_detail(members, ctx.stored.claims, first["component"]).count() == first["claim_count"]
     saved, computed = watchlist(ctx, members), watchlist(ctx)
     assert saved.count() == computed.count() and saved.exceptAll(computed).count() == 0
+
+
+def test_versions_are_seen_when_finished(spark, scratch_dir):
+    from ringwise.sources.versions import drop_before, read_version, versions, write_version
+
+    path = os.path.join(scratch_dir, "versions")
+    assert versions(spark, path) == [] and read_version(spark, path, "x long").count() == 0
+    assert write_version(spark.range(3).toDF("x"), path) == 1 and write_version(spark.range(5).toDF("x"), path) == 2
+    os.makedirs(os.path.join(path, "v=3"))  # a write that was cut off
+    assert versions(spark, path) == [1, 2] and read_version(spark, path, "x long").count() == 5
+    assert read_version(spark, path, "x long", 1).count() == 3
+    assert write_version(spark.range(7).toDF("x"), path) == 4
+    drop_before(spark, path, 4)
+    assert versions(spark, path) == [4] and os.listdir(path) == ["v=4"]
+
+
+def test_a_ring_saved_while_the_stream_runs_is_watched_from_the_next_batch(spark, scratch_dir):
+    from ringwise.sources.versions import write_version
+    from ringwise.streaming.monitor import WATCH_SCHEMA, monitor_with_versions
+
+    claims = context(spark, SF0001).tables.claims
+    one, two = [r["policyholder_id"] for r in claims.select("policyholder_id").distinct().orderBy("policyholder_id").limit(2).collect()]
+    src, watch, sink = (os.path.join(scratch_dir, d) for d in ("claims", "watch", "alerts"))
+    ours = claims.where(F.col("policyholder_id").isin(one, two)).coalesce(1)
+    listed = lambda *ids: spark.createDataFrame([(i, "ring", i) for i in ids], WATCH_SCHEMA)
+    write_version(listed(one), watch)
+    ours.write.parquet(os.path.join(src, "part=1"))
+    checkpoint = os.path.join(scratch_dir, "ckpt")
+    q = monitor_with_versions(spark, os.path.join(src, "*"), claims.schema, watch, sink, checkpoint, available_now=False)
+    try:
+        q.processAllAvailable()
+        assert {r["entity_id"] for r in spark.read.parquet(sink).collect()} == {one}
+        write_version(listed(one, two), watch)  # the stream goes on running
+        ours.write.parquet(os.path.join(src, "part=2"))
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    rows = spark.read.parquet(sink).groupBy("version").agg(F.collect_set("entity_id").alias("ids")).collect()
+    assert {r["version"]: set(r["ids"]) for r in rows} == {1: {one}, 2: {one, two}}
+    n = {i: claims.where(F.col("policyholder_id") == i).count() for i in (one, two)}
+    assert spark.read.parquet(sink).count() == 2 * n[one] + n[two]

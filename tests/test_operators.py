@@ -164,6 +164,68 @@ def test_anonymous_vertices_leave_no_column(spark):
     assert [r["n"]["id"] for r in find(g, [(None, None, "n")], negate=[("n", None)]).collect()] == ["c"]
 
 
+def test_motifs_match_plain_enumeration(spark):
+    """Chains, a triangle, a four-ring, a loop and filters, against all bindings tried one by one."""
+    import random
+    from itertools import product
+
+    r = random.Random(3)
+    ids = [f"v{i}" for i in range(9)]
+    kind = {v: r.choice("ab") for v in ids}
+    rows = [(r.choice(ids), r.choice(ids), r.choice("xy")) for _ in range(40)]
+    verts = spark.createDataFrame([(v, kind[v]) for v in ids], "id string, _v0a string")
+    g = PropertyGraph(verts, spark.createDataFrame(rows, "src string, dst string, rel string").repartition(3))
+    patterns = [
+        [("a", "e", "b"), ("b", "f", "c")],
+        [("a", "e", "b"), ("b", "f", "c"), ("c", "g", "a")],
+        [("a", None, "b"), ("c", None, "b"), ("c", None, "d"), ("a", None, "d")],
+        [("a", "e", "a"), ("a", "f", "b")],
+        [("_v1a", "e", None), ("_v1a", "f", "b"), (None, None, "b")],
+    ]
+    for pattern in patterns:
+        names = list(dict.fromkeys(x for a, _, b in pattern for x in (a, b) if x))
+        filters = {"a": "_v0a = 'a'"} if "a" in names else {"e": "rel = 'x'"}
+        want = []
+        for chosen in product(range(len(rows)), repeat=len(pattern)):
+            bound, fits = {}, True
+            for (a, e, b), n in zip(pattern, chosen, strict=True):
+                for x, v in ((a, rows[n][0]), (b, rows[n][1])):
+                    fits = fits and (x is None or bound.setdefault(x, v) == v)
+                fits = fits and not (e in filters and rows[n][2] != "x")
+            if fits and not ("a" in filters and kind[bound["a"]] != "a"):
+                want.append(str([bound[x] for x in names]))
+            if len(pattern) > 3 and len(want) > 400:
+                break
+        found = find(g, pattern, filters=filters)
+        assert set(found.columns) == {x for t in pattern for x in t if x}
+        got = sorted(str([m[x]["id"] for x in names]) for m in found.collect())
+        assert (got == sorted(want)) if len(pattern) <= 3 else set(want) <= set(got)
+    with pytest.raises(ValueError):
+        find(g, [("a", "e", "b")], filters={"z": "true"})
+
+
+def test_motif_joins_numbers_until_the_end(spark):
+    """A hub's edges that lie in no match are gone before the joins, and structs are attached to matches only."""
+    from ringwise.operators import motif
+
+    rows = [(f"x{i}", "hub") for i in range(400)] + [("hub", "end"), ("end", "last")]
+    verts = spark.createDataFrame([(v,) for v in {x for p in rows for x in p}], "id string")
+    g = PropertyGraph(verts, spark.createDataFrame(rows, "src string, dst string"))
+    counts = {}
+    keep = motif.materialize
+
+    def counted(df, label, metrics=None, path=None):
+        out = keep(df, label, metrics, path)
+        counts[label] = out[1].get("n", counts.get(label))
+        return out
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(motif, "materialize", counted)
+        out = motif.find(g, [("a", None, "b"), ("b", None, "c"), ("c", "e", "d")], filters={"a": "id = 'x7'"})
+        assert [(r["a"]["id"], r["d"]["id"], r["e"]["src"]) for r in out.collect()] == [("x7", "last", "end")]
+    assert [counts[f"motif-{n}"] for n in range(3)] == [1, 1, 1]
+
+
 def test_bfs_steps_and_structs(spark):
     from ringwise.operators.paths import bfs, bfs_structs
 
