@@ -24,6 +24,8 @@ PRESETS = {
 USUAL_CENTS = (100_000, 2_000_000)
 HIGH_CENTS = (2_000_000, 10_000_000)
 USUAL_PERCENT = 85
+# Fixed value: an amount above this adds to a claim's score.
+HIGH_AMOUNT = 50_000.0
 # The five region names used as departments, and order fields.
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -72,5 +74,5 @@ def generate_tables(spark: SparkSession, preset: str = "small", as_of: str = DEF
         policyholders=policyholders_from(raw["customer"], as_of),
         adjusters=adjusters_from(raw["nation"], raw["region"]),
         service_providers=providers_from(raw["supplier"]),
-        claims=claims_from(raw["orders"], suppliers, as_of, adjusters),
+        claims=claims_from(raw["orders"], suppliers, as_of, adjusters, HIGH_AMOUNT),
     )

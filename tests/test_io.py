@@ -40,6 +40,13 @@ def test_generator_presets(spark):
     ).first()
     assert 0.82 < usual < 0.88 and 95_000 < high <= 100_000 and 1_000 <= low < 1_100 and top > 4_500
     assert t.claims.join(t.adjusters, "adjuster_id", "left_anti").count() == 0
+    # the boost for high amounts fires: 200 more on average, for a fair share of the claims
+    plain = t.claims.where("policyholder_id >= 'PH00000015' AND adjuster_id >= 'ADJ000005' AND service_provider_id >= 'SP000008' AND claim_type <> '1-URGENT'")
+    high, n_high, usual = plain.agg(
+        F.avg(F.when(F.col("claim_amount") > 50_000, F.col("score_milli"))), F.count_if(F.col("claim_amount") > 50_000),
+        F.avg(F.when(F.col("claim_amount") <= 50_000, F.col("score_milli"))),
+    ).first()
+    assert n_high > 50 and 120 < high - usual < 260
     # claim keys point at existing entities
     assert t.claims.join(t.policyholders, "policyholder_id", "left_anti").count() == 0
     assert t.claims.join(t.service_providers, "service_provider_id", "left_anti").count() == 0
