@@ -9,11 +9,15 @@ State: edges (c, p) oriented child > parent. Each round:
   attached to m'.
 
 Both steps are group-by aggregates (partial aggregation before the shuffle, so a
-hub holding a third of all edges costs one row per map task), written, and joined
-back to the edge list (AQE splits a skewed join partition). The input of a round is a star
-forest -- every node has at most one parent and no node is both parent and child
--- exactly when the algorithm has converged; the written minima count violations
-of that rule, and the loop stops once there are none. The component id of a vertex
+hub holding a third of all edges costs one row per map task), joined
+back to the edge list. A round writes twice: the edges after the large star, and those after the
+small star. An aggregate that is joined on its own key would keep the partitioning of that key, and adaptive execution
+could not split a hub's edges on the other side; the join therefore asks for one more column (``_apart``), so that both
+sides are shuffled for it and a hot partition is read in pieces.
+
+The large star tells how many edges it moved, the small star how many parents it joined; a round
+that does neither had a star forest -- every node has at most one parent and no node is both parent and child --
+and the loop stops. The component id of a vertex
 is the smallest vertex id in its component; isolated vertices keep their own id.
 """
 
@@ -33,50 +37,47 @@ def _oriented(edges: DataFrame) -> DataFrame:
     return e.select(F.greatest("a", "b").alias("c"), F.least("a", "b").alias("p")).distinct()
 
 
-def _stats(state: DataFrame) -> DataFrame:
-    """Per node u: smallest neighbour m(u) and whether u breaks the star-forest rule
-    (it has a parent and a child, or two different parents)."""
+def _apart(edges: DataFrame, key: str, minima: DataFrame) -> DataFrame:
+    """``edges`` joined with ``minima`` (u, least) on their key, both sides shuffled for the join: see the module."""
+    at = lambda c: F.pmod(F.xxhash64(c), F.lit(7))
+    left, right = edges.withColumn("_apart", at(key)), minima.withColumn("_apart_u", at("u"))
+    return left.join(right, (F.col(key) == F.col("u")) & (F.col("_apart") == F.col("_apart_u"))).drop("_apart", "_apart_u", "u")
+
+
+def _large_star(state: DataFrame) -> DataFrame:
+    """(c, m, moved): every child moves to the smallest neighbour of its parent, or the parent itself."""
     sym = state.select(F.col("p").alias("u"), F.col("c").alias("v")).unionByName(
         state.select(F.col("c").alias("u"), F.col("p").alias("v"))
     )
-    agg = sym.groupBy("u").agg(
-        F.min("v").alias("mn"),
-        F.max("v").alias("mx"),
-        F.max(F.when(F.col("v") < F.col("u"), F.col("v"))).alias("pmax"),
+    minima = sym.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("least"))
+    return _apart(state, "p", minima).select("c", F.col("least").alias("m"), (F.col("least") != F.col("p")).alias("moved"))
+
+
+def _small_star(large: DataFrame) -> DataFrame:
+    """(c, p, joined): a node's parents, and the node itself, move to the smallest parent."""
+    best = large.groupBy(F.col("c").alias("u")).agg(F.min("m").alias("least"))
+    others = _apart(large, "c", best).where(F.col("m") != F.col("least"))
+    return (
+        others.select(F.col("m").alias("c"), F.col("least").alias("p"), F.lit(True).alias("joined"))
+        .unionByName(best.select(F.col("u").alias("c"), F.col("least").alias("p"), F.lit(False).alias("joined")))
+        .groupBy("c", "p")
+        .agg(F.max("joined").alias("joined"))
     )
-    violation = (F.col("mn") < F.col("u")) & ((F.col("mx") > F.col("u")) | (F.col("pmax") != F.col("mn")))
-    return agg.select("u", F.least("mn", "u").alias("m"), violation.alias("bad"))
 
 
 def component_labels(edges: DataFrame, max_rounds: int = 200, oriented: bool = False) -> tuple[DataFrame, int]:
     """(id, component) for every vertex touched by ``edges``; also the number of rounds.
 
     ``oriented=True`` means ``edges`` already has columns (c, p), c > p, distinct.
-    Each step's per-node minima are written before they are joined to the edges,
-    so that the join is one of two written tables, of which adaptive execution
-    splits a hot key's edges. The written minima also say whether the round's
-    input was a star forest already.
     """
     spark = edges.sparkSession
-    rounds, minima, stars, parents = (Rounds(spark, f"cc-{name}") for name in ("state", "minima", "large", "parents"))
+    rounds, stars = (Rounds(spark, f"cc-{name}") for name in ("state", "large"))
     state, _ = rounds.write(edges if oriented else _oriented(edges), 0)
     for rnd in range(1, max_rounds + 1):
-        stats, m = minima.write(_stats(state), rnd, {"bad": F.count_if(F.col("bad"))})
-        if not m["bad"]:
+        large, m = stars.write(_large_star(state), rnd, {"moved": F.count_if(F.col("moved"))})
+        state, joined = rounds.write(_small_star(large), rnd, {"joined": F.count_if(F.col("joined"))})
+        if not m["moved"] and not joined["joined"]:
             return _labels(state), rnd
-        # large-star: children of u move to m(u)
-        large = state.join(stats, state.p == stats.u).select(state.c.alias("c"), stats.m.alias("m"))
-        large, _ = stars.write(large, rnd)
-        # small-star: parents of c (and c) move to the smallest parent
-        best, _ = parents.write(large.groupBy("c").agg(F.min("m").alias("m2")), rnd)
-        small = (
-            large.join(best, "c")
-            .where(F.col("m") != F.col("m2"))
-            .select(F.col("m").alias("c"), F.col("m2").alias("p"))
-            .unionByName(best.select("c", F.col("m2").alias("p")))
-            .distinct()
-        )
-        state, _ = rounds.write(small, rnd)
     raise NoConvergence(f"connected components did not converge in {max_rounds} rounds")
 
 

@@ -289,7 +289,7 @@ def test_pagerank_stops_at_the_tolerance(spark):
 
 def test_a_hub_is_split_where_minima_join(spark):
     """The joins of components with a hub that holds half of all edges: adaptive execution reads it in pieces."""
-    from ringwise.operators.components import _stats
+    from ringwise.operators.components import _large_star, _small_star
     from ringwise.operators.iterate import materialize
 
     conf = {
@@ -306,14 +306,13 @@ def test_a_hub_is_split_where_minima_join(spark):
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
+        # a hub as a parent, then as a child
         edges = spark.range(60_000).selectExpr("id + 10 as c", "case when id % 2 = 0 then 1 else id div 7 + 2 end as p").repartition(8)
-        state, _ = materialize(edges, "t-state")
-        stats, _ = materialize(_stats(state), "t-minima")
-        joined = state.join(stats, state.p == stats.u).select("c", "m")
-        assert joined.count() == 60_000
-        joined.write.format("noop").mode("overwrite").save()
-        joined.collect()
-        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+        up = spark.range(60_000).selectExpr("case when id % 2 = 0 then 99999 else id div 7 + 70000 end as c", "id as m").repartition(8)
+        for joined in (_large_star(materialize(edges, "t-state")[0]), _small_star(materialize(up, "t-large")[0])):
+            joined.write.format("noop").mode("overwrite").save()
+            joined.collect()
+            assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
