@@ -89,3 +89,33 @@ def sums_before(members: SortedMembers, weights: DataFrame | None, later: bool =
     if by_member:
         return out.select("vid", "value", "sign", "size", s.alias("s"))
     return out.select("vid", (F.col("sign") * s).alias("s"))
+
+
+def _beside(members: DataFrame, ids: DataFrame, k: int, larger: bool) -> DataFrame:
+    """(src, dst): the first ``k`` pairs of each of a few ids with members of larger, or of smaller, id."""
+    mine = members.join(ids.select("id").distinct(), "id").select(F.col("id").alias("me"), "value")
+    met = mine.join(members.select(F.col("id").alias("other"), "value"), "value")
+    met = met.where(F.col("other") > F.col("me") if larger else F.col("other") < F.col("me"))
+    # a pair that shares two values has one rank; ranks beyond k go before the shuffle
+    first = met.withColumn("_nth", F.dense_rank().over(Window.partitionBy("me").orderBy("other"))).where(F.col("_nth") <= k)
+    src, dst = ("me", "other") if larger else ("other", "me")
+    return first.select(F.col(src).alias("src"), F.col(dst).alias("dst")).distinct()
+
+
+def pairs_touching(members: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """The first ``k`` pairs at least, in order of (src, dst), that one of a few ids is part of; members are (id, value)."""
+    return _beside(members, ids, k, True).unionByName(_beside(members, ids, k, False)).distinct()
+
+
+def pairs_inside(members: DataFrame, ids: DataFrame) -> DataFrame:
+    """All pairs among a few ids."""
+    ours = members.join(ids.select("id").distinct(), "id", "left_semi")
+    a, b = ours.select(F.col("id").alias("src"), "value"), ours.select(F.col("id").alias("dst"), "value")
+    return a.join(b, "value").where("src < dst").select("src", "dst").distinct()
+
+
+def first_pairs(members: DataFrame, k: int) -> DataFrame:
+    """The first ``k`` pairs of all in order of (src, dst): those of the ``k`` smallest ids that have a larger member beside them."""
+    last, _ = materialize(members.groupBy("value").agg(F.max("id").alias("last")), "group-last")
+    starts = members.join(last, "value").where("id < last").select("id").distinct().orderBy("id").limit(k)
+    return _beside(members, starts, k, True).orderBy("src", "dst").limit(k)

@@ -4,6 +4,7 @@ The reference pulled these to the driver and drew them; here they stay
 DataFrames. Each sample is a top-k under a total order (the limit is the
 feature), taken with ``orderBy(...).limit(k)`` so Spark keeps k rows per task
 before merging, and set filters are semi-joins rather than collected id lists.
+Of shared contacts, only the pairs that a sample can hold are made, from the sorted heads of the groups.
 """
 
 from __future__ import annotations
@@ -12,6 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringwise import config as C
+from ringwise.operators.graph import contact_members
+from ringwise.operators.groups import first_pairs, pairs_inside, pairs_touching
+from ringwise.operators.iterate import materialize
 from ringwise.plans import centrality as CE
 from ringwise.plans import rings as R
 from ringwise.plans import sql_base as S
@@ -41,16 +45,30 @@ def endpoints(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("src").alias("id")).unionByName(edges.select(F.col("dst").alias("id"))).distinct()
 
 
+def _listed(ctx: Context) -> DataFrame:
+    """The edges but for shared contacts, whose pairs are made where they are wanted only."""
+    return ctx.view(C.NOT_CONTACT).edges.select(*EDGE_COLS)
+
+
+def _as_edges(pairs: DataFrame) -> DataFrame:
+    return pairs.select("src", "dst", F.lit(C.SHARED_CONTACT).alias("relationship"))
+
+
+def inside_with_contacts(ctx: Context, ids: DataFrame) -> DataFrame:
+    """All edges with both ends among a few ids, which are written as they are read several times."""
+    ids, _ = materialize(ids.select("id"), "sample-ids")
+    return inside(_listed(ctx), ids).unionByName(_as_edges(pairs_inside(contact_members(ctx.stored.policyholders), ids)))
+
+
 def high_fraud_network(ctx: Context) -> DataFrame:
-    g = ctx.graph
-    e = g.edges.select(*EDGE_COLS)
+    e = _listed(ctx)
     hf5 = (
-        g.vertices.where((F.col("type") == "claim") & (F.col("score_milli") >= ctx.cfg.threshold_milli))
+        ctx.vertices.where((F.col("type") == "claim") & (F.col("score_milli") >= ctx.cfg.threshold_milli))
         .select("id")
         .orderBy("id")
         .limit(5)
     )
-    shared5 = e.where(F.col("relationship") == C.SHARED_CONTACT).orderBy("src", "dst").limit(5)
+    shared5 = _as_edges(first_pairs(contact_members(ctx.stored.policyholders), 5))
     return touching(e, hf5).unionByName(shared5).distinct()
 
 
@@ -130,8 +148,13 @@ REL_SAMPLE = ((C.FILED_BY, 8), (C.PROCESSED_BY, 8), (C.SERVICED_BY, 8), (C.SHARE
     ),
 )
 def sample_by_relationship(spark, sf_dir):
-    e = context(spark, sf_dir).graph.edges.select(*EDGE_COLS)
-    parts = [e.where(F.col("relationship") == r).orderBy("src", "dst").limit(k) for r, k in REL_SAMPLE]
+    ctx = context(spark, sf_dir)
+    parts = [
+        _as_edges(first_pairs(contact_members(ctx.stored.policyholders), k))
+        if r == C.SHARED_CONTACT
+        else ctx.view([r]).edges.select(*EDGE_COLS).orderBy("src", "dst").limit(k)
+        for r, k in REL_SAMPLE
+    ]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -185,18 +208,18 @@ def sample_components(spark, sf_dir):
     """Inner edges of the three mid-size suspicious components; without any, the
     edges (at most 40) touching ten high-fraud claims."""
     ctx = context(spark, sf_dir)
-    members = _mid3_members(ctx)
-    edges = ctx.graph.edges.select(*EDGE_COLS)
-    # a bounded scalar decides the branch (at most three components qualify)
-    if members.select("component").distinct().count() > 0:
-        return inside(edges, members.select("id"))
+    members, _ = materialize(_mid3_members(ctx).select("id"), "sample-members")
+    # whether any component qualifies decides the branch
+    if not members.isEmpty():
+        return inside_with_contacts(ctx, members)
     hf10 = (
         ctx.vertices.where((F.col("type") == "claim") & (F.col("score_milli") >= ctx.cfg.threshold_milli))
         .select("id")
         .orderBy("id")
         .limit(10)
     )
-    return touching(edges, hf10).orderBy("src", "dst", "relationship").limit(40)
+    # claims share no contacts
+    return touching(_listed(ctx), hf10).orderBy("src", "dst", "relationship").limit(40)
 
 
 # ---------------------------------------------------------------- pagerank / communities / triangles
@@ -216,7 +239,9 @@ ORDER BY src, dst, relationship LIMIT 200""",
 def sample_pagerank(spark, sf_dir):
     ctx = context(spark, sf_dir)
     top50 = CE.pagerank_df(ctx).orderBy(F.desc("pagerank"), "id").limit(50).select("id")
-    return touching(ctx.graph.edges.select(*EDGE_COLS), top50).orderBy("src", "dst", "relationship").limit(200)
+    top50, _ = materialize(top50, "sample-ids")
+    pairs = _as_edges(pairs_touching(contact_members(ctx.stored.policyholders), top50, 200))
+    return touching(_listed(ctx), top50).unionByName(pairs).orderBy("src", "dst", "relationship").limit(200)
 
 
 COMM5 = """
@@ -241,7 +266,7 @@ def sample_communities(spark, sf_dir):
     comms = CE.communities_df(ctx)
     top = CE.high_risk(CE.community_stats_df(comms, ctx.cfg.threshold_milli), ctx.cfg).limit(5).select("label")
     members = comms.join(top, "label", "left_semi").select("id").orderBy("id").limit(150)
-    return inside(ctx.graph.edges.select(*EDGE_COLS), members).orderBy("src", "dst", "relationship").limit(200)
+    return inside_with_contacts(ctx, members).orderBy("src", "dst", "relationship").limit(200)
 
 
 @register(
@@ -258,7 +283,7 @@ ORDER BY src, dst, relationship LIMIT 200""",
 def sample_triangles(spark, sf_dir):
     ctx = context(spark, sf_dir)
     top = ST.triangle_df(ctx).where(F.col("count") > 0).orderBy(F.desc("count"), "id").limit(100).select("id")
-    return inside(ctx.graph.edges.select(*EDGE_COLS), top).orderBy("src", "dst", "relationship").limit(200)
+    return inside_with_contacts(ctx, top).orderBy("src", "dst", "relationship").limit(200)
 
 
 @register(

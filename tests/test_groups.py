@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ringwise.operators.dominance import ascending_pairs
 from ringwise.operators.graph import shared_contact_pairs
-from ringwise.operators.groups import shared_only, signed_contacts, sorted_members, sums_before
+from ringwise.operators.groups import first_pairs, pairs_inside, pairs_touching, shared_only, signed_contacts, sorted_members, sums_before
 from ringwise.operators.labels import label_propagation
 from ringwise.operators.pagerank import pagerank
 from ringwise.operators.paths import bfs_levels, shortest_paths
@@ -150,6 +150,20 @@ def test_no_query_of_these_lists_pairs(spark, monkeypatch):
 
     monkeypatch.setattr(graph, "shared_contact_pairs", listed)
     queries = load_all()
-    names = ("pagerank_top", "communities", "community_stats_ring", "triangle_top", "triangles_by_type", "shortest_paths", "close_to_fraud", "close_to_fraud_directed", "bfs_from_claim", "bfs_paths", "run_summary")
+    names = ("sample_high_fraud_network", "sample_by_relationship", "sample_components", "sample_pagerank", "sample_communities", "sample_triangles", "pagerank_top", "communities", "community_stats_ring", "triangle_top", "triangles_by_type", "shortest_paths", "close_to_fraud", "close_to_fraud_directed", "bfs_from_claim", "bfs_paths", "run_summary")
     for name in names:
         queries[name].build(spark, "/root/testdata/sf0.001").count()
+
+
+def test_samples_of_pairs_equal_those_of_the_list(spark):
+    df, _ = holders(spark, n=80, seed=3, hot=30)
+    pairs = sorted(tuple(r) for r in shared_contact_pairs(df).collect())
+    members = signed_contacts(df).where("sign > 0").select("id", "value")
+    for k in (1, 7, 60):
+        assert [tuple(r) for r in first_pairs(members, k).collect()] == pairs[:k]
+        some = ["p003", "p017", "p055", "p079", "nobody"]
+        ids = spark.createDataFrame([(i,) for i in some], "id string")
+        touched = [p for p in pairs if set(p) & set(some)]
+        assert sorted(tuple(r) for r in pairs_touching(members, ids, k).collect())[:k] == touched[:k]
+    many = spark.createDataFrame([(f"p{i:03d}",) for i in range(10, 60)], "id string")
+    assert sorted(tuple(r) for r in pairs_inside(members, many).collect()) == [p for p in pairs if all("p010" <= x < "p060" for x in p)]

@@ -287,6 +287,32 @@ def test_pagerank_stops_at_the_tolerance(spark):
     assert all(abs(exact[k] - early[k]) < 1e-5 for k in exact)
 
 
+def test_a_long_path_settles_in_few_rounds(spark, monkeypatch):
+    """10,000 vertices in shuffled order with a cycle at the end, a tree of paths beside it, and a closed ring."""
+    import random
+
+    from ringwise.operators import iterate, scc
+
+    ids = list(range(10_400))
+    random.Random(5).shuffle(ids)
+    path, ring, side = ids[:10_000], ids[10_000:10_200], ids[10_200:]
+    edges = list(zip(path, path[1:], strict=False)) + [(path[-1], path[-50])] + list(zip(ring, ring[1:] + ring[:1], strict=True))
+    edges += list(zip(side, side[1:], strict=False)) + [(path[5_000], side[0])]
+    rounds = []
+    write = iterate.Rounds.write
+
+    def counted(self, df, rnd, metrics=None):
+        rounds.append(self.label)
+        return write(self, df, rnd, metrics)
+
+    monkeypatch.setattr(iterate.Rounds, "write", counted)
+    v = spark.createDataFrame([(i,) for i in ids], "id long")
+    got = {r["id"]: r["scc"] for r in scc.strongly_connected_components(v, spark.createDataFrame(edges, "src long, dst long")).collect()}
+    want = {i: i for i in ids} | {i: min(path[-50:]) for i in path[-50:]} | {i: min(ring) for i in ring}
+    assert got == want
+    assert sum("jump" in r or "colour" in r or "back" in r for r in rounds) < 40
+
+
 def test_a_hub_is_split_where_minima_join(spark):
     """The joins of components with a hub that holds half of all edges: adaptive execution reads it in pieces."""
     from ringwise.operators.components import _large_star, _small_star
