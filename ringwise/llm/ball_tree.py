@@ -38,12 +38,14 @@ from pyspark.sql import functions as F
 
 from ringwise.llm.common import Scratch
 
-BLOCK = 4_096
-ENTRIES = 1 << 21
+BLOCK = 2_048
+ENTRIES = 1 << 20
+#: Documents that are cut into terms at once.
+ROWS = 1_000
 LEAF = 8
 BANDS = 1_024
 #: Blocks of a task where there are enough of them: their documents compete before any are sent on.
-BLOCKS_A_TASK = 16
+BLOCKS_A_TASK = 32
 #: Items whose bounds are worked out together.
 TOGETHER = 64
 BATCH_CHARS = 1 << 20
@@ -77,7 +79,7 @@ def _vectors(vocabulary: list[bytes]) -> Callable:
     marks = np.random.default_rng(7).permutation(len(vocabulary)), np.random.default_rng(8).permutation(len(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             out: list[list] = [[] for _ in range(6)]
             bodies = batch.column(1).cast(pa.binary())
             for key, body in zip(batch.column(0).to_pylist(), bodies, strict=True):
