@@ -6,18 +6,18 @@ A distributed difference-cover algorithm on suffixes cut at ``width`` bytes:
    neighbouring positions give the name of nine bytes, and so on by recursion up to 243 bytes. A
    name is a 64-bit hash of the triple of names below it, so equal strings have equal names in all
    texts and no ranks have to be sent back.
-2. Cover. Of the ``STEP`` positions that follow each position, the one with the least nine-byte
+2. Cover. Of the ``STEP`` (128) positions that follow each position, the one with the least nine-byte
    name is sampled. This depends on these bytes alone, so two equal strings of ``width`` bytes have
    a sampled position at the same distance from their starts: that is what a difference cover
    is for. About one position in 64 is sampled.
-3. Sampled suffixes are sorted by the name of their first ``width`` - ``STEP`` + 1 bytes, and
+3. Sampled suffixes are sorted by the name of their first ``width`` - 127 bytes, and
    neighbours are compared. Those whose prefix is found once only can't lie in a repeated string.
 4. The remaining suffixes, those that a surviving sampled one stands for, are merged in. The first and
    the last of them are sorted by the name of all their ``width`` bytes, and neighbours compared. If
    both are repeated, all between them are covered whether repeated or not. Else the positions of
    that name meet with the bytes around their equal prefix: these tell all suffixes that they stand
    for apart, which are sorted and compared in the task. A name of more than ``TOGETHER`` positions is
-   dealt over several tasks; the suffixes that these leave open are sorted once more for all.
+   dealt over several tasks; one row for each different suffix of a task is then sorted once more, to settle those left open.
 
 Rows with equal names within one batch are known to be repeated; they are sorted under a random
 key, but for one that meets the other batches' rows. So a passage in a third of all documents
@@ -42,18 +42,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ringwise.llm.common import Scratch, others, utf8, words
+from ringwise.llm.common import Scratch, chunks, others, utf8
+from ringwise.llm.jaccard_join import word_hashes
 
 ADDED = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "removed")
 WIDTH = 400
+#: Bytes of the longest names, and positions of which one is sampled, from the widest strings down: the first two that suit the width.
 STEP = 128
 SPAN = 243
+SPANS = ((SPAN, STEP), (SPAN, 64), (81, 64), (81, 32), (27, 16))
 #: Positions of a text, or of texts one after the other, that are worked on at once.
 SEGMENT = 1 << 18
-#: Characters of a word's code, see ``without_passages``.
-CODE = 8
+#: Characters of a word's code, six bits of its hash each, see ``without_passages``.
+CODE = 3
+_DIGITS = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+-", np.uint8)
 #: Positions of one name whose suffixes one task compares.
-TOGETHER = 20_000
+TOGETHER = 2_000
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
@@ -68,13 +72,21 @@ def _triple(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
     return x
 
 
-def triple_names(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Names of the 9 and of the 243 bytes from each position on (as far as these lie in ``raw``)."""
+def reach_of(width: int) -> tuple[int, int]:
+    """(bytes of the longest names, positions of which one is sampled): a string of ``width`` bytes is two names that may overlap."""
+    for span, step in SPANS:
+        if span + step <= width <= 2 * span:
+            return span, step
+    raise ValueError(f"width {width} must be a name and a step at least, and two names at most, of {SPANS}")
+
+
+def triple_names(raw: np.ndarray, span: int = SPAN) -> tuple[np.ndarray, np.ndarray]:
+    """Names of the 9 and of the ``span`` bytes from each position on (as far as these lie in ``raw``)."""
     wide = raw.astype(np.uint64)
     names = wide[:-2] | wide[1:-1] << np.uint64(8) | wide[2:] << np.uint64(16)
     names *= _K[0]
     nine, length = names, 3
-    while length < SPAN:
+    while length < span:
         names = _triple(names[: -2 * length], names[length:-length], names[2 * length :])
         length *= 3
         if length == 9:
@@ -82,11 +94,11 @@ def triple_names(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nine, names
 
 
-def prefix_name(names: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
-    """Name of ``length`` bytes (243 to 486) from the names of their first and last 243."""
+def prefix_name(names: np.ndarray, at: np.ndarray, length: int, span: int = SPAN) -> np.ndarray:
+    """Name of ``length`` bytes (one span to two) from the names of their first and last span."""
     x = names[at] * _K[1]
     x ^= x >> np.uint64(31)
-    return (x + names[at + (length - SPAN)]) * _K[2]
+    return (x + names[at + (length - span)]) * _K[2]
 
 
 def _segments(raw: np.ndarray, width: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -105,14 +117,15 @@ def _text_ends(offsets: np.ndarray, s: int, n: int) -> np.ndarray:
 
 def sampled(raw: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, ...]:
     """(position, first and last start of a window that it stands for, prefix name) of the sampled positions."""
-    core = width - STEP + 1
+    span, step = reach_of(width)
+    core = width - step + 1
     found: list[tuple[np.ndarray, ...]] = []
     for s, part in _segments(raw, width):
-        nine, names = triple_names(part)
+        nine, names = triple_names(part, span)
         n, bits = len(part) - width + 1, np.uint64(len(part).bit_length())
         least = (nine >> bits << bits) | np.arange(len(nine), dtype=np.uint64)
         reach = 1
-        while reach < STEP:
+        while reach < step:
             least = np.minimum(least[:-reach], least[reach:])
             reach *= 2
         at = (least[:n] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
@@ -123,7 +136,7 @@ def sampled(raw: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> tuple[n
         new = np.ones(len(starts), bool)
         new[1:] = (at[1:] != at[:-1]) | (starts[1:] != starts[:-1] + 1)
         last = np.append(new[1:], True)
-        found.append((at[new] + s, starts[new] + s, starts[last] + s, prefix_name(names, at[new], core)))
+        found.append((at[new] + s, starts[new] + s, starts[last] + s, prefix_name(names, at[new], core, span)))
     if not found:
         none = np.zeros(0, np.int64)
         return none, none, none, none.astype(np.uint64)
@@ -136,13 +149,14 @@ def sampled(raw: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> tuple[n
 
 
 def window_names(raw: np.ndarray, starts: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
-    """Names of the first and last 243 bytes of the windows at ascending starts: together, of all."""
+    """Names of the first and last bytes, a span each, of the windows at ascending starts: together, of all."""
+    span, _ = reach_of(width)
     first, second = np.zeros(len(starts), np.uint64), np.zeros(len(starts), np.uint64)
     for s, part in _segments(raw, width):
         a, b = np.searchsorted(starts, [s, s + SEGMENT])
         if a < b:
-            names = triple_names(part)[1]
-            first[a:b], second[a:b] = names[starts[a:b] - s], names[starts[a:b] - s + width - SPAN]
+            names = triple_names(part, span)[1]
+            first[a:b], second[a:b] = names[starts[a:b] - s], names[starts[a:b] - s + width - span]
     return first, second
 
 
@@ -256,11 +270,12 @@ def _ends(width: int):
 
 
 def _around(width: int):
-    """The listed positions (at, name, parts, wanted) with the ``STEP`` - 1 bytes on either side of their prefix.
+    """The listed positions (at, name, parts, wanted) with the step - 1 bytes on either side of their prefix.
 
     Of positions that only serve to be compared with, one of a kind in a batch is enough.
     """
-    n, core = STEP - 1, width - STEP + 1
+    step = reach_of(width)[1]
+    n, core = step - 1, width - step + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -302,13 +317,14 @@ def prefix_names(context: np.ndarray) -> np.ndarray:
 def _compare(rows: pa.RecordBatch) -> pa.RecordBatch:
     """Windows of positions of whole names: those wanted and repeated, and those that other tasks must see."""
     name, packed = rows["name"].to_numpy().view(np.uint64), rows["at"].to_numpy()
-    around = np.frombuffer(b"".join(rows["around"].to_pylist()), np.uint8).reshape(len(name), 2 * (STEP - 1))
-    left, right = prefix_names(around[:, : STEP - 1]), prefix_names(around[:, STEP - 1 :])
+    around = np.frombuffer(b"".join(rows["around"].to_pylist()), np.uint8).reshape(len(name), -1)
+    n = around.shape[1] // 2  # a step less one
+    left, right = prefix_names(around[:, :n]), prefix_names(around[:, n:])
     back, least = (packed >> 8) & 255, packed & 255
     count = back - least + 1
     owner = np.repeat(np.arange(len(name)), count)
     delta = least[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-    before, after = left[owner, delta], right[owner, STEP - 1 - delta]
+    before, after = left[owner, delta], right[owner, n - delta]
     first = (name[owner] + before * _K[1]) * _K[2] ^ delta.astype(np.uint64)
     second = (after ^ (before >> np.uint64(7))) * _K[0] + name[owner]
     order = np.lexsort((second, first))
@@ -318,13 +334,16 @@ def _compare(rows: pa.RecordBatch) -> pa.RecordBatch:
     again[order[:-1][like]] = True
     wanted = rows["wanted"].to_numpy(zero_copy_only=False).astype(bool)[owner]
     many = rows["parts"].to_numpy()[owner] > 1
-    # of windows that other tasks must see, one row each is enough where nothing is wanted
+    # known ones are done; other tasks must see one row a window, which stands for itself only if it isn't done
     head = np.ones(len(owner), bool)
     head[order[1:]] = ~like
-    keep = np.flatnonzero((wanted & (again | many)) | (many & head))
+    done, shown = np.flatnonzero(wanted & again), np.flatnonzero(many & head)
+    keep = np.concatenate([done, shown])
     start = (packed >> 16)[owner] - delta
-    columns = [first.view(np.int64), first.view(np.int64), second.view(np.int64), again, rows["key"].to_numpy()[owner], start, wanted, many]
-    return pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], ["spot", "first", "second", "sure", "key", "at", "wanted", "open"])
+    columns = [c[keep] for c in (first.view(np.int64), first.view(np.int64), second.view(np.int64))]
+    is_open = np.arange(len(keep)) >= len(done)
+    columns += [~is_open, rows["key"].to_numpy()[owner][keep], start[keep], np.where(is_open, (wanted & ~again)[keep], True), is_open]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["spot", "first", "second", "sure", "key", "at", "wanted", "open"])
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -402,14 +421,18 @@ def _merged(shared: DataFrame, status: DataFrame, scratch: Scratch, width: int)
     return done.unionByName(seen).select("key", F.col("at").alias("start"), (F.col("at") + width).alias("end"))
 
 
-def dedup(docs: DataFrame, text: str = "text", width: int = WIDTH, keep_text: bool = False, keep_spans: bool = False) -> DataFrame:
-    """Input columns but the text, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept_text and the runs of bytes removed."""
-    if not SPAN + STEP <= width <= 2 * SPAN:
-        raise ValueError(f"width must lie between {SPAN + STEP} and {2 * SPAN}")
+def dedup(
+    docs: DataFrame, text: str = "text", width: int = WIDTH, keep_text: bool = False, keep_spans: bool = False, texts: DataFrame | None = None
+) -> DataFrame:
+    """Input columns but the text, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept_text and the runs of bytes removed.
+
+    ``texts`` is a table of the texts alone, where that is cheaper to read several times than ``docs``.
+    """
+    reach_of(width)
     scratch = Scratch(docs.sparkSession, "suffix")
     kept = others(docs, *ADDED, text)
     body = F.coalesce(F.col(text), F.lit(""))
-    texts = docs.select(F.xxhash64(body).alias("key"), body.alias("text"))
+    texts = (docs if texts is None else texts).select(F.xxhash64(body).alias("key"), body.alias("text"))
     long_texts = texts.where(F.octet_length("text") >= width)
     suffix = "spot long, first long, second long, sure boolean, key long, at long"
 
@@ -484,16 +507,35 @@ def _without_words(at_text: int, at_runs: int):
     return run
 
 
+def _coded(at_text: int):
+    """Rows with the codes of their texts' words, one after the other, as a last column."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, offsets = utf8(batch.column(at_text))
+            for a, b in chunks(offsets, SEGMENT):
+                hashed, n_words = word_hashes(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                digits = np.stack([_DIGITS[((hashed >> np.uint64(6 * i)) & np.uint64(63)).astype(np.int64)] for i in range(CODE)], axis=1)
+                ends = np.concatenate([[0], np.cumsum(n_words * CODE)]).astype(np.int64)
+                codes = pa.Array.from_buffers(pa.large_string(), b - a, [None, pa.py_buffer(ends), pa.py_buffer(digits.tobytes())])
+                part = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([*part.columns, codes.cast(pa.string())], [*batch.schema.names, "__code"])
+
+    return run
+
+
 def without_passages(docs: DataFrame, text: str = "text", n_words: int = 51) -> DataFrame:
     """The documents without passages of ``n_words`` words or more that are found elsewhere too, whatever blanks part the words.
 
-    Texts are written as codes of one length, eight hexadecimal digits of a word's hash, so that a passage of so many
-    words is a string of 8 bytes each; what ``dedup`` removes of the codes is removed of the words. All copies go. Null texts
+    Texts are written as codes of one length, three characters of a word's hash, so that a passage of so many
+    words is a string of three bytes each; what ``dedup`` removes of the codes is removed of the words. All copies go. Null texts
     stay null; a text that is a copy as a whole ends up empty.
     """
-    width = CODE * n_words
-    code = F.transform(words(F.col(text)), lambda w: F.lpad(F.hex(F.xxhash64(w).bitwiseAND(0xFFFFFFFF)), CODE, "0"))
+    scratch = Scratch(docs.sparkSession, "passages")
     columns = docs.columns
-    coded = docs.select(F.struct(*columns).alias("row"), F.array_join(code, "").alias("code"))
-    cut = dedup(coded, "code", width, keep_spans=True).select("row.*", "removed")
+    schema = T.StructType([*docs.schema.fields, T.StructField("__code", T.StringType())])
+    coded = docs.mapInArrow(_coded(columns.index(text)), schema).select(F.struct(*columns).alias("row"), F.col("__code").alias("code"))
+    only = T.StructType([T.StructField(text, docs.schema[text].dataType), T.StructField("__code", T.StringType())])
+    codes = docs.select(text).mapInArrow(_coded(0), only).select(F.col("__code").alias("code"))
+    cut = dedup(coded, "code", CODE * n_words, keep_spans=True, texts=scratch.save(codes, "codes")).select("row.*", "removed")
     return cut.mapInArrow(_without_words(columns.index(text), len(columns)), docs.schema)
