@@ -34,6 +34,8 @@ FEATURES = ("x0", "x1", "x2", "x3")
 #: Least standard deviations: mean word length (log), symbols (log), repeated lines, repeated words.
 FLOORS = (0.05, 0.5, 0.05, 0.05)
 SYMBOLS = "#*$%&|<>"
+#: Groups whose estimates (some 200 bytes each) are broadcast.
+FEW_GROUPS = 50_000
 WINDOW = 8
 D = len(FEATURES)
 
@@ -122,9 +124,18 @@ def estimates(rows: DataFrame, factor: float) -> DataFrame:
     return cov.select("group", "n", *[f"m{i}" for i in range(D)], *[f"l{i}{j}" for i, j in pairs()], det.alias("log_det"))
 
 
+def of_groups(rows: DataFrame, table: DataFrame, how: str = "inner") -> DataFrame:
+    """Rows joined with a written table of one row a group.
+
+    Up to ``FEW_GROUPS`` groups it is sent to all tasks, so that rows need not be dealt by group; beyond that, both
+    sides are shuffled, and adaptive execution splits a hot group.
+    """
+    return rows.join(F.broadcast(table) if table.count() <= FEW_GROUPS else table, "group", how)
+
+
 def with_distance(rows: DataFrame, fit: DataFrame) -> DataFrame:
     """Squared Mahalanobis distance ``d2`` by forward substitution; null without an estimate."""
-    df = rows.join(fit, "group", "left")
+    df = of_groups(rows, fit, "left")
     for i in range(D):
         rest = F.col(f"x{i}") - F.col(f"m{i}") - sum((F.col(f"l{i}{k}") * F.col(f"z{k}") for k in range(i)), F.lit(0.0))
         df = df.withColumn(f"z{i}", rest / F.col(f"l{i}{i}"))
@@ -134,8 +145,9 @@ def with_distance(rows: DataFrame, fit: DataFrame) -> DataFrame:
 
 def fit_groups(rows: DataFrame, scratch: Scratch, core: float, inner: float, steps: int) -> DataFrame:
     """MCD estimates of each group of rows (group, x0..)."""
-    centre = rows.groupBy("group").agg(*[F.percentile_approx(f"x{i}", 0.5, 10_000).alias(f"m{i}") for i in range(D)])
-    apart = rows.join(centre, "group")
+    # written: beside an aggregate on its own key, a hot group's rows could not be split in the join
+    centre = scratch.save(rows.groupBy("group").agg(*[F.percentile_approx(f"x{i}", 0.5, 10_000).alias(f"m{i}") for i in range(D)]), "centre")
+    apart = of_groups(rows, centre)
     spread = apart.groupBy("group").agg(
         *[F.first(f"m{i}").alias(f"m{i}") for i in range(D)],
         *[F.percentile_approx(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), 0.5, 10_000).alias(f"mad{i}") for i in range(D)],
@@ -147,7 +159,7 @@ def fit_groups(rows: DataFrame, scratch: Scratch, core: float, inner: float, ste
     for step in range(steps):
         far = with_distance(rows, fit)
         limit = scratch.save(far.groupBy("group").agg(F.percentile_approx("d2", core, 10_000).alias("limit")), f"limit{step}")
-        near = far.join(limit, "group").where(F.col("d2") <= F.col("limit"))
+        near = of_groups(far, limit).where(F.col("d2") <= F.col("limit"))
         fit = scratch.save(estimates(near, 1.0), f"fit{step}")
         volume = fit.agg(F.sum("log_det")).first()[0]
         if before is not None and volume is not None and before - volume < 1e-3:

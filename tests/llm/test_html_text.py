@@ -121,3 +121,23 @@ def test_quotes_in_attributes():
     assert texts("<p title='a>b' id = \"c>d\"e='f>g'>One</p><p title=a=\"b>Two</p><p class=\"open>Three</p>") == ["One", "Two", "Three"]
     assert texts("<p title=>One</p><p><a href=x/>Two</a></p><p title= 'a>b'>Three</p>") == ["One", "Two", "Three"]
     assert texts("<p>a</p>" + "<p " + "a=\"b\" " * 20_000)[0] == "a"
+
+
+def test_containers_of_unknown_names(spark, net):
+    """Pages whose containers are named at random keep their main text, and so does one of names from elsewhere."""
+    pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").orderBy("page_id").limit(300).collect()]
+    found = [b for b in map(H.blocks, pages) if b]
+    truth = [[H.weak_label(b) for b in p] for p in found]
+    rng = np.random.default_rng(8)
+    got = net.label([H._renamed(p, rng) for p in found])
+    main = sum(sum(t) for t in truth)
+    kept = sum(int((g & np.array(t)).sum()) for g, t in zip(got, truth, strict=True))
+    wrong = sum(int((g & ~np.array(t)).sum()) for g, t in zip(got, truth, strict=True))
+    assert kept >= 0.97 * main and wrong <= 0.03 * main
+    body = "".join(f"<p>{'Words of a paragraph that is long enough to be text. ' * 6}{i}</p>" for i in range(5))
+    menu = "<ul><li><a href=a>Main page</a></li><li><a href=b>Contents</a></li></ul>"
+    for first, middle, last in (('id="mw-navigation"', 'id="bodyContent" class="mw-body"', 'id="foot"'), ('class="x1"', 'class="x2"', 'class="x3"')):
+        page = f"<html><body><div {first}>{menu}</div><div {middle}><h1>Title here</h1>{body}</div><div {last}><p><a href=c>Privacy About</a></p></div></body></html>"
+        labelled = dict(zip([b.text for b in H.blocks(page)], net.label([H.blocks(page)])[0], strict=True))
+        assert sum(bool(v) for t, v in labelled.items() if t.startswith("Words")) == 5
+        assert not any(labelled[t] for t in ("Main page", "Contents", "Privacy About"))
