@@ -34,12 +34,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ringwise.llm.common import Scratch, chunks, others, utf8
 from ringwise.llm.graph import components
+from ringwise.operators.ranking import later_in_group
 
 ADDED = ("n_shingles", "component_id")
 SHINGLE = 5
@@ -73,8 +74,8 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def shingle_sets(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted distinct shingles of one text after the other, their number in each)."""
+def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of the words of one text after the other, their number in each); ``lower`` takes A-Z as small letters."""
     n_texts, n = len(offsets) - 1, len(raw)
     none = np.zeros(0, np.uint64), np.zeros(n_texts, np.int64)
     if not n:
@@ -88,10 +89,20 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     ends = np.flatnonzero(letter & ~after) + 1
     if not len(starts):
         return none
-    sums = np.concatenate([[np.uint64(0)], np.cumsum((_LOWER[raw] + np.uint64(1)) * _powers(_BASE, n))])
+    values = _LOWER[raw] if lower else raw.astype(np.uint64)
+    sums = np.concatenate([[np.uint64(0)], np.cumsum((values + np.uint64(1)) * _powers(_BASE, n))])
     word = _mix((sums[ends] - sums[starts]) * _powers(_UNBASE, n)[starts] + (ends - starts).astype(np.uint64) * _K[0])
     text = np.searchsorted(offsets, starts, side="right") - 1
-    n_words = np.bincount(text, minlength=n_texts)
+    return word, np.bincount(text, minlength=n_texts)
+
+
+def shingle_sets(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted distinct shingles of one text after the other, their number in each)."""
+    n_texts = len(offsets) - 1
+    word, n_words = word_hashes(raw, offsets, lower=True)
+    if not len(word):
+        return np.zeros(0, np.uint64), np.zeros(n_texts, np.int64)
+    text = np.repeat(np.arange(n_texts), n_words)
     shingle = word.copy()
     m = len(word)
     for k in range(1, SHINGLE):
@@ -515,9 +526,10 @@ def _links(sets: DataFrame, scratch: Scratch, block: int) -> DataFrame:
 
 
 def _in_blocks(members: DataFrame, block: int) -> DataFrame:
-    """Numbers the blocks of each cluster's sets in order of size; rows are light, and the sort spills."""
-    before = Window.partitionBy("cluster").orderBy("n", "node").rowsBetween(Window.unboundedPreceding, -1)
-    return members.withColumn("block", F.floor(F.coalesce(F.sum(_weight()).over(before), F.lit(0.0)) / block))
+    """Numbers the blocks of each cluster's sets in order of size, by one range-partitioned sort: no task holds a whole cluster."""
+    weighed = members.withColumn("weight", F.greatest(F.lit(USUAL), F.col("n")))
+    ranked = later_in_group(weighed, ["cluster"], ["n", "node"], weight="weight")
+    return ranked.withColumn("block", F.floor(F.col("later") / F.lit(USUAL * block))).drop("weight", "later")
 
 
 def _weight() -> Column:
