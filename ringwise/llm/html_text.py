@@ -11,7 +11,8 @@ The network is trained where it is used, on a sample of ``sample_pages`` distinc
 of what ``ASIDE`` names. Of a page whose blocks hold more than ``sample_bytes`` bytes, or are more
 than ``SAMPLE_BLOCKS``, the sample has the first and last ones. As sites name things differently, sample
 pages are also seen with other containers for the main part and with blocks of other kinds put in,
-whose text is drawn from the sample. Training is seeded, and runs in some seconds on the driver.
+whose text is drawn from the sample, and with random names or none on all containers, so that the figures, the words
+and the order of blocks have to tell where names say nothing. Training is seeded, and runs in some seconds on the driver.
 
 Defined cases: a null page is empty and gives an empty text; scripts, styles and comments of the
 markup are never blocks; unclosed or crossing tags close with their parents; character references
@@ -38,7 +39,7 @@ from pyspark.sql import types as T
 from ringwise.llm.common import others
 
 ADDED = ("text", "n_chars")
-PATH, WORDS, FIGURES = 96, 16, 6
+PATH, WORDS, FIGURES = 160, 16, 6
 INPUTS = PATH + WORDS + FIGURES
 HIDDEN = 16
 #: Blocks of a sample page: with those put in, a page stays within the 200 that a round takes.
@@ -313,7 +314,29 @@ def _varied(page: list[Block], pool: list[str], rng: np.random.Generator) -> tup
     return changed, labels
 
 
-def train(found: list[list[Block]], rounds: int = 18, rate: float = 0.01, seed: int = 3) -> Network | None:
+def _renamed(page: list[Block], rng: np.random.Generator, kept_aside: bool = False) -> list[Block]:
+    """A page whose containers, or all but those that ``ASIDE`` names, are named at random, alike where they were named alike, or not at all."""
+    said: dict[str, str] = {}
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    telling = {"article", "main", "section", "nav", "aside", "header", "footer", "form"}
+    nameless = rng.random() < 0.2
+
+    def other(part: str) -> str:
+        element, *names = part.split(".")
+        if element in ("html", "body") or (element not in telling and not names):
+            return part
+        if part not in said:
+            if kept_aside and ASIDE.intersection(_names(part)):
+                said[part] = part
+                return part
+            made = "" if nameless else "." + "".join(letters[i] for i in rng.integers(0, 26, int(rng.integers(1, 10)))) + str(rng.integers(0, 100) if rng.random() < 0.4 else "")
+            said[part] = ("div" if element in telling else element) + made
+        return said[part]
+
+    return [Block(tuple(other(p) for p in b.path), b.text, b.linked) for b in page]
+
+
+def train(found: list[list[Block]], rounds: int = 24, rate: float = 0.01, seed: int = 3) -> Network | None:
     """A network fitted to the blocks of the sample's pages by Adam."""
     if not found:
         return None
@@ -326,6 +349,9 @@ def train(found: list[list[Block]], rounds: int = 18, rate: float = 0.01, seed:
     step = 0
     for _ in range(rounds):
         seen = [_varied(p, pool, rng) for p in found] + [(p, [weak_label(b) for b in p]) for p in found]
+        # what was put in can be told by its names alone, so it keeps them
+        changed, plain = seen[: len(found)], seen[len(found) :]
+        seen += [(_renamed(p, rng, True), labels) for p, labels in changed[::2]] + [(_renamed(p, rng), labels) for p, labels in plain[::3]]
         seen = [s for s in seen if len(s[0]) <= 200] or seen
         order = sorted(range(len(seen)), key=lambda i: len(seen[i][0]))
         batches = [order[i : i + 32] for i in range(0, len(order), 32)]
