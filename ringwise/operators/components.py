@@ -114,7 +114,9 @@ def merge_components(labels: DataFrame, new_edges: DataFrame, max_rounds: int =
     """
     e = new_edges.select("src", "dst").where(F.col("src").isNotNull() & F.col("dst").isNotNull())
     ends = e.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
-    known, _ = materialize(ends.join(labels.select("id", F.col("component").alias("old")), "id", "left"), "merge-ends")
+    # an inner join, so that the planner can send the few ends to the labels rather than shuffle these
+    held = labels.select("id", F.col("component").alias("old")).join(ends, "id")
+    known, _ = materialize(ends.join(held, "id", "left"), "merge-ends")
     place = known.select("id", F.coalesce("old", "id").alias("node"))
     contracted = e.join(place.select(F.col("id").alias("src"), F.col("node").alias("a")), "src").join(
         place.select(F.col("id").alias("dst"), F.col("node").alias("b")), "dst"

@@ -67,10 +67,11 @@ def label_propagation(vertices: DataFrame, edges: DataFrame, rounds: int = 5, gr
 
 @dataclass(frozen=True)
 class _Held:
-    """Groups by number: ``rows`` (id, gid, sign), and ``wide`` (id, one, other, both), a row a member, null where it has none."""
+    """Groups by number: ``rows`` (id, gid, sign); ``wide`` (id, one, other, both), a row a member, null where it has none; ``combos``, the pairs that occur."""
 
     rows: DataFrame
     wide: DataFrame
+    combos: DataFrame
 
 
 def _held(groups: DataFrame, index: DataFrame) -> _Held:
@@ -80,7 +81,8 @@ def _held(groups: DataFrame, index: DataFrame) -> _Held:
     plain = F.when(F.col("sign") > 0, F.col("gid"))
     wide = rows.groupBy("id").agg(F.min(plain).alias("one"), F.max(plain).alias("other"), F.max(F.when(F.col("sign") < 0, F.col("gid"))).alias("both"))
     wide, _ = materialize(wide.withColumn("other", F.when(F.col("other") != F.col("one"), F.col("other"))), "lp-wide")
-    return _Held(rows, wide)
+    combos, _ = materialize(wide.where("other IS NOT NULL").select("one", "other", "both").distinct(), "lp-combos")
+    return _Held(rows, wide, combos)
 
 
 def _best_two(counts: DataFrame, keys: list[str], votes: str) -> DataFrame:
@@ -106,11 +108,10 @@ def _in_both_lists(combos: DataFrame, hist: DataFrame) -> DataFrame:
 def _from_groups(held: _Held, labels: DataFrame, rest: DataFrame, hist: DataFrame) -> DataFrame:
     """(id, label, votes): the candidates of members, by their groups and by what edges send them (``rest``)."""
     lists = _best_two(hist, ["gid"], "cnt").withColumnRenamed("cnt", "votes")
-    combos = held.wide.where("other IS NOT NULL").select("one", "other", "both").distinct()
-    of_pair = _in_both_lists(combos, hist)
+    of_pair = _in_both_lists(held.combos, hist)
     for side in ("one", "other"):
         top = lists.withColumnRenamed("gid", side)
-        of_pair = of_pair.unionByName(combos.join(top, side).select("one", "other", "label", "votes"))
+        of_pair = of_pair.unionByName(held.combos.join(top, side).select("one", "other", "label", "votes"))
     of_pair = _best_two(of_pair.groupBy("one", "other", "label").agg(F.max("votes").alias("votes")), ["one", "other"], "votes")
     # a member counts in each of its groups itself; a group of both that it has alone isn't listed
     times = F.expr("int(one IS NOT NULL) + int(other IS NOT NULL) - int(both IS NOT NULL)")
