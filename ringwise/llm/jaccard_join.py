@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ringwise.llm.common import Scratch, chunks, others, utf8
+from ringwise.llm.common import Scratch, chunks, lean, others, utf8
 from ringwise.llm.graph import components
 from ringwise.operators.ranking import later_in_group
 
@@ -154,7 +154,7 @@ def frequencies(texts: DataFrame, scratch: Scratch) -> np.ndarray:
             total += np.frombuffer(counts, "<i8")
         return pd.DataFrame({"part": rows["part"].iloc[:1].astype("int32"), "counts": [total.tobytes()]})
 
-    counted = texts.mapInArrow(count, "part int, counts binary").withColumn("some", F.pmod(F.spark_partition_id(), F.lit(64)))
+    counted = texts.mapInArrow(lean(count), "part int, counts binary").withColumn("some", F.pmod(F.spark_partition_id(), F.lit(64)))
     added = counted.groupBy("part", "some").applyInPandas(add, "part int, counts binary")
     added = added.groupBy("part").applyInPandas(add, "part int, counts binary")
     out = np.zeros(CELLS, np.int64)
@@ -311,7 +311,7 @@ def _common(pairs: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
             cut = [np.unique(np.frombuffer(p, np.uint64).astype(np.uint32)).tobytes() for p in batch["prefix"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["node"], batch["n"], pa.array(cut, pa.binary())], ["node", "n", "low"])
 
-    low = scratch.save(nodes.mapInArrow(short, "node long, n long, low binary"), "low")
+    low = scratch.save(nodes.mapInArrow(lean(short), "node long, n long, low binary"), "low")
     side = lambda name: low.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("low").alias(f"low_{name}"))
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,7 +326,7 @@ def _common(pairs: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
                 keep.append(9 * (common + lost + rest) >= 4 * (n + m))
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "n_u", "n_v", "low_u", "low_v").mapInArrow(decide, "u long, v long")
+    return pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "n_u", "n_v", "low_u", "low_v").mapInArrow(lean(decide), "u long, v long")
 
 
 class _Branch:
@@ -549,12 +549,12 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int =
     row = F.struct(F.lit(0).alias("__"), *kept)
     source = docs.select(row.alias("row"), F.xxhash64(body).alias("key"), body.alias("text"))
     fields = [source.schema["row"], T.StructField("key", T.LongType()), T.StructField("node", T.LongType()), T.StructField("n", T.LongType()), T.StructField("prefix", T.BinaryType())]
-    rows = scratch.save(source.mapInArrow(_prefixes(often), T.StructType(fields)), "prefixes")
+    rows = scratch.save(source.mapInArrow(lean(_prefixes(often)), T.StructType(fields)), "prefixes")
     scratch.drop("cells")
 
     nodes = rows.where("n > 0").select("node", "n", "prefix").dropDuplicates(["node"])
-    rows_of = nodes.mapInArrow(_chain, "spot long, least long, most long, u long, v long, kind byte")
-    matched = rows_of.repartition("spot").sortWithinPartitions("spot", "least", "u").mapInArrow(_matched, "u long, v long, pair boolean")
+    rows_of = nodes.mapInArrow(lean(_chain), "spot long, least long, most long, u long, v long, kind byte")
+    matched = rows_of.repartition("spot").sortWithinPartitions("spot", "least", "u").mapInArrow(lean(_matched), "u long, v long, pair boolean")
     # a link of a chain stays, whatever the prefixes say
     matched = scratch.save(matched.groupBy("u", "v").agg(F.min("pair").alias("pair")), "matched")
     scratch.drop()
@@ -573,7 +573,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int =
                 sets = [shingle[ends[i] - n[i] : ends[i]].tobytes() for i in range(b - a)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(n), pa.array(sets, pa.binary())], ["cluster", "node", "n", "shingles"])
 
-    sets = scratch.save(texts.mapInArrow(whole, "cluster long, node long, n long, shingles binary"), "sets")
+    sets = scratch.save(texts.mapInArrow(lean(whole), "cluster long, node long, n long, shingles binary"), "sets")
     scratch.drop()
     links = scratch.save(_links(sets, scratch, block), "links")
     roots = scratch.save(components(links, scratch, "class"), "classes")

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ringwise.llm.common import chunks, others, utf8
+from ringwise.llm.common import chunks, lean, others, utf8
 
 ADDED = ("lang_pred", "score")
 GRAM = 5
@@ -149,7 +149,7 @@ def learn(
                         [pa.array([name] * len(found), pa.string()), pa.array(found.astype(np.int64)), pa.array(n)], ["label", "gram", "n"]
                     )
 
-    counted = sample.mapInArrow(count, "label string, gram long, n long").groupBy("label", "gram").agg(F.sum("n").alias("n"))
+    counted = sample.mapInArrow(lean(count), "label string, gram long, n long").groupBy("label", "gram").agg(F.sum("n").alias("n"))
     rated = counted.join(sizes, "label").withColumn("rate", F.col("n") / F.col("sampled")).withColumn("top", F.max("rate").over(Window.partitionBy("gram")))
     chosen = rated.where((F.col("rate") >= F.col("top") * share) & (F.col("n") >= F.least(F.lit(least), F.col("sampled"))))
     order = Window.partitionBy("label").orderBy(F.desc("n"), "gram")
@@ -188,7 +188,7 @@ def predict(docs: DataFrame, filters: Filters | None, text: str = "text") -> Dat
 
     fields = [docs.schema[c] for c in kept] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     rows = docs.select(*kept, F.col(text).alias("__text"), lettered.alias("__lettered"))
-    return rows.mapInArrow(label, T.StructType([T.StructField(f.name, f.dataType, True) for f in fields]))
+    return rows.mapInArrow(lean(label), T.StructType([T.StructField(f.name, f.dataType, True) for f in fields]))
 
 
 def held_out(key: Column) -> Column:

@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ringwise.llm.common import lean
+
 CAPACITY = 1024
 #: Fixed value: how the byte-level BPE splits texts before it merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -97,7 +99,7 @@ def tokenised(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
                 ids = [e + b"\0\0" for e in enc.encode([t or "" for t in part.column(1).to_pylist()])]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), part.column(2)], ["doc_id", "ids", "place"])
 
-    return rows.mapInArrow(encode, "doc_id long, ids binary, place long")
+    return rows.mapInArrow(lean(encode), "doc_id long, ids binary, place long")
 
 
 class Room:

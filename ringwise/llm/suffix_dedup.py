@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ringwise.llm.common import Scratch, chunks, others, utf8
+from ringwise.llm.common import Scratch, chunks, lean, others, utf8
 from ringwise.llm.jaccard_join import word_hashes
 
 ADDED = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "removed")
@@ -203,7 +203,7 @@ def _repeated(rows: DataFrame, payload: list[str]) -> DataFrame:
     """The rows (spot, first, second, sure, payload) whose names some other row has too."""
     schema = T.StructType([rows.schema[c] for c in payload])
     ordered = rows.repartition("spot").sortWithinPartitions("spot", "second")
-    return ordered.mapInArrow(lambda batches: _neighbours(batches, payload), schema)
+    return ordered.mapInArrow(lean(lambda batches: _neighbours(batches, payload)), schema)
 
 
 def _packed(at: np.ndarray, lo: np.ndarray, hi: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -412,10 +412,10 @@ def _merged(shared: DataFrame, status: DataFrame, scratch: Scratch, width: int)
     mates = mates.groupBy("key").agg(F.collect_list("one").alias("at"))
     rows = shared.drop("at").join(mates, "key").select("key", "text", "at")
     schema = "name long, parts long, key long, at long, wanted boolean, twice boolean, around binary"
-    rows = rows.mapInArrow(_around(width), schema).withColumn("part", F.pmod(F.xxhash64("key", "at"), F.col("parts")))
+    rows = rows.mapInArrow(lean(_around(width)), schema).withColumn("part", F.pmod(F.xxhash64("key", "at"), F.col("parts")))
     rows = rows.repartition("name", "part").sortWithinPartitions("name", "part")
     schema = "spot long, first long, second long, sure boolean, key long, at long, wanted boolean, open boolean"
-    compared = scratch.save(rows.mapInArrow(_compared, schema), "compared")
+    compared = scratch.save(rows.mapInArrow(lean(_compared), schema), "compared")
     done = compared.where("wanted and sure").select("key", "at")
     seen = _repeated(compared.where("open").drop("open"), ["key", "at", "wanted"]).where("wanted").select("key", "at")
     return done.unionByName(seen).select("key", F.col("at").alias("start"), (F.col("at") + width).alias("end"))
@@ -436,7 +436,7 @@ def dedup(
     long_texts = texts.where(F.octet_length("text") >= width)
     suffix = "spot long, first long, second long, sure boolean, key long, at long"
 
-    alive = scratch.save(_repeated(long_texts.mapInArrow(_sample(width), suffix), ["first", "key", "at"]).withColumnRenamed("first", "name"), "alive")
+    alive = scratch.save(_repeated(long_texts.mapInArrow(lean(_sample(width)), suffix), ["first", "key", "at"]).withColumnRenamed("first", "name"), "alive")
     scratch.drop()
     alive = scratch.save(alive.distinct(), "alive_once")
     scratch.drop("alive")
@@ -444,7 +444,7 @@ def dedup(
     shared = scratch.save(long_texts.dropDuplicates(["key"]).join(listed, "key"), "texts")
     scratch.drop()
 
-    ends = _repeated(shared.mapInArrow(_ends(width), suffix + ", sides long"), ["key", "at", "sides"])
+    ends = _repeated(shared.mapInArrow(lean(_ends(width)), suffix + ", sides long"), ["key", "at", "sides"])
     sides = ends.groupBy("key", "at").agg(F.sum("sides").alias("sides"))
     status = alive.join(sides, ["key", "at"], "left").select("name", "key", "at", (F.coalesce("sides", F.lit(0)) >= 2).alias("whole"))
     status = scratch.save(status, "status")
@@ -458,7 +458,7 @@ def dedup(
 
     grouped = spans.groupBy("key").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
     cut = shared.drop("at").join(grouped, "key").select("key", "text", "starts", "ends")
-    cut = scratch.save(cut.mapInArrow(_cut(keep_text, keep_spans), f"key long, n_removed long, n_spans long, kept_sha256 string, kept_text string, removed {_RUNS_DDL}"), "cut")
+    cut = scratch.save(cut.mapInArrow(lean(_cut(keep_text, keep_spans)), f"key long, n_removed long, n_spans long, kept_sha256 string, kept_text string, removed {_RUNS_DDL}"), "cut")
     scratch.drop()
     copies = texts.where(F.octet_length("text") >= width).groupBy("key").agg((F.count("*") > 1).alias("copied")).where("copied")
     found = scratch.save(cut.join(copies, "key", "full"), "found")
@@ -496,7 +496,7 @@ def _without_words(at_text: int, at_runs: int):
         return lead + "".join(p for p, k in zip(pieces, kept, strict=True) if k)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, 1_000) for b in batches for at in range(0, b.num_rows, 1_000)):
             runs = batch.column(at_runs)
             texts = batch.column(at_text).to_pylist()
             for i in np.flatnonzero(runs.value_lengths().fill_null(0).to_numpy()).tolist():
@@ -534,8 +534,8 @@ def without_passages(docs: DataFrame, text: str = "text", n_words: int = 51) ->
     scratch = Scratch(docs.sparkSession, "passages")
     columns = docs.columns
     schema = T.StructType([*docs.schema.fields, T.StructField("__code", T.StringType())])
-    coded = docs.mapInArrow(_coded(columns.index(text)), schema).select(F.struct(*columns).alias("row"), F.col("__code").alias("code"))
+    coded = docs.mapInArrow(lean(_coded(columns.index(text))), schema).select(F.struct(*columns).alias("row"), F.col("__code").alias("code"))
     only = T.StructType([T.StructField(text, docs.schema[text].dataType), T.StructField("__code", T.StringType())])
-    codes = docs.select(text).mapInArrow(_coded(0), only).select(F.col("__code").alias("code"))
+    codes = docs.select(text).mapInArrow(lean(_coded(0)), only).select(F.col("__code").alias("code"))
     cut = dedup(coded, "code", CODE * n_words, keep_spans=True, texts=scratch.save(codes, "codes")).select("row.*", "removed")
-    return cut.mapInArrow(_without_words(columns.index(text), len(columns)), docs.schema)
+    return cut.mapInArrow(lean(_without_words(columns.index(text), len(columns))), docs.schema)
