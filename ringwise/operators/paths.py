@@ -134,6 +134,12 @@ def shortest_paths(
     return found
 
 
+def as_maps(distances: DataFrame) -> DataFrame:
+    """(id, distances): one map landmark -> distance a vertex, of rows (id, landmark, distance) with few landmarks."""
+    entry = F.struct("landmark", "distance")
+    return distances.groupBy("id").agg(F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("distances"))
+
+
 def bfs_levels(
     edges: DataFrame,
     sources: DataFrame,

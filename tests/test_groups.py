@@ -128,6 +128,8 @@ def test_more_landmarks_than_bits(spark, monkeypatch):
     marks = spark.createDataFrame([(f"v{i}",) for i in range(8)], "id string")
     got = {tuple(r) for r in shortest_paths(edges, marks, "out").collect()}
     assert got == {(f"v{i}", f"v{j}", j - i) for j in range(8) for i in range(j + 1)}
+    maps = {r["id"]: r["distances"] for r in paths.as_maps(shortest_paths(edges, marks, "out")).collect()}
+    assert maps == {f"v{i}": {f"v{j}": j - i for j in range(i, 8)} for i in range(8)}
 
 
 def test_ascending_pairs_equal_brute_force(spark):
