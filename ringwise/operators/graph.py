@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringwise import config as C
+from ringwise.operators.groups import listed_pairs
 from ringwise.operators.iterate import materialize
 from ringwise.operators.ranking import later_in_group
 from ringwise.sources.fixtures import ClaimTables
@@ -125,22 +126,11 @@ def build_vertices(t: ClaimTables) -> DataFrame:
 def shared_contact_pairs(policyholders: DataFrame) -> DataFrame:
     """(src, dst) with src < dst for every two policyholders sharing an address or phone.
 
-    Written as two equi self-joins (hash-partitioned on the contact value) and a
-    distinct, instead of one OR-theta join that would plan as a nested loop.
-    The output is the pair set itself, so its size is sum(group_size^2)/2;
+    Equi-joins of blocks of each group's members (``groups.listed_pairs``), instead of one OR-theta join that would plan as
+    a nested loop; no pair is shuffled. The output is the pair set itself, so its size is sum(group_size^2)/2;
     connectivity-only operators use ``shared_contact_star`` instead.
     """
-    out = None
-    for attr in ("address", "phone"):
-        side = policyholders.select(F.col("policyholder_id").alias("pid"), F.col(attr).alias("v")).where(
-            F.col("v").isNotNull()
-        )
-        a, b = side.alias("a"), side.alias("b")
-        pairs = a.join(b, (F.col("a.v") == F.col("b.v")) & (F.col("a.pid") < F.col("b.pid"))).select(
-            F.col("a.pid").alias("src"), F.col("b.pid").alias("dst")
-        )
-        out = pairs if out is None else out.unionByName(pairs)
-    return out.distinct()
+    return listed_pairs(policyholders)
 
 
 def shared_contact_star(policyholders: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Edges that groups imply, without listing a pair.
+"""Edges that groups imply, without listing a pair, or listed evenly where they are the result (``listed_pairs``).
 
 Who shares an address or a phone is an edge apart, the smaller id first. A table of *signed groups*
 (id, value, sign) stands for these edges: one row for a member's address (+1), phone (+1) and for both
@@ -24,6 +24,10 @@ from ringwise.operators.ranking import border_groups
 
 #: The kinds of contact that policyholders share.
 CONTACTS = ("address", "phone")
+#: Members of a block, when the pairs of a group are listed block by block.
+BLOCK = 1000
+#: Pairs that one task lists.
+TASK_PAIRS = 2_000_000
 
 
 def signed_contacts(policyholders: DataFrame) -> DataFrame:
@@ -91,6 +95,53 @@ def sums_before(members: SortedMembers, weights: DataFrame | None, later: bool =
     return out.select("vid", (F.col("sign") * s).alias("s"))
 
 
+def listed_pairs(policyholders: DataFrame, attributes: DataFrame | None = None) -> DataFrame:
+    """(src, dst), src < dst, once for every two ids that share an address or phone; the list is the result here.
+
+    With ``attributes`` (id unique, more columns), only ids that have a row take part, and ``src_at`` and ``dst_at`` hold
+    the rest of their rows. A group's members are dealt into blocks, and each two blocks meet under a key of their own, so a
+    task has few cells of at most about ``BLOCK`` squared pairs, whatever a group's size. Of the values that two ids
+    share, the first one alone gives the pair (addresses before phones): no pair is shuffled.
+    """
+    rows = policyholders.select(F.col("policyholder_id").alias("id"), *CONTACTS).where("id IS NOT NULL")
+    if attributes is not None:
+        rows = rows.join(attributes.select("id"), "id", "left_semi")
+    kinds = [F.struct(F.lit(n).alias("kind"), F.col(c).alias("value")) for n, c in enumerate(CONTACTS)]
+    contacts = rows.select("id", F.inline(F.array(*kinds))).where("value IS NOT NULL").distinct()
+    sizes = contacts.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1").orderBy("kind", "value")
+    groups, m = materialize(sizes.withColumn("gid", F.monotonically_increasing_id()), "pair-groups", {"pairs": F.sum(F.expr("n * (n - 1) div 2"))})
+    members = contacts.join(groups, ["kind", "value"])
+    held = members.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("gid", "kind", "n"))).alias("held"))
+    at = F.lit(None).cast("boolean").alias("at")
+    if attributes is not None:
+        held, at = held.join(attributes, "id"), F.struct(*[c for c in attributes.columns if c != "id"]).alias("at")
+    # an id has one address and one phone, unless its row repeats with others: ``more`` lists the groups then
+    several = F.expr("size(filter(held, x -> x.kind = 0)) > 1 OR size(filter(held, x -> x.kind = 1)) > 1")
+    each = held.select(
+        "id", at, F.expr("IF(held[0].kind = 0, held[0].gid, NULL)").alias("one"), F.when(several, F.col("held.gid")).alias("more"), F.inline("held")
+    )
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    each, _ = materialize(each.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int")).drop("n"), "pair-members")
+    tasks = max(1, min(-(-(m["pairs"] or 0) // TASK_PAIRS), 10_000))
+    cell = ["gid", "i", "j"]
+    a = each.select("*", F.explode(F.expr("sequence(block, blocks - 1)")).alias("j")).withColumnRenamed("block", "i").drop("blocks")
+    b = each.select("id", "at", "one", "more", "gid", F.col("block").alias("j"), F.explode(F.expr("sequence(0, block)")).alias("i"))
+    b = b.select(*cell, *[F.col(c).alias(f"{c}2") for c in ("id", "at", "one", "more")])
+    # blocks of equal size meet: memory is that of a block of each side
+    met = a.repartition(tasks, *cell).join(b.repartition(tasks, *cell).hint("merge"), cell)
+    first = F.expr(
+        "IF(more IS NULL AND more2 IS NULL, kind = 0 OR coalesce(one <> one2, true), "
+        "array_min(array_intersect(coalesce(more, array(one, gid)), coalesce(more2, array(one2, gid)))) = gid)"
+    )
+    met = met.where(F.expr("i < j OR id < id2") & first)
+    if attributes is None:
+        return met.select(F.least("id", "id2").alias("src"), F.greatest("id", "id2").alias("dst"))
+    ends = {"src": ("id", "id2"), "dst": ("id2", "id")}
+    names = [F.when(F.col("id") < F.col("id2"), F.col(x)).otherwise(F.col(y)).alias(end) for end, (x, y) in ends.items()]
+    ats = [F.when(F.col("id") < F.col("id2"), F.col(x.replace("id", "at"))).otherwise(F.col(y.replace("id", "at"))).alias(f"{end}_at") for end, (x, y) in ends.items()]
+    return met.select(*names, *ats)
+
+
 def _beside(members: DataFrame, ids: DataFrame, k: int, larger: bool) -> DataFrame:
     """(src, dst): the first ``k`` pairs of each of a few ids with members of larger, or of smaller, id."""
     mine = members.join(ids.select("id").distinct(), "id").select(F.col("id").alias("me"), "value")

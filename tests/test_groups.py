@@ -169,3 +169,21 @@ def test_samples_of_pairs_equal_those_of_the_list(spark):
         assert sorted(tuple(r) for r in pairs_touching(members, ids, k).collect())[:k] == touched[:k]
     many = spark.createDataFrame([(f"p{i:03d}",) for i in range(10, 60)], "id string")
     assert sorted(tuple(r) for r in pairs_inside(members, many).collect()) == [p for p in pairs if all("p010" <= x < "p060" for x in p)]
+
+
+def test_listed_pairs_are_dealt_by_blocks_and_not_shuffled(spark, monkeypatch):
+    from ringwise.operators import groups
+
+    monkeypatch.setattr(groups, "BLOCK", 7)
+    df, rows = holders(spark, n=90, seed=7, hot=40)
+    # ids whose rows repeat, with other contacts or the same, and one without an id
+    more = [("p001", "a1", "t1"), ("p001", "hot", "t2"), ("p050", "hot", "t1"), ("p051", "a1", None), *rows[3:9], (None, "hot", "t1")]
+    df = df.unionByName(spark.createDataFrame(more, HOLDERS))
+    listed = shared_contact_pairs(df)
+    want = {(a[0], b[0]) for a in rows + more[:-1] for b in rows + more[:-1] if a[0] < b[0] and any(a[k] is not None and a[k] == b[k] for k in (1, 2))}
+    assert sorted(tuple(r) for r in listed.collect()) == sorted(want)
+    above = listed._jdf.queryExecution().executedPlan().toString().split("SortMergeJoin")[0]
+    assert "Exchange" not in above and "Aggregate" not in above
+    marks = spark.createDataFrame([(f"p{i:03d}", i) for i in range(0, 90, 3)], "id string, mark int")
+    got = sorted((r["src"], r["dst"], r["src_at"]["mark"], r["dst_at"]["mark"]) for r in groups.listed_pairs(df, marks).collect())
+    assert got == sorted((a, b, int(a[1:]), int(b[1:])) for a, b in want if int(a[1:]) % 3 == 0 == int(b[1:]) % 3)
