@@ -187,3 +187,34 @@ def test_listed_pairs_are_dealt_by_blocks_and_not_shuffled(spark, monkeypatch):
     marks = spark.createDataFrame([(f"p{i:03d}", i) for i in range(0, 90, 3)], "id string, mark int")
     got = sorted((r["src"], r["dst"], r["src_at"]["mark"], r["dst_at"]["mark"]) for r in groups.listed_pairs(df, marks).collect())
     assert got == sorted((a, b, int(a[1:]), int(b[1:])) for a, b in want if int(a[1:]) % 3 == 0 == int(b[1:]) % 3)
+
+
+def test_connected_pairs_by_lists_and_by_ranks_equal_brute_force(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from ringwise.plans import structure
+
+    monkeypatch.setattr(structure, "LISTED_CLAIMS", 12)
+    df, rows = holders(spark, n=24, seed=5, hot=10)
+    r = random.Random(6)
+    of = {row[0]: n for row, n in zip(rows, [0, 1, 3, 8, 9, 12, 13, 40] * 3, strict=True)}
+    claims = [(r.choice([f"c{r.randrange(150):03d}", "c077"]), p, r.choice([650, 700, 900])) for p, n in of.items() for _ in range(n)] + [("c999", None, 900)]
+    stored = SimpleNamespace(policyholders=df, claims=spark.createDataFrame(claims, "claim_id string, policyholder_id string, score_milli int"))
+    got = structure.connected_pairs_df(SimpleNamespace(stored=stored, cfg=SimpleNamespace(threshold_milli=700)))
+    want = Counter()
+    for p, q in [tuple(x) for x in shared_contact_pairs(df).collect()]:
+        want[p, q] = sum(c < d for c, a, s in claims for d, b, t in claims if a == p and b == q and s >= 700 <= t)
+    assert {(x[0], x[1]): x[2] for x in got.collect()} == {k: n for k, n in want.items() if n}
+
+
+def test_landmarks_get_their_names_without_a_join_on_few_keys(spark):
+    verts = spark.createDataFrame([(x,) for x in "abcdef"], "id string")
+    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("d", "e")], "src string, dst string")
+    marks = spark.createDataFrame([("a",), ("e",), ("f",)], "id string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = shortest_paths(edges, marks, "both", vertices=verts)
+        assert "SortMergeJoin [landmark" not in found._jdf.queryExecution().executedPlan().toString()
+        assert {tuple(r) for r in found.collect()} == {("a", "a", 0), ("b", "a", 1), ("c", "a", 2), ("e", "e", 0), ("d", "e", 1), ("f", "f", 0)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
