@@ -110,26 +110,28 @@ def shortest_paths(
 
     ``groups`` (id, value) stands for edges from each id of a value to its larger ones, see the module.
     """
+    marks, index = landmarks.select("id", F.col("id").alias("name")), None
     if vertices is not None:
         index = index_ids(vertices.select("id"))
-        enc_lm = landmarks.select("id").join(index, "id").select(F.col("vid").alias("id"))
-        enc_groups = None if groups is None else encode_members(groups, index)
-        found = shortest_paths(encode_edges(edges.select("src", "dst"), index), enc_lm, direction, max_depth, groups=enc_groups)
-        named = decode(decode(found, index, "id", "_id"), index, "landmark", "_landmark")
-        return named.select(F.col("_id").alias("id"), F.col("_landmark").alias("landmark"), "distance")
+        marks = landmarks.select("id").join(index, "id").select(F.col("vid").alias("id"), F.col("id").alias("name"))
+        groups = None if groups is None else encode_members(groups, index)
+        edges = encode_edges(edges.select("src", "dst"), index)
     adj, members = _prepared(edges, direction, groups)
     # a row a landmark
-    numbered = landmarks.select(F.col("id").alias("landmark")).distinct().withColumn("nth", F.row_number().over(Window.orderBy("landmark")) - 1)
+    numbered = marks.distinct().withColumn("nth", F.row_number().over(Window.orderBy("id")) - 1)
     numbered, m = materialize(numbered, "sp-landmarks", {"n": F.count(F.lit(1))})
     found = None
     for at in range(0, max(m["n"], 1), BITS):
         n_bits = max(1, min(BITS, m["n"] - at))
         ours = numbered.where((F.col("nth") >= at) & (F.col("nth") < at + BITS)).withColumn("bit", F.expr(f"shiftleft(1L, nth - {at})"))
-        start = ours.select(F.col("landmark").alias("id"), F.col("bit").alias("bits"))
-        walked = _levels(adj, start, members, direction, n_bits, max_depth, f"sp-{at}")
+        walked = _levels(adj, ours.select("id", F.col("bit").alias("bits")), members, direction, n_bits, max_depth, f"sp-{at}")
+        if index is not None:
+            # before there is a row a landmark, whose few names would be a join's few keys
+            walked = decode(walked, index, "id", "_id").withColumnRenamed("_id", "id")
         # a row a bit; at most BITS landmarks to join
         nth = F.expr(f"explode(filter(sequence({at}, {at + n_bits - 1}), n -> shiftright(bits, n - {at}) & 1 = 1))")
-        each = walked.select("id", "distance", nth.alias("nth")).join(F.broadcast(ours.select("nth", "landmark")), "nth").select("id", "landmark", "distance")
+        named = F.broadcast(ours.select("nth", F.col("name").alias("landmark")))
+        each = walked.select("id", "distance", nth.alias("nth")).join(named, "nth").select("id", "landmark", "distance")
         found = each if found is None else found.unionByName(each)
     return found
 
