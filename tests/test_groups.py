@@ -218,3 +218,46 @@ def test_landmarks_get_their_names_without_a_join_on_few_keys(spark):
         assert {tuple(r) for r in found.collect()} == {("a", "a", 0), ("b", "a", 1), ("c", "a", 2), ("e", "e", 0), ("d", "e", 1), ("f", "f", 0)}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_sample_of_connected_claims_equals_the_first_of_all_and_lists_no_pairs(spark, monkeypatch):
+    from ringwise.operators import graph
+    from ringwise.plans.context import Context
+    from ringwise.plans.structure import connected_claimants_df
+    from ringwise.sources.fixtures import ClaimTables
+
+    def ctx():
+        c = Context(spark, "/root/testdata/sf0.001")
+        t = c.tables
+        mod = "pmod(xxhash64(policyholder_id), {})".format
+        people = t.policyholders.withColumn("address", F.expr(f"IF({mod(3)} = 0, NULL, concat('a', {mod(20)}))"))
+        c.__dict__["stored"] = ClaimTables(people.unionByName(people.limit(5)), t.adjusters, t.service_providers, t.claims.unionByName(t.claims.limit(9)))
+        return c
+
+    order = ["claim1", "claim2", "policyholder1", "policyholder2"]
+    want = [tuple(r) for r in connected_claimants_df(ctx()).orderBy(*order).limit(7).collect()]
+
+    def listed(policyholders):
+        raise AssertionError("the pair list is built")
+
+    monkeypatch.setattr(graph, "shared_contact_pairs", listed)
+    got = connected_claimants_df(ctx(), first=7).orderBy(*order).limit(7)
+    assert len(want) == 7 and [tuple(r) for r in got.collect()] == want
+
+
+def test_labels_write_votes_of_members_only(spark, case, monkeypatch):
+    from ringwise.operators import labels
+
+    df, rows, verts, ids, plain, pairs = case
+    written = []
+    keep = labels.Rounds.write
+
+    def counted(self, frame, rnd, metrics=None):
+        if "lp-rest" in self.label:
+            written.append(frame.select("id").distinct().count())
+        return keep(self, frame, rnd, metrics)
+
+    monkeypatch.setattr(labels.Rounds, "write", counted)
+    label_propagation(verts, frame(spark, plain), 2, signed_contacts(df)).count()
+    members = {p for pair in pairs for p in pair}
+    assert len(written) == 2 and all(n <= len(members) for n in written)

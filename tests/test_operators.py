@@ -342,3 +342,68 @@ def test_a_hub_is_split_where_minima_join(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_matches_of_a_hub_meet_by_blocks_and_are_not_shuffled(spark, monkeypatch):
+    from ringwise.operators import motif
+
+    monkeypatch.setattr(motif, "BLOCK", 5, raising=False)
+    verts = spark.createDataFrame([(f"c{i:02d}",) for i in range(40)] + [("h",), ("p",), ("q",)], "id string")
+    edges = [(f"c{i:02d}", "h") for i in range(23)] + [(f"c{i:02d}", "p") for i in range(20, 40)] + [("c01", "q")]
+    links = [("h", "p"), ("h", "q")]
+    g = PropertyGraph(verts, spark.createDataFrame([(a, b, "f") for a, b in edges] + [(a, b, "l") for a, b in links], "src string, dst string, kind string"))
+    out = motif.find(
+        g, [("x", "l", "y"), ("a", "e", "x"), ("b", "f", "y")], where="a.id < b.id", filters={"l": "kind = 'l'", "e": "kind = 'f'", "f": "kind = 'f'"}
+    ).select("a.id", "x.id", "b.id", "y.id")
+    want = sorted((a, x, b, y) for x, y in links for a, s in edges for b, t in edges if s == x and t == y and a < b)
+    assert sorted(tuple(r) for r in out.collect()) == want
+    joins = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert "__block" in joins[0] and "id" in joins[0]
+
+
+def test_later_in_group_with_the_largest(spark):
+    from ringwise.operators.ranking import later_in_group
+
+    values = [(i * 37) % 101 for i in range(300)]
+    df = spark.createDataFrame([("hot", i, v) for i, v in enumerate(values)], "g string, k int, w int").repartition(4)
+    got = {r["k"]: r["later"] for r in later_in_group(df, ["g"], "k", weight="w", largest=True).collect()}
+    assert got == {i: max(values[i + 1 :], default=0) for i in range(300)}
+
+
+def test_components_take_tips_off_before_the_rounds(spark, monkeypatch):
+    import random
+
+    from ringwise.operators import components
+
+    seen = []
+    keep = components.component_labels
+    monkeypatch.setattr(components, "component_labels", lambda edges, *a: seen.append(edges.count()) or keep(edges, *a))
+    v, e = frames(spark, ["m", "n", "o", "z", *[f"a{i:03d}" for i in range(100)], "x", "y"], [(f"a{i:03d}", "m") for i in range(100)] + [("m", "n"), ("n", "o"), ("o", "m"), ("y", "x"), ("x", "y"), ("z", "z")])
+    got = _dict(connected_components(v, e), "id", "component")
+    assert seen == [3] and set(got.values()) == {"a000", "x", "z"} and got["o"] == "a000" and got["y"] == "x" and got["z"] == "z"
+    for seed in range(3):
+        r = random.Random(seed)
+        vs = [f"v{i:02d}" for i in range(40)]
+        es = [(r.choice(vs), r.choice(vs)) for _ in range(28)]
+        assert _dict(connected_components(*frames(spark, vs, es + es[:4])), "id", "component") == cc_brute(vs, es)
+
+
+def test_pagerank_rounds_see_vertices_with_in_edges_only(spark, monkeypatch):
+    import random
+
+    from ringwise.operators import pagerank as module
+
+    rows = []
+    keep = module.Rounds.write
+    monkeypatch.setattr(module.Rounds, "write", lambda self, df, rnd, metrics=None: rows.append(df.count()) or keep(self, df, rnd, metrics))
+    r = random.Random(3)
+    hubs, many = list("pqrs"), [f"c{i:03d}" for i in range(60)]
+    es = [(c, r.choice(hubs)) for c in many for _ in range(2)] + [("p", "q"), ("q", "p"), ("r", "p")]
+    got = _dict(pagerank(*frames(spark, hubs + many, es), rounds=4), "id", "pagerank")
+    assert set(rows) == {4}
+    ranks = dict.fromkeys(hubs + many, 1.0)
+    out = {v: sum(a == v for a, _ in es) for v in ranks}
+    for _ in range(4):
+        ranks = {v: 0.15 + 0.85 * sum(ranks[a] / out[a] for a, b in es if b == v) for v in ranks}
+    scale = len(ranks) / sum(ranks.values())
+    assert got == pytest.approx({v: x * scale for v, x in ranks.items()})
