@@ -19,6 +19,9 @@ The large star tells how many edges it moved, the small star how many parents it
 that does neither had a star forest -- every node has at most one parent and no node is both parent and child --
 and the loop stops. The component id of a vertex
 is the smallest vertex id in its component; isolated vertices keep their own id.
+
+Before the rounds, vertices with a single neighbour (*tips*) are taken off: a tip is in its neighbour's component, and may name
+it. Rounds see the edges between the others only; in a graph of many entities that each hang on one other, these are few.
 """
 
 from __future__ import annotations
@@ -97,13 +100,37 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     without edges are their own component.
     """
     index = index_ids(vertices.select("id"))
-    encoded = encode_edges(edges.select("src", "dst"), index)
-    labels, _ = component_labels(encoded, max_rounds)
-    named = decode(decode(labels, index, "id", "_id"), index, "component", "_component")
-    named = named.select(F.col("_id").alias("id"), F.col("_component").alias("component"))
+    encoded = encode_edges(edges.select("src", "dst"), index).where("src <> dst")
+    encoded, _ = materialize(encoded, "cc-edges")
+    inner, tips = _taken_off(encoded)
+    inner = decode(_named(inner, encoded, max_rounds), index, "component", "name")
+    inner, _ = materialize(inner, "cc-inner")
+    ends = tips.join(inner.withColumnRenamed("id", "next"), "next", "left").select("id", "name", F.least("id", "next").alias("component"))
+    ends, _ = materialize(ends, "cc-ends")
+    # two tips of one edge are a component
+    pairs = decode(ends.where("name IS NULL").select("id", "component"), index, "component", "name")
+    named = inner.select("id", "name").unionByName(ends.where("name IS NOT NULL").select("id", "name")).unionByName(pairs)
+    named = decode(named.withColumnRenamed("id", "vid"), index, "vid", "id").select("id", F.col("name").alias("component"))
     return vertices.join(named, "id", "left").withColumn("component", F.coalesce(F.col("component"), F.col("id")))
 
 
+def _taken_off(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(id, least) of vertices with several neighbours and the least of them and itself; (id, next) of the others and their neighbour."""
+    ends = edges.select(F.col("src").alias("id"), F.col("dst").alias("next")).unionByName(edges.select(F.col("dst").alias("id"), F.col("src").alias("next")))
+    around, _ = materialize(ends.groupBy("id").agg(F.min("next").alias("low"), F.max("next").alias("high")), "cc-around")
+    return around.where("low < high").select("id", F.least("id", "low").alias("least")), around.where("low = high").select("id", F.col("low").alias("next"))
+
+
+def _named(inner: DataFrame, edges: DataFrame, max_rounds: int) -> DataFrame:
+    """(id, component) of the vertices that are no tips."""
+    ours = edges.join(inner.select(F.col("id").alias("src")), "src", "left_semi").join(inner.select(F.col("id").alias("dst")), "dst", "left_semi")
+    labels, _ = component_labels(ours, max_rounds)
+    labels = inner.join(labels, "id", "left").select("id", "least", F.coalesce("component", "id").alias("core"))
+    labels, _ = materialize(labels, "cc-core")
+    names, _ = materialize(labels.groupBy("core").agg(F.min("least").alias("component")), "cc-names")
+    return labels.join(names, "core").select("id", "component")
+
+
 def merge_components(labels: DataFrame, new_edges: DataFrame, max_rounds: int = 200) -> tuple[DataFrame, DataFrame]:
     """What new edges change in saved labels (id, component): (moved, fresh).
 
