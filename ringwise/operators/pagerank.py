@@ -5,10 +5,13 @@ edges u -> v of rank_t(u) / outdeg(u) (parallel edges count, dangling mass is
 dropped); after the last round ranks are scaled so they sum to |V|. With
 ``tol`` the loop also stops once no rank moves by more than ``tol``.
 
+A vertex without in-edges has the rank ``reset`` from the first round on, so what it sends is the same in each later round:
+these sums are made once (``base``), and the rounds see the vertices with in-edges and the edges between them only.
+
 Per round: ranks over out-degrees are joined to the edges on src, contributions summed by dst
 (partial aggregation first, so a hub with a third of all in-edges receives one
-row per map task), and the vertex list is joined back so vertices without
-in-edges keep the reset value. The rank table is written each round.
+row per map task), and the vertices are joined back so that those that only receive ``base`` keep their rank.
+The rank table is written each round.
 
 ``groups`` (``groups.signed_contacts``) stand for edges from each member of a group to the members of larger
 id. Their inflow is a prefix sum over the group in order of ids, so a round's work is linear in the members,
@@ -53,22 +56,39 @@ def _pagerank(ids: DataFrame, edges: DataFrame, reset: float, rounds: int, tol:
     if members is not None:
         degrees = degrees.unionByName(sums_before(members, None, later=True).select(F.col("vid").alias("id"), F.col("s").alias("n")))
         degrees = degrees.groupBy("id").agg(F.sum("n").alias("n"))
-    # written with the ranks: a join with an aggregate on its own key can't be split where a key is hot
-    store = Rounds(ids.sparkSession, "pr")
-    start = ids.join(degrees, "id", "left").select("id", F.lit(1.0).alias("rank"), F.when(F.col("n") > 0, F.lit(1.0) / F.col("n")).alias("share"))
-    ranks, _ = store.write(start, 0)
-    for rnd in range(1, rounds + 1):
-        sent = ranks.where("share IS NOT NULL").select(F.col("id").alias("vid"), (F.col("rank") * F.col("share")).alias("x"))
-        inflow = e.join(sent, e.src == sent.vid).select(F.col("dst").alias("id"), "x")
+    fed = e.select(F.col("dst").alias("id")).distinct()
+    if members is not None:
+        before = sums_before(members, None).groupBy(F.col("vid").alias("id")).agg(F.sum("s").alias("s"))
+        fed = fed.unionByName(before.where("s > 0").select("id")).distinct()
+
+    def received(wires: DataFrame, sent: DataFrame) -> DataFrame:
+        """(id, s): what ``sent`` (vid, x) brings along the wires and within the groups."""
+        inflow = wires.join(sent, wires.src == sent.vid).select(F.col("dst").alias("id"), "x")
         if members is not None:
             inflow = inflow.unionByName(sums_before(members, sent).select(F.col("vid").alias("id"), F.col("s").alias("x")))
-        contrib = inflow.groupBy("id").agg(F.sum("x").alias("s"))
-        new = F.lit(reset) + F.lit(1.0 - reset) * F.coalesce(F.col("s"), F.lit(0.0))
-        nxt = ranks.join(contrib, "id", "left").select("id", new.alias("rank"), "share", F.abs(new - F.col("rank")).alias("delta"))
-        metrics = {"delta": F.max("delta"), "n": F.count(F.lit(1))} if tol is not None else None
-        ranks, m = store.write(nxt, rnd, metrics)
-        if tol is not None and m["n"] and m["delta"] <= tol:
+        return inflow.groupBy("id").agg(F.sum("x").alias("s"))
+
+    # written: a join with an aggregate on its own key can't be split where a key is hot
+    share = F.when(F.col("n") > 0, F.lit(1.0) / F.col("n")).alias("share")
+    start = ids.join(degrees, "id", "left").join(fed.withColumn("fed", F.lit(True)), "id", "left").select("id", share, F.coalesce("fed", F.lit(False)).alias("fed"))
+    start, known = materialize(start, "pr-start", {"sources": F.count_if(~F.col("fed"))})
+    sources = start.where("NOT fed").select(F.col("id").alias("vid"), F.col("share").alias("x")).where("x IS NOT NULL")
+    base = received(e, sources).withColumnRenamed("s", "base")
+    store = Rounds(ids.sparkSession, "pr")
+    first = start.where("fed").join(base, "id", "left").select("id", F.lit(1.0).alias("rank"), "share", F.coalesce("base", F.lit(0.0)).alias("base"))
+    ranks, _ = store.write(first, 0)
+    e, _ = materialize(e.join(start.where("fed").select(F.col("id").alias("src")), "src", "left_semi").select("src", "dst"), "pr-inner")
+    of_sources = 1.0
+    for rnd in range(1, rounds + 1):
+        contrib = received(e, ranks.where("share IS NOT NULL").select(F.col("id").alias("vid"), (F.col("rank") * F.col("share")).alias("x")))
+        new = F.lit(reset) + F.lit(1.0 - reset) * (F.coalesce(F.col("s"), F.lit(0.0)) + F.lit(of_sources) * F.col("base"))
+        nxt = ranks.join(contrib, "id", "left").select("id", new.alias("rank"), "share", "base", F.abs(new - F.col("rank")).alias("delta"))
+        ranks, m = store.write(nxt, rnd, {"delta": F.max("delta")} if tol is not None else None)
+        moved = max(abs(reset - of_sources) if known["sources"] else 0.0, (m.get("delta") or 0.0))
+        of_sources = reset
+        if tol is not None and moved <= tol:
             break
+    ranks = ranks.select("id", "rank").unionByName(start.where("NOT fed").select("id", F.lit(of_sources).alias("rank")))
     # scale so ranks sum to |V|
     total = ranks.agg(F.sum("rank").alias("total"), F.count(F.lit(1)).alias("n")).first()
     if not total["n"]:
