@@ -20,7 +20,8 @@ together gets address(label) + phone(label) - both(label) votes, less what it ad
   labels of the group with fewer different ones in the other's histogram;
 * a label that an edge sends it, looked up in its groups' histograms.
 
-So a round's work grows with members, edges and the smaller lists, and no pair of members is listed.
+So a round's work grows with members, edges and the smaller lists, and no pair of members is listed. What edges send to
+vertices outside all groups is counted apart and neither written nor met with the lists.
 """
 
 from __future__ import annotations
@@ -128,29 +129,34 @@ def _from_groups(held: _Held, labels: DataFrame, rest: DataFrame, hist: DataFram
     return candidates.unionByName(exact)
 
 
+def _sent(wires: DataFrame, labels: DataFrame) -> DataFrame:
+    """(id, label, votes): what the wires bring."""
+    brought = wires.join(labels.withColumnRenamed("id", "u"), "u")
+    return brought.groupBy(F.col("v").alias("id"), "label").agg(F.count(F.lit(1)).alias("votes"))
+
+
 def _propagate(vertices: DataFrame, edges: DataFrame, rounds: int, held: _Held | None) -> DataFrame:
     e = edges.select("src", "dst").where(F.col("src").isNotNull() & F.col("dst").isNotNull())
-    wires, _ = materialize(
-        e.select(F.col("src").alias("u"), F.col("dst").alias("v")).unionByName(
-            e.select(F.col("dst").alias("u"), F.col("src").alias("v"))
-        ),
-        "lp-wires",
-    )
+    wires = e.select(F.expr("inline(array(struct(src AS u, dst AS v), struct(dst AS u, src AS v)))"))
+    if held is not None:
+        # what is sent to members of groups counts beside their groups' lists; to all others it is all that counts
+        wires = wires.join(held.wide.select(F.col("id").alias("v"), F.lit(True).alias("member")), "v", "left")
+    wires, _ = materialize(wires, "lp-wires")
+    plain = wires
+    if held is not None:
+        plain = wires.where("member IS NULL").select("u", "v")
+        wires, _ = materialize(wires.where("member").select("u", "v"), "lp-inner")
     store, lists, sent = (Rounds(vertices.sparkSession, name) for name in ("lp", "lp-hist", "lp-rest"))
     labels, _ = store.write(vertices.select("id", F.col("id").alias("label")), 0)
     for rnd in range(1, rounds + 1):
-        votes = (
-            wires.join(labels.withColumnRenamed("id", "u"), "u")
-            .groupBy(F.col("v").alias("id"), "label")
-            .agg(F.count(F.lit(1)).alias("votes"))
-        )
+        votes = _sent(plain, labels)
         if held is not None:
             # both are read several times
-            votes, _ = sent.write(votes, rnd)
+            rest, _ = sent.write(_sent(wires, labels), rnd)
             hist, _ = lists.write(held.rows.join(labels, "id").groupBy("gid", "label").agg(F.count(F.lit(1)).alias("cnt")), rnd)
-            votes = _from_groups(held, labels, votes, hist)
-        # a label that only the vertex itself has is no vote
-        winner = votes.where("votes > 0").groupBy("id").agg(F.max(_packed(F.col("votes"), F.col("label"))).alias("best"))
+            # a label that only the vertex itself has is no vote
+            votes = votes.unionByName(_from_groups(held, labels, rest, hist).where("votes > 0"))
+        winner = votes.groupBy("id").agg(F.max(_packed(F.col("votes"), F.col("label"))).alias("best"))
         winner = winner.select("id", _label_of(F.col("best")).alias("new_label"))
         nxt = labels.join(winner, "id", "left").select("id", F.coalesce("new_label", "label").alias("label"))
         labels, _ = store.write(nxt, rnd)
