@@ -167,7 +167,8 @@ def vertex_type_counts(spark, sf_dir):
 
 @register("edges", S.with_base(select="SELECT * EXCLUDE (claim_count) FROM edges"))
 def edges(spark, sf_dir):
-    return context(spark, sf_dir).graph.edges.drop("claim_count")
+    """Claims and holders are derived where they are read: two scans of a few columns cost less than writing all of them."""
+    return context(spark, sf_dir).direct_graph.edges.drop("claim_count")
 
 
 @register(

@@ -261,3 +261,27 @@ def test_labels_write_votes_of_members_only(spark, case, monkeypatch):
     label_propagation(verts, frame(spark, plain), 2, signed_contacts(df)).count()
     members = {p for pair in pairs for p in pair}
     assert len(written) == 2 and all(n <= len(members) for n in written)
+
+
+def test_edges_are_derived_without_writing_the_tables(spark, scratch_dir, monkeypatch):
+    """``edges`` reads what it needs of the claims twice; writing all their columns first took longer than that."""
+    from ringwise.plans import context as plans
+    from ringwise.plans.registry import load_all
+
+    given = {
+        "customer": spark.range(60).selectExpr("id AS c_custkey", "concat('C', id) AS c_name", "'AUTO' AS c_mktsegment", "cast(id % 3 AS int) AS c_nationkey"),
+        "nation": spark.range(3).selectExpr("cast(id AS int) AS n_nationkey", "concat('N', id) AS n_name", "0 AS n_regionkey"),
+        "region": spark.sql("SELECT 0 AS r_regionkey, 'R' AS r_name"),
+        "supplier": spark.range(5).selectExpr("id AS s_suppkey", "concat('S', id) AS s_name"),
+        "orders": spark.range(400).selectExpr(
+            "id AS o_orderkey", "id % 60 AS o_custkey", "'O' AS o_orderstatus", "id * 10.0D AS o_totalprice", "timestamp'1996-01-01 00:00:00' AS o_orderdate", "'5-LOW' AS o_orderpriority"
+        ),
+    }
+    for name, df in given.items():
+        df.write.parquet(f"{scratch_dir}/{name}.parquet")
+    stored = plans.context(spark, scratch_dir).graph.edges.drop("claim_count").collect()
+    written, write = [], plans.materialize
+    monkeypatch.setattr(plans, "materialize", lambda df, label, *more: written.append(label) or write(df, label, *more))
+    got = load_all()["edges"].build(spark, scratch_dir).collect()
+    assert {r["relationship"] for r in got} > {"shared_contact", "filed_by"} and Counter(got) == Counter(stored)
+    assert not written
