@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringwise.llm import jaccard_join, language, mixing, packing, suffix_dedup
-from ringwise.llm.common import Scratch, ship, table
+from ringwise.llm.common import Scratch, ship, small_batches, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: A language must have more than this share of a document's hits: an even share among four says nothing.
@@ -24,6 +24,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Those without text or letters go, and those whose best language has no more than ``LEAST_SCORE`` of the hits.
     """
     ship(spark)
+    small_batches(spark)
     found = language.identify(docs).where((F.col("lang_pred") != "und") & (F.col("score") > LEAST_SCORE))
     return found.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
@@ -31,12 +32,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that of the least id."""
     ship(spark)
+    small_batches(spark)
     return jaccard_join.representatives(docs).select(*COLUMNS)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages of over 50 words that are found elsewhere too; a document may end up empty, and stays."""
     ship(spark)
+    small_batches(spark)
     cut = suffix_dedup.without_passages(docs, n_words=51)
     return cut.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
@@ -49,6 +52,7 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def packing_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 1024 tokens."""
     ship(spark)
+    small_batches(spark)
     return packing.digest(packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -79,19 +80,50 @@ class Scratch:
         jvm.System.gc()  # lets Spark's cleaner remove the shuffle files of finished steps
 
 
-def lean(run: Callable) -> Callable:
-    """A function for ``mapInArrow`` that gives back what Arrow has freed; its pool would keep some 100 MB a worker after a batch of texts."""
+#: What a worker keeps from task to task, as long as it runs tasks that use it; see ``lean``.
+held: dict = {}
+
+
+def let_go(holds: bool) -> None:
+    """Frees ``held`` unless the task that begins uses it."""
+    if not holds:
+        held.clear()
+
+
+def give_back() -> None:
+    """The system gets back what was freed: Arrow's pool, and with the C library of Linux also what numpy and other libraries used."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def lean(run: Callable, holds: bool = False) -> Callable:
+    """A function for ``mapInArrow`` that gives back what Arrow has freed; its pool would keep some 100 MB a worker after a batch of texts.
+
+    A worker goes on to tasks of other stages: what earlier ones left in ``held`` goes first, unless ``run`` ``holds`` on to it.
+    """
 
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go(holds)
         pool = pa.default_memory_pool()
-        for out in run(batches):
-            yield out
-            pool.release_unused()
-        pool.release_unused()
+        try:
+            for out in run(batches):
+                yield out
+                pool.release_unused()
+        finally:
+            give_back()
 
     return wrapped
 
 
+def small_batches(spark: SparkSession, most: int = 4 << 20) -> None:
+    """Arrow batches of about ``most`` bytes for a session that sets none itself: 10,000 texts may be any size."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if key not in spark.conf.getAll:
+        spark.conf.set(key, str(most))
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column of an Arrow batch, null rows empty, without copying."""
     if column.null_count:

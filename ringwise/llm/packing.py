@@ -26,16 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ringwise.llm.common import lean
+from ringwise.llm.common import give_back, held, lean, let_go
 
 CAPACITY = 1024
 #: Fixed value: how the byte-level BPE splits texts before it merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _NOT_LATIN = re.compile("[^\x00-\u024f]").search
 
-_memory: dict = {}
-
-
 class Encoder:
     """Ids of whole texts by a byte-level BPE given as a file of ``tokenizers``, two bytes an id.
 
@@ -78,9 +75,9 @@ def _byte_characters() -> list[str]:
 
 
 def encoder(path: str) -> Encoder:
-    if path not in _memory:
-        _memory[path] = Encoder(path)
-    return _memory[path]
+    if path not in held:
+        held[path] = Encoder(path)
+    return held[path]
 
 
 def tokenised(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -99,7 +96,7 @@ def tokenised(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
                 ids = [e + b"\0\0" for e in enc.encode([t or "" for t in part.column(1).to_pylist()])]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), part.column(2)], ["doc_id", "ids", "place"])
 
-    return rows.mapInArrow(lean(encode), "doc_id long, ids binary, place long")
+    return rows.mapInArrow(lean(encode, holds=True), "doc_id long, ids binary, place long")
 
 
 class Room:
@@ -205,6 +202,8 @@ def pack(
     ids = ids.withColumn("group", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "place"), F.lit(groups)))
 
     def packed(rows: pd.DataFrame) -> pd.DataFrame:
+        let_go(False)  # the encoder, all texts are in ids here
+        give_back()  # what the group before took
         rows = rows.assign(n=rows["ids"].map(len)).sort_values(["doc_id", "n", "ids"], kind="stable", na_position="last")
         bodies = [np.frombuffer(b, np.uint16) for b in rows["ids"]]
         keys, group = rows["doc_id"].to_numpy(), int(rows["group"].iloc[0])

@@ -2,7 +2,7 @@ import re
 from collections import Counter
 
 import corpus_pipeline as P
-from ringwise.llm import language, mixing
+from ringwise.llm import common, language, mixing, packing
 from ringwise.llm.common import Scratch
 from tests.llm import brute
 from tests.llm.test_packing import check
@@ -60,3 +60,27 @@ def test_language_decides(spark):
     got = {r["doc_id"]: r["lang"] for r in out.collect()}
     assert got[1_000] == "en" and got[1_001] == "de" and 1_002 not in got and 1_003 not in got
     assert all(got[i] == ("de" if i % 2 else "en") for i in range(120))
+
+
+def test_workers_let_go_of_the_tokenizer_and_batches_are_bounded(spark, small):
+    """Executors keep their Python workers from stage to stage; what packing holds must not stay beside the next stage's memory."""
+    import public_tokenizers
+
+    path, run = public_tokenizers.path("byte_bpe_50k.json"), lambda batches: batches
+    packing.encoder(path)
+    assert list(common.lean(run, holds=True)(iter([1]))) == [1] and packing.encoder(path) is packing.encoder(path)
+    assert path in common.held and list(common.lean(run)(iter([1, 2]))) == [1, 2] and not common.held
+
+    def seen(batches):
+        """Rows of the batches, and whether the task that ran before in this worker left something."""
+        for batch in batches:
+            yield batch.from_pydict({"rows": [batch.num_rows], "held": [len(common.held)]})
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    try:
+        P.language_id(spark, small[0].select(*P.COLUMNS), "")
+        texts = spark.range(0, 4_000, 1, 1).selectExpr("repeat('x', 4000) AS text")
+        got = texts.mapInArrow(common.lean(seen), "rows long, held long").collect()
+        assert sum(r["rows"] for r in got) == 4_000 and max(r["rows"] for r in got) < 2_000 and not any(r["held"] for r in got)
+    finally:
+        spark.conf.unset(key)
