@@ -30,7 +30,7 @@ def query(build: Build) -> Build:
 @query
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return suffix_dedup.dedup(docs, keep_text=True)
+    return suffix_dedup.dedup(docs, keep_text=True, words=suffix_dedup.passage_words(docs))
 
 
 @query

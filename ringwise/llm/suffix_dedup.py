@@ -45,7 +45,7 @@ from pyspark.sql import types as T
 from ringwise.llm.common import Scratch, chunks, lean, others, utf8
 from ringwise.llm.jaccard_join import word_hashes
 
-ADDED = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "removed")
+ADDED = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "removed", "n_passage_words")
 WIDTH = 400
 #: Bytes of the longest names, and positions of which one is sampled, from the widest strings down: the first two that suit the width.
 STEP = 128
@@ -422,11 +422,18 @@ def _merged(shared: DataFrame, status: DataFrame, scratch: Scratch, width: int)
 
 
 def dedup(
-    docs: DataFrame, text: str = "text", width: int = WIDTH, keep_text: bool = False, keep_spans: bool = False, texts: DataFrame | None = None
+    docs: DataFrame,
+    text: str = "text",
+    width: int = WIDTH,
+    keep_text: bool = False,
+    keep_spans: bool = False,
+    texts: DataFrame | None = None,
+    words: DataFrame | None = None,
 ) -> DataFrame:
     """Input columns but the text, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept_text and the runs of bytes removed.
 
-    ``texts`` is a table of the texts alone, where that is cheaper to read several times than ``docs``.
+    ``texts`` is a table of the texts alone, where that is cheaper to read several times than ``docs``. ``words`` is what
+    ``passage_words`` found in ``docs``; its column follows the others then.
     """
     reach_of(width)
     scratch = Scratch(docs.sparkSession, "suffix")
@@ -461,7 +468,8 @@ def dedup(
     cut = scratch.save(cut.mapInArrow(lean(_cut(keep_text, keep_spans)), f"key long, n_removed long, n_spans long, kept_sha256 string, kept_text string, removed {_RUNS_DDL}"), "cut")
     scratch.drop()
     copies = texts.where(F.octet_length("text") >= width).groupBy("key").agg((F.count("*") > 1).alias("copied")).where("copied")
-    found = scratch.save(cut.join(copies, "key", "full"), "found")
+    found = cut.join(copies, "key", "full")
+    found = scratch.save(found if words is None else found.join(words, "key", "full"), "found")
 
     rows = docs.select(F.struct(F.lit(0).alias("__"), *kept).alias("__row"), F.xxhash64(body).alias("key"), body.alias("text"))
     out_text = [F.col("text")] if keep_text else []
@@ -478,6 +486,7 @@ def dedup(
         rest.alias("kept_sha256"),
         *([F.when(F.col("copied"), F.lit("")).otherwise(F.coalesce("kept_text", "text")).alias("kept_text")] if keep_text else []),
         *([F.when(F.col("copied"), whole).otherwise(F.coalesce("removed", F.array().cast(_RUNS_DDL))).alias("removed")] if keep_spans else []),
+        *([F.coalesce("n_passage_words", F.lit(0)).cast("long").alias("n_passage_words")] if words is not None else []),
     )
     return result
 
@@ -507,8 +516,8 @@ def _without_words(at_text: int, at_runs: int):
     return run
 
 
-def _coded(at_text: int):
-    """Rows with the codes of their texts' words, one after the other, as a last column."""
+def _coded(at_text: int, keep_text: bool = True):
+    """Rows, with or without the text, with the codes of their texts' words, one after the other, as a last column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -519,7 +528,8 @@ def _coded(at_text: int):
                 ends = np.concatenate([[0], np.cumsum(n_words * CODE)]).astype(np.int64)
                 codes = pa.Array.from_buffers(pa.large_string(), b - a, [None, pa.py_buffer(ends), pa.py_buffer(digits.tobytes())])
                 part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*part.columns, codes.cast(pa.string())], [*batch.schema.names, "__code"])
+                columns = [(part.column(c), n) for c, n in enumerate(batch.schema.names) if keep_text or c != at_text]
+                yield pa.RecordBatch.from_arrays([*[c for c, _ in columns], codes.cast(pa.string())], [*[n for _, n in columns], "__code"])
 
     return run
 
@@ -539,3 +549,19 @@ def without_passages(docs: DataFrame, text: str = "text", n_words: int = 51) ->
     codes = docs.select(text).mapInArrow(lean(_coded(0)), only).select(F.col("__code").alias("code"))
     cut = dedup(coded, "code", CODE * n_words, keep_spans=True, texts=scratch.save(codes, "codes")).select("row.*", "removed")
     return cut.mapInArrow(lean(_without_words(columns.index(text), len(columns))), docs.schema)
+
+
+def passage_words(docs: DataFrame, text: str = "text", n_words: int = 51) -> DataFrame:
+    """(key, n_passage_words) of the texts with a passage of ``n_words`` words or more that is found elsewhere too: how many words lie in such.
+
+    The key is ``dedup``'s, a hash of the text. These are the words that ``without_passages`` removes, all those of a text that is a copy of another.
+    """
+    scratch = Scratch(docs.sparkSession, "passage-words")
+    body = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.select(F.xxhash64(body).alias("text_key"), body.alias("text"))
+    coded = rows.mapInArrow(lean(_coded(1, keep_text=False)), "text_key long, __code string")
+    codes = scratch.save(coded.withColumnRenamed("__code", "code"), "codes")
+    cut = dedup(codes, "code", CODE * n_words, keep_spans=True).where("n_removed > 0")
+    # words of which every character is covered
+    whole = F.expr(f"aggregate(removed, 0L, (n, r) -> n + greatest(0L, r.end div {CODE} - (r.start + {CODE - 1}) div {CODE}))")
+    return cut.groupBy(F.col("text_key").alias("key")).agg(F.max(whole).alias("n_passage_words"))

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -107,3 +108,30 @@ def test_runs_and_passages_of_words(spark, odd, small):
         for run in got[k]["removed"]:
             gone.update(range(run["start"], run["end"]))
         assert len(gone) == got[k]["n_removed"] and len(got[k]["removed"]) == got[k]["n_spans"]
+
+
+def test_words_of_passages_shorter_than_the_width(spark, odd):
+    """A passage of over 50 short words may have less than 400 bytes: the digest leaves it, ``n_passage_words`` tells of it."""
+    passage = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, f"first {passage} end", None, None, None), (2, f"second\n{passage.replace(' ', '  ')}", None, None, None)]
+    rows += [(3, " ".join(f"v{i}" for i in range(80)), None, None, None), (4, "the same " * 30, None, None, None), (5, "the same " * 30, None, None, None)]
+    rows += [(6, None, None, None, None), (7, " ".join(f"w{i}" for i in range(50)), None, None, None), (3, "another row of that id", None, None, None)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    for docs, texts in ((df, [x[1] for x in rows]), (odd, [x[1] for x in odd_rows()])):
+        got = S.dedup(docs, keep_text=True, words=S.passage_words(docs))
+        left = brute.without_passages(texts)
+        want = Counter((len((a or "").encode()), len((a or "").split()) - len((b or "").split())) for a, b in zip(texts, left, strict=True))
+        if docs is df:
+            assert {r["doc_id"]: (r["n_removed"], r["n_passage_words"]) for r in got.where("doc_id <> 3").collect()} == {1: (0, 60), 2: (0, 60), 4: (0, 60), 5: (0, 60), 6: (0, 0), 7: (0, 0)}
+        assert Counter((r["n_bytes"], r["n_passage_words"]) for r in got.collect()) == want
+
+
+def test_query_tells_of_passages_of_words(spark, scratch_dir):
+    from ringwise.llm.queries import QUERIES
+
+    passage = " ".join(f"w{i}" for i in range(55))
+    rows = [(1, f"a {passage}", None, None, None), (2, f"b {passage}", None, None, None), (3, "c", None, None, None)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{scratch_dir}/documents.parquet")
+    got = QUERIES["op1_suffix_array_dedup"](spark, scratch_dir).orderBy("doc_id")
+    assert got.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "n_passage_words"]
+    assert [(r["n_removed"], r["n_passage_words"]) for r in got.collect()] == [(0, 55), (0, 55), (0, 0)]
