@@ -80,6 +80,27 @@ class Scratch:
         jvm.System.gc()  # lets Spark's cleaner remove the shuffle files of finished steps
 
 
+#: Bits of the filter that ``split`` sends to all tasks: 8 MB, whatever the input.
+BITS = 1 << 26
+
+
+def split(rows: DataFrame, key: str, keys: DataFrame, scratch: Scratch, step: str) -> tuple[DataFrame, DataFrame]:
+    """The rows whose ``key``, a 64-bit hash, may be among ``keys`` (one column), and those whose key is not.
+
+    So a join that concerns some of the rows doesn't have to shuffle the texts of all. A bitmap of the keys
+    decides; with more keys than bits most rows may be among them, which costs the shuffle but no row.
+    """
+    place = lambda c: (F.bitmap_bucket_number(F.pmod(c, F.lit(BITS))), F.bitmap_bit_position(F.pmod(c, F.lit(BITS))))
+    bucket, bit = place(F.col(keys.columns[0]))
+    placed = keys.select(bucket.alias("__bucket"), bit.alias("__bit")).repartition("__bucket")
+    bits = scratch.save(placed.groupBy("__bucket").agg(F.bitmap_construct_agg("__bit").alias("__bits")), step)
+    bucket, bit = place(F.col(key))
+    tested = rows.join(F.broadcast(bits), bucket == F.col("__bucket"), "left")
+    byte = F.conv(F.hex(F.substr("__bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    maybe = F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))
+    return tested.where(maybe).select(*rows.columns), tested.where(~maybe).select(*rows.columns)
+
+
 #: What a worker keeps from task to task, as long as it runs tasks that use it; see ``lean``.
 held: dict = {}
 

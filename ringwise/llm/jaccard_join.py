@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ringwise.llm.common import Scratch, chunks, lean, others, utf8
+from ringwise.llm.common import Scratch, chunks, lean, others, split, utf8
 from ringwise.llm.graph import components
 from ringwise.operators.ranking import later_in_group
 
@@ -564,7 +564,10 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int =
     clusters = scratch.save(components(near, scratch, "cluster").withColumnRenamed("root", "cluster"), "clusters")
 
     wanted = rows.where("n > 0").groupBy("node").agg(F.min("key").alias("key")).join(clusters, "node")
-    texts = source.select("key", "text").dropDuplicates(["key"]).join(wanted, "key").select("cluster", "node", "text")
+    wanted = scratch.save(wanted, "wanted")
+    # most texts are in no cluster: they aren't shuffled
+    clustered, _ = split(source.select("key", "text"), "key", wanted.select("key"), scratch, "wanted-bits")
+    texts = clustered.dropDuplicates(["key"]).join(wanted, "key").select("cluster", "node", "text")
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -605,6 +608,9 @@ def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     again = light.groupBy("key", "hash").agg(F.count("*").alias("n")).where("n > 1")
     again = scratch.save(again.select(F.col("key").alias("__key"), F.col("hash").alias("__hash")), "again")
     same = F.col(key).eqNullSafe(F.col("__key")) & F.xxhash64(text).eqNullSafe(F.col("__hash"))
-    left = docs.join(away, same, "left_anti")
+    # the others stay as they are: only texts that may be away or come again are shuffled
+    spots = away.unionByName(again).select(F.xxhash64("__key", "__hash").alias("__spot"))
+    named, clear = split(docs.withColumn("__spot", F.xxhash64(F.col(key), F.xxhash64(text))), "__spot", spots, scratch, "bits")
+    left = named.drop("__spot").join(away, same, "left_anti")
     once = left.join(again, same, "left_semi").withColumn("__hash", F.xxhash64(text)).dropDuplicates([key, "__hash"]).drop("__hash")
-    return left.join(again, same, "left_anti").unionByName(once)
+    return clear.drop("__spot").unionByName(left.join(again, same, "left_anti")).unionByName(once)

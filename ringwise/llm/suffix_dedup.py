@@ -6,11 +6,11 @@ A distributed difference-cover algorithm on suffixes cut at ``width`` bytes:
    neighbouring positions give the name of nine bytes, and so on by recursion up to 243 bytes. A
    name is a 64-bit hash of the triple of names below it, so equal strings have equal names in all
    texts and no ranks have to be sent back.
-2. Cover. Of the ``STEP`` (128) positions that follow each position, the one with the least nine-byte
+2. Cover. Of the ``STEP`` (157) positions that follow each position, the one with the least nine-byte
    name is sampled. This depends on these bytes alone, so two equal strings of ``width`` bytes have
    a sampled position at the same distance from their starts: that is what a difference cover
-   is for. About one position in 64 is sampled.
-3. Sampled suffixes are sorted by the name of their first ``width`` - 127 bytes, and
+   is for. About one position in 79 is sampled.
+3. Sampled suffixes are sorted by the name of their first ``width`` - 156 bytes, and
    neighbours are compared. Those whose prefix is found once only can't lie in a repeated string.
 4. The remaining suffixes, those that a surviving sampled one stands for, are merged in. The first and
    the last of them are sorted by the name of all their ``width`` bytes, and neighbours compared. If
@@ -24,6 +24,9 @@ key, but for one that meets the other batches' rows. So a passage in a third of
 is spread over all tasks. Sorted partitions are compared as a stream, so memory is bounded. Equal
 texts (by a 64-bit hash) are worked on once; a text with a copy goes as a whole.
 
+Passages of words are found in the same way: a symbol is a word's code of ``CODE`` bytes there, not a byte, and only positions
+where words begin are named, sampled and compared.
+
 Defined cases: a null text is empty; texts shorter than ``width`` bytes lose nothing; runs that
 overlap themselves count; repeated rows are copies of each other; an empty table gives no rows;
 input columns named like those that the operator adds are replaced. Memory of a task is about
@@ -42,15 +45,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ringwise.llm.common import Scratch, chunks, lean, others, utf8
+from ringwise.llm.common import Scratch, chunks, lean, others, split, utf8
 from ringwise.llm.jaccard_join import word_hashes
 
 ADDED = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "removed", "n_passage_words")
 WIDTH = 400
 #: Bytes of the longest names, and positions of which one is sampled, from the widest strings down: the first two that suit the width.
-STEP = 128
+STEP = 157
 SPAN = 243
-SPANS = ((SPAN, STEP), (SPAN, 64), (81, 64), (81, 32), (27, 16))
+SPANS = ((SPAN, STEP), (SPAN, 64), (81, 64), (81, 32), (27, 24), (27, 16))
 #: Positions of a text, or of texts one after the other, that are worked on at once.
 SEGMENT = 1 << 18
 #: Characters of a word's code, six bits of its hash each, see ``without_passages``.
@@ -83,8 +86,11 @@ def reach_of(width: int) -> tuple[int, int]:
 def triple_names(raw: np.ndarray, span: int = SPAN) -> tuple[np.ndarray, np.ndarray]:
     """Names of the 9 and of the ``span`` bytes from each position on (as far as these lie in ``raw``)."""
     wide = raw.astype(np.uint64)
-    names = wide[:-2] | wide[1:-1] << np.uint64(8) | wide[2:] << np.uint64(16)
-    names *= _K[0]
+    if raw.dtype == np.uint8:
+        names = wide[:-2] | wide[1:-1] << np.uint64(8) | wide[2:] << np.uint64(16)
+        names *= _K[0]
+    else:
+        names = _triple(wide[:-2], wide[1:-1], wide[2:])
     nine, length = names, 3
     while length < span:
         names = _triple(names[: -2 * length], names[length:-length], names[2 * length :])
@@ -126,8 +132,9 @@ def sampled(raw: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> tuple[n
         least = (nine >> bits << bits) | np.arange(len(nine), dtype=np.uint64)
         reach = 1
         while reach < step:
-            least = np.minimum(least[:-reach], least[reach:])
-            reach *= 2
+            more = min(reach, step - reach)
+            least = np.minimum(least[:-more], least[more:])
+            reach += more
         at = (least[:n] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
         starts = np.flatnonzero(_text_ends(offsets, s, n) >= np.arange(s + width, s + n + width))
         if not len(starts):
@@ -160,6 +167,24 @@ def window_names(raw: np.ndarray, starts: np.ndarray, width: int = WIDTH) -> tup
     return first, second
 
 
+def _symbols(raw: np.ndarray, offsets: np.ndarray, unit: int) -> tuple[np.ndarray, np.ndarray]:
+    """(symbols of ``unit`` bytes, offsets in symbols) of texts one after the other."""
+    raw, offsets = raw[offsets[0] : offsets[-1]], offsets - offsets[0]
+    if unit == 1:
+        return raw, offsets
+    wide = raw.reshape(-1, unit)
+    symbols = wide[:, 0].astype(np.uint32)
+    for i in range(1, unit):
+        symbols |= wide[:, i].astype(np.uint32) << np.uint32(8 * i)
+    return symbols, offsets // unit
+
+
+def _mixed(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """One name of both, the key that rows are sorted by."""
+    x = (first + second * _K[0]) * _K[1]
+    return x ^ (x >> np.uint64(32))
+
+
 def _spread(first: np.ndarray, second: np.ndarray, sure: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(sort key, known to be repeated): equal rows of a batch but for one go under random keys."""
     order = np.lexsort((second, first))
@@ -169,22 +194,25 @@ def _spread(first: np.ndarray, second: np.ndarray, sure: np.ndarray) -> tuple[np
     again[order] = equal
     sure = sure | again
     sure[order[:-1][equal[1:]]] = True
-    spot = first.copy()
+    spot = _mixed(first, second)
     row = np.flatnonzero(again).astype(np.uint64)
     spot[again] = (spot[again] ^ (row * _K[0] + _K[1])) * _K[2]
     return spot, sure
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch], payload: list[str]) -> Iterator[pa.RecordBatch]:
-    """Rows of a sorted stream that are sure, or equal in ``first`` and ``second`` to the row before or after."""
+    """Rows of a sorted stream that are sure, or equal in ``first`` and, if there, ``second`` to the row before or after."""
     held: pa.RecordBatch | None = None
     for batch in batches:
         if not batch.num_rows:
             continue
         if held is not None:
             batch = pa.concat_batches([held, batch])
-        first, second = batch["first"].to_numpy(), batch["second"].to_numpy()
-        like = (first[1:] == first[:-1]) & (second[1:] == second[:-1])
+        first = batch["first"].to_numpy()
+        like = first[1:] == first[:-1]
+        if "second" in batch.schema.names:
+            second = batch["second"].to_numpy()
+            like &= second[1:] == second[:-1]
         repeated = batch["sure"].to_numpy(zero_copy_only=False).astype(bool)
         repeated[1:] |= like
         repeated[:-1] |= like
@@ -200,9 +228,9 @@ def _neighbours(batches: Iterator[pa.RecordBatch], payload: list[str]) -> Iterat
 
 
 def _repeated(rows: DataFrame, payload: list[str]) -> DataFrame:
-    """The rows (spot, first, second, sure, payload) whose names some other row has too."""
+    """The rows (spot, first, second or none, sure, payload) whose names some other row has too; ``spot`` follows from the names."""
     schema = T.StructType([rows.schema[c] for c in payload])
-    ordered = rows.repartition("spot").sortWithinPartitions("spot", "second")
+    ordered = rows.repartition("spot").sortWithinPartitions("spot")
     return ordered.mapInArrow(lean(lambda batches: _neighbours(batches, payload)), schema)
 
 
@@ -217,40 +245,38 @@ def _unpack(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at - ((packed >> 8) & 255), at - (packed & 255)
 
 
-def _sample(width: int):
+def _sample(width: int, unit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for from_row in range(0, batch.num_rows, 2_000):
                 part = batch.slice(from_row, 2_000)
                 keys, row, copies = np.unique(part.column(0).to_numpy(), return_index=True, return_counts=True)
-                raw, offsets = utf8(part.column(1).take(pa.array(row)))
-                raw, offsets = raw[offsets[0] : offsets[-1]], offsets - offsets[0]
+                raw, offsets = _symbols(*utf8(part.column(1).take(pa.array(row))), unit)
                 at, lo, hi, name = sampled(raw, offsets, width)
                 text = np.searchsorted(offsets, at, side="right") - 1
-                zero = np.zeros(len(at), np.uint64)
-                spot, sure = _spread(name, zero, copies[text] > 1)
-                columns = [spot.view(np.int64), name.view(np.int64), zero.view(np.int64), sure, keys[text], _packed(at, lo, hi, offsets[text])]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["spot", "first", "second", "sure", "key", "at"])
+                spot, sure = _spread(name, np.zeros(len(at), np.uint64), copies[text] > 1)
+                columns = [spot.view(np.int64), name.view(np.int64), sure, keys[text], _packed(at, lo, hi, offsets[text])]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["spot", "first", "sure", "key", "at"])
 
     return run
 
 
-def _listed(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
-    """(bytes, offsets, listed values, text of each) of rows (key, text, list)."""
-    raw, offsets = utf8(part.column(1))
+def _listed(part: pa.RecordBatch, unit: int) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """(symbols, offsets, listed values, text of each) of rows (key, text, list)."""
+    raw, offsets = _symbols(*utf8(part.column(1)), unit)
     lists = part.column(2)
     text = np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
-    return raw[offsets[0] : offsets[-1]], offsets - offsets[0], lists.flatten(), text
+    return raw, offsets, lists.flatten(), text
 
 
-def _ends(width: int):
+def _ends(width: int, unit: int):
     """Rows of the first and last windows of each text's listed positions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for from_row in range(0, batch.num_rows, 1_000):
                 part = batch.slice(from_row, 1_000)
-                raw, offsets, listed, text = _listed(part)
+                raw, offsets, listed, text = _listed(part, unit)
                 packed = np.asarray(listed.to_numpy(zero_copy_only=False), np.int64)
                 lo, hi = _unpack(packed)
                 one = lo == hi
@@ -269,8 +295,8 @@ def _ends(width: int):
     return run
 
 
-def _around(width: int):
-    """The listed positions (at, name, parts, wanted) with the step - 1 bytes on either side of their prefix.
+def _around(width: int, unit: int):
+    """The listed positions (at, name, parts, wanted) with the step - 1 symbols on either side of their prefix.
 
     Of positions that only serve to be compared with, one of a kind in a batch is enough.
     """
@@ -281,14 +307,14 @@ def _around(width: int):
         for batch in batches:
             for from_row in range(0, batch.num_rows, 2_000):
                 part = batch.slice(from_row, 2_000)
-                raw, offsets, listed, text = _listed(part)
+                raw, offsets, listed, text = _listed(part, unit)
                 packed, name, parts, wanted = (listed.field(f).to_numpy(zero_copy_only=False) for f in ("at", "name", "parts", "wanted"))
                 if not len(packed):
                     continue
                 place = (packed >> 16) + offsets[text]
-                padded = np.concatenate([np.zeros(n, np.uint8), raw, np.zeros(n, np.uint8)])
+                padded = np.concatenate([np.zeros(n, raw.dtype), raw, np.zeros(n, raw.dtype)])
                 near, wanted = np.arange(n), wanted.astype(bool)
-                # bytes of other texts don't matter: no window reaches them
+                # symbols of other texts don't matter: no window reaches them
                 left = padded[place[:, None] + n - 1 - near]
                 right = padded[place[:, None] + n + core + near]
                 kind = prefix_names(left)[:, -1] * _K[1] ^ prefix_names(right)[:, -1] * _K[2] ^ name.view(np.uint64) * _K[0] ^ (packed & 0xFFFF).astype(np.uint64)
@@ -306,7 +332,7 @@ def _around(width: int):
 
 
 def prefix_names(context: np.ndarray) -> np.ndarray:
-    """Names of the first 0, 1, .. bytes of each row."""
+    """Names of the first 0, 1, .. symbols of each row."""
     out = np.zeros((len(context), context.shape[1] + 1), np.uint64)
     for i in range(context.shape[1]):
         x = (out[:, i] + context[:, i].astype(np.uint64) + np.uint64(1)) * _K[0]
@@ -314,10 +340,10 @@ def prefix_names(context: np.ndarray) -> np.ndarray:
     return out
 
 
-def _compare(rows: pa.RecordBatch) -> pa.RecordBatch:
+def _compare(rows: pa.RecordBatch, unit: int) -> pa.RecordBatch:
     """Windows of positions of whole names: those wanted and repeated, and those that other tasks must see."""
     name, packed = rows["name"].to_numpy().view(np.uint64), rows["at"].to_numpy()
-    around = np.frombuffer(b"".join(rows["around"].to_pylist()), np.uint8).reshape(len(name), -1)
+    around = np.frombuffer(b"".join(rows["around"].to_pylist()), np.uint8 if unit == 1 else np.uint32).reshape(len(name), -1)
     n = around.shape[1] // 2  # a step less one
     left, right = prefix_names(around[:, :n]), prefix_names(around[:, n:])
     back, least = (packed >> 8) & 255, packed & 255
@@ -340,13 +366,13 @@ def _compare(rows: pa.RecordBatch) -> pa.RecordBatch:
     done, shown = np.flatnonzero(wanted & again), np.flatnonzero(many & head)
     keep = np.concatenate([done, shown])
     start = (packed >> 16)[owner] - delta
-    columns = [c[keep] for c in (first.view(np.int64), first.view(np.int64), second.view(np.int64))]
+    columns = [c[keep].view(np.int64) for c in (_mixed(first, second), first, second)]
     is_open = np.arange(len(keep)) >= len(done)
     columns += [~is_open, rows["key"].to_numpy()[owner][keep], start[keep], np.where(is_open, (wanted & ~again)[keep], True), is_open]
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["spot", "first", "second", "sure", "key", "at", "wanted", "open"])
 
 
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compared(batches: Iterator[pa.RecordBatch], unit: int) -> Iterator[pa.RecordBatch]:
     """``_compare`` over a stream of positions sorted by name and part."""
     held: pa.RecordBatch | None = None
     for batch in batches:
@@ -359,11 +385,11 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end, at = int(new[-1]) if len(new) else 0, 0
         while at < end:  # whole names, some thousand positions at a time
             upto = int(new[min(np.searchsorted(new, at + 5_000), len(new) - 1)])
-            yield _compare(batch.slice(at, upto - at))
+            yield _compare(batch.slice(at, upto - at), unit)
             at = upto
         held = batch.slice(end)
     if held is not None and held.num_rows:
-        yield _compare(held)
+        yield _compare(held, unit)
 
 
 _RUNS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -404,7 +430,7 @@ def _cut(keep_text: bool, keep_spans: bool):
     return run
 
 
-def _merged(shared: DataFrame, status: DataFrame, scratch: Scratch, width: int) -> DataFrame:
+def _merged(shared: DataFrame, status: DataFrame, scratch: Scratch, width: int, unit: int) -> DataFrame:
     """(key, start, end) of the repeated windows of positions whose first and last ones aren't both repeated."""
     names = status.groupBy("name").agg(F.count("*").alias("n"), F.max(~F.col("whole")).alias("open")).where("open")
     names = scratch.save(names.select("name", F.ceil(F.col("n") / TOGETHER).cast("long").alias("parts")), "open")
@@ -412,73 +438,83 @@ def _merged(shared: DataFrame, status: DataFrame, scratch: Scratch, width: int)
     mates = mates.groupBy("key").agg(F.collect_list("one").alias("at"))
     rows = shared.drop("at").join(mates, "key").select("key", "text", "at")
     schema = "name long, parts long, key long, at long, wanted boolean, twice boolean, around binary"
-    rows = rows.mapInArrow(lean(_around(width)), schema).withColumn("part", F.pmod(F.xxhash64("key", "at"), F.col("parts")))
+    rows = rows.mapInArrow(lean(_around(width, unit)), schema).withColumn("part", F.pmod(F.xxhash64("key", "at"), F.col("parts")))
     rows = rows.repartition("name", "part").sortWithinPartitions("name", "part")
     schema = "spot long, first long, second long, sure boolean, key long, at long, wanted boolean, open boolean"
-    compared = scratch.save(rows.mapInArrow(lean(_compared), schema), "compared")
+    compared = scratch.save(rows.mapInArrow(lean(lambda batches: _compared(batches, unit)), schema), "compared")
     done = compared.where("wanted and sure").select("key", "at")
     seen = _repeated(compared.where("open").drop("open"), ["key", "at", "wanted"]).where("wanted").select("key", "at")
     return done.unionByName(seen).select("key", F.col("at").alias("start"), (F.col("at") + width).alias("end"))
 
 
+def _spans(texts: DataFrame, width: int, scratch: Scratch, unit: int = 1) -> tuple[DataFrame, DataFrame]:
+    """(texts that share a prefix of a sampled suffix, once each; repeated strings of their symbols) of (key, text): (key, text, at), (key, start, end)."""
+    long_texts = texts.where(F.octet_length("text") >= width * unit)
+    rows = long_texts.mapInArrow(lean(_sample(width, unit)), "spot long, first long, sure boolean, key long, at long")
+    alive = scratch.save(_repeated(rows, ["first", "key", "at"]).withColumnRenamed("first", "name"), "alive")
+    scratch.drop()
+    alive = scratch.save(alive.distinct(), "alive_once")
+    scratch.drop("alive")
+    listed = alive.groupBy("key").agg(F.collect_list("at").alias("at"))
+    # most texts share nothing: they aren't shuffled
+    sharing, _ = split(long_texts, "key", alive.select("key").distinct(), scratch, "alive_bits")
+    shared = scratch.save(sharing.dropDuplicates(["key"]).join(listed, "key"), "texts")
+    scratch.drop()
+
+    ends = _repeated(shared.mapInArrow(lean(_ends(width, unit)), "spot long, first long, second long, sure boolean, key long, at long, sides long"), ["key", "at", "sides"])
+    sides = ends.groupBy("key", "at").agg(F.sum("sides").alias("sides"))
+    status = alive.join(sides, ["key", "at"], "left").select("name", "key", "at", (F.coalesce("sides", F.lit(0)) >= 2).alias("whole"))
+    status = scratch.save(status, "status")
+    scratch.drop("alive_once")
+    single = _merged(shared, status, scratch, width, unit)
+    lo = F.shiftright("at", 16) - F.shiftright("at", 8).bitwiseAND(255)
+    hi = F.shiftright("at", 16) - F.col("at").bitwiseAND(255)
+    runs = status.where("whole").select("key", lo.alias("start"), (hi + width).alias("end"))
+    spans = scratch.save(single.unionByName(runs), "spans")
+    scratch.drop("open", "compared", "status")
+    return shared, spans
+
+
 def dedup(
     docs: DataFrame,
     text: str = "text",
     width: int = WIDTH,
     keep_text: bool = False,
     keep_spans: bool = False,
-    texts: DataFrame | None = None,
     words: DataFrame | None = None,
 ) -> DataFrame:
     """Input columns but the text, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept_text and the runs of bytes removed.
 
-    ``texts`` is a table of the texts alone, where that is cheaper to read several times than ``docs``. ``words`` is what
-    ``passage_words`` found in ``docs``; its column follows the others then.
+    ``words`` is what ``passage_words`` found in ``docs``; its column follows the others then.
     """
     reach_of(width)
     scratch = Scratch(docs.sparkSession, "suffix")
     kept = others(docs, *ADDED, text)
     body = F.coalesce(F.col(text), F.lit(""))
-    texts = (docs if texts is None else texts).select(F.xxhash64(body).alias("key"), body.alias("text"))
-    long_texts = texts.where(F.octet_length("text") >= width)
-    suffix = "spot long, first long, second long, sure boolean, key long, at long"
-
-    alive = scratch.save(_repeated(long_texts.mapInArrow(lean(_sample(width)), suffix), ["first", "key", "at"]).withColumnRenamed("first", "name"), "alive")
-    scratch.drop()
-    alive = scratch.save(alive.distinct(), "alive_once")
-    scratch.drop("alive")
-    listed = alive.groupBy("key").agg(F.collect_list("at").alias("at"))
-    shared = scratch.save(long_texts.dropDuplicates(["key"]).join(listed, "key"), "texts")
-    scratch.drop()
-
-    ends = _repeated(shared.mapInArrow(lean(_ends(width)), suffix + ", sides long"), ["key", "at", "sides"])
-    sides = ends.groupBy("key", "at").agg(F.sum("sides").alias("sides"))
-    status = alive.join(sides, ["key", "at"], "left").select("name", "key", "at", (F.coalesce("sides", F.lit(0)) >= 2).alias("whole"))
-    status = scratch.save(status, "status")
-    scratch.drop("alive_once")
-    single = _merged(shared, status, scratch, width)
-    lo = F.shiftright("at", 16) - F.shiftright("at", 8).bitwiseAND(255)
-    hi = F.shiftright("at", 16) - F.col("at").bitwiseAND(255)
-    runs = status.where("whole").select("key", lo.alias("start"), (hi + width).alias("end"))
-    spans = scratch.save(single.unionByName(runs), "spans")
-    scratch.drop("open", "compared")
+    texts = docs.select(F.xxhash64(body).alias("key"), body.alias("text"))
+    shared, spans = _spans(texts, width, scratch)
 
     grouped = spans.groupBy("key").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
     cut = shared.drop("at").join(grouped, "key").select("key", "text", "starts", "ends")
     cut = scratch.save(cut.mapInArrow(lean(_cut(keep_text, keep_spans)), f"key long, n_removed long, n_spans long, kept_sha256 string, kept_text string, removed {_RUNS_DDL}"), "cut")
-    scratch.drop()
+    scratch.drop("texts", "spans")
     copies = texts.where(F.octet_length("text") >= width).groupBy("key").agg((F.count("*") > 1).alias("copied")).where("copied")
     found = cut.join(copies, "key", "full")
     found = scratch.save(found if words is None else found.join(words, "key", "full"), "found")
+    scratch.drop("cut")
 
-    rows = docs.select(F.struct(F.lit(0).alias("__"), *kept).alias("__row"), F.xxhash64(body).alias("key"), body.alias("text"))
     out_text = [F.col("text")] if keep_text else []
-    rows = rows.select("__row", "key", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha256"), *out_text)
+    rows = docs.select(F.struct(F.lit(0).alias("__"), *kept).alias("__row"), F.xxhash64(body).alias("key"), body.alias("text"))
+    # texts with nothing found aren't shuffled; hashes follow the split, as both parts read all rows
+    named, clear = (
+        part.select("__row", "key", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha256"), *out_text)
+        for part in split(rows, "key", found.select("key"), scratch, "found_bits")
+    )
     n_gone = F.when(F.col("copied"), F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0)))
     n_spans = F.when(F.col("copied"), F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0)))
     rest = F.when(F.col("copied"), F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", "sha256"))
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))
-    result = rows.join(found, "key", "left").select(
+    result = named.join(found, "key", "left").unionByName(clear, allowMissingColumns=True).select(
         *[F.col("__row")[c].alias(c) for c in kept],
         "n_bytes",
         n_gone.cast("long").alias("n_removed"),
@@ -495,12 +531,11 @@ _PIECE = re.compile(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
 
 
 def _without_words(at_text: int, at_runs: int):
-    """Rows with the words of the runs, in codes of ``CODE`` characters a word, cut out of the text together with the blanks after them."""
+    """Rows with the words of the runs cut out of the text together with the blanks after them."""
 
     def cut(text: str, runs: list[dict]) -> str:
         pieces = _PIECE.findall(text)
-        gone = covered(CODE * len(pieces), np.array([r["start"] for r in runs], np.int64), np.array([r["end"] for r in runs], np.int64))
-        kept = ~gone.reshape(-1, CODE).all(axis=1)
+        kept = ~covered(len(pieces), np.array([r["start"] for r in runs], np.int64), np.array([r["end"] for r in runs], np.int64))
         lead = text[: len(text) - sum(map(len, pieces))]
         return lead + "".join(p for p, k in zip(pieces, kept, strict=True) if k)
 
@@ -516,39 +551,55 @@ def _without_words(at_text: int, at_runs: int):
     return run
 
 
-def _coded(at_text: int, keep_text: bool = True):
-    """Rows, with or without the text, with the codes of their texts' words, one after the other, as a last column."""
+def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (key, text): the key and the codes of the text's words, one after the other."""
+    for batch in batches:
+        raw, offsets = utf8(batch.column(1))
+        for a, b in chunks(offsets, SEGMENT):
+            hashed, n_words = word_hashes(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+            digits = np.stack([_DIGITS[((hashed >> np.uint64(6 * i)) & np.uint64(63)).astype(np.int64)] for i in range(CODE)], axis=1)
+            ends = np.concatenate([[0], np.cumsum(n_words * CODE)]).astype(np.int64)
+            codes = pa.Array.from_buffers(pa.large_string(), b - a, [None, pa.py_buffer(ends), pa.py_buffer(digits.tobytes())])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), codes.cast(pa.string())], ["text_key", "text"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw, offsets = utf8(batch.column(at_text))
-            for a, b in chunks(offsets, SEGMENT):
-                hashed, n_words = word_hashes(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                digits = np.stack([_DIGITS[((hashed >> np.uint64(6 * i)) & np.uint64(63)).astype(np.int64)] for i in range(CODE)], axis=1)
-                ends = np.concatenate([[0], np.cumsum(n_words * CODE)]).astype(np.int64)
-                codes = pa.Array.from_buffers(pa.large_string(), b - a, [None, pa.py_buffer(ends), pa.py_buffer(digits.tobytes())])
-                part = batch.slice(a, b - a)
-                columns = [(part.column(c), n) for c, n in enumerate(batch.schema.names) if keep_text or c != at_text]
-                yield pa.RecordBatch.from_arrays([*[c for c, _ in columns], codes.cast(pa.string())], [*[n for _, n in columns], "__code"])
 
-    return run
+def _passages(docs: DataFrame, text: str, n_words: int, scratch: Scratch) -> DataFrame:
+    """(text_key, n, runs) of the texts with a passage of ``n_words`` words or more that is found elsewhere too.
+
+    The key is ``dedup``'s, a hash of the text; runs are of words, ordered, and may overlap. A text that is a copy as a whole
+    has one run of all its ``n`` words.
+    """
+    body = F.coalesce(F.col(text), F.lit(""))
+    coded = docs.select(F.xxhash64(body).alias("text_key"), body.alias("text")).mapInArrow(lean(_coded), "text_key long, text string")
+    codes = scratch.save(coded.where(F.octet_length("text") >= CODE * n_words).select("text_key", F.xxhash64("text").alias("key"), "text"), "codes")
+    _, spans = _spans(codes.select("key", "text"), n_words, scratch, CODE)
+    scratch.drop("texts")
+    # as many rows as texts, without them
+    keys = codes.select("text_key", "key", (F.octet_length("text") / CODE).cast("long").alias("n"))
+    keys = keys.groupBy("text_key", "key", "n").agg(F.count("*").alias("rows"))
+    copies = keys.groupBy("key").agg((F.sum("rows") > 1).alias("copied")).where("copied")
+    runs = spans.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("runs"))
+    found = scratch.save(runs.join(copies, "key", "full"), "runs")
+    everything = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n").alias("end")))
+    out = keys.join(found, "key").select("text_key", "n", F.when(F.col("copied"), everything).otherwise(F.col("runs")).alias("runs"))
+    out = scratch.save(out, "passages")
+    scratch.drop("codes", "spans", "runs")
+    return out
 
 
 def without_passages(docs: DataFrame, text: str = "text", n_words: int = 51) -> DataFrame:
     """The documents without passages of ``n_words`` words or more that are found elsewhere too, whatever blanks part the words.
 
-    Texts are written as codes of one length, three characters of a word's hash, so that a passage of so many
-    words is a string of three bytes each; what ``dedup`` removes of the codes is removed of the words. All copies go. Null texts
+    Texts are written as codes, three characters of a word's hash, and a code is one symbol, see ``_spans``. All copies go. Null texts
     stay null; a text that is a copy as a whole ends up empty.
     """
     scratch = Scratch(docs.sparkSession, "passages")
     columns = docs.columns
-    schema = T.StructType([*docs.schema.fields, T.StructField("__code", T.StringType())])
-    coded = docs.mapInArrow(lean(_coded(columns.index(text))), schema).select(F.struct(*columns).alias("row"), F.col("__code").alias("code"))
-    only = T.StructType([T.StructField(text, docs.schema[text].dataType), T.StructField("__code", T.StringType())])
-    codes = docs.select(text).mapInArrow(lean(_coded(0)), only).select(F.col("__code").alias("code"))
-    cut = dedup(coded, "code", CODE * n_words, keep_spans=True, texts=scratch.save(codes, "codes")).select("row.*", "removed")
-    return cut.mapInArrow(lean(_without_words(columns.index(text), len(columns))), docs.schema)
+    found = _passages(docs, text, n_words, scratch).select("text_key", "runs")
+    rows = docs.withColumn("text_key", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    named, clear = split(rows, "text_key", found.select("text_key"), scratch, "bits")
+    cut = named.join(found, "text_key", "left").select(*columns, "runs")
+    return clear.select(*columns).unionByName(cut.mapInArrow(lean(_without_words(columns.index(text), len(columns))), docs.schema))
 
 
 def passage_words(docs: DataFrame, text: str = "text", n_words: int = 51) -> DataFrame:
@@ -556,12 +607,8 @@ def passage_words(docs: DataFrame, text: str = "text", n_words: int = 51) -> Dat
 
     The key is ``dedup``'s, a hash of the text. These are the words that ``without_passages`` removes, all those of a text that is a copy of another.
     """
-    scratch = Scratch(docs.sparkSession, "passage-words")
-    body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.xxhash64(body).alias("text_key"), body.alias("text"))
-    coded = rows.mapInArrow(lean(_coded(1, keep_text=False)), "text_key long, __code string")
-    codes = scratch.save(coded.withColumnRenamed("__code", "code"), "codes")
-    cut = dedup(codes, "code", CODE * n_words, keep_spans=True).where("n_removed > 0")
-    # words of which every character is covered
-    whole = F.expr(f"aggregate(removed, 0L, (n, r) -> n + greatest(0L, r.end div {CODE} - (r.start + {CODE - 1}) div {CODE}))")
-    return cut.groupBy(F.col("text_key").alias("key")).agg(F.max(whole).alias("n_passage_words"))
+    found = _passages(docs, text, n_words, Scratch(docs.sparkSession, "passage-words"))
+    # runs are in order of their starts: each adds what lies after the ends of those before it
+    added = "(a, r) -> struct(a.n + greatest(0L, r.end - greatest(a.upto, r.start)) as n, greatest(a.upto, r.end) as upto)"
+    n = F.expr(f"aggregate(runs, struct(0L as n, 0L as upto), {added}, a -> a.n)")
+    return found.select(F.col("text_key").alias("key"), n.alias("n_passage_words"))

@@ -4,6 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from ringwise.llm import common
 from ringwise.llm import suffix_dedup as S
 from tests.llm import brute
 from tests.llm.conftest import SCHEMA, odd_rows
@@ -135,3 +136,45 @@ def test_query_tells_of_passages_of_words(spark, scratch_dir):
     got = QUERIES["op1_suffix_array_dedup"](spark, scratch_dir).orderBy("doc_id")
     assert got.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "n_passage_words"]
     assert [(r["n_removed"], r["n_passage_words"]) for r in got.collect()] == [(0, 55), (0, 55), (0, 0)]
+
+
+def test_passages_are_named_by_words():
+    """Only positions where words begin are sampled, so a passage costs a third of what the characters of its codes would."""
+    assert S.reach_of(51) == (27, 24) and S.reach_of(400) == (243, 157)
+    r = np.random.default_rng(4)
+    raw = r.integers(65, 91, 3 * 6_000).astype(np.uint8)
+    raw[3 * 3_000 : 3 * 3_100] = raw[3 * 100 : 3 * 200]
+    symbols, offsets = S._symbols(raw, np.array([0, 3 * 2_500, 3 * 6_000]), 3)
+    assert len(symbols) == 6_000 and len(np.unique(symbols)) > 4_000 and offsets.tolist() == [0, 2_500, 6_000]
+    at, lo, hi, name = S.sampled(symbols, offsets, 51)
+    assert len(at) < 6_000 / 10 and hi.max() <= 6_000 - 51 and (at - lo).max() < 24
+    # every window is stood for once, and equal windows by positions of equal names
+    starts = np.concatenate([np.arange(a, b + 1) for a, b in zip(lo, hi, strict=True)])
+    assert sorted(starts.tolist()) == [*range(2_500 - 50), *range(2_500, 6_000 - 50)]
+    named = dict(zip(starts.tolist(), np.repeat(name, hi - lo + 1).tolist(), strict=True))
+    assert all(named[100 + i] == named[3_000 + i] for i in range(50)) and named[90] != named[2_990]
+    # the least of any number of positions, not of powers of two alone
+    nine, _ = S.triple_names(symbols, 27)
+    bits = np.uint64(int(6_000).bit_length())
+    for p in (0, 777, 2_449, 2_500, 5_949):
+        assert at[np.searchsorted(lo, p, side="right") - 1] == p + int(np.argmin((nine >> bits)[p : p + 24]))
+
+
+def test_texts_with_nothing_found_are_not_shuffled(spark, small, monkeypatch):
+    """Where found texts are too many to be sent to all tasks, the join takes them alone; a bitmap that tells little changes nothing."""
+    df, rows = small
+    want = expected(rows)
+    left = Counter(zip([x[0] for x in rows], brute.without_passages([x[1] for x in rows]), strict=True))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for bits in (common.BITS, 8):
+            monkeypatch.setattr(common, "BITS", bits)
+            parts = []
+            monkeypatch.setattr(S, "split", lambda *a, f=common.split: parts.append(f(*a)) or parts[-1])
+            assert rows_of(S.dedup(df)) == want
+            named, clear = parts[-1]
+            assert named.count() + clear.count() == len(rows) and (bits == 8 or 0 < named.count() < len(rows) / 2)
+            assert Counter((r["doc_id"], r["text"]) for r in S.without_passages(df).collect()) == left
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
