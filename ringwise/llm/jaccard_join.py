@@ -46,8 +46,8 @@ ADDED = ("n_shingles", "component_id")
 SHINGLE = 5
 CELLS = 1 << 20
 PART = 1 << 12
-#: Bytes of text that are worked on at once.
-TEXTS = 1 << 19
+#: Bytes of text that are worked on at once: few enough that arrays stay in a core's cache.
+TEXTS = 1 << 17
 #: Sets of a cluster that one task joins, of ``USUAL`` shingles each; longer ones count as more.
 BLOCK = 2_000
 USUAL = 600
@@ -68,10 +68,18 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_tables: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
+    if n > len(_tables.get(base, ())):
+        out = np.full(max(n, TEXTS), base, np.uint64)
+        out[:1] = 1
+        out = np.multiply.accumulate(out)
+        if n > TEXTS:  # a long text's own table isn't kept
+            return out
+        _tables[base] = out
+    return _tables[base][:n]
 
 
 def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -90,10 +98,12 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tu
     if not len(starts):
         return none
     values = _LOWER[raw] if lower else raw.astype(np.uint64)
-    sums = np.concatenate([[np.uint64(0)], np.cumsum((values + np.uint64(1)) * _powers(_BASE, n))])
+    values += np.uint64(1)
+    values *= _powers(_BASE, n)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(values, out=sums[1:])
     word = _mix((sums[ends] - sums[starts]) * _powers(_UNBASE, n)[starts] + (ends - starts).astype(np.uint64) * _K[0])
-    text = np.searchsorted(offsets, starts, side="right") - 1
-    return word, np.bincount(text, minlength=n_texts)
+    return word, np.diff(np.searchsorted(starts, offsets))
 
 
 def shingle_sets(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -30,7 +30,7 @@ where words begin are named, sampled and compared.
 Defined cases: a null text is empty; texts shorter than ``width`` bytes lose nothing; runs that
 overlap themselves count; repeated rows are copies of each other; an empty table gives no rows;
 input columns named like those that the operator adds are replaced. Memory of a task is about
-60 bytes a byte of its segment of 2^18 bytes, besides the batch of texts itself.
+60 bytes a byte of its segment of 2^16 bytes, besides the batch of texts itself.
 """
 
 from __future__ import annotations
@@ -54,11 +54,13 @@ WIDTH = 400
 STEP = 157
 SPAN = 243
 SPANS = ((SPAN, STEP), (SPAN, 64), (81, 64), (81, 32), (27, 24), (27, 16))
-#: Positions of a text, or of texts one after the other, that are worked on at once.
-SEGMENT = 1 << 18
+#: Positions of a text, or of texts one after the other, that are worked on at once: few enough that arrays stay in a core's cache.
+SEGMENT = 1 << 16
 #: Characters of a word's code, six bits of its hash each, see ``without_passages``.
 CODE = 3
 _DIGITS = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+-", np.uint8)
+#: The code of each value of a hash's last bits.
+_CODES = np.stack([_DIGITS[np.arange(1 << (6 * CODE)) >> (6 * i) & 63] for i in range(CODE)], axis=1)
 #: Positions of one name whose suffixes one task compares.
 TOGETHER = 2_000
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -302,35 +304,47 @@ def _around(width: int, unit: int):
     """
     step = reach_of(width)[1]
     n, core = step - 1, width - step + 1
+    # the symbols to the left from the prefix outwards, then those to the right
+    sides = np.concatenate([n - 1 - np.arange(n), n + core + np.arange(n)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for from_row in range(0, batch.num_rows, 2_000):
-                part = batch.slice(from_row, 2_000)
+            for from_row in range(0, batch.num_rows, 1_000):
+                part = batch.slice(from_row, 1_000)
                 raw, offsets, listed, text = _listed(part, unit)
                 packed, name, parts, wanted = (listed.field(f).to_numpy(zero_copy_only=False) for f in ("at", "name", "parts", "wanted"))
                 if not len(packed):
                     continue
                 place = (packed >> 16) + offsets[text]
                 padded = np.concatenate([np.zeros(n, raw.dtype), raw, np.zeros(n, raw.dtype)])
-                near, wanted = np.arange(n), wanted.astype(bool)
+                wanted = wanted.astype(bool)
                 # symbols of other texts don't matter: no window reaches them
-                left = padded[place[:, None] + n - 1 - near]
-                right = padded[place[:, None] + n + core + near]
-                kind = prefix_names(left)[:, -1] * _K[1] ^ prefix_names(right)[:, -1] * _K[2] ^ name.view(np.uint64) * _K[0] ^ (packed & 0xFFFF).astype(np.uint64)
+                around = padded[place[:, None] + sides].view(np.uint8)
+                kind = row_names(around) ^ name.view(np.uint64) * _K[0] ^ (packed & 0xFFFF).astype(np.uint64)
                 _, once, inverse, count = np.unique(kind, return_index=True, return_inverse=True, return_counts=True)
                 head = np.zeros(len(packed), bool)
                 head[once] = True
                 keep = np.flatnonzero(wanted | head)
                 # where a kind occurs twice here, all its windows are repeated
                 twice = (count[inverse] > 1)[keep]
-                sides = pa.array([left[i].tobytes() + right[i].tobytes() for i in keep], pa.binary())
+                ends = np.arange(len(keep) + 1, dtype=np.int32) * np.int32(around.shape[1])
+                near = pa.Array.from_buffers(pa.binary(), len(keep), [None, pa.py_buffer(ends), pa.py_buffer(around[keep].tobytes())])
                 columns = [name[keep], parts[keep], part.column(0).to_numpy()[text[keep]], packed[keep], wanted[keep], twice]
-                yield pa.RecordBatch.from_arrays([*[pa.array(c) for c in columns], sides], ["name", "parts", "key", "at", "wanted", "twice", "around"])
+                yield pa.RecordBatch.from_arrays([*[pa.array(c) for c in columns], near], ["name", "parts", "key", "at", "wanted", "twice", "around"])
 
     return run
 
 
+def row_names(rows: np.ndarray) -> np.ndarray:
+    """A name of the bytes of each row."""
+    wide = np.pad(rows, ((0, 0), (0, -rows.shape[1] % 8))).view(np.uint64)
+    x = (wide + np.arange(1, wide.shape[1] + 1, dtype=np.uint64) * _K[2]) * _K[0]
+    x ^= x >> np.uint64(29)
+    x *= _K[1]
+    x ^= x >> np.uint64(32)
+    return x.sum(axis=1)
+
+
 def prefix_names(context: np.ndarray) -> np.ndarray:
     """Names of the first 0, 1, .. symbols of each row."""
     out = np.zeros((len(context), context.shape[1] + 1), np.uint64)
@@ -557,7 +571,7 @@ def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, offsets = utf8(batch.column(1))
         for a, b in chunks(offsets, SEGMENT):
             hashed, n_words = word_hashes(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-            digits = np.stack([_DIGITS[((hashed >> np.uint64(6 * i)) & np.uint64(63)).astype(np.int64)] for i in range(CODE)], axis=1)
+            digits = _CODES[(hashed & np.uint64(len(_CODES) - 1)).astype(np.int64)]
             ends = np.concatenate([[0], np.cumsum(n_words * CODE)]).astype(np.int64)
             codes = pa.Array.from_buffers(pa.large_string(), b - a, [None, pa.py_buffer(ends), pa.py_buffer(digits.tobytes())])
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), codes.cast(pa.string())], ["text_key", "text"])
