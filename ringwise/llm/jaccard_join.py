@@ -3,7 +3,10 @@
 1. Sets. Words are hashed from their bytes, shingles from their words' hashes (64 bits). Equal sets
    are one node of the graph of links.
 2. Order. A fixed table of ``CELLS`` counters, filled by all documents, tells frequent shingles
-   from rare ones; the global order is by counter, then hash. Any order gives right results.
+   from rare ones. The larger the input, the more shingles share a counter, so those that are shared in spite of a low one are counted
+   by themselves, and those that over ``FEW`` texts share come last (a bitmap of ``BITS`` bits has them). The global order is by that,
+   counter and hash. Any order gives right results; without that bitmap, lines that some dozen texts share tie most sets of a large input
+   together in one cluster.
 3. Candidates. Two sets that are 0.8 alike share one of the first n - ceil(0.8 n) + 1 shingles of
    each, their prefixes. Where up to ``FEW`` sets share such a shingle, those of matching sizes are
    paired, and pairs stay whose prefixes have enough in common: all other common shingles lie
@@ -34,11 +37,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ringwise.llm.common import Scratch, chunks, lean, others, split, utf8
+from ringwise.llm.common import BITS, Scratch, chunks, lean, others, split, utf8
 from ringwise.llm.graph import components
 from ringwise.operators.ranking import later_in_group
 
@@ -173,12 +177,51 @@ def frequencies(texts: DataFrame, scratch: Scratch) -> np.ndarray:
     return out
 
 
+def _longer(n: int) -> int:
+    """Shingles of a set of n that are counted one by one: what may come into its prefix when frequent ones leave it."""
+    return min(n, int(prefix_length(np.int64(n))) * 3 // 2 + 4)
+
+
+def shared_often(texts: DataFrame, often: Broadcast, scratch: Scratch) -> np.ndarray:
+    """Bitmap of ``BITS`` bits, by the low bits of hashes, of the shingles that over ``FEW`` texts have among the first of their own."""
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, shingle, counts in _sets(batch.column(0)):
+                ends = np.cumsum(counts)
+                frequency = often.value[_cell(shingle)]
+                parts = []
+                for end, n in zip(ends.tolist(), counts.tolist(), strict=True):
+                    if n:
+                        order = np.argsort(frequency[end - n : end], kind="stable")
+                        parts.append(shingle[end - n : end][order[: _longer(n)]])
+                if parts:
+                    spots, n_texts = np.unique(np.concatenate(parts), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(spots.view(np.int64)), pa.array(n_texts.astype(np.int32))], ["spot", "texts"])
+
+    counted = texts.mapInArrow(lean(first), "spot long, texts int").repartition("spot").groupBy("spot").agg(F.sum("texts").alias("texts"))
+    # these functions count bits from 1 on
+    place = F.pmod("spot", F.lit(BITS)) + 1
+    placed = counted.where(F.col("texts") > FEW).select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("bit"))
+    bits = scratch.save(placed.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")), "often")
+    out = np.zeros(BITS // 8, np.uint8)
+    for row in bits.collect():  # BITS bits, whatever the input
+        out[(row["bucket"] - 1) * len(row["bits"]) : row["bucket"] * len(row["bits"])] = np.frombuffer(row["bits"], np.uint8)
+    return out
+
+
+def _last(shingle: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Whether the bitmap has the shingles."""
+    place = shingle & np.uint64(8 * len(bits) - 1)
+    return (bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1
+
+
 def prefix_length(n: np.ndarray) -> np.ndarray:
     """Shingles of a set of n of which a set 0.8 alike shares one at least: n - ceil(0.8 n) + 1."""
     return n - (4 * n + 4) // 5 + 1
 
 
-def _prefixes(shared):
+def _prefixes(shared: Broadcast, last: Broadcast):
     """Node, size and ordered prefix of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,7 +230,7 @@ def _prefixes(shared):
             for a, b, shingle, counts in _sets(batch.column(2)):
                 out: list[list] = [[], [], []]
                 ends = np.cumsum(counts)
-                frequency = often[_cell(shingle)]
+                frequency = often[_cell(shingle)] + (_last(shingle, last.value).astype(np.int64) << 48)
                 for i in range(b - a):
                     own = shingle[ends[i] - counts[i] : ends[i]]
                     n = int(counts[i])
@@ -556,11 +599,14 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int =
     kept = others(docs, *ADDED, text)
     body = F.coalesce(F.col(text), F.lit(""))
     often = context.broadcast(frequencies(docs.select(body.alias("text")), scratch))  # 8 MB
+    scratch.drop("cells")
+    last = context.broadcast(shared_often(docs.select(body.alias("text")), often, scratch))  # 8 MB
+    scratch.drop("often")
     row = F.struct(F.lit(0).alias("__"), *kept)
     source = docs.select(row.alias("row"), F.xxhash64(body).alias("key"), body.alias("text"))
     fields = [source.schema["row"], T.StructField("key", T.LongType()), T.StructField("node", T.LongType()), T.StructField("n", T.LongType()), T.StructField("prefix", T.BinaryType())]
-    rows = scratch.save(source.mapInArrow(lean(_prefixes(often)), T.StructType(fields)), "prefixes")
-    scratch.drop("cells")
+    rows = scratch.save(source.mapInArrow(lean(_prefixes(often, last)), T.StructType(fields)), "prefixes")
+    scratch.drop()
 
     nodes = rows.where("n > 0").select("node", "n", "prefix").dropDuplicates(["node"])
     rows_of = nodes.mapInArrow(lean(_chain), "spot long, least long, most long, u long, v long, kind byte")

@@ -113,3 +113,40 @@ def test_representatives(odd, none):
     # 1 and 2 are equal, 3 is near them, 11 and 12 have the same words; empty ones stay
     assert left == sorted(map(str, [1, 4, 5, 6, 7, 8, 9, None, 10, 11]))
     assert J.join(none).collect() == [] and J.representatives(none).collect() == []
+
+
+def test_lines_that_many_texts_share_tie_no_cluster_where_counters_are_full(spark, monkeypatch):
+    # counters that say the same of all shingles, as those of a large input nearly do
+    monkeypatch.setattr(J, "frequencies", lambda texts, scratch: np.full(J.CELLS, 2_000))
+    largest, links = [], J._links
+
+    def watched(sets, scratch, block):
+        largest.append(max((r["count"] for r in sets.groupBy("cluster").count().collect()), default=0))
+        return links(sets, scratch, block)
+
+    monkeypatch.setattr(J, "_links", watched)
+    r = random.Random(7)
+    word = lambda: f"w{r.randint(0, 1_000_000)}"
+    lines = [[word() for _ in range(12)] for _ in range(8)]
+    rows = []
+    for i in range(100):
+        w = [word() for _ in range(80)] + lines[i % 8] + lines[(i * 3 + 1) % 8]
+        rows.append((i, " ".join(w), None, None, None))
+    rows += [(100 + i, rows[i][1] + " and more", None, None, None) for i in range(10)]
+    assert rows_of(J.join(spark.createDataFrame(rows, SCHEMA).repartition(3))) == expected(rows)
+    assert largest[0] <= 4, "texts that share a line alone are in one cluster"
+
+
+def test_bitmap_has_the_shingles_of_many_texts(spark):
+    line = "one two three four five six"
+    texts = [f"{line} " + " ".join(f"w{i}x{j}" for j in range(6)) for i in range(J.FEW + 1)]
+    context = spark.sparkContext
+    often = context.broadcast(np.zeros(J.CELLS, np.int64))
+    bits = J.shared_often(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3), often, Scratch(spark, "t"))
+    raw = np.frombuffer(line.encode(), np.uint8)
+    shared, _ = J.shingle_sets(raw, np.array([0, len(raw)]))
+    found = int(np.unpackbits(bits).sum())
+    # all texts have 8 shingles, of which the first 7 in order are counted
+    assert 1 <= found <= 2 and J._last(shared, bits).sum() == found
+    fewer = J.shared_often(spark.createDataFrame([(t,) for t in texts[1:]], "text string"), often, Scratch(spark, "t"))
+    assert not fewer.any()
