@@ -133,8 +133,11 @@ def test_lines_that_many_texts_share_tie_no_cluster_where_counters_are_full(spar
         w = [word() for _ in range(80)] + lines[i % 8] + lines[(i * 3 + 1) % 8]
         rows.append((i, " ".join(w), None, None, None))
     rows += [(100 + i, rows[i][1] + " and more", None, None, None) for i in range(10)]
-    assert rows_of(J.join(spark.createDataFrame(rows, SCHEMA).repartition(3))) == expected(rows)
-    assert largest[0] <= 4, "texts that share a line alone are in one cluster"
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    assert rows_of(J.join(df)) == expected(rows)
+    # the pipeline's second stage
+    assert sorted(r["doc_id"] for r in J.representatives(df).collect()) == list(range(100))
+    assert max(largest) <= 4, "texts that share a line alone are in one cluster"
 
 
 def test_bitmap_has_the_shingles_of_many_texts(spark):
